@@ -1,6 +1,7 @@
 """Query plans over the driver tables, registered by name."""
 
 from tabletrust.plans import (  # noqa: F401  (imports register queries)
+    q_compare,
     q_contracts,
 )
 from tabletrust.plans.catalog import REGISTRY, Query, Tables
