@@ -4,6 +4,8 @@ from tabletrust.plans import (  # noqa: F401  (imports register queries)
     q_compare,
     q_contracts,
     q_runstate,
+    q_state,
+    q_text,
 )
 from tabletrust.plans.catalog import REGISTRY, Query, Tables
 
