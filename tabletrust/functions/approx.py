@@ -180,7 +180,7 @@ def near_for_type(actual: Column, expected: Column, dtype: T.DataType, rel=None,
     return actual.eqNullSafe(expected)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _plus_minus_text(expected: pd.Series, tol: pd.Series) -> pd.Series:
     # Python's float formatting: shortest round-trip repr for the value and
     # correctly rounded ``.1e`` for the tolerance.  Java's ``%.1e`` rounds

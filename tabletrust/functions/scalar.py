@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ------------------------------------------------------------------ F2
 # Python's ``\W`` on text is "not a letter, digit or underscore" in the
@@ -56,7 +57,7 @@ def escaped_text(value: str | None) -> str | None:
     return value.encode("unicode_escape").decode("ascii")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def escaped(text: pd.Series) -> pd.Series:
     """Arrow-batched preview column built from ``escaped_text``."""
     return text.map(escaped_text, na_action="ignore")

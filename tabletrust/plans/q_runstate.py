@@ -331,17 +331,79 @@ def outcome_norm(spark, sf_dir):
 # ------------------------------------------------------------------ J6
 @query("inherited_flag", ("J6",), REPORTS_SQL + """
     , own AS (SELECT node_id, split_part(node_id, '::', 1) AS path,
-                     bool_or(event_type = 'view' AND value > 450) AS skip FROM reports GROUP BY node_id),
-    files AS (SELECT path, bool_or(event_type = 'view' AND value > 480) AS skip
+                     bool_or(event_type = 'view' AND value > 250) AS skip FROM reports GROUP BY node_id),
+    files AS (SELECT path, bool_or(event_type = 'view' AND value > 300) AS skip
               FROM (SELECT split_part(node_id, '::', 1) AS path, event_type, value FROM reports) GROUP BY path)
     SELECT o.node_id, o.skip AS own_skip, coalesce(o.skip, false) OR coalesce(f.skip, false) AS inherited
     FROM own o LEFT JOIN files f USING (path)""")
 def inherited_flag(spark, sf_dir):
-    """A skip marker on a module (a rare very high-value view in it)
+    """A skip marker on a module (a rare high-value view in it)
     applies to all of its cases; a case may also carry its own."""
     rep = reports(spark, sf_dir).withColumn("path", R.file_part(F.col("node_id")))
     own = rep.groupBy("node_id", "path").agg(
-        F.max((F.col("event_type") == "view") & (F.col("value") > 450)).alias("own_skip"))
-    files = rep.groupBy("path").agg(F.max((F.col("event_type") == "view") & (F.col("value") > 480)).alias("skip"))
+        F.max((F.col("event_type") == "view") & (F.col("value") > 250)).alias("own_skip"))
+    files = rep.groupBy("path").agg(F.max((F.col("event_type") == "view") & (F.col("value") > 300)).alias("skip"))
     out = R.inherited_flag(own, files, "path", "path", "own_skip", "skip")
     return out.select("node_id", "own_skip", "inherited")
+
+
+# ------------------------------------------------------------------ G2, W7
+_COLLECT_SQL = REPORTS_SQL + """
+, mod_reports AS (
+  SELECT split_part(node_id, '::', 1) AS node_id, CAST(CAST(seq_ts AS DATE) AS TIMESTAMP) AS seq_ts,
+         CAST(-1 AS BIGINT) AS seq_id,
+         CASE WHEN bool_or(event_type = 'error' AND value > 150) THEN 'set' ELSE 'pass' END AS kind
+  FROM reports GROUP BY 1, 2),
+pkg_reports AS (
+  SELECT split_part(node_id, '/', 1) AS node_id, CAST(CAST(seq_ts AS DATE) AS TIMESTAMP) AS seq_ts,
+         CAST(-2 AS BIGINT) AS seq_id,
+         CASE WHEN bool_or(event_type = 'error' AND value > 250) THEN 'set' ELSE 'pass' END AS kind
+  FROM reports GROUP BY 1, 2),
+pkg_kids AS (SELECT DISTINCT split_part(node_id, '/', 1) AS parent, split_part(node_id, '::', 1) AS child FROM reports),
+mod_kids AS (SELECT DISTINCT split_part(node_id, '::', 1) AS parent, node_id AS child FROM reports),
+pkg_ev AS (SELECT *, lag(kind) OVER (PARTITION BY node_id ORDER BY seq_ts, seq_id, kind DESC) AS prev FROM pkg_reports),
+mod_marks AS (
+  SELECT k.child AS node_id, e.seq_ts, e.seq_id, 'set' AS kind
+  FROM pkg_ev e JOIN pkg_kids k ON k.parent = e.node_id WHERE e.kind = 'pass' AND e.prev = 'set'),
+mod_ev AS (
+  SELECT *, lag(kind) OVER (PARTITION BY node_id ORDER BY seq_ts, seq_id, kind DESC) AS prev
+  FROM (SELECT * FROM mod_reports UNION ALL SELECT * FROM mod_marks)),
+item_marks AS (
+  SELECT k.child AS node_id, e.seq_ts, e.seq_id, 'set' AS kind
+  FROM mod_ev e JOIN mod_kids k ON k.parent = e.node_id WHERE e.kind = 'pass' AND e.prev = 'set'),
+item_ev AS (
+  SELECT node_id, seq_ts, seq_id, CASE WHEN outcome = 'failed' THEN 'set' ELSE 'pass' END AS kind FROM relevant
+  UNION ALL SELECT * FROM item_marks),
+final AS (
+  SELECT node_id, arg_max(kind = 'set', (seq_ts, seq_id, kind)) AS failing FROM item_ev GROUP BY node_id
+  UNION ALL SELECT node_id, arg_max(kind = 'set', (seq_ts, seq_id)) FROM mod_ev GROUP BY node_id
+  UNION ALL SELECT node_id, arg_max(kind = 'set', (seq_ts, seq_id)) FROM pkg_ev GROUP BY node_id)
+"""
+
+
+def collector_reports(rep: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Daily collection reports: a module fails to collect on a day when
+    one of its cases logs an error above 150, a package when one above
+    250.  Collection runs at the start of the day, packages first."""
+    day = F.col("seq_ts").cast("date").cast("timestamp_ntz")
+    module = R.file_part(F.col("node_id"))
+    package = F.split(F.col("node_id"), "/").getItem(0)
+
+    def daily(node, seq_id, limit):
+        bad = (F.col("event_type") == "error") & (F.col("value") > limit)
+        return rep.groupBy(node.alias("node_id"), day.alias("seq_ts")).agg(
+            F.max(bad).alias("bad")).select(
+            "node_id", "seq_ts", F.lit(seq_id).cast("bigint").alias("seq_id"),
+            F.when(F.col("bad"), F.lit("failed")).otherwise(F.lit("passed")).alias("outcome"))
+
+    reports_ = daily(package, -2, 250).unionByName(daily(module, -1, 150))
+    children = rep.select(package.alias("parent"), module.alias("child")).unionByName(
+        rep.select(module.alias("parent"), F.col("node_id").alias("child"))).distinct()
+    return reports_, children
+
+
+@query("collector_expand", ("G2", "W7"), _COLLECT_SQL + "SELECT DISTINCT node_id FROM final WHERE failing")
+def collector_expand(spark, sf_dir):
+    rep = reports(spark, sf_dir)
+    collect, children = collector_reports(rep)
+    return R.expand_collectors(rep, collect, children)

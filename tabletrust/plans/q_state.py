@@ -2,7 +2,7 @@
 
 Key-value state is built from ``events``: key ``user/<id>``, value the
 event's ``props`` JSON, ordered by ``(ts, event_id)``.  Props of events
-with a value above 450 are delivered truncated (unreadable JSON).
+with a value above 300 are delivered truncated (unreadable JSON).
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from tabletrust.plans.q_runstate import CUT, REPORTS_SQL, reports
 _KV_SQL = f"""
 WITH writes AS (
   SELECT 'user/' || user_id AS key,
-         CASE WHEN value > 450 THEN substr(props, 1, length(props) - 1) ELSE props END AS value,
+         CASE WHEN value > 300 THEN substr(props, 1, length(props) - 1) ELSE props END AS value,
          ts, event_id
   FROM events),
 state AS (
@@ -31,7 +31,7 @@ upserted AS (
 
 def _writes(spark, sf_dir) -> DataFrame:
     ev = Tables(spark, sf_dir).events
-    value = F.when(F.col("value") > 450, F.expr("substr(props, 1, length(props) - 1)")).otherwise(F.col("props"))
+    value = F.when(F.col("value") > 300, F.expr("substr(props, 1, length(props) - 1)")).otherwise(F.col("props"))
     return ev.select(F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("key"), value.alias("value"),
                      "ts", "event_id")
 
@@ -104,13 +104,13 @@ def insert_if_absent(spark, sf_dir):
 # ------------------------------------------------------------------ M3
 @query("delete_keys", ("M3",), _KV_SQL + """
     SELECT key, value FROM upserted WHERE key NOT IN (
-      SELECT DISTINCT 'user/' || user_id FROM events WHERE event_type = 'error' AND value > 400)""")
+      SELECT DISTINCT 'user/' || user_id FROM events WHERE event_type = 'error' AND value > 250)""")
 def delete_keys(spark, sf_dir):
-    """Forget users who hit a severe error (value above 400)."""
+    """Forget users who hit a severe error (value above 250)."""
     state, updates = _state_and_updates(spark, sf_dir)
     current = K.upsert(state, updates, ["key"], order=["ts", "event_id"]).select("key", "value")
     ev = Tables(spark, sf_dir).events
-    doomed = ev.where((F.col("event_type") == "error") & (F.col("value") > 400)).select(
+    doomed = ev.where((F.col("event_type") == "error") & (F.col("value") > 250)).select(
         F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("key")).distinct()
     return K.delete_keys(current, doomed, ["key"])
 
