@@ -5,6 +5,7 @@ from tabletrust.plans import (  # noqa: F401  (imports register queries)
     q_contracts,
     q_runstate,
     q_state,
+    q_stream,
     q_text,
 )
 from tabletrust.plans.catalog import REGISTRY, Query, Tables
