@@ -3,6 +3,7 @@
 from tabletrust.plans import (  # noqa: F401  (imports register queries)
     q_compare,
     q_contracts,
+    q_dump,
     q_runstate,
     q_state,
     q_stream,
