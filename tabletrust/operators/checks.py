@@ -103,9 +103,14 @@ def range_violation(df: DataFrame, col: str, lo=None, hi=None) -> Column:
     if hi is not None:
         conds.append(c > F.lit(hi))
     if _is_float(df, col):
-        # NaN sorts above everything in Spark, so ``NaN >= 0`` holds: guard it.
+        # NaN sorts above everything in Spark, so ``NaN >= 0`` holds: guard
+        # it.  (This keeps float checks out of Parquet pushdown on purpose:
+        # row-group statistics ignore NaN and could skip the offending rows.)
         conds.append(F.isnan(c))
-    return F.coalesce(_any(conds), F.lit(False))
+    # NULL for a NULL value: ``where`` drops it, ``count_if`` ignores it, and
+    # a plain comparison pushes down to the Parquet reader, where min/max
+    # statistics skip row groups without violations.
+    return _any(conds)
 
 
 def check_range(df: DataFrame, col: str, lo=None, hi=None, key=()) -> DataFrame:
@@ -116,7 +121,7 @@ def check_range(df: DataFrame, col: str, lo=None, hi=None, key=()) -> DataFrame:
 
 # ---------------------------------------------------------------- C6
 def length_violation(col: str, n: int) -> Column:
-    return F.coalesce(F.char_length(F.col(col)) > F.lit(n), F.lit(False))
+    return F.char_length(F.col(col)) > F.lit(n)
 
 
 def check_length(df: DataFrame, col: str, n: int, key=()) -> DataFrame:
