@@ -32,6 +32,16 @@ def _is_float(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, FLOAT_TYPES)
 
 
+def bound(v) -> Column:
+    """Literal for a range bound; integers beyond BIGINT (unsigned 64-bit
+    maxima) become exact decimals."""
+    if isinstance(v, int) and not isinstance(v, bool) and not (-(1 << 63) <= v < (1 << 63)):
+        from decimal import Decimal
+
+        return F.lit(Decimal(v))
+    return F.lit(v)
+
+
 def key_string(cols) -> Column:
     """Composite key as text, for reports that mix tables."""
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
@@ -99,9 +109,9 @@ def range_violation(df: DataFrame, col: str, lo=None, hi=None) -> Column:
     c = F.col(col)
     conds = []
     if lo is not None:
-        conds.append(c < F.lit(lo))
+        conds.append(c < bound(lo))
     if hi is not None:
-        conds.append(c > F.lit(hi))
+        conds.append(c > bound(hi))
     if _is_float(df, col):
         # NaN sorts above everything in Spark, so ``NaN >= 0`` holds: guard
         # it.  (This keeps float checks out of Parquet pushdown on purpose:
@@ -285,15 +295,19 @@ def reconcile(stored: DataFrame, recomputed: DataFrame, keys, stored_col: str, a
 
 # ---------------------------------------------------------------- P1
 def apply_defaults(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Add declared defaults for *omitted* columns; explicit NULLs stay."""
+    """Fill *omitted* columns: the declared default, or NULL for a column
+    without one (as an INSERT that leaves the column out).  Explicit NULLs
+    in present columns stay NULL."""
     out = df
     for c in contract.columns:
-        if c.name in df.columns or not c.has_default:
+        if c.name in df.columns:
             continue
-        if c.default == CURRENT_TIMESTAMP:
+        if c.has_default and c.default == CURRENT_TIMESTAMP:
             val = F.current_timestamp()
+        elif c.has_default:
+            val = bound(c.default) if isinstance(c.default, int) else F.lit(c.default)
         else:
-            val = F.lit(c.default)
+            val = F.lit(None)
         out = out.withColumn(c.name, val.cast(c.spark_type()))
     return out
 
@@ -332,9 +346,9 @@ def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
         if c.lo is not None or c.hi is not None:
             out_of = F.lit(False)
             if c.lo is not None:
-                out_of = out_of | (typed < F.lit(c.lo))
+                out_of = out_of | (typed < bound(c.lo))
             if c.hi is not None:
-                out_of = out_of | (typed > F.lit(c.hi))
+                out_of = out_of | (typed > bound(c.hi))
             reasons.append(F.when(F.coalesce(out_of, F.lit(False)), F.lit(f"{c.name}:out_of_range")))
         casted.append(typed.alias(c.name))
     extra = [F.col(c) for c in df.columns if c not in contract.names]
