@@ -98,14 +98,22 @@ EPOCH = "1970-01-01 00:00:00"
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970 of a wall-clock (UTC) timestamp, time-zone
-    independent (works on TIMESTAMP_NTZ without the session zone)."""
-    return F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    """Whole seconds since 1970 of a wall-clock (UTC) timestamp.
+
+    Built from wall-clock fields (day number and time of day), which do
+    not depend on the session time zone; ``timestamp_diff`` would first
+    cast a TIMESTAMP_NTZ to the session zone and shift across DST."""
+    w = ts.cast("timestamp_ntz")
+    days = F.datediff(w.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(w) * 3600 + F.minute(w) * 60 + F.second(w)
 
 
 def from_epoch_seconds(seconds: Column) -> Column:
-    """UNIX seconds to a UTC wall-clock timestamp (TIMESTAMP_NTZ)."""
-    return F.timestamp_add("SECOND", seconds, F.lit(EPOCH).cast("timestamp_ntz"))
+    """UNIX seconds to a UTC wall-clock timestamp (TIMESTAMP_NTZ), by
+    interval arithmetic on a TIMESTAMP_NTZ (no time-zone conversion)."""
+    days = F.floor(seconds / 86400).cast("int")
+    rest = (seconds - days.cast("bigint") * 86400).cast("int")
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(days, F.lit(0), F.lit(0), rest)
 
 
 # ------------------------------------------------------------------ F6
