@@ -80,14 +80,16 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
     """
     seq = list(seq)
     ev_cols = [node, *seq, "kind"]
+    # Collector reports and the tree are read by every level: materialise
+    # them once (both are far smaller than the item reports).
     own = collect_reports.select(
         node, *seq,
         F.when(F.col("outcome") == "failed", F.lit("set")).otherwise(F.lit("pass")).alias("kind"),
-    )
-    collectors = own.select(node).distinct()
-    kids = children.select(F.col("parent"), F.col("child"))
+    ).checkpoint(eager=True)
+    collectors = own.select(node).distinct().checkpoint(eager=True)
+    kids = children.select(F.col("parent"), F.col("child")).checkpoint(eager=True)
     is_child = kids.select(F.col("child").alias(node)).distinct()
-    level = collectors.join(is_child, node, "left_anti")
+    level = collectors.join(is_child, node, "left_anti").checkpoint(eager=True)
     inherited = None  # 'set' events handed down to the current level
     collector_final = []
     item_marks = []

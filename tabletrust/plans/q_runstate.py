@@ -293,9 +293,11 @@ def state_changed(spark, sf_dir):
            max(CASE WHEN phase = 'call' THEN passed END) AS call_passed
     FROM per_phase GROUP BY node_id""")
 def phase_map(spark, sf_dir):
+    from tabletrust.functions.scalar import map_get
+
     pm = R.phase_map(reports(spark, sf_dir))
-    return pm.select("node_id", F.try_element_at("phases", F.lit("setup")).alias("setup_passed"),
-                     F.try_element_at("phases", F.lit("call")).alias("call_passed"))
+    return pm.select("node_id", map_get(F.col("phases"), "setup").cast("boolean").alias("setup_passed"),
+                     map_get(F.col("phases"), "call").cast("boolean").alias("call_passed"))
 
 
 # ------------------------------------------------------------------ G3

@@ -1,5 +1,8 @@
 """Contracts of the reference's own schemas: the food-nutrient database,
-the account database and the two-snapshot poll database.
+the account database, the two-snapshot poll database and the tables of
+the character database whose declarations carry a trap (no key, a
+unique key over a nullable column, an on-update stamp, generated keys,
+UNIX-time columns, flag masks declared ``tinyint(1)``).
 
 Fixed values (from the declarations): code widths 4 (food group), 5
 (food number), 3 (nutrient), 2 (source code) digits kept as text;
@@ -304,4 +307,125 @@ POLL_NOMINEES = TableContract(
 
 POLL_SCHEMA = {c.name: c for c in (POLL_CATEGORIES, POLL_NOMINEES)}
 
-REFERENCE_CONTRACTS = {**NUTRIENT_SCHEMA, **ACCOUNT_SCHEMA, **POLL_SCHEMA}
+
+# ------------------------------------------------------------------ character database (tables with traps)
+def _u(name, bits=32, default=0, **kw):
+    """NOT NULL unsigned column with a numeric default (the common form)."""
+    if default is None:
+        return unsigned(name, bits, nullable=False, **kw)
+    return unsigned(name, bits, nullable=False, **_d(default), **kw)
+
+
+CHARACTER_DB_VERSION = TableContract(
+    "character_db_version", (Col("required_z1794_s1350_11716_09_characters_auction", "boolean"),))
+AUCTION = TableContract(
+    "auction",
+    (
+        _u("id"), _u("houseid"), _u("itemguid"), _u("item_template"), _u("item_count"),
+        Col("item_randompropertyid", "int", False, **_d(0)), _u("itemowner"),
+        Col("buyoutprice", "int", False, **_d(0)), _u("time", 64), _u("buyguid"),
+        Col("lastbid", "int", False, **_d(0)), Col("startbid", "int", False, **_d(0)),
+        Col("deposit", "int", False, **_d(0)),
+    ),
+    primary_key=("id",),
+)
+BUGREPORT = TableContract(
+    "bugreport",
+    (Col("id", "int", False), Col("type", "string", False, **_d("")), Col("content", "string", False, **_d(""))),
+    primary_key=("id",),
+    generated_key="id",
+)
+CHARACTER_HONOR_CP = TableContract(
+    "character_honor_cp",
+    (_u("guid"), _u("victim_type", 8, 4), _u("victim"), Col("honor", "float", False, **_d(0.0)), _u("date"),
+     _u("type", 8)),
+    # no primary key: the same kill may be recorded twice
+)
+CHARACTER_SOCIAL = TableContract(
+    "character_social",
+    # tinyint(1) is a small number here (a flag mask), not a boolean
+    (_u("guid"), _u("friend"), _u("flags", 8)),
+    primary_key=("guid", "friend", "flags"),
+)
+CHARACTER_TICKET = TableContract(
+    "character_ticket",
+    (
+        _u("ticket_id", default=None),
+        _u("guid"),
+        Col("ticket_text", "string"),
+        Col("response_text", "string"),
+        Col("ticket_lastchange", "timestamp", False, **_d(CURRENT_TIMESTAMP)),
+    ),
+    primary_key=("ticket_id",),
+    generated_key="ticket_id",
+    notes={"stamp_on_change": "ticket_lastchange"},  # maintained by touch_on_change (M4)
+)
+CHARACTER_TUTORIAL = TableContract(
+    "character_tutorial",
+    (_u("account", 64, default=None), *[_u(f"tut{i}") for i in range(8)]),
+    primary_key=("account",),
+    generated_key="account",
+)
+GROUPS = TableContract(
+    "groups",
+    (
+        _u("groupId", default=None), _u("leaderGuid", default=None), _u("mainTank", default=None),
+        _u("mainAssistant", default=None), _u("lootMethod", 8, default=None), _u("looterGuid", default=None),
+        _u("lootThreshold", 8, default=None), *[_u(f"icon{i}", default=None) for i in range(1, 9)],
+        _u("isRaid", 8, default=None),
+    ),
+    primary_key=("groupId",),
+    unique=(("leaderGuid",),),
+)
+GUILD_EVENTLOG = TableContract(
+    "guild_eventlog",
+    (
+        _u("guildid", default=None), _u("LogGuid", default=None), _u("EventType", 8, default=None),
+        _u("PlayerGuid1", default=None), _u("PlayerGuid2", default=None), _u("NewRank", 8, default=None),
+        _u("TimeStamp", 64, default=None),  # UNIX seconds: read with from_epoch_seconds (F5)
+    ),
+    primary_key=("guildid", "LogGuid"),
+)
+GUILD_MEMBER = TableContract(
+    "guild_member",
+    (_u("guildid"), _u("guid"), _u("rank", 8), Col("pnote", "string", False, max_length=255, **_d("")),
+     Col("offnote", "string", False, max_length=255, **_d(""))),
+    unique=(("guid",),),  # a unique key but no primary key
+)
+ITEM_TEXT = TableContract("item_text", (_u("id"), Col("text", "string")), primary_key=("id",))
+MAIL = TableContract(
+    "mail",
+    (
+        _u("id"), _u("messageType", 8), Col("stationery", "tinyint", False, **_d(41)), _u("mailTemplateId", 24),
+        _u("sender"), _u("receiver"), Col("subject", "string"), _u("itemTextId"), _u("has_items", 8),
+        _u("expire_time", 64), _u("deliver_time", 64), _u("money"), _u("cod"), _u("checked", 8),
+    ),
+    primary_key=("id",),
+)
+PETITION = TableContract(
+    "petition",
+    (_u("ownerguid", default=None), unsigned("petitionguid", 32, **_d(0)),
+     Col("name", "string", False, max_length=255, **_d(""))),
+    primary_key=("ownerguid",),
+    unique=(("ownerguid", "petitionguid"),),  # spans a nullable column: NULL keys never collide
+)
+PETITION_SIGN = TableContract(
+    "petition_sign",
+    (_u("ownerguid", default=None), _u("petitionguid"), _u("playerguid"), _u("player_account")),
+    primary_key=("petitionguid", "playerguid"),
+)
+SAVED_VARIABLES = TableContract(
+    "saved_variables", (_u("NextMaintenanceDate"), _u("cleaning_flags")),  # no key at all
+)
+WORLD = TableContract("world", (_u("map"), Col("data", "string")), primary_key=("map",))
+
+CHARACTER_SCHEMA = {
+    c.name: c
+    for c in (
+        CHARACTER_DB_VERSION, AUCTION, BUGREPORT, CHARACTER_HONOR_CP, CHARACTER_SOCIAL, CHARACTER_TICKET,
+        CHARACTER_TUTORIAL, GROUPS, GUILD_EVENTLOG, GUILD_MEMBER, ITEM_TEXT, MAIL, PETITION, PETITION_SIGN,
+        SAVED_VARIABLES, WORLD,
+    )
+}
+
+REFERENCE_CONTRACTS = {**NUTRIENT_SCHEMA, **ACCOUNT_SCHEMA, **POLL_SCHEMA, **CHARACTER_SCHEMA}

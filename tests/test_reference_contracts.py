@@ -99,3 +99,39 @@ def test_imputed_and_rounding(spark):
 def test_reference_contract_schemas_build(spark):
     for c in RC.REFERENCE_CONTRACTS.values():
         assert len(c.schema().fields) == len(c.columns)
+
+
+def test_character_traps(spark):
+    # UNIQUE over a nullable column: NULL keys never collide
+    pet = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, 7, "c"), (3, 7, "d")],
+                                "ownerguid bigint, petitionguid bigint, name string")
+    rep = {(r["rule"], r["col"]): r["n_violations"] for r in C.contract_report(pet, RC.PETITION).collect()}
+    assert rep[("unique", "ownerguid,petitionguid")] == 1 and rep[("primary_key", "ownerguid")] == 1
+    # a table with only a unique key, and one without any key
+    gm = spark.createDataFrame([(1, 5, 0, "", ""), (2, 5, 1, "", "")], "guildid bigint, guid bigint, rank smallint, pnote string, offnote string")
+    assert {r["rule"] for r in C.contract_report(gm, RC.GUILD_MEMBER).collect()} >= {"unique"}
+    sv = spark.createDataFrame([(1, 0), (1, 0)], "NextMaintenanceDate bigint, cleaning_flags bigint")
+    assert "primary_key" not in {r["rule"] for r in C.contract_report(sv, RC.SAVED_VARIABLES).collect()}
+    # UNIX seconds in the event log read back as UTC wall-clock time
+    from datetime import datetime
+
+    from tabletrust.functions.scalar import from_epoch_seconds
+
+    log = spark.createDataFrame([(1, 1, 1, 2, 3, 1, 1360876794)], ",".join(
+        f"{c.name} bigint" for c in RC.GUILD_EVENTLOG.columns))
+    assert log.select(from_epoch_seconds(F.col("TimeStamp"))).first()[0] == datetime(2013, 2, 14, 21, 19, 54)
+
+
+def test_ticket_stamp_moves_only_on_change(spark):
+    from datetime import datetime
+
+    from tabletrust.operators.compare import touch_on_change
+
+    old = spark.createDataFrame([(1, 9, "help", None, datetime(2010, 1, 1)), (2, 9, "bug", None, datetime(2010, 1, 1))],
+                                "ticket_id bigint, guid bigint, ticket_text string, response_text string, ticket_lastchange timestamp")
+    new = spark.createDataFrame([(1, 9, "help", None, datetime(2010, 1, 1)), (2, 9, "bug", "fixed", datetime(2010, 1, 1))],
+                                old.schema)
+    now = F.lit(datetime(2013, 2, 17)).cast("timestamp")
+    got = {r["ticket_id"]: (r["touched"], r["ticket_lastchange"]) for r in
+           touch_on_change(old, new, ["ticket_id"], RC.CHARACTER_TICKET.notes["stamp_on_change"], now=now).collect()}
+    assert got == {1: (False, datetime(2010, 1, 1)), 2: (True, datetime(2013, 2, 17))}

@@ -88,3 +88,25 @@ def test_keyset_diff(spark):
     b = spark.createDataFrame([(2,), (3,), (3,)], "k int")
     r = K.keyset_diff(a, b).first()
     assert (r["only_before"], r["only_after"], r["equal"]) == (1, 1, False)
+
+
+def test_write_if_changed(spark):
+    from tabletrust.session import scratch_path
+
+    path = scratch_path(spark, "publish")
+    a = spark.createDataFrame([("k", True)], "node_id string, failing boolean")
+    assert K.write_if_changed(a, None, path) is True
+    old = spark.read.parquet(path)
+    assert K.write_if_changed(spark.createDataFrame([("k", True)], a.schema), old, path) is False
+    assert K.write_if_changed(spark.createDataFrame([("k", False)], a.schema), old, path + "-v2") is True
+
+
+def test_escaped_preview_and_map_get(spark):
+    from tabletrust.functions.scalar import escaped, escaped_text, map_get
+
+    df = spark.createDataFrame([("a\tbé\x0e",), (None,)], "t string")
+    got = [r[0] for r in df.select(escaped(F.col("t"))).collect()]
+    assert got == ["a\\tb\\xe9\\x0e", None] and escaped_text("〨") == "\\u3028"
+    m = spark.createDataFrame([({"a": 1, "b": None},)], "m map<string,int>")
+    row = m.select(map_get(F.col("m"), "a", -1), map_get(F.col("m"), "b", -1), map_get(F.col("m"), "c", -1)).first()
+    assert tuple(row) == (1, None, -1)
