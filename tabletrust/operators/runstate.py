@@ -267,15 +267,16 @@ def status_line(items: DataFrame, failing: DataFrame, skipped_files: DataFrame |
                 node="node_id", failed_first_mode=False, no_failures="all") -> DataFrame:
     """One row: ``known, rerun, skipped_files, status`` with singular/plural
     text.  All counts come from one aggregate each."""
-    known = failing.agg(F.count(F.lit(1)).alias("known"))
-    rerun = items.join(failing.select(node).distinct(), node, "left_semi").agg(F.count(F.lit(1)).alias("rerun"))
-    skipped = (skipped_files.where("skipped").agg(F.count(F.lit(1)).alias("skipped_files"))
-               if skipped_files is not None else known.select(F.lit(0).cast("bigint").alias("skipped_files")))
-    # Three one-row frames: combine them by a constant key (each side holds
-    # exactly one row, so this is not a cross product of data).
-    row = (known.withColumn("__k", F.lit(1))
-           .join(rerun.withColumn("__k", F.lit(1)), "__k")
-           .join(skipped.withColumn("__k", F.lit(1)), "__k").drop("__k"))
+    # One aggregate over a tagged union: no join, one row out.
+    tagged = failing.select(F.lit("known").alias("__t")).unionByName(
+        items.join(failing.select(node).distinct(), node, "left_semi").select(F.lit("rerun").alias("__t")))
+    if skipped_files is not None:
+        tagged = tagged.unionByName(skipped_files.where("skipped").select(F.lit("skip").alias("__t")))
+    row = tagged.agg(
+        F.count_if(F.col("__t") == "known").alias("known"),
+        F.count_if(F.col("__t") == "rerun").alias("rerun"),
+        F.count_if(F.col("__t") == "skip").alias("skipped_files"),
+    )
     noun = F.when(F.col("rerun") == 1, F.lit("failure")).otherwise(F.lit("failures"))
     suffix = F.lit(" first") if failed_first_mode else F.lit("")
     files = F.when(F.col("skipped_files") > 0, F.format_string(

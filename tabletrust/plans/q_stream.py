@@ -38,3 +38,13 @@ def first_seen_stream(spark, sf_dir):
     q = ST.first_seen_stream(stream, f"{base}/seen", f"{base}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/seen").select(F.col("node_id"))
+
+
+@query("last_failed_stateful", ("T1",), REPORTS_SQL + "SELECT node_id FROM failing")
+def last_failed_stateful(spark, sf_dir):
+    """T1 on the streaming state store (keyed state per node)."""
+    base, stream = _replayable_reports(spark, sf_dir, "last-failed-stateful")
+    q = ST.last_failed_stateful(stream, f"{base}/changes", f"{base}/checkpoint")
+    q.awaitTermination()
+    current = ST.current_from_changes(spark.read.parquet(f"{base}/changes"))
+    return current.where("failing").select("node_id")

@@ -27,6 +27,10 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keyed streaming state (dedup sets, per-node fold state) lives in
+    # RocksDB: it spills to local disk instead of the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

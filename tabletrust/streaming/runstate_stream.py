@@ -82,3 +82,64 @@ def first_seen_stream(reports_stream: DataFrame, sink_path: str, checkpoint_path
     w = s.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.outputMode("append").start()
+
+
+# ------------------------------------------------------------------ T1 on the state store
+STATE_SCHEMA = "ts_us long, seq_id long, failing boolean"
+CHANGE_SCHEMA = "node_id string, failing boolean, ts_us long, seq_id long"
+
+
+def _fold_node(ttl_ms):
+    import numpy as np
+    import pandas as pd
+
+    def fold(key, pdfs, state):
+        node = key[0]
+        if state.hasTimedOut:
+            ts_us, seq_id, _ = state.get
+            state.remove()
+            # Forgotten: no longer failing, recorded just after the last report.
+            yield pd.DataFrame({"node_id": [node], "failing": [False], "ts_us": [ts_us + 1], "seq_id": [seq_id]})
+            return
+        start = state.get if state.exists else None
+        best = start
+        for pdf in pdfs:
+            rel = pdf[((pdf["phase"] == "call") & (pdf["outcome"] == "passed")) | pdf["outcome"].isin(["skipped", "failed"])]
+            if rel.empty:
+                continue
+            ts = rel["seq_ts"].to_numpy().astype("datetime64[us]").astype("int64")
+            ids = rel["seq_id"].to_numpy().astype("int64")
+            i = int(np.lexsort((ids, ts))[-1])
+            cand = (int(ts[i]), int(ids[i]), bool(rel["outcome"].iloc[i] == "failed"))
+            if best is None or cand[:2] > best[:2]:
+                best = cand
+        if best is not None and best != start:
+            state.update(best)
+            yield pd.DataFrame({"node_id": [node], "failing": [best[2]], "ts_us": [best[0]], "seq_id": [best[1]]})
+        if ttl_ms:
+            state.setTimeoutDuration(ttl_ms)
+
+    return fold
+
+
+def last_failed_stateful(reports_stream: DataFrame, changes_path: str, checkpoint_path: str,
+                         ttl_ms: int | None = None, available_now: bool = True):
+    """T1 with Spark's state store: per node the newest relevant report
+    ``(seq, failing)`` lives in keyed state (``applyInPandasWithState``),
+    so a micro-batch costs in proportion to its own size, not to the whole
+    state.  Changes are appended to ``changes_path``; the current state is
+    the newest change per node (``current_from_changes``).  With
+    ``ttl_ms`` a node not reported for that long is forgotten (state
+    removed, recorded as not failing), which bounds the state."""
+    timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
+    changes = reports_stream.select("node_id", "seq_ts", "seq_id", "phase", "outcome").groupBy("node_id") \
+        .applyInPandasWithState(_fold_node(ttl_ms), CHANGE_SCHEMA, STATE_SCHEMA, "append", timeout)
+    w = changes.writeStream.format("parquet").option("path", changes_path).option("checkpointLocation", checkpoint_path)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.outputMode("append").start()
+
+
+def current_from_changes(changes: DataFrame) -> DataFrame:
+    """Newest change per node (combined map-side)."""
+    return changes.groupBy("node_id").agg(
+        F.max_by("failing", F.struct("ts_us", "seq_id")).alias("failing"))

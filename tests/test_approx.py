@@ -137,3 +137,10 @@ def test_snapshot_delta_counts(spark):
     new = spark.createDataFrame([(1, "a", 1.5), (2, "B", 2.0), (4, "d", 0.0), (3, "c", None)], "k int, s string, x double")
     rows = sorted((r["k"], r["change"], r["column"], r["delta"]) for r in CMP.snapshot_delta(old, new, ["k"]).collect())
     assert rows == [(1, "changed", "x", 0.5), (2, "changed", "s", None), (4, "added", None, None)]
+
+
+def test_array_mismatch_summary_divides_by_obtained(spark):
+    df = spark.createDataFrame([([1.0, 0.0, 3.0], [1.0, 0.5, 2.0])], "a array<double>, e array<double>")
+    s = df.select(CMP.array_mismatch_summary(F.col("a"), F.col("e"), lambda x, y: A.near(x, y))).first()[0]
+    assert s["n_mismatched"] == 2 and s["n_total"] == 3
+    assert s["max_abs_diff"] == 1.0 and math.isinf(s["max_rel_diff"])  # obtained 0 -> infinite
