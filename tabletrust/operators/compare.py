@@ -4,8 +4,11 @@
 ``inline`` that turns each compared row into one cell per column; all
 per-column decisions are made on the joined row before the unpivot, so
 the plan has a single shuffle (the join) whatever the column count.
-Keys must be unique on each side (run ``check_primary_key`` first): a
-key repeated on both sides would pair every copy with every copy.
+Each side is first reduced to one row per key (with its row count), so
+a key repeated on both sides never pairs every copy with every copy;
+such keys come out with status ``duplicate_key``.  The reduction is
+combined map-side and hash-partitions by the keys, which the join then
+reuses, so it adds no shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +19,18 @@ from pyspark.sql import types as T
 
 from tabletrust.functions.approx import INF, near_for_type, tolerance, tolerance_text
 
-MATCHED, ONLY_ACTUAL, ONLY_EXPECTED = "matched", "missing_expected", "missing_actual"
+MATCHED, ONLY_ACTUAL, ONLY_EXPECTED, DUPLICATE = "matched", "missing_expected", "missing_actual", "duplicate_key"
+
+
+def _one_per_key(df: DataFrame, keys, columns, prefix: str, flag: str) -> DataFrame:
+    """``keys``, prefixed value columns of one row per key, the key's row
+    count as ``<flag>_n`` and ``flag`` = true."""
+    picked = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"{flag}_n"),
+        F.any_value(F.struct(*[F.col(c) for c in columns])).alias("__v"),
+    )
+    return picked.select(*keys, *[F.col(f"__v.{c}").alias(f"{prefix}{c}") for c in columns], f"{flag}_n",
+                         F.lit(True).alias(flag))
 
 
 def _is_number(dtype: T.DataType) -> bool:
@@ -52,11 +66,12 @@ def compare_tables(
     types = {c: expected.schema[c].dataType for c in columns}
     numeric = all(_is_number(t) for t in types.values())
 
-    a = actual.select(*keys, *[F.col(c).alias(f"a__{c}") for c in columns], F.lit(True).alias("__in_a"))
-    e = expected.select(*keys, *[F.col(c).alias(f"e__{c}") for c in columns], F.lit(True).alias("__in_e"))
+    a = _one_per_key(actual, keys, columns, "a__", "__in_a")
+    e = _one_per_key(expected, keys, columns, "e__", "__in_e")
     j = a.join(e, on=keys, how="full_outer")
     status = (
-        F.when(F.col("__in_a").isNull(), F.lit(ONLY_EXPECTED))
+        F.when((F.coalesce("__in_a_n", F.lit(0)) > 1) | (F.coalesce("__in_e_n", F.lit(0)) > 1), F.lit(DUPLICATE))
+        .when(F.col("__in_a").isNull(), F.lit(ONLY_EXPECTED))
         .when(F.col("__in_e").isNull(), F.lit(ONLY_ACTUAL))
         .otherwise(F.lit(MATCHED))
     )
@@ -133,12 +148,13 @@ def snapshot_delta(old: DataFrame, new: DataFrame, keys, columns=None) -> DataFr
     Returns ``keys, change, column, delta``: ``added`` / ``removed`` rows
     (``column`` NULL) and one ``changed`` row per differing column,
     compared null-safely; ``delta`` is ``new - old`` for numeric columns.
+    A key repeated on either side is reported once as ``duplicate_key``.
     """
     keys = list(keys)
     columns = list(columns or [c for c in old.columns if c not in keys])
     types = {c: old.schema[c].dataType for c in columns}
-    o = old.select(*keys, *[F.col(c).alias(f"o__{c}") for c in columns], F.lit(True).alias("__in_o"))
-    n = new.select(*keys, *[F.col(c).alias(f"n__{c}") for c in columns], F.lit(True).alias("__in_n"))
+    o = _one_per_key(old, keys, columns, "o__", "__in_o")
+    n = _one_per_key(new, keys, columns, "n__", "__in_n")
     j = o.join(n, on=keys, how="full_outer")
     entries = []
     for c in columns:
@@ -148,7 +164,8 @@ def snapshot_delta(old: DataFrame, new: DataFrame, keys, columns=None) -> DataFr
     changed = F.filter(F.array(*entries), lambda s: s.isNotNull())
     whole = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(None).cast("double").alias("delta")))
     change = (
-        F.when(F.col("__in_o").isNull(), F.lit("added"))
+        F.when((F.coalesce("__in_o_n", F.lit(0)) > 1) | (F.coalesce("__in_n_n", F.lit(0)) > 1), F.lit(DUPLICATE))
+        .when(F.col("__in_o").isNull(), F.lit("added"))
         .when(F.col("__in_n").isNull(), F.lit("removed"))
         .otherwise(F.lit("changed"))
     )
@@ -165,8 +182,8 @@ def touch_on_change(old: DataFrame, new: DataFrame, keys, stamp_col: str, now: C
     keys = list(keys)
     now = now if now is not None else F.current_timestamp()
     columns = list(columns or [c for c in new.columns if c not in keys and c != stamp_col])
-    o = old.select(*keys, *[F.col(c).alias(f"o__{c}") for c in columns], F.col(stamp_col).alias("__old_stamp"),
-                   F.lit(True).alias("__in_o"))
+    o = _one_per_key(old.withColumnRenamed(stamp_col, "__old_stamp"), keys, columns + ["__old_stamp"], "", "__in_o")
+    o = o.select(*keys, *[F.col(c).alias(f"o__{c}") for c in columns], "__old_stamp", "__in_o")
     j = new.join(o, on=keys, how="left")
     same = F.lit(True)
     for c in columns:

@@ -60,7 +60,8 @@ def keep_newest(df: DataFrame, group, order, n: int = 3, policy: str = "all",
         df = df.where(~F.coalesce(passed, F.lit(True)))
     desc = [(F.col(c) if isinstance(c, str) else c).desc() for c in order]
     w = Window.partitionBy(*group).orderBy(*desc)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    ranked = df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 # ------------------------------------------------------------------ W5

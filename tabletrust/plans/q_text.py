@@ -26,8 +26,10 @@ def _rx_count(pattern: str) -> str:
 @query("text_hygiene", ("F3",), f"""
     SELECT lang, count(*) AS n_docs,
            count(*) FILTER (WHERE regexp_matches(text, '{S.OUTSIDE_PRINTABLE}')) AS n_docs_unprintable,
-           sum({_rx_count(r'\t')}) AS n_tab, sum({_rx_count(r'\r')}) AS n_cr, sum({_rx_count(r'\n')}) AS n_lf,
-           sum({_rx_count(S.OTHER_CONTROL)}) AS n_control, sum({_rx_count(S.NON_ASCII)}) AS n_non_ascii
+           CAST(sum({_rx_count(r'\t')}) AS BIGINT) AS n_tab, CAST(sum({_rx_count(r'\r')}) AS BIGINT) AS n_cr,
+           CAST(sum({_rx_count(r'\n')}) AS BIGINT) AS n_lf,
+           CAST(sum({_rx_count(S.OTHER_CONTROL)}) AS BIGINT) AS n_control,
+           CAST(sum({_rx_count(S.NON_ASCII)}) AS BIGINT) AS n_non_ascii
     FROM documents GROUP BY lang""")
 def text_hygiene(spark, sf_dir):
     """Non-printable and non-ASCII profile of whole document texts, per

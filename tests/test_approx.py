@@ -144,3 +144,13 @@ def test_array_mismatch_summary_divides_by_obtained(spark):
     s = df.select(CMP.array_mismatch_summary(F.col("a"), F.col("e"), lambda x, y: A.near(x, y))).first()[0]
     assert s["n_mismatched"] == 2 and s["n_total"] == 3
     assert s["max_abs_diff"] == 1.0 and math.isinf(s["max_rel_diff"])  # obtained 0 -> infinite
+
+
+def test_duplicate_keys_never_pair_up(spark):
+    # 50 copies of key 1 on each side would be 2,500 pairs; it must stay one key
+    a = spark.createDataFrame([(1, float(i)) for i in range(50)] + [(2, 1.0)], "k int, x double")
+    e = spark.createDataFrame([(1, float(i)) for i in range(50)] + [(2, 1.0)], "k int, x double")
+    cells = CMP.compare_tables(a, e, ["k"]).collect()
+    assert sorted((r["k"], r["status"], r["ok"]) for r in cells) == [(1, "duplicate_key", False), (2, "matched", True)]
+    delta = CMP.snapshot_delta(a, e, ["k"]).collect()
+    assert [(r["k"], r["change"]) for r in delta] == [(1, "duplicate_key")]

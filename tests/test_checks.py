@@ -130,3 +130,16 @@ def test_driver_table_facts(spark):
     fk = REGISTRY["fk_orphans"].build(spark, sf)
     assert fk.where(F.col("reference") == "documents.doc_id->labels").count() == 601
     assert fk.where(F.col("reference") != "documents.doc_id->labels").count() == 0
+
+
+def test_read_with_contract_text_source(spark):
+    from tabletrust.plans.reference_contracts import FOODS
+    from tabletrust.session import scratch_path
+    from tabletrust.sources.tables import read_with_contract
+
+    path = scratch_path(spark, "foods-csv")
+    rows = ["01001,0100,Butter,BUTTER,,,,,0,,6.38,,,", "01002,0100,Cheese,CHEESE,,,,,lots,,6.38,,,"]
+    spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.text(path)
+    typed, rejected = read_with_contract(spark, path, FOODS, fmt="csv")
+    assert [r["ndb_no"] for r in typed.collect()] == ["01001"]  # text code keeps its leading zero
+    assert [(r["ndb_no"], r["reasons"]) for r in rejected.collect()] == [("01002", ["refuse:unconvertible"])]
