@@ -11,12 +11,19 @@ contract into DataFrame checks.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 from pyspark.sql import types as T
 
 CURRENT_TIMESTAMP = "CURRENT_TIMESTAMP"
 
 
+@lru_cache(maxsize=None)
+def parse_type(dtype: str) -> T.DataType:
+    """Spark type of a type name (parsed once per name)."""
+    return T.DataType.fromDDL(dtype)
+
+
 @dataclass(frozen=True)
 class Col:
     """One declared column.
@@ -41,7 +48,7 @@ class Col:
     ci: bool = False
 
     def spark_type(self) -> T.DataType:
-        return T.DataType.fromDDL(self.dtype)
+        return parse_type(self.dtype)
 
 
 def unsigned(name: str, bits: int = 32, **kw) -> Col:

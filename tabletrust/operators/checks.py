@@ -264,6 +264,10 @@ def contract_report(
         parts.append(counted(check_unique(df, ukey, ci), "unique", ",".join(ukey)))
     for fk in contract.foreign_keys:
         if fk.parent not in parents:
+            # Not checked (parent table not supplied): say so with a NULL count.
+            parts.append(df.sparkSession.range(1).select(
+                F.lit("foreign_key").alias("rule"), F.lit(fk.name).alias("col"),
+                F.lit(None).cast("bigint").alias("n_violations")))
             continue
         orphans = check_foreign_key(df, fk.cols, parents[fk.parent], fk.parent_cols)
         parts.append(
@@ -327,6 +331,12 @@ def _cast_one(col: str, src: T.DataType, dst: T.DataType) -> Column:
     return c.try_cast(dst)
 
 
+def _present(items: list[Column]) -> Column:
+    if not items:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*items), lambda x: x.isNotNull())
+
+
 def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
     """One projection that casts every contract column of ``df`` and
     records why a row would be rejected (``reasons``) or annotated
@@ -339,10 +349,17 @@ def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
         dst = c.spark_type()
         typed = _cast_one(c.name, src, dst)
         raw = F.col(c.name)
-        is_zero = F.coalesce(raw.cast("string") == F.lit(ZERO_DATE), F.lit(False))
-        lost = raw.isNotNull() & typed.isNull() & ~is_zero
-        reasons.append(F.when(lost, F.lit(f"{c.name}:unconvertible")))
-        notes.append(F.when(is_zero, F.lit(f"{c.name}:zero_date")))
+        # Only a real conversion can lose a value; a column already of the
+        # declared type adds no test, so the scan can prune it entirely.
+        if src != dst:
+            timestamp_from_text = isinstance(src, T.StringType) and isinstance(
+                dst, (T.TimestampType, T.TimestampNTZType))
+            is_zero = (F.coalesce(raw == F.lit(ZERO_DATE), F.lit(False)) if timestamp_from_text
+                       else F.lit(False))
+            lost = raw.isNotNull() & typed.isNull() & ~is_zero
+            reasons.append(F.when(lost, F.lit(f"{c.name}:unconvertible")))
+            if timestamp_from_text:
+                notes.append(F.when(is_zero, F.lit(f"{c.name}:zero_date")))
         if c.lo is not None or c.hi is not None:
             out_of = F.lit(False)
             if c.lo is not None:
@@ -356,8 +373,8 @@ def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
         *[F.col(c).alias(f"__raw_{c}") for c in df.columns],
         *casted,
         *extra,
-        F.filter(F.array(*reasons), lambda x: x.isNotNull()).alias("reasons"),
-        F.filter(F.array(*notes), lambda x: x.isNotNull()).alias("notes"),
+        _present(reasons).alias("reasons"),
+        _present(notes).alias("notes"),
     )
 
 

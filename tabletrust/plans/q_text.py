@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tabletrust.functions import scalar as S
 from tabletrust.operators import lookup as L
-from tabletrust.operators.checks import key_string  # noqa: F401  (re-exported for users)
 from tabletrust.plans.catalog import Tables, query
 
 

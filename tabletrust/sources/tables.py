@@ -7,7 +7,6 @@ the reader, so callers just select what they need.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabletrust.contract import TableContract
@@ -42,7 +41,3 @@ def read_with_contract(
     keep = [c for c in raw.columns if c in contract.names]
     typed, rejected = safe_cast(raw.select(*keep), contract)
     return typed.drop("notes"), rejected
-
-
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows"))
