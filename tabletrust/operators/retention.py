@@ -87,3 +87,15 @@ def assign_keys(df: DataFrame, key: str, order, start: int = 1) -> DataFrame:
     filled = number_rows(missing, order, name="__rn").withColumn(
         key, (F.lit(base - 1) + F.col("__rn")).cast(df.schema[key].dataType)).drop("__rn")
     return present.unionByName(filled.select(*df.columns))
+
+
+# ------------------------------------------------------------------ W4 (run level)
+def runs_to_remove(runs: DataFrame, policy: str, exit_status: str = "exit_status",
+                   given_base: str = "given_base") -> DataFrame:
+    """Whole runs whose folder goes: only under policy ``failed``, only
+    when the run exited 0 and its base folder was not given by the user."""
+    if policy not in POLICIES:
+        raise ValueError(f"retention policy must be either all, failed, none. Current input: {policy}.")
+    if policy != "failed":
+        return runs.where(F.lit(False))
+    return runs.where((F.col(exit_status) == 0) & ~F.coalesce(F.col(given_base), F.lit(False)))

@@ -16,7 +16,6 @@ inside a value; one statement is one record and must fit in a task.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +25,7 @@ from pyspark.sql import types as T
 
 from tabletrust.contract import TableContract
 from tabletrust.operators.checks import contract_report, safe_cast
+from tabletrust.session import checkpoint_dir
 
 # MySQL string escapes inside quoted dump values.
 ESCAPES = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a", "\\": "\\", "'": "'", '"': '"'}
@@ -131,14 +131,33 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_insert_dump(spark: SparkSession, path: str, table: str, contract: TableContract) -> tuple[DataFrame, DataFrame]:
+def read_insert_dump(spark: SparkSession, path: str, table: str, contract: TableContract,
+                     max_statement_chars: int | None = None, stage: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` rows of ``table`` from dump files.
 
     ``good`` has the contract's columns and types (plus ``notes``);
     ``rejected`` has ``stmt_id, tuple_idx, vals, reasons`` for tuples that
-    failed to tokenize, had the wrong arity or failed a cast."""
+    failed to tokenize, had the wrong arity or failed a cast.  With
+    ``max_statement_chars`` a longer statement is not tokenized but
+    rejected whole (reported with its size), so one oversized record
+    cannot exhaust a task's memory; nothing is dropped silently.
+
+    With ``stage`` (default) the tokenized tuples are written once to the
+    shared checkpoint folder, so the good and rejected frames (and their
+    repeated use) do not tokenize the text again."""
     stmts = read_statements(spark, path).where(F.col("table") == table).select("stmt_id", "body")
+    oversized = None
+    if max_statement_chars is not None:
+        too_long = F.length("body") > F.lit(max_statement_chars)
+        oversized = stmts.where(too_long).select(
+            "stmt_id", F.lit(None).cast("int").alias("tuple_idx"), F.lit(None).cast("array<string>").alias("vals"),
+            F.array(F.format_string("statement of %d characters exceeds %d", F.length("body"),
+                                    F.lit(max_statement_chars))).alias("reasons"))
+        stmts = stmts.where(~too_long)
     tuples = stmts.mapInPandas(_explode_statements, TUPLES_SCHEMA)
+    if stage:
+        checkpoint_dir(spark)
+        tuples = tuples.checkpoint(eager=True)
     ncols = len(contract.columns)
     arity_ok = F.size("vals") == ncols
     broken = tuples.where(F.col("error").isNotNull() | ~arity_ok).select(
@@ -150,7 +169,10 @@ def read_insert_dump(spark: SparkSession, path: str, table: str, contract: Table
                        *[F.col("vals").getItem(i).alias(c.name) for i, c in enumerate(contract.columns)])
     good, bad = safe_cast(text, contract)
     bad = bad.select("stmt_id", "tuple_idx", "vals", "reasons")
-    return good.drop("stmt_id", "tuple_idx", "vals"), broken.unionByName(bad)
+    rejected = broken.unionByName(bad)
+    if oversized is not None:
+        rejected = rejected.unionByName(oversized)
+    return good.drop("stmt_id", "tuple_idx", "vals"), rejected
 
 
 # ------------------------------------------------------------------ writer

@@ -58,3 +58,13 @@ def test_full_refresh_refuses_broken_contract(spark):
     assert report.where("rule = 'primary_key'").first()["n_violations"] == 1
     with pytest.raises(Exception):
         spark.read.parquet(f"{base}/t").count()
+
+
+def test_oversized_statement_rejected_whole(spark):
+    path = scratch_path(spark, "dump-cap")
+    text = "INSERT INTO `t` VALUES (1,'a',1);\nINSERT INTO `t` VALUES " + ",".join(f"({i},'x',{i})" for i in range(2, 60)) + ";\n"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    good, bad = D.read_insert_dump(spark, path, "t", T2, max_statement_chars=200)
+    assert [r["id"] for r in good.collect()] == [1]
+    reasons = [r["reasons"][0] for r in bad.collect()]
+    assert len(reasons) == 1 and "exceeds 200" in reasons[0]

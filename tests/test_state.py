@@ -110,3 +110,12 @@ def test_escaped_preview_and_map_get(spark):
     m = spark.createDataFrame([({"a": 1, "b": None},)], "m map<string,int>")
     row = m.select(map_get(F.col("m"), "a", -1), map_get(F.col("m"), "b", -1), map_get(F.col("m"), "c", -1)).first()
     assert tuple(row) == (1, None, -1)
+
+
+def test_run_level_removal(spark):
+    runs = spark.createDataFrame([(1, 0, False), (2, 1, False), (3, 0, True), (4, 0, None)],
+                                 "run int, exit_status int, given_base boolean")
+    assert sorted(r["run"] for r in RT.runs_to_remove(runs, "failed").collect()) == [1, 4]
+    assert RT.runs_to_remove(runs, "all").count() == 0
+    with pytest.raises(ValueError):
+        RT.runs_to_remove(runs, "bogus")
