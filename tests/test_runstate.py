@@ -152,3 +152,20 @@ def test_stream_equals_batch(spark):
     a = {r[0] for r in REGISTRY["last_failed_stream"].build(spark, sf).collect()}
     b = {r[0] for r in REGISTRY["last_failed"].build(spark, sf).collect()}
     assert a == b
+
+
+def test_select_in_files_rules(spark):
+    items = spark.createDataFrame([
+        ("a/f1.py::t1", "a/f1.py"), ("a/f1.py::t2", "a/f1.py"),      # before the first hit: whole file
+        ("a/f2.py::t1", "a/f2.py"), ("a/f2.py::t2", "a/f2.py"),      # first hit: only the failure
+        ("a/f3.py::t1", "a/f3.py"),                                  # not among failing paths: skipped
+        ("b/f4.py::t1", "b/f4.py"), ("b/f4.py::t2", "b/f4.py"),      # failing path + given path
+    ], "node_id string, path string")
+    failing = spark.createDataFrame([("a/f2.py::t2",), ("b/f4.py::t1",)], "node_id string")
+    lf = R.failing_paths(failing, R.path_inventory(items))
+    kept, files = R.select_in_files(items, failing, lf, init_paths=["b/f4.py"])
+    got = {r["node_id"]: r["kept"] for r in kept.collect()}
+    assert got == {"a/f1.py::t1": True, "a/f1.py::t2": True, "a/f2.py::t1": False, "a/f2.py::t2": True,
+                   "a/f3.py::t1": False, "b/f4.py::t1": True, "b/f4.py::t2": True}
+    assert {r["path"]: r["skipped"] for r in files.collect()} == {
+        "a/f1.py": False, "a/f2.py": False, "a/f3.py": True, "b/f4.py": False}
