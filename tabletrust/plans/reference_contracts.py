@@ -1,8 +1,9 @@
-"""Contracts of the reference's own schemas: the food-nutrient database,
-the account database, the two-snapshot poll database and the tables of
-the character database whose declarations carry a trap (no key, a
-unique key over a nullable column, an on-update stamp, generated keys,
-UNIX-time columns, flag masks declared ``tinyint(1)``).
+"""Contracts of the reference's own schemas: the food-nutrient database
+(12 tables), the account database (7), the two-snapshot poll database
+(2; both snapshots share the declaration) and the character database
+(47): 68 distinct contracts.  Several character tables carry traps (no
+key, a unique key over a nullable column, an on-update stamp, generated
+keys, UNIX-time columns, flag masks declared ``tinyint(1)``).
 
 Fixed values (from the declarations): code widths 4 (food group), 5
 (food number), 3 (nutrient), 2 (source code) digits kept as text;
@@ -428,4 +429,168 @@ CHARACTER_SCHEMA = {
     )
 }
 
+
+# ------------------------------------------------------------------ character database (plain keyed tables)
+def _i(name, default=0):
+    """NOT NULL signed int with a default."""
+    return Col(name, "int", False, **_d(default))
+
+
+def _f(name, nonneg=False):
+    """NOT NULL float defaulting to 0 (``float unsigned`` gets lo=0; NaN
+    then fails the range check)."""
+    return Col(name, "float", False, lo=0 if nonneg else None, **_d(0.0))
+
+
+def _text(name):
+    return Col(name, "string")
+
+
+def _vc(name, n, default=""):
+    return Col(name, "string", False, max_length=n, **_d(default))
+
+
+def _aura_columns():
+    return (
+        _u("guid"), _u("caster_guid", 64), _u("item_guid"), _u("spell"), _u("stackcount", default=1),
+        _u("remaincharges"), _i("basepoints0"), _i("basepoints1"), _i("basepoints2"), _u("periodictime0"),
+        _u("periodictime1"), _u("periodictime2"), _i("maxduration"), _i("remaintime"), _u("effIndexMask"),
+    )
+
+
+CHARACTERS = TableContract(
+    "characters",
+    (
+        _u("guid"), _u("account"), _vc("name", 12), _u("race", 8), _u("class", 8), _u("gender", 8), _u("level", 8),
+        _u("xp"), _u("money"), _u("playerBytes"), _u("playerBytes2"), _u("playerFlags"),
+        _f("position_x"), _f("position_y"), _f("position_z"), _u("map"), _f("orientation"), _text("taximask"),
+        _u("online", 8), _u("cinematic", 8), _u("totaltime"), _u("leveltime"), _u("logout_time", 64),
+        _u("is_logout_resting", 8), _f("rest_bonus"), _u("resettalents_cost"), _u("resettalents_time", 64),
+        _f("trans_x"), _f("trans_y"), _f("trans_z"), _f("trans_o"), _u("transguid", 64), _u("extra_flags"),
+        _u("stable_slots", 8), _u("at_login"), _u("zone"), _u("death_expire_time", 64), _text("taxi_path"),
+        _u("honor_highest_rank"), _u("honor_standing"), _f("stored_honor_rating"), _i("stored_dishonorable_kills"),
+        _i("stored_honorable_kills"), _u("watchedFaction"), _u("drunk", 16), _u("health"),
+        *[_u(f"power{i}") for i in range(1, 6)],
+        _text("exploredZones"), _text("equipmentCache"), _u("ammoId"), _u("actionBars", 8),
+        unsigned("deleteInfos_Account", 32), Col("deleteInfos_Name", "string", max_length=12),
+        unsigned("deleteDate", 64),
+    ),
+    primary_key=("guid",),
+)
+CHARACTER_ACTION = TableContract(
+    "character_action", (_u("guid"), _u("button", 8), _u("action"), _u("type", 8)), primary_key=("guid", "button"))
+CHARACTER_AURA = TableContract("character_aura", _aura_columns(),
+                               primary_key=("guid", "caster_guid", "item_guid", "spell"))
+CHARACTER_BATTLEGROUND_DATA = TableContract(
+    "character_battleground_data",
+    (_u("guid"), _u("instance_id"), _u("team"), _f("join_x"), _f("join_y"), _f("join_z"), _f("join_o"),
+     _i("join_map")),
+    primary_key=("guid",),
+)
+CHARACTER_GIFTS = TableContract(
+    "character_gifts", (_u("guid"), _u("item_guid"), _u("entry"), _u("flags")), primary_key=("item_guid",))
+CHARACTER_HOMEBIND = TableContract(
+    "character_homebind",
+    (_u("guid"), _u("map"), _u("zone"), _f("position_x"), _f("position_y"), _f("position_z")),
+    primary_key=("guid",),
+)
+CHARACTER_INSTANCE = TableContract(
+    "character_instance", (_u("guid"), _u("instance"), _u("permanent", 8)), primary_key=("guid", "instance"))
+CHARACTER_INVENTORY = TableContract(
+    "character_inventory", (_u("guid"), _u("bag"), _u("slot", 8), _u("item"), _u("item_template")),
+    primary_key=("item",))
+CHARACTER_PET = TableContract(
+    "character_pet",
+    (
+        _u("id"), _u("entry"), _u("owner"), unsigned("modelid", 32, **_d(0)), _u("CreatedBySpell"), _u("PetType", 8),
+        _u("level", default=1), _u("exp"), _u("Reactstate", 8), _i("loyaltypoints"), _u("loyalty"), _i("trainpoint"),
+        Col("name", "string", max_length=100, **_d("Pet")), _u("renamed", 8), _u("slot"), _u("curhealth", default=1),
+        _u("curmana"), _u("curhappiness"), _u("savetime", 64), _u("resettalents_cost"), _u("resettalents_time", 64),
+        _text("abdata"), _text("teachspelldata"),
+    ),
+    primary_key=("id",),
+)
+CHARACTER_QUESTSTATUS = TableContract(
+    "character_queststatus",
+    (_u("guid"), _u("quest"), _u("status"), _u("rewarded", 8), _u("explored", 8), _u("timer", 64),
+     *[_u(f"mobcount{i}") for i in range(1, 5)], *[_u(f"itemcount{i}") for i in range(1, 5)]),
+    primary_key=("guid", "quest"),
+)
+CHARACTER_REPUTATION = TableContract(
+    "character_reputation", (_u("guid"), _u("faction"), _i("standing"), _i("flags")), primary_key=("guid", "faction"))
+CHARACTER_SKILLS = TableContract(
+    "character_skills",
+    (_u("guid", default=None), _u("skill", 24, default=None), _u("value", 24, default=None), _u("max", 24, default=None)),
+    primary_key=("guid", "skill"),
+)
+CHARACTER_SPELL = TableContract(
+    "character_spell", (_u("guid"), _u("spell"), _u("active", 8, default=1), _u("disabled", 8)),
+    primary_key=("guid", "spell"))
+CHARACTER_SPELL_COOLDOWN = TableContract(
+    "character_spell_cooldown", (_u("guid"), _u("spell"), _u("item"), _u("time", 64)), primary_key=("guid", "spell"))
+CHARACTER_STATS = TableContract(
+    "character_stats",
+    (
+        _u("guid"), _u("maxhealth"), *[_u(f"maxpower{i}") for i in range(1, 8)],
+        *[_u(c) for c in ("strength", "agility", "stamina", "intellect", "spirit", "armor", "resHoly", "resFire",
+                          "resNature", "resFrost", "resShadow", "resArcane")],
+        *[_f(c, nonneg=True) for c in ("blockPct", "dodgePct", "parryPct", "critPct", "rangedCritPct")],
+        _u("attackPower"), _u("rangedAttackPower"),
+    ),
+    primary_key=("guid",),
+)
+CORPSE = TableContract(
+    "corpse",
+    (_u("guid"), _u("player"), _f("position_x"), _f("position_y"), _f("position_z"), _f("orientation"), _u("map"),
+     _u("time", 64), _u("corpse_type", 8), _u("instance")),
+    primary_key=("guid",),
+)
+CREATURE_RESPAWN = TableContract(
+    "creature_respawn", (_u("guid"), _u("respawntime", 64), _u("instance", 24)), primary_key=("guid", "instance"))
+GAME_EVENT_STATUS = TableContract("game_event_status", (_u("event", 16),), primary_key=("event",))
+GAMEOBJECT_RESPAWN = TableContract(
+    "gameobject_respawn", (_u("guid"), _u("respawntime", 64), _u("instance", 24)), primary_key=("guid", "instance"))
+GROUP_INSTANCE = TableContract(
+    "group_instance", (_u("leaderGuid"), _u("instance"), _u("permanent", 8)), primary_key=("leaderGuid", "instance"))
+GROUP_MEMBER = TableContract(
+    "group_member",
+    (_u("groupId", default=None), _u("memberGuid", default=None), _u("assistant", 8, default=None),
+     _u("subgroup", 16, default=None)),
+    primary_key=("groupId", "memberGuid"),
+)
+GUILD = TableContract(
+    "guild",
+    (_u("guildid"), _vc("name", 255), _u("leaderguid"), _i("EmblemStyle"), _i("EmblemColor"), _i("BorderStyle"),
+     _i("BorderColor"), _i("BackgroundColor"), Col("info", "string", False), _vc("motd", 255), _u("createdate", 64)),
+    primary_key=("guildid",),
+)
+GUILD_RANK = TableContract(
+    "guild_rank", (_u("guildid"), _u("rid", default=None), _vc("rname", 255), _u("rights")),
+    primary_key=("guildid", "rid"))
+INSTANCE = TableContract(
+    "instance", (_u("id"), _u("map"), _u("resettime", 64), _text("data")), primary_key=("id",))
+INSTANCE_RESET = TableContract("instance_reset", (_u("mapid"), _u("resettime", 64)), primary_key=("mapid",))
+ITEM_INSTANCE = TableContract("item_instance", (_u("guid"), _u("owner_guid"), _text("data")), primary_key=("guid",))
+ITEM_LOOT = TableContract(
+    "item_loot", (_u("guid"), _u("owner_guid"), _u("itemid"), _u("amount"), _i("property")),
+    primary_key=("guid", "itemid"))
+MAIL_ITEMS = TableContract(
+    "mail_items", (_i("mail_id"), _i("item_guid"), _i("item_template"), _u("receiver")),
+    primary_key=("mail_id", "item_guid"))
+PET_AURA = TableContract("pet_aura", _aura_columns(), primary_key=("guid", "caster_guid", "item_guid", "spell"))
+PET_SPELL = TableContract("pet_spell", (_u("guid"), _u("spell"), _u("active")), primary_key=("guid", "spell"))
+PET_SPELL_COOLDOWN = TableContract(
+    "pet_spell_cooldown", (_u("guid"), _u("spell"), _u("time", 64)), primary_key=("guid", "spell"))
+
+CHARACTER_SCHEMA.update({
+    c.name: c
+    for c in (
+        CHARACTERS, CHARACTER_ACTION, CHARACTER_AURA, CHARACTER_BATTLEGROUND_DATA, CHARACTER_GIFTS,
+        CHARACTER_HOMEBIND, CHARACTER_INSTANCE, CHARACTER_INVENTORY, CHARACTER_PET, CHARACTER_QUESTSTATUS,
+        CHARACTER_REPUTATION, CHARACTER_SKILLS, CHARACTER_SPELL, CHARACTER_SPELL_COOLDOWN, CHARACTER_STATS, CORPSE,
+        CREATURE_RESPAWN, GAME_EVENT_STATUS, GAMEOBJECT_RESPAWN, GROUP_INSTANCE, GROUP_MEMBER, GUILD, GUILD_RANK,
+        INSTANCE, INSTANCE_RESET, ITEM_INSTANCE, ITEM_LOOT, MAIL_ITEMS, PET_AURA, PET_SPELL, PET_SPELL_COOLDOWN,
+    )
+})
+
 REFERENCE_CONTRACTS = {**NUTRIENT_SCHEMA, **ACCOUNT_SCHEMA, **POLL_SCHEMA, **CHARACTER_SCHEMA}

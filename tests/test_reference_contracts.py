@@ -135,3 +135,15 @@ def test_ticket_stamp_moves_only_on_change(spark):
     got = {r["ticket_id"]: (r["touched"], r["ticket_lastchange"]) for r in
            touch_on_change(old, new, ["ticket_id"], RC.CHARACTER_TICKET.notes["stamp_on_change"], now=now).collect()}
     assert got == {1: (False, datetime(2010, 1, 1)), 2: (True, datetime(2013, 2, 17))}
+
+
+def test_all_reference_contracts(spark):
+    # 12 nutrient + 7 account + 2 poll + 47 character tables
+    assert len(RC.REFERENCE_CONTRACTS) == 68
+    widths = {"characters": 58, "character_pet": 23, "character_stats": 28, "character_aura": 15, "account": 17,
+              "nutrient_data": 18, "foods": 14, "oscars13_nominees": 9}
+    for name, n in widths.items():
+        assert len(RC.REFERENCE_CONTRACTS[name].columns) == n, name
+    keyless = {n for n, c in RC.REFERENCE_CONTRACTS.items() if not c.primary_key}
+    assert keyless == {"footnotes", "character_honor_cp", "saved_variables", "guild_member", "character_db_version",
+                       "realmd_db_version"}
