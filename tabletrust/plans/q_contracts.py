@@ -297,7 +297,24 @@ def typed_scan(spark, sf_dir):
 
 
 # -------------------------------------------------------------- C10
-@query("schema_drift", ("C10",))
+_DECLARED = ", ".join(f"('{c.name}', '{c.dtype}')" for c in ORDERS.columns)
+
+
+@query("schema_drift", ("C10",), f"""
+    WITH found AS (
+      SELECT column_name AS "column",
+             CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
+                  WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS found
+      FROM (DESCRIBE orders) WHERE column_name <> 'o_orderpriority'
+      UNION ALL SELECT 'o_comment', 'string'),
+    drifted AS (
+      SELECT "column", CASE WHEN "column" = 'o_totalprice' THEN 'decimal(12,2)' ELSE found END AS found FROM found),
+    declared("column", declared) AS (VALUES {_DECLARED})
+    SELECT coalesce(d."column", f."column") AS "column",
+           CASE WHEN f."column" IS NULL THEN 'missing' WHEN d."column" IS NULL THEN 'extra' ELSE 'retyped' END AS change,
+           d.declared, f.found
+    FROM declared d FULL OUTER JOIN drifted f ON d."column" = f."column"
+    WHERE d.declared IS DISTINCT FROM f.found""")
 def schema_drift(spark, sf_dir):
     """``orders`` with one column dropped, one added and one retyped."""
     o = Tables(spark, sf_dir).orders
