@@ -27,9 +27,9 @@ def _replayable_reports(spark, sf_dir, name):
 @query("last_failed_stream", ("T1", "T3"), REPORTS_SQL + "SELECT node_id FROM failing")
 def last_failed_stream(spark, sf_dir):
     base, stream = _replayable_reports(spark, sf_dir, "last-failed-stream")
-    q = ST.last_failed_stream(spark, stream, f"{base}/state", f"{base}/checkpoint")
+    q = ST.last_failed_stream(spark, stream, f"{base}/state", f"{base}/checkpoint", publish_path=f"{base}/published")
     q.awaitTermination()
-    return ST.failing_from_state(ST.latest_state(spark, f"{base}/state"))
+    return ST.latest_state(spark, f"{base}/published")
 
 
 @query("first_seen_stream", ("T2",), REPORTS_SQL + "SELECT DISTINCT node_id FROM reports")

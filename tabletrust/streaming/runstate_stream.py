@@ -6,11 +6,12 @@ operator, inside ``foreachBatch``.  Because the fold compares sequences,
 not arrival order, a replayed batch or files arriving out of order give
 the same state (the fold is idempotent).
 
-T3: a batch publishes a new state version only when the state changed.
-Versions are separate folders ``<state>/version=<epoch>``; a batch reads
-the newest version and writes a new folder, so it never overwrites what
-it reads, and a replay of an epoch rewrites that epoch's folder with the
-same content.
+T3: the failing set is published (a new version folder) only when it
+changed; the internal state gets a new version only when a batch holds
+relevant reports.  Versions are separate folders
+``<path>/version=<epoch>``; a batch reads the newest version and writes
+a new folder, so it never overwrites what it reads, and a replay of an
+epoch rewrites that epoch's folder with the same content.
 
 T2 ``first_seen_stream``: streaming ``dropDuplicates`` on the node id (the
 seen set is the state), optionally bounded by a watermark.
@@ -39,26 +40,40 @@ def latest_state(spark: SparkSession, state_path: str) -> DataFrame | None:
 
 
 def fold_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, state_path: str,
-               publish_only_changed: bool = True) -> bool:
-    """Fold one batch of reports into the state; returns whether a new
-    version was published."""
+               publish_path: str | None = None) -> bool:
+    """Fold one batch of reports into the state.
+
+    The state (node, failing, last sequence) gets a new version only when
+    the batch holds relevant reports -- an O(batch) test, so batches of
+    setup-only reports cost nothing more.  With ``publish_path`` the
+    failing set (what a consumer reads) is rewritten only when it really
+    changed (T3); sequence-only changes do not republish it.  Returns
+    whether the failing set was published."""
     update = last_state(batch)
+    if update.isEmpty():
+        return False
     prev = latest_state(spark, state_path)
     new = update if prev is None else merge_state(prev, update)
     new = new.select("node_id", "failing", "last_seq")
-    if publish_only_changed and prev is not None and same_rows(new, prev.select(*new.columns)):
-        return False
     new.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/version={int(epoch_id)}")
+    if publish_path is None:
+        return False
+    current = spark.read.parquet(f"{state_path.rstrip('/')}/version={int(epoch_id)}")
+    failing_now = failing_from_state(current)
+    if prev is not None and same_rows(failing_now, failing_from_state(prev)):
+        return False
+    failing_now.write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/version={int(epoch_id)}")
     return True
 
 
 def last_failed_stream(spark: SparkSession, reports_stream: DataFrame, state_path: str, checkpoint_path: str,
-                       publish_only_changed: bool = True, available_now: bool = True):
+                       publish_path: str | None = None, available_now: bool = True):
     """Start the T1 query; returns the ``StreamingQuery``.  With
-    ``available_now`` the query processes what is there and stops."""
+    ``available_now`` the query processes what is there and stops; with
+    ``publish_path`` the failing set is published whenever it changes."""
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        fold_batch(spark, batch, epoch_id, state_path, publish_only_changed)
+        fold_batch(spark, batch, epoch_id, state_path, publish_path)
 
     w = reports_stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -169,3 +169,23 @@ def test_select_in_files_rules(spark):
                    "a/f3.py::t1": False, "b/f4.py::t1": True, "b/f4.py::t2": True}
     assert {r["path"]: r["skipped"] for r in files.collect()} == {
         "a/f1.py": False, "a/f2.py": False, "a/f3.py": True, "b/f4.py": False}
+
+
+def test_stream_publishes_only_changed_failing_sets(spark):
+    from tabletrust.session import scratch_path
+    from tabletrust.streaming import runstate_stream as ST
+
+    base = scratch_path(spark, "publish-test")
+    schema = "node_id string, seq_ts timestamp, seq_id bigint, phase string, outcome string"
+    t = datetime(2024, 1, 1)
+    batches = [
+        [("a", t, 1, "call", "failed")],                     # a fails: publish
+        [("a", t, 2, "setup", "passed")],                    # irrelevant: no state version, no publish
+        [("a", t, 3, "call", "failed")],                     # still failing, newer seq: state moves, no publish
+        [("a", t, 4, "call", "passed"), ("b", t, 5, "call", "failed")],  # set changes: publish
+        [("b", t, 0, "call", "passed")],                     # stale replay (older seq): no change
+    ]
+    published = [ST.fold_batch(spark, spark.createDataFrame(rows, schema), i, f"{base}/state", f"{base}/pub")
+                 for i, rows in enumerate(batches)]
+    assert published == [True, False, False, True, False]
+    assert [r[0] for r in ST.latest_state(spark, f"{base}/pub").collect()] == ["b"]
