@@ -189,3 +189,46 @@ def test_stream_publishes_only_changed_failing_sets(spark):
                  for i, rows in enumerate(batches)]
     assert published == [True, False, False, True, False]
     assert [r[0] for r in ST.latest_state(spark, f"{base}/pub").collect()] == ["b"]
+
+
+class _FakeState:
+    """Stand-in for GroupState: enough to drive the fold function."""
+
+    def __init__(self, value=None, timed_out=False):
+        self.value, self.hasTimedOut, self.timeout = value, timed_out, None
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def test_state_store_fold_function():
+    import pandas as pd
+
+    from tabletrust.streaming.runstate_stream import _fold_node
+
+    fold = _fold_node(ttl_ms=60_000)
+    pdf = pd.DataFrame({"node_id": ["n"] * 3, "seq_ts": pd.to_datetime(["2024-01-01"] * 3), "seq_id": [3, 1, 2],
+                        "phase": ["call", "call", "setup"], "outcome": ["failed", "passed", "failed"]})
+    st = _FakeState()
+    out = list(fold(("n",), iter([pdf]), st))
+    assert len(out) == 1 and bool(out[0]["failing"].iloc[0]) and st.value[1] == 3 and st.timeout == 60_000
+    # an older report changes nothing and emits nothing
+    older = pdf.assign(seq_id=[0, 0, 0], outcome=["passed"] * 3)
+    assert list(fold(("n",), iter([older]), st)) == [] and st.value[2] is True
+    # expiry forgets the node and records it as not failing after its last report
+    gone = list(fold(("n",), iter([]), _FakeState(st.value, timed_out=True)))
+    assert bool(gone[0]["failing"].iloc[0]) is False and gone[0]["ts_us"].iloc[0] == st.value[0] + 1
