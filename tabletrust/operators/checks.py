@@ -275,6 +275,8 @@ def contract_report(
                 F.lit("foreign_key").alias("rule"), F.lit(fk.name).alias("col"), "n_violations"
             )
         )
+    if not parts:  # a contract without any rule: an empty report
+        return df.sparkSession.createDataFrame([], "tbl string, rule string, col string, n_violations bigint")
     out = reduce(DataFrame.unionByName, parts)
     return out.select(F.lit(contract.name).alias("tbl"), "rule", "col", F.col("n_violations").cast("bigint"))
 
