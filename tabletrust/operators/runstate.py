@@ -94,7 +94,6 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
     collector_final = []
     item_marks = []
     order = Window.partitionBy(node).orderBy(*seq, F.col("kind").desc())
-    depth = 0
     while True:
         events = own.join(level, node, "left_semi")
         if inherited is not None:
@@ -111,7 +110,6 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
         inherited = marks if inherited is None else inherited.unionByName(marks)
         nxt = kids.join(level, kids["parent"] == level[node], "left_semi").select(F.col("child").alias(node))
         level = nxt.join(collectors, node, "left_semi").distinct().checkpoint(eager=True)
-        depth += 1
         if level.isEmpty():
             break
     items = item_reports.where(relevant(F.col("phase"), F.col("outcome"))).select(
