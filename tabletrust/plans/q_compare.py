@@ -205,6 +205,10 @@ pairs AS (SELECT vec_id, label, a, a + 0.001 * label AS e FROM elems)
            bool_and({_near_sql('a', 'e', '0.0045')}) AS ok_abs,
            bool_and({_near_sql('a', 'e', _default_tol('e'))}) AS ok_default,
            bool_and({_near_sql('a', '0.0', '0.5')}) AS ok_scalar,
+           bool_and({_near_sql('a', '0.05::DOUBLE', 'greatest(9.5::DOUBLE * abs(0.05::DOUBLE), 1e-12)')})
+             AS ok_scalar_rel,
+           bool_and({_near_sql('0.05::DOUBLE', 'a', 'greatest(1.0::DOUBLE * abs(a), 0.45::DOUBLE)')})
+             AS ok_scalar_actual,
            (label % 2 = 0) AND bool_and({_near_sql('a', 'e', '0.0045')}) AS ok_shaped
     FROM pairs GROUP BY vec_id, label
     """,
@@ -222,6 +226,9 @@ def near_vectors(spark, sf_dir):
         A.near_array(a, e, abs=0.0045).alias("ok_abs"),
         A.near_array(a, e).alias("ok_default"),
         A.near_array_scalar(a, F.lit(0.0), abs=0.5).alias("ok_scalar"),
+        # the tolerance follows the expected side: the scalar, or each element
+        A.near_array_scalar(a, F.lit(0.05), rel=9.5).alias("ok_scalar_rel"),
+        A.near_scalar_array(F.lit(0.05), a, rel=1.0, abs=0.45).alias("ok_scalar_actual"),
         A.near_ndarray(a, a_shape, e, e_shape, abs=0.0045).alias("ok_shaped"),
     )
 
