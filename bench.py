@@ -2,7 +2,8 @@
 
 Env: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_QUERIES`` (comma list, default all), ``BENCH_WARM``
-(``1`` adds a second, warm pass reported under ``warm``).  Each query is
+(``1`` adds a second, warm pass reported under ``warm``),
+``BENCH_SHUFFLE_PARTITIONS`` (default twice the CPUs, at least 8).  Each query is
 executed in full with the ``noop`` sink (no collect to the driver).
 Prints one JSON line: total seconds plus per-query seconds.
 """
@@ -24,7 +25,8 @@ def main() -> None:
     from tabletrust.plans import REGISTRY
     from tabletrust.session import build_session, ensure_checkpoint_dir
 
-    spark = build_session(app="tabletrust-bench", master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2)))
+    spark = build_session(app="tabletrust-bench", master=f"local[{cpus}]", shuffle_partitions=partitions,
                           extra={"spark.driver.memory": "16g"})
     ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tt-bench-ckpt-", dir="/tmp"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or sorted(REGISTRY)
