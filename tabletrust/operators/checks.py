@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from tabletrust.contract import CURRENT_TIMESTAMP, TableContract
 
@@ -234,12 +235,27 @@ def contract_report(
             single.append(("length", c.name, length_violation(c.name, c.max_length)))
         if c.domain is not None:
             single.append(("domain", c.name, domain_violation(c.name, c.domain)))
+    unchecked: list[tuple[str, str]] = []
+
+    def add_rule(kind: str, name: str, cond: Column) -> None:
+        # A documented rule over a column the frame lacks cannot be checked:
+        # report it with a NULL count instead of failing the whole report.
+        try:
+            df.select(cond)
+        except AnalysisException:
+            unchecked.append((kind, name))
+            return
+        single.append((kind, name, cond))
+
     for rule in contract.implies:
-        single.append(("implies", rule.name, implies_violation(rule.if_, rule.then_)))
+        add_rule("implies", rule.name, implies_violation(rule.if_, rule.then_))
     for rule in contract.ordered:
-        single.append(("ordered", rule.name, ordered_violation(rule.lo, rule.mid, rule.hi)))
+        add_rule("ordered", rule.name, ordered_violation(rule.lo, rule.mid, rule.hi))
 
     parts: list[DataFrame] = []
+    for kind, name in unchecked:
+        parts.append(df.sparkSession.range(1).select(
+            F.lit(kind).alias("rule"), F.lit(name).alias("col"), F.lit(None).cast("bigint").alias("n_violations")))
     if single:
         aggs = [F.count_if(cond).alias(f"v{i}") for i, (_, _, cond) in enumerate(single)]
         entries = [

@@ -143,3 +143,11 @@ def test_read_with_contract_text_source(spark):
     typed, rejected = read_with_contract(spark, path, FOODS, fmt="csv")
     assert [r["ndb_no"] for r in typed.collect()] == ["01001"]  # text code keeps its leading zero
     assert [(r["ndb_no"], r["reasons"]) for r in rejected.collect()] == [("01002", ["refuse:unconvertible"])]
+
+
+def test_rule_over_missing_column_is_reported_unchecked(spark):
+    contract = TableContract("t", (Col("a", "int"), Col("b", "int")),
+                             ordered=(Ordered("a_le_b", "a", "a", "b"),), implies=(Implies("a_then_b", "a > 0", "b > 0"),))
+    df = spark.createDataFrame([(1,)], "a int")
+    rep = {(r["rule"], r["col"]): r["n_violations"] for r in C.contract_report(df, contract).collect()}
+    assert rep == {("ordered", "a_le_b"): None, ("implies", "a_then_b"): None}
