@@ -7,7 +7,7 @@ helper used for previews.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,19 @@ def hygiene_counts(text: Column) -> dict[str, Column]:
     }
 
 
+def hygiene_profile(df: DataFrame, text: str, by) -> DataFrame:
+    """per group, documents, documents with any character outside
+    printable ASCII, and tab / CR / LF / other control / non-ASCII counts,
+    in one aggregate pass over whole texts."""
+    by = [by] if isinstance(by, str) else list(by)
+    counts = hygiene_counts(F.col(text))
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(F.col(text).rlike(OUTSIDE_PRINTABLE)).alias("n_docs_unprintable"),
+        *[F.sum(c).cast("bigint").alias(name) for name, c in counts.items()],
+    )
+
+
 def escaped_text(value: str | None) -> str | None:
     """Escape a text the way test reports show it: non-ASCII as ``\\x``,
     ``\\u``, ``\\U`` codes, control characters as ``\\xNN`` or ``\\t \\r \\n``."""

@@ -64,6 +64,16 @@ def keep_newest(df: DataFrame, group, order, n: int = 3, policy: str = "all",
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
+# ------------------------------------------------------------------ W4
+def drop_passed(df: DataFrame, phases: str = "phases") -> DataFrame:
+    """Policy ``failed`` per item: remove items whose call phase passed or
+    that have no call result (a missing call entry counts as passed)."""
+    from tabletrust.functions.scalar import map_get
+
+    passed = map_get(F.col(phases), "call", True)
+    return df.where(~F.coalesce(passed, F.lit(True)))
+
+
 # ------------------------------------------------------------------ W5
 def next_numbers(existing: DataFrame, new: DataFrame, prefix: str, number: str, order, name="number") -> DataFrame:
     """Number new entries per prefix after the greatest existing number

@@ -260,6 +260,21 @@ def select_in_files(items: DataFrame, failing: DataFrame, lf_paths: DataFrame, i
     return out.drop("__lf", "__skip"), files
 
 
+def prune_files(items: DataFrame, failing: DataFrame, lf_paths: DataFrame, node="node_id",
+                path="path") -> tuple[DataFrame, DataFrame]:
+    """Files skipped whole during a rerun, and their count (one row).
+    Directories (packages) are never skipped: only item files are listed."""
+    _, files = select_in_files(items, failing, lf_paths, node=node, path=path)
+    skipped = files.where("skipped")
+    return skipped.select(path), skipped.agg(F.count(F.lit(1)).alias("skipped_files"))
+
+
+# ------------------------------------------------------------------ G5, U1
+def known_keys(old: DataFrame, current: DataFrame, node="node_id") -> DataFrame:
+    """The set of ids seen before or now (distinct), ordered ascending."""
+    return old.select(node).union(current.select(node)).distinct().orderBy(node)
+
+
 # ------------------------------------------------------------------ G6
 def status_line(items: DataFrame, failing: DataFrame, skipped_files: DataFrame | None = None,
                 node="node_id", failed_first_mode=False, no_failures="all") -> DataFrame:

@@ -33,13 +33,7 @@ def _rx_count(pattern: str) -> str:
 def text_hygiene(spark, sf_dir):
     """Non-printable and non-ASCII profile of whole document texts, per
     language, in one aggregate pass."""
-    d = Tables(spark, sf_dir).documents
-    counts = S.hygiene_counts(F.col("text"))
-    return d.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.count_if(F.col("text").rlike(S.OUTSIDE_PRINTABLE)).alias("n_docs_unprintable"),
-        *[F.sum(c).cast("bigint").alias(name) for name, c in counts.items()],
-    )
+    return S.hygiene_profile(Tables(spark, sf_dir).documents, "text", "lang")
 
 
 # ------------------------------------------------------------------ P3

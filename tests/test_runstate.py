@@ -232,3 +232,14 @@ def test_state_store_fold_function():
     # expiry forgets the node and records it as not failing after its last report
     gone = list(fold(("n",), iter([]), _FakeState(st.value, timed_out=True)))
     assert bool(gone[0]["failing"].iloc[0]) is False and gone[0]["ts_us"].iloc[0] == st.value[0] + 1
+
+
+def test_prune_files_and_known_keys(spark):
+    items = spark.createDataFrame([("a/f1.py::t", "a/f1.py"), ("a/f2.py::t", "a/f2.py"), ("a/f3.py::t", "a/f3.py")],
+                                  "node_id string, path string")
+    failing = spark.createDataFrame([("a/f2.py::t",)], "node_id string")
+    lf = R.failing_paths(failing, R.path_inventory(items))
+    files, count = R.prune_files(items, failing, lf)
+    assert [r[0] for r in files.collect()] == ["a/f3.py"] and count.first()[0] == 1
+    known = R.known_keys(spark.createDataFrame([("b",), ("a",)], "node_id string"), items.select("node_id"))
+    assert [r[0] for r in known.collect()] == ["a", "a/f1.py::t", "a/f2.py::t", "a/f3.py::t", "b"]

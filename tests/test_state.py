@@ -119,3 +119,9 @@ def test_run_level_removal(spark):
     assert RT.runs_to_remove(runs, "all").count() == 0
     with pytest.raises(ValueError):
         RT.runs_to_remove(runs, "bogus")
+
+
+def test_drop_passed_uses_call_phase(spark):
+    df = spark.createDataFrame([("a", {"setup": True, "call": True}), ("b", {"setup": True, "call": False}),
+                                ("c", {"setup": False}), ("d", {"call": None})], "node string, phases map<string,boolean>")
+    assert [r["node"] for r in RT.drop_passed(df).collect()] == ["b"]
