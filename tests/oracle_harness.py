@@ -1,7 +1,8 @@
 """Run registered queries in Spark and their SQL in DuckDB; compare.
 
 Mirrors the correctness gate: columns sorted by name, rows compared as a
-multiset; floats compared after rounding to 9 significant digits.
+multiset; floats compared after rounding to 9 significant digits, or bit
+for bit with ``--exact``.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False  # True: compare floats bit for bit (set by --exact)
+
+
 def _norm(v):
     if v is None:
         return None
@@ -34,7 +38,7 @@ def _norm(v):
             return "NaN"
         if v == 0:
             return 0.0
-        if math.isinf(v):
+        if math.isinf(v) or EXACT:
             return v
         return float(f"{v:.9g}")
     if isinstance(v, (list, tuple)):
@@ -96,8 +100,10 @@ if __name__ == "__main__":
 
     from tabletrust.session import build_session, ensure_checkpoint_dir
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:]
+    args = [a for a in sys.argv[1:] if a != "--exact"]
+    EXACT = "--exact" in sys.argv
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    names = args[1:]
     spark = build_session(master="local[8]", shuffle_partitions=8)
     ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tt-ckpt-", dir="/tmp"))
     from tabletrust.plans import REGISTRY

@@ -27,7 +27,7 @@ def test_split_tuples_unit():
     assert err is not None
 
 
-def test_read_dump(spark, tmp_path_factory):
+def test_read_dump(spark):
     path = scratch_path(spark, "dump-test")
     spark.createDataFrame([(DUMP,)], "value string").coalesce(1).write.text(path)
     # the text writer adds a trailing newline after the last statement

@@ -30,3 +30,11 @@ def test_entry_smoke(spark):
     assert df.columns == ["tbl", "rule", "col", "n_violations"]
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", ["epoch", "new_first", "near_maps", "touch_on_change", "defaults_and_casts"])
+def test_time_queries_do_not_depend_on_session_zone(spark, con, name):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    res = compare(other, name, SF, con)
+    assert res["ok"], res
