@@ -61,15 +61,18 @@ def last_failed(reports: DataFrame, node="node_id", seq=SEQ) -> DataFrame:
 
 
 # ------------------------------------------------------------------ G2, W7
-def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, children: DataFrame,
+def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, children: DataFrame | None = None,
                       node="node_id", seq=SEQ) -> DataFrame:
     """Failing state with collector reports.
 
     A failed collector report marks the collector failing.  When a
     collector that is failing reports passed or skipped, it leaves the
     failing set and *all its children* become failing until they run.
-    ``children(parent, child)`` lists what each collector yields; a child
-    may itself be a collector.  The state of a collector depends on its
+    ``children(parent, child)`` lists what each collector yields; without
+    it, each collect report carries its own ``children`` array (what that
+    collection yielded), and an expansion uses the array of the report
+    that triggered it -- only those arrays are exploded.  A child may
+    itself be a collector.  The state of a collector depends on its
     parent's expansions, so the plan walks the tree one depth level per
     round (a bounded loop, one ``lag`` window per level over collector
     events only); expansion events of each level are checkpointed to the
@@ -87,6 +90,11 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
         F.when(F.col("outcome") == "failed", F.lit("set")).otherwise(F.lit("pass")).alias("kind"),
     ).checkpoint(eager=True)
     collectors = own.select(node).distinct().checkpoint(eager=True)
+    per_report = children is None
+    if per_report:
+        # the tree (who can be whose child) from all reports, for the levels
+        children = collect_reports.select(F.col(node).alias("parent"), F.explode("children").alias("child")).distinct()
+        listed = collect_reports.select(node, *seq, "children")
     kids = children.select(F.col("parent"), F.col("child")).checkpoint(eager=True)
     is_child = kids.select(F.col("child").alias(node)).distinct()
     level = collectors.join(is_child, node, "left_anti").checkpoint(eager=True)
@@ -103,9 +111,13 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
             events.groupBy(node).agg(F.max_by(F.col("kind") == "set", seq_struct(seq)).alias("failing"))
         )
         opened = events.where((F.col("kind") == "pass") & (F.col("prev") == "set")).select(node, *seq)
-        marks = opened.join(kids, opened[node] == kids["parent"]).select(
-            F.col("child").alias(node), *seq, F.lit("set").alias("kind")
-        ).checkpoint(eager=True)
+        if per_report:
+            marks = opened.join(listed, [node, *seq]).select(
+                F.explode("children").alias(node), *seq, F.lit("set").alias("kind"))
+        else:
+            marks = opened.join(kids, opened[node] == kids["parent"]).select(
+                F.col("child").alias(node), *seq, F.lit("set").alias("kind"))
+        marks = marks.checkpoint(eager=True)
         item_marks.append(marks)
         inherited = marks if inherited is None else inherited.unionByName(marks)
         nxt = kids.join(level, kids["parent"] == level[node], "left_semi").select(F.col("child").alias(node))

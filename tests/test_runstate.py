@@ -243,3 +243,53 @@ def test_prune_files_and_known_keys(spark):
     assert [r[0] for r in files.collect()] == ["a/f3.py"] and count.first()[0] == 1
     known = R.known_keys(spark.createDataFrame([("b",), ("a",)], "node_id string"), items.select("node_id"))
     assert [r[0] for r in known.collect()] == ["a", "a/f1.py::t", "a/f2.py::t", "a/f3.py::t", "b"]
+
+
+def test_collectors_with_per_report_children(spark):
+    rng = random.Random(3)
+    t0 = datetime(2024, 1, 1)
+    pk = ["p0", "p1"]
+    mods = {p: [f"{p}/m{i}" for i in range(3)] for p in pk}
+    cases = {m: [f"{m}::c{i}" for i in range(4)] for ms in mods.values() for m in ms}
+    item_rows, collect_rows, sid = [], [], 0
+    for day in range(8):
+        base = t0 + timedelta(days=day)
+        for p in pk:   # what a collection yields changes from run to run
+            yielded = [m for m in mods[p] if rng.random() < 0.7]
+            collect_rows.append(dict(node_id=p, seq_ts=base, seq_id=-2, outcome=rng.choice(["failed", "passed"]),
+                                     children=yielded))
+        for ms in mods.values():
+            for m in ms:
+                yielded = [c for c in cases[m] if rng.random() < 0.7]
+                collect_rows.append(dict(node_id=m, seq_ts=base, seq_id=-1, outcome=rng.choice(["failed", "passed", "passed"]),
+                                         children=yielded))
+        for cs in cases.values():
+            for c in cs:
+                if rng.random() < 0.4:
+                    sid += 1
+                    item_rows.append(dict(node_id=c, seq_ts=base + timedelta(seconds=sid), seq_id=sid,
+                                          phase="call", outcome=rng.choice(["failed", "passed", "skipped"])))
+
+    def fold():
+        events = [(r["seq_ts"], r["seq_id"], "item", r) for r in item_rows]
+        events += [(r["seq_ts"], r["seq_id"], "collect", r) for r in collect_rows]
+        state = {}
+        for _, _, kind, r in sorted(events, key=lambda e: (e[0], e[1])):
+            n = r["node_id"]
+            if kind == "collect":
+                if r["outcome"] == "passed":
+                    if n in state:
+                        state.pop(n)
+                        state.update((c, True) for c in r["children"])
+                else:
+                    state[n] = True
+            elif r["outcome"] == "passed" or r["outcome"] == "skipped":
+                state.pop(n, None)
+            else:
+                state[n] = True
+        return set(state)
+
+    it = spark.createDataFrame(item_rows, "node_id string, seq_ts timestamp, seq_id bigint, phase string, outcome string")
+    co = spark.createDataFrame(collect_rows, "node_id string, seq_ts timestamp, seq_id bigint, outcome string, children array<string>")
+    got = {r["node_id"] for r in R.expand_collectors(it, co).collect()}
+    assert got == fold()
