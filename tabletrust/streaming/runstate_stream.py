@@ -73,7 +73,12 @@ def last_failed_stream(spark: SparkSession, reports_stream: DataFrame, state_pat
     ``publish_path`` the failing set is published whenever it changes."""
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        fold_batch(spark, batch, epoch_id, state_path, publish_path)
+        # the batch is read more than once (emptiness test, fold): keep it
+        batch.persist()
+        try:
+            fold_batch(spark, batch, epoch_id, state_path, publish_path)
+        finally:
+            batch.unpersist()
 
     w = reports_stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
