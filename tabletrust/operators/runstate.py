@@ -248,13 +248,14 @@ def path_inventory(items: DataFrame, node="node_id", path="path") -> DataFrame:
 
 # ------------------------------------------------------------------ P7, P8
 def select_in_files(items: DataFrame, failing: DataFrame, lf_paths: DataFrame, init_paths=(),
-                    node="node_id", path="path") -> tuple[DataFrame, DataFrame]:
+                    node="node_id", path="path", collector: str | None = None) -> tuple[DataFrame, DataFrame]:
     """P7 + P8: file-level selection in collection (path) order.
 
     Files before the first file that holds a known failure are collected
     whole.  From that file on, a file among ``lf_paths`` keeps only its
-    known failures and items under explicitly given paths; any other file
-    is skipped whole.  Returns ``(items with kept flag, files with skipped
+    known failures, items under explicitly given paths and (with a
+    ``collector`` flag column) its non-leaf nodes; any other file is
+    skipped whole.  Returns ``(items with kept flag, files with skipped
     flag)``.  The first-hit file is a single value computed by a small
     aggregate."""
     marked = mark_known(items, failing, node)
@@ -265,7 +266,10 @@ def select_in_files(items: DataFrame, failing: DataFrame, lf_paths: DataFrame, i
     for p in init_paths:
         given = given | (F.col(path) == p) | F.col(path).startswith(p.rstrip("/") + "/")
     before = F.lit(True) if first_hit is None else (F.col(path) < F.lit(first_hit))
-    kept = before | (F.col("__lf") & (F.col("failed") | given))
+    inner = F.col("failed") | given
+    if collector is not None:  # non-leaf nodes inside a failing file are kept
+        inner = inner | F.coalesce(F.col(collector), F.lit(False))
+    kept = before | (F.col("__lf") & inner)
     skipped = ~before & ~F.col("__lf")
     out = m.withColumn("kept", kept).withColumn("__skip", skipped)
     files = out.groupBy(path).agg(F.max("__skip").alias("skipped"))

@@ -293,3 +293,12 @@ def test_collectors_with_per_report_children(spark):
     co = spark.createDataFrame(collect_rows, "node_id string, seq_ts timestamp, seq_id bigint, outcome string, children array<string>")
     got = {r["node_id"] for r in R.expand_collectors(it, co).collect()}
     assert got == fold()
+
+
+def test_select_in_files_keeps_collectors(spark):
+    items = spark.createDataFrame([("f.py::C", "f.py", True), ("f.py::C::t1", "f.py", False), ("f.py::C::t2", "f.py", False)],
+                                  "node_id string, path string, is_collector boolean")
+    failing = spark.createDataFrame([("f.py::C::t2",)], "node_id string")
+    lf = R.failing_paths(failing, R.path_inventory(items))
+    kept, _ = R.select_in_files(items, failing, lf, collector="is_collector")
+    assert {r["node_id"]: r["kept"] for r in kept.collect()} == {"f.py::C": True, "f.py::C::t1": False, "f.py::C::t2": True}
