@@ -144,6 +144,18 @@ def first_error(events: DataFrame, node="node_id", error="error", seq=SEQ) -> Da
     )
 
 
+def nth_error(events: DataFrame, n: int, node="node_id", error="error", seq=SEQ) -> DataFrame:
+    """The ``n``-th recorded error per item (1 = first), numbered in
+    sequence order by the skew-proof ``number_rows``."""
+    from tabletrust.operators.numbering import number_rows
+
+    if n < 1:
+        raise ValueError("n counts from 1")
+    errs = events.where(F.col(error).isNotNull()).select(node, *seq, error)
+    numbered = number_rows(errs, list(seq), [node], name="__k")
+    return numbered.where(F.col("__k") == n).select(node, error)
+
+
 # ------------------------------------------------------------------ G4
 def phase_map(reports: DataFrame, node="node_id", seq=SEQ) -> DataFrame:
     """Per node: map phase -> passed, the later report of a phase winning.

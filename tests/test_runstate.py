@@ -302,3 +302,11 @@ def test_select_in_files_keeps_collectors(spark):
     lf = R.failing_paths(failing, R.path_inventory(items))
     kept, _ = R.select_in_files(items, failing, lf, collector="is_collector")
     assert {r["node_id"]: r["kept"] for r in kept.collect()} == {"f.py::C": True, "f.py::C::t1": False, "f.py::C::t2": True}
+
+
+def test_nth_error(spark):
+    t = datetime(2024, 1, 1)
+    ev = spark.createDataFrame([("a", t, 3, "e3"), ("a", t, 1, "e1"), ("a", t, 2, "e2"), ("b", t, 5, "x"), ("a", t, 4, None)],
+                               "node_id string, seq_ts timestamp, seq_id bigint, error string")
+    assert sorted(tuple(r) for r in R.nth_error(ev, 2).collect()) == [("a", "e2")]
+    assert sorted(tuple(r) for r in R.first_error(ev).select("node_id", "first_error").collect()) == [("a", "e1"), ("b", "x")]
