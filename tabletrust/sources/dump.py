@@ -122,12 +122,13 @@ def read_statements(spark: SparkSession, path: str) -> DataFrame:
     """One row per statement: ``stmt_id, table, body`` (body = the part
     after ``VALUES``) for every INSERT statement in the files."""
     raw = spark.read.option("lineSep", ";\n").text(path)
-    head = F.regexp_extract("value", INSERT_HEAD, 0)
-    ins = raw.where(F.length(head) > 0)
+    # one regex evaluation per record: the head length and the table name
+    heads = raw.select("value", F.regexp_extract("value", INSERT_HEAD, 0).alias("__head"))
+    ins = heads.where(F.length("__head") > 0)
     return ins.select(
         F.monotonically_increasing_id().alias("stmt_id"),
-        F.regexp_extract("value", INSERT_HEAD, 1).alias("table"),
-        F.substring(F.col("value"), F.length(head) + 1, 1 << 30).alias("body"),
+        F.regexp_extract("__head", INSERT_HEAD, 1).alias("table"),
+        F.substring(F.col("value"), F.length("__head") + 1, 1 << 30).alias("body"),
     )
 
 
