@@ -154,3 +154,13 @@ def test_duplicate_keys_never_pair_up(spark):
     assert sorted((r["k"], r["status"], r["ok"]) for r in cells) == [(1, "duplicate_key", False), (2, "matched", True)]
     delta = CMP.snapshot_delta(a, e, ["k"]).collect()
     assert [(r["k"], r["change"]) for r in delta] == [(1, "duplicate_key")]
+
+
+def test_compare_tables_with_containers(spark):
+    a = spark.createDataFrame([(1, [0.1 + 0.2, 1.0], {"x": 0.1 + 0.2}), (2, [1.0], {"x": 1.0})],
+                              "k int, v array<double>, m map<string,double>")
+    e = spark.createDataFrame([(1, [0.3, 1.0], {"x": 0.3}), (2, [1.0, 2.0], {"y": 1.0})],
+                              "k int, v array<double>, m map<string,double>")
+    cells = {(r["k"], r["column"]): (r["ok"], r["expected"]) for r in CMP.compare_tables(a, e, ["k"]).collect()}
+    assert cells[(1, "v")][0] is True and cells[(1, "m")][0] is True
+    assert cells[(2, "v")] == (False, "[1.0,2.0]") and cells[(2, "m")] == (False, '{"y":1.0}')
