@@ -196,14 +196,19 @@ def _sql_value(col: F.Column, dtype: T.DataType) -> F.Column:
 def write_insert_dump(df: DataFrame, path: str, table: str, tuples_per_statement: int = 500) -> None:
     """Write a DataFrame as extended-INSERT statements, at most
     ``tuples_per_statement`` tuples each, statements grouped inside each
-    partition (a bounded group, never the whole table)."""
+    partition (a bounded group, never the whole table).  With one tuple
+    per statement the rows stream straight to text without a shuffle."""
     tup = F.concat(F.lit("("), F.concat_ws(",", *[_sql_value(F.col(f.name), f.dataType) for f in df.schema.fields]),
                    F.lit(")"))
+    head = f"INSERT INTO `{table}` VALUES "
+    if tuples_per_statement == 1:  # one statement per row: no grouping, no shuffle
+        df.select(F.concat(F.lit(head), tup, F.lit(";")).alias("value")).write.mode("overwrite").text(path)
+        return
     local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     chunk = F.floor(local / F.lit(tuples_per_statement))
     staged = df.select(F.spark_partition_id().alias("__p"), chunk.alias("__c"), tup.alias("__t"))
     stmts = staged.groupBy("__p", "__c").agg(F.concat_ws(",", F.collect_list("__t")).alias("__v"))
-    stmts.select(F.concat(F.lit(f"INSERT INTO `{table}` VALUES "), F.col("__v"), F.lit(";")).alias("value")) \
+    stmts.select(F.concat(F.lit(head), F.col("__v"), F.lit(";")).alias("value")) \
         .write.mode("overwrite").text(path)
 
 
