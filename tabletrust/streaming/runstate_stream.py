@@ -96,7 +96,13 @@ def first_seen_stream(reports_stream: DataFrame, sink_path: str, checkpoint_path
     (``dropDuplicatesWithinWatermark`` on the sequence time)."""
     s = reports_stream.select("node_id", "seq_ts", "seq_id")
     if watermark:
-        s = s.withWatermark("seq_ts", watermark).dropDuplicatesWithinWatermark(["node_id"])
+        # Watermarks need a TIMESTAMP event time; wall-clock TIMESTAMP_NTZ
+        # sequences get a TIMESTAMP twin (only lateness differences matter).
+        event_time = F.col("seq_ts").cast("timestamp")
+        s = (s.withColumn("__event_time", event_time)
+             .withWatermark("__event_time", watermark)
+             .dropDuplicatesWithinWatermark(["node_id"])
+             .drop("__event_time"))
     else:
         s = s.dropDuplicates(["node_id"])
     w = s.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint_path)
