@@ -155,8 +155,13 @@ def last_failed_stateful(reports_stream: DataFrame, changes_path: str, checkpoin
     so a micro-batch costs in proportion to its own size, not to the whole
     state.  Changes are appended to ``changes_path``; the current state is
     the newest change per node (``current_from_changes``).  With
-    ``ttl_ms`` a node not reported for that long is forgotten (state
-    removed, recorded as not failing), which bounds the state."""
+    ``ttl_ms`` (on a continuously running query) a node not reported for
+    that long is forgotten (state removed, recorded as not failing), which
+    bounds the state."""
+    if ttl_ms and available_now:
+        # Timeouts are driven by no-data batches, which keep an
+        # available-now query from ever finishing: a TTL needs a running query.
+        raise ValueError("ttl_ms needs a continuously running query (available_now=False)")
     timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
     changes = reports_stream.select("node_id", "seq_ts", "seq_id", "phase", "outcome").groupBy("node_id") \
         .applyInPandasWithState(_fold_node(ttl_ms), CHANGE_SCHEMA, STATE_SCHEMA, "append", timeout)

@@ -322,3 +322,39 @@ def test_first_seen_stream_with_watermark(spark):
     seen = spark.read.parquet(f"{base}/seen").select("node_id")
     # bounded state may let a node re-appear after the watermark passes, but none is lost
     assert {r[0] for r in seen.distinct().collect()} == {r[0] for r in reports(spark, SF).select("node_id").distinct().collect()}
+
+
+def test_stateful_stream_with_ttl_runs(spark):
+    from tabletrust.plans.q_stream import _replayable_reports
+    from tabletrust.streaming import runstate_stream as ST
+
+    import pytest
+
+    base, stream = _replayable_reports(spark, SF, "stateful-ttl")
+    with pytest.raises(ValueError):
+        ST.last_failed_stateful(stream, f"{base}/x", f"{base}/y", ttl_ms=1000)
+    import time
+
+    want_rows = reports(spark, SF).count()
+    q = ST.last_failed_stateful(stream, f"{base}/changes", f"{base}/ckpt", ttl_ms=3_600_000, available_now=False)
+    try:  # timeouts keep a running query busy with no-data batches: wait for the input, then stop
+        deadline = time.time() + 90
+        while time.time() < deadline and sum(p["numInputRows"] for p in q.recentProgress) < want_rows:
+            time.sleep(1)
+        time.sleep(2)  # let the batch that read the last rows commit
+    finally:
+        q.stop()
+    got = {r[0] for r in ST.current_from_changes(spark.read.parquet(f"{base}/changes")).where("failing").collect()}
+    assert got == {r[0] for r in R.last_failed(reports(spark, SF)).collect()}
+
+
+def test_paths_first_function_and_status_variants(spark):
+    files = spark.createDataFrame([("a.py", 1), ("b.py", 2), ("c.py", 3)], "path string, pos int")
+    hits = spark.createDataFrame([("c.py",)], "path string")
+    assert [r["path"] for r in R.paths_first(files, hits).collect()] == ["c.py", "a.py", "b.py"]
+    it = spark.createDataFrame([("a", "f1.py"), ("b", "f1.py")], "node_id string, path string")
+    two = spark.createDataFrame([("a",), ("b",)], "node_id string")
+    none = spark.createDataFrame([], "node_id string")
+    assert R.status_line(it, two, failed_first_mode=True).first()["status"] == "rerun previous 2 failures first"
+    assert R.status_line(it, none, no_failures="none").first()["status"] == \
+        "no previously failed tests, deselecting all items."
