@@ -146,3 +146,16 @@ def report_order(spark, sf_dir):
     j = L.lookup(t.nation, t.region.select("r_regionkey", "r_name", F.col("r_regionkey").alias("r_order")),
                  "n_regionkey", "r_regionkey", ["r_name", "r_order"])
     return L.report_order(j, ["r_order", "n_name"]).select("n_name", "r_name", "report_order")
+
+
+@query("conversation_hygiene", ("F3",), f"""
+    SELECT role, count(*) AS n_docs,
+           count(*) FILTER (WHERE regexp_matches(text, '{S.OUTSIDE_PRINTABLE}')) AS n_docs_unprintable,
+           CAST(sum({_rx_count(r'\t')}) AS BIGINT) AS n_tab, CAST(sum({_rx_count(r'\r')}) AS BIGINT) AS n_cr,
+           CAST(sum({_rx_count(r'\n')}) AS BIGINT) AS n_lf,
+           CAST(sum({_rx_count(S.OTHER_CONTROL)}) AS BIGINT) AS n_control,
+           CAST(sum({_rx_count(S.NON_ASCII)}) AS BIGINT) AS n_non_ascii
+    FROM conversations GROUP BY role""")
+def conversation_hygiene(spark, sf_dir):
+    """The same profile over conversation turns, per speaker role."""
+    return S.hygiene_profile(Tables(spark, sf_dir).conversations, "text", "role")
