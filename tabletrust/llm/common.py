@@ -52,3 +52,11 @@ def unpacked(df: DataFrame, like: DataFrame, text: str | None = None) -> DataFra
         return F.col(f"_row.`{c}`").alias(c)
 
     return df.select(*[out(c) for c in like.columns])
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Python workers get batches of at most ``rows`` texts, unless the
+    session asks for fewer: long texts must fit."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabletrust.llm import mixing, sharding
+from tabletrust.llm import mixing, ngram_join, sharding
 from tabletrust.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.assign_shards(table(spark, sf_dir, "documents"), sharding.uniform_tree(24))
     return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_links(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_links", "text_id", "n_copies")
