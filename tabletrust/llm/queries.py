@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabletrust.llm import mixing, ngram_join, sharding
+from tabletrust.llm import line_dedup, mixing, ngram_join, sharding
 from tabletrust.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_links(table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_links", "text_id", "n_copies")
+
+
+@query("op7_fuzzy_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
