@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabletrust.llm import line_dedup, mixing, ngram_join, packing, sharding
+from tabletrust.llm import language, line_dedup, mixing, ngram_join, packing, sharding
 from tabletrust.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_vector_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op8_family_svm_language")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
