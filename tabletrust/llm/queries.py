@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabletrust.llm import ann, language, line_dedup, mixing, ngram_join, packing, sharding, topk
+from tabletrust.llm import ann, language, licenses, line_dedup, mixing, ngram_join, packing, secrets, sharding, topk
 from tabletrust.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_projection_forest_ann")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op4_license_digests")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+
+
+@query("op6_random_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+    def count(name: str):
+        return F.size(F.filter("base", lambda s: s["name"] == name)).cast("bigint").alias(f"n_{name}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"))
