@@ -60,3 +60,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))
+
+
+#: Keys of fixed width are broadcast up to this many (some tens of MB).
+MOST_KEYS = 400_000
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose ``on`` columns are among ``keys`` (materialised,
+    distinct, of fixed width, not NULL).  Up to MOST_KEYS of them go to all
+    tasks, so that wide rows stay where they are; more are joined by a
+    shuffle.  The result is the same."""
+    few = keys.limit(MOST_KEYS + 1).count() <= MOST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, on, "left_semi")

@@ -192,7 +192,7 @@ def fit(docs: DataFrame, per_language: int = 300, most: int = 4000, families: Ma
     # In an order that mixes the labels and does not depend on the tasks.
     order = np.random.default_rng(5).permutation(len(learned))
     labels = np.array([learned[i][0] for i in order], object)
-    x = np.array([np.frombuffer(learned[i][1], np.float16) for i in order], np.float32).reshape(len(labels), -1)
+    x = np.array([np.frombuffer(learned[i][1], np.float16) for i in order], np.float32).reshape(len(labels), DIMENSIONS)
     family_of = np.array([families.get(str(c).split("-")[0].split("_")[0].lower(), f"={c}") for c in labels], object)
     names = sorted(set(family_of))
     return Model(

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabletrust.llm.common import cut_lineage, packed, small_batches, unpacked
+from tabletrust.llm.common import cut_lineage, packed, small_batches, unpacked, with_keys
 from tabletrust.llm.components import components
 from tabletrust.llm.pairs import links
 from tabletrust.llm.shingles import min_hashes, mixed, ngram_set
@@ -81,13 +81,10 @@ def ngram_links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: flo
     sigs = classes.where(F.col("sig").isNotNull()).select("id", "sig")
     word = F.substring(F.col("sig"), F.col("band") * 8 + 1, F.lit(8))
     members = sigs.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))).select(
-        F.conv(F.hex(word), 16, -10).cast("bigint").alias("bucket"), "band", "id")
+        F.conv(F.hex(word), 16, -10).cast("bigint").alias("bucket"), "id")
 
-    def first_shared(s: np.ndarray) -> np.ndarray:
-        out = np.full((len(s), len(s)), -1, np.int16)
-        for band in range(s.shape[1] - 1, -1, -1):
-            out[s[:, None, band] == s[None, :, band]] = band
-        return out
+    def buckets(s: np.ndarray) -> np.ndarray:
+        return s.byteswap().view(np.int64)  # a bucket is the word read byte by byte
 
     def verify(payloads: list, pairs: np.ndarray) -> Iterator[tuple[int, int]]:
         sets = [ngram_set(t, n) for t in payloads]
@@ -97,11 +94,14 @@ def ngram_links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: flo
         for p in np.flatnonzero(both >= threshold * (sizes[i] + sizes[j] - both) - 1e-9):
             yield int(i[p]), int(j[p])
 
-    texts = docs.select(text_key(F.col(text)).alias("id"), F.col(doc_id).alias("_doc"), F.col(text).alias("payload"))
-    # One row per class: that of its smallest doc_id.
-    chosen = classes.select("id", "text_id")
-    payloads = texts.join(chosen, "id").where(F.col("_doc").eqNullSafe(F.col("text_id"))).select("id", "payload").dropDuplicates(["id"])
-    found = cut_lineage(links(members, sigs, payloads, first_shared, verify))
+    def payloads(ids: DataFrame) -> DataFrame:
+        # One row per class: that of its smallest doc_id.
+        chosen = cut_lineage(classes.select("id", "text_id").join(ids, "id"))
+        texts = docs.select(text_key(F.col(text)).alias("id"), F.col(doc_id).alias("_doc"), F.col(text).alias("payload"))
+        same = with_keys(texts, chosen.select("id"), ["id"]).join(chosen, "id").where(F.col("_doc").eqNullSafe(F.col("text_id")))
+        return same.select("id", "payload").dropDuplicates(["id"])
+
+    found = cut_lineage(links(members, sigs, payloads, buckets, verify))
     groups = components(found.where(F.col("other").isNotNull()), "id", "other")
     degrees = found.groupBy("id").agg(F.sum("links").alias("n_links"))
     named = (

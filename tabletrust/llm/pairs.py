@@ -27,7 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabletrust.llm.common import cut_lineage
+
 BLOCK = ["bucket", "left", "right"]
+#: Pairs of signatures are compared so many at a time.
+PAIRS = 1 << 18
 
 
 def runs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
@@ -47,29 +51,49 @@ def runs(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndar
         yield rest, np.array([0, len(rest)])
 
 
-def candidates(block: pd.DataFrame, first_shared: Callable) -> np.ndarray:
-    """Index pairs (i < j) of a block whose first shared bucket it is."""
-    sigs = np.frombuffer(b"".join(block["sig"]), np.uint64).reshape(len(block), -1)
-    mine = np.triu(first_shared(sigs) == block["band"].iat[0], 1)
-    if block["left"].iat[0] != block["right"].iat[0]:
-        part = block["part"].to_numpy()
-        mine &= part[:, None] != part[None, :]
-    return np.argwhere(mine)
-
-
-def links(members: DataFrame, sigs: DataFrame, payloads: DataFrame, first_shared: Callable, verify: Callable,
-          chunk: int = 192) -> DataFrame:
+def all_pairs(starts: np.ndarray) -> Iterator[np.ndarray]:
+    """All pairs (i < j) of rows of the same block, in slices."""
+    sizes = np.diff(starts)
+    for m in np.unique(sizes[sizes > 1]):
+        inside = np.stack(np.triu_indices(m, 1), axis=1)
+        at = starts[:-1][sizes == m]
+        step = max(1, PAIRS // len(inside))
+        for lo in range(0, len(at), step):
+            yield (at[lo: lo + step, None, None] + inside[None]).reshape(-1, 2)
+
+
+def candidates(frame: pd.DataFrame, starts: np.ndarray, buckets: Callable, near: Callable | None) -> np.ndarray:
+    """The pairs of rows of each block whose first shared bucket it is."""
+    sigs = np.frombuffer(b"".join(frame["sig"]), np.uint64).reshape(len(frame), -1)
+    keys, own, part = buckets(sigs), frame["bucket"].to_numpy(), frame["part"].to_numpy()
+    cross = (frame["left"] != frame["right"]).to_numpy()
+    out = [np.empty((0, 2), np.int64)]
+    for pairs in all_pairs(starts):
+        i, j = pairs.T
+        pairs = pairs[~cross[i] | (part[i] != part[j])]
+        i, j = pairs.T
+        first = (keys[i] == keys[j]).argmax(axis=1)
+        mine = keys[i, first] == own[i]
+        if near is not None:
+            mine &= near(sigs[i], sigs[j])
+        out.append(pairs[mine])
+    return np.concatenate(out)
+
+
+def links(members: DataFrame, sigs: DataFrame, payloads: Callable[[DataFrame], DataFrame], buckets: Callable, verify: Callable,
+          near: Callable | None = None, chunk: int = 192) -> DataFrame:
     """Verified links: (``id``, ``links``, ``other``), one row per block and
     linked member: how many of its links were found there, and a member
     that the block connects it with (NULL for the block's root).
 
-    ``members``: (``bucket`` long, ``band`` int, ``id``), without repeats.
-    ``sigs``: (``id``, ``sig`` binary of unsigned 64-bit words), one row per
-    id.  ``payloads``: (``id``, ``payload``), one row per id.
-    ``first_shared(sigs)`` gives a matrix with the first band that two
-    signatures share, -1 for none; ``verify(payloads, pairs)`` yields the
-    index pairs that are links and may leave out pairs that those it gave
-    connect already, if numbers of links do not matter.
+    ``members``: (``bucket`` long, ``id``), without repeats; ``sigs``:
+    (``id``, ``sig`` binary of unsigned 64-bit words), one row per id;
+    ``buckets(sigs)``: a signature's buckets, one column for each band.
+    ``near(a, b)``, if given, says which pairs of signatures are candidates
+    at all.  ``payloads(ids)`` gives (``id``, ``payload``), one row for each
+    row of ``ids``.  ``verify(payloads, pairs)`` yields the index pairs that
+    are links; it may leave out pairs that those it gave connect already,
+    if numbers of links do not matter.
     """
     id_type = members.schema["id"].dataType
     counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -78,48 +102,46 @@ def links(members: DataFrame, sigs: DataFrame, payloads: DataFrame, first_shared
     blocks = (
         shared.withColumn("part", F.pmod(F.xxhash64("id"), chunks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), chunks - 1)))
-        .select("bucket", F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"), "part", "band", "id", "sig")
+        .select("bucket", F.least("part", "with").alias("left"), F.greatest("part", "with").alias("right"), "part", "id", "sig")
     )
 
     def needed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, starts in runs(frames):
-            keep = []
-            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
-                if hi - lo > 1:
-                    keep.append(lo + np.unique(candidates(frame.iloc[lo:hi], first_shared)))
-            if keep:
-                yield frame.iloc[np.concatenate(keep)]
+            yield frame.iloc[np.unique(candidates(frame, starts, buckets, near))]
 
     def verified(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, starts in runs(frames):
             ids, found, others = [], [], []
-            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
-                block = frame.iloc[lo:hi]
-                pairs = candidates(block, first_shared) if hi - lo > 1 else ()
-                if not len(pairs):
-                    continue
-                root, degree = list(range(len(block))), [0] * len(block)
-                for i, j in verify(list(block["payload"]), pairs):
+            pairs = candidates(frame, starts, buckets, near)
+            block = np.searchsorted(starts, pairs[:, 0], side="right") - 1
+            order = np.argsort(block, kind="stable")
+            pairs, block = pairs[order], block[order]
+            name, payload = frame["id"].to_numpy(), frame["payload"].to_numpy()
+            cuts = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True]) if len(pairs) else np.empty(0, np.int64)
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                lo, hi = starts[block[a]], starts[block[a] + 1]
+                root, degree = list(range(hi - lo)), [0] * (hi - lo)
+                for i, j in verify(list(payload[lo:hi]), pairs[a:b] - lo):
                     degree[i] += 1
                     degree[j] += 1
                     i, j = find(root, i), find(root, j)
                     root[max(i, j)] = min(i, j)
-                name = list(block["id"])
                 for i, d in enumerate(degree):
                     if d:
                         up = find(root, i)
-                        ids.append(name[i])
+                        ids.append(name[lo + i])
                         found.append(d)
-                        others.append(None if up == i else name[up])
+                        others.append(None if up == i else name[lo + up])
             if ids:
                 yield pd.DataFrame({"id": ids, "links": found, "other": others})
 
     def by_block(df: DataFrame) -> DataFrame:
         return df.repartition(*BLOCK).sortWithinPartitions(*BLOCK)
 
-    wanted = by_block(blocks).mapInPandas(needed, blocks.schema)
+    wanted = cut_lineage(by_block(blocks).mapInPandas(needed, blocks.schema))
     out = T.StructType([T.StructField("id", id_type), T.StructField("links", T.LongType()), T.StructField("other", id_type)])
-    return by_block(wanted.join(payloads, "id")).mapInPandas(verified, out)
+    found = payloads(wanted.select("id").distinct())
+    return by_block(wanted.join(found, "id")).mapInPandas(verified, out)
 
 
 def find(root: list[int], i: int) -> int:
