@@ -26,7 +26,7 @@ emphasised emphasized; favour favor; favourite favorite; fulfil fulfill; fulfilm
 initialise initialize; judgment judgement; labelling labeling; labour labor; licence license; licences licenses;
 licenced licensed; maximise maximize; modelled modeled; modelling modeling; offence offense; optimise optimize;
 organisation organization; organise organize; practise practice; programme program; realise realize;
-recognise recognize; signalling signaling; utilisation utilization; whilst while; wilful willful
+recognise recognize; signalling signaling; sublicence sublicense; sublicences sublicenses; utilisation utilization; whilst while; wilful willful
 """
 SAME = {word: entry.split()[-1] for entry in SPELLINGS.split(";") for word in entry.split()[:-1]}
 

@@ -11,11 +11,12 @@ text":
   (rate 0.066, or 1.6 times the uniform rate for small alphabets), tested
   against more even use;
 * runs: lower case, upper case, digits and signs alternate as in ordinary
-  identifiers (12 % of the steps), tested against more runs;
+  identifiers (30 % of the steps), tested against more runs;
 * serial correlation of neighbouring symbols at least 0.5 in size (as in
   sequences and repeats), tested against less.
 
-Fisher's method combines them.  Short tokens carry little evidence and long
+Stouffer's method combines them: their normal scores are added, so that a
+token which one test finds to be text needs much from the others.  Short tokens carry little evidence and long
 ones much, so false discoveries are controlled (Benjamini-Hochberg at
 ``rate``) within each class of lengths (powers of two), over all tokens of
 the table.  P-values are rounded up to 1/20 of a decimal order, so a class
@@ -113,13 +114,11 @@ def tested(tokens: DataFrame) -> DataFrame:
         "cov", F.expr("aggregate(zip_with(slice(x, 2, size(x) - 1), slice(x, 1, size(x) - 1), (p, q) -> (p - mean) * (q - mean)), 0D, (s, v) -> s + v)"))
     serial = F.when(F.col("var") > 0, F.abs(F.col("cov") / F.col("var"))).otherwise(F.lit(1.0))
     steps = F.col("n") - 1
-    rows = with_log_tail(rows, (text_rate - agree) / spread, "even")
-    rows = with_log_tail(rows, (F.col("changes") - 0.12 * steps) / F.sqrt(steps * 0.12 * 0.88), "mixed")
-    rows = with_log_tail(rows, (0.5 - serial) * F.sqrt("n"), "free")
-    rows = rows.withColumn("half", -(F.col("even") + F.col("mixed") + F.col("free")))
-    half = F.col("half")
-    # Fisher: minus twice the sum of logs is chi-squared with 6 degrees.
-    log10_p = (half - F.log(1 + half + half * half / 2)) / F.log(F.lit(10.0))
+    even = (text_rate - agree) / spread
+    mixed = (F.col("changes") - 0.3 * steps) / F.sqrt(steps * 0.3 * 0.7)
+    free = (0.5 - serial) * F.sqrt("n")
+    rows = with_log_tail(rows, (even + mixed + free) / F.sqrt(F.lit(3.0)), "log_p")
+    log10_p = -F.col("log_p") / F.log(F.lit(10.0))
     enough = F.col("n") >= LEAST_TOKEN
     return rows.withColumn("bin", F.when(enough, F.least(F.lit(300 * BINS), F.greatest(F.lit(0), F.floor(log10_p * BINS)))).otherwise(F.lit(0)).cast("int")).select(
         *tokens.columns, "n", "encoding", F.pow(F.lit(10.0), -F.col("bin") / BINS).alias("p"), "bin")

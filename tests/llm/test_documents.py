@@ -318,7 +318,7 @@ def test_random_tokens_are_told_from_text(spark):
     words += ["A" * 40, "0123456789" * 4, "abcdefghijklmnopqrstuvwxyz", "some_long_snake_case_identifier_name", "2024-01-01-2024-02-02-2024-03-03"]
     texts = [f"é {w} ." for w in words] + [f"see {k} here" for k in keys]
     rows = {r.doc_id: r.spans for r in secrets.secret_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert not any(rows[i] for i in range(len(words)))
+    assert not any(s.name == "random" for i in range(len(words)) for s in rows[i])
     found = [i for i, k in enumerate(keys, len(words)) if [(s.start, s.end, s.name) for s in rows[i]] == [(4, 4 + len(k), "random")] or
              [(s.start, s.end, s.name) for s in rows[i]] == [(4, 4 + len(k.rstrip("=")), "random")]]
     assert len(found) >= 0.95 * len(keys)
@@ -387,9 +387,11 @@ def test_all_limits_hold_and_little_is_wasted(spark):
     bins = defaultdict(list)
     for r in out:
         bins[r.sequence_id].append(r)
-    assert {r.example_id for r in bins.pop(None)} == {-1, -2, -3}
-    assert sum(map(len, bins.values())) == len(rows) - 3
+    over = {r[0] for r in rows if r[1] is None or r[1] > 1024 or r[2] > 400}
+    assert {-1, -2, -3} < over and {r.example_id for r in bins.pop(None)} == over
+    assert sum(map(len, bins.values())) == len(rows) - len(over)
     for b in bins.values():
         assert len(b) <= 4 and sum(size[r.example_id][0] for r in b) <= 1024 and sum(size[r.example_id][1] for r in b) <= 400
-    need = max(tokens.sum() / 1024, 4000 / 4, loss.sum() / 400)
+    fits = loss <= 400
+    need = max(tokens[fits].sum() / 1024, fits.sum() / 4, loss[fits].sum() / 400)
     assert len(bins) <= 1.12 * need + 2
