@@ -223,19 +223,31 @@ def contract_report(
     parents = parents or {}
     have = set(df.columns)
     single: list[tuple[str, str, Column]] = []
+    # Rules over columns the frame lacks cannot be checked: they are
+    # reported with a NULL count, never left out.
+    unchecked: list[tuple[str, str]] = []
     for c in contract.not_null():
         if c in have:
             single.append(("not_null", c, F.col(c).isNull()))
+        else:
+            unchecked.append(("not_null", c))
     for c in contract.columns:
-        if c.name not in have:
-            continue
+        here = c.name in have
         if c.lo is not None or c.hi is not None:
-            single.append(("range", c.name, range_violation(df, c.name, c.lo, c.hi)))
+            if here:
+                single.append(("range", c.name, range_violation(df, c.name, c.lo, c.hi)))
+            else:
+                unchecked.append(("range", c.name))
         if c.max_length is not None:
-            single.append(("length", c.name, length_violation(c.name, c.max_length)))
+            if here:
+                single.append(("length", c.name, length_violation(c.name, c.max_length)))
+            else:
+                unchecked.append(("length", c.name))
         if c.domain is not None:
-            single.append(("domain", c.name, domain_violation(c.name, c.domain)))
-    unchecked: list[tuple[str, str]] = []
+            if here:
+                single.append(("domain", c.name, domain_violation(c.name, c.domain)))
+            else:
+                unchecked.append(("domain", c.name))
 
     def add_rule(kind: str, name: str, cond: Column) -> None:
         # A documented rule over a column the frame lacks cannot be checked:
@@ -252,6 +264,9 @@ def contract_report(
     for rule in contract.ordered:
         add_rule("ordered", rule.name, ordered_violation(rule.lo, rule.mid, rule.hi))
 
+    keys = [("primary_key", tuple(contract.primary_key))] if contract.primary_key else []
+    keys += [("unique", tuple(u)) for u in contract.unique]
+    unchecked += [(kind, ",".join(cols)) for kind, cols in keys if not have.issuperset(cols)]
     parts: list[DataFrame] = []
     for kind, name in unchecked:
         parts.append(df.sparkSession.range(1).select(
@@ -271,15 +286,17 @@ def contract_report(
             F.lit(rule).alias("rule"), F.lit(col).alias("col"), "n_violations"
         )
 
-    if contract.primary_key:
+    if contract.primary_key and have.issuperset(contract.primary_key):
         parts.append(
             counted(check_primary_key(df, contract.primary_key), "primary_key", ",".join(contract.primary_key))
         )
     for ukey in contract.unique:
+        if not have.issuperset(ukey):
+            continue
         ci = [c for c in ukey if contract.column(c).ci]
         parts.append(counted(check_unique(df, ukey, ci), "unique", ",".join(ukey)))
     for fk in contract.foreign_keys:
-        if fk.parent not in parents:
+        if fk.parent not in parents or not have.issuperset(fk.cols):
             # Not checked (parent table not supplied): say so with a NULL count.
             parts.append(df.sparkSession.range(1).select(
                 F.lit("foreign_key").alias("rule"), F.lit(fk.name).alias("col"),
@@ -305,10 +322,12 @@ def reconcile(stored: DataFrame, recomputed: DataFrame, keys, stored_col: str, a
     """
     keys = list(keys)
     s = stored.select(*keys, F.col(stored_col).alias("stored"))
-    a = recomputed.select(*keys, F.col(actual_col).alias("actual"))
-    j = s.join(a, on=keys, how="full_outer")
+    a = recomputed.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(actual_col).alias("actual"), F.lit(True).alias("__in_a"))
+    # Null-safe: a NULL group on both sides is one group.
+    cond = reduce(lambda x, y: x & y, [s[k].eqNullSafe(a[f"__k_{k}"]) for k in keys])
+    j = s.withColumn("__in_s", F.lit(True)).join(a, cond, "full_outer")
     j = j.select(
-        *keys,
+        *[F.when(F.col("__in_s").isNotNull(), F.col(k)).otherwise(F.col(f"__k_{k}")).alias(k) for k in keys],
         F.coalesce("stored", F.lit(0)).cast("bigint").alias("stored"),
         F.coalesce("actual", F.lit(0)).cast("bigint").alias("actual"),
     )
@@ -376,8 +395,14 @@ def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
                        else F.lit(False))
             lost = raw.isNotNull() & typed.isNull() & ~is_zero
             reasons.append(F.when(lost, F.lit(f"{c.name}:unconvertible")))
+            if isinstance(src, T.NumericType) and isinstance(dst, T.NumericType):
+                # 1.7 as an integer, or more decimals than the column keeps.
+                back = typed.try_cast(src)
+                reasons.append(F.when(typed.isNotNull() & ~F.coalesce(back == raw, F.lit(False)), F.lit(f"{c.name}:lossy")))
             if timestamp_from_text:
                 notes.append(F.when(is_zero, F.lit(f"{c.name}:zero_date")))
+        if c.max_length is not None and isinstance(dst, T.StringType):
+            reasons.append(F.when(F.length(typed) > c.max_length, F.lit(f"{c.name}:too_long")))
         if c.lo is not None or c.hi is not None:
             out_of = F.lit(False)
             if c.lo is not None:
@@ -400,8 +425,8 @@ def safe_cast(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFr
     """Cast text input to the contract types without raising (ANSI mode).
 
     Returns ``(good, rejected)``.  ``good`` holds the typed rows.  A value
-    that was present but did not convert, or converts outside the declared
-    range, rejects its row; ``rejected`` keeps the original text plus a
+    that was present but did not convert, lost digits on the way, is too long for
+    its column or lies outside the declared range rejects its row; ``rejected`` keeps the original text plus a
     ``reasons`` array.  The zero date becomes NULL with its own reason code
     (in ``notes``) and does not reject the row.  Both frames come from one
     projection; persist the input when both are consumed.

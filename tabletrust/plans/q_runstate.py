@@ -38,7 +38,10 @@ items AS (
 
 
 def reports(spark, sf_dir) -> DataFrame:
-    ev = Tables(spark, sf_dir).events
+    return as_reports(Tables(spark, sf_dir).events)
+
+
+def as_reports(ev: DataFrame) -> DataFrame:
     u = F.col("user_id")
     node = F.concat(F.lit("pkg"), (u % 5).cast("string"), F.lit("/mod"), (u % 20).cast("string"),
                     F.lit(".py::case"), u.cast("string"))

@@ -1,25 +1,29 @@
 """Extended-INSERT dump files as tables (S2), written back (for round
 trips and fixtures), and staged full refresh (S3).
 
-Reading: the text source splits the files at ``;\\n`` (a multi-character
-record separator), so each record is one statement and files split
-across tasks like any text input.  Records that are ``INSERT INTO <t>``
-for the wanted table go through an Arrow-batched tokenizer that turns
-``(v, v, ...), (...)`` lists into one row per tuple.  Values are kept as
-text and cast by the table contract afterwards (``safe_cast``), so a
+Reading: the text source splits the files at ``;\\n`` (``record_end``), so
+files split across tasks like any text input.  A record usually is one
+statement, but may be several, or a whole file whose lines end otherwise
+(give ``;\\r\\n`` for such dumps, so that they split too): every record is
+read to its end.  Statements that are ``INSERT INTO <t> [(columns)] VALUES``
+for the wanted table give one row per ``(v, v, ...)`` tuple, in batches of
+bounded size; other statements and comments are skipped.  Values are kept
+as text and cast by the table contract afterwards (``safe_cast``), so a
 quoted integer ``'1'`` becomes 1, the zero date becomes NULL with a note,
 and anything unconvertible is rejected with its statement and tuple
-position.  A statement whose quotes do not balance is rejected whole.
+position.  A broken tuple is rejected with its offset in the record, and
+reading goes on at the next tuple or statement; nothing is dropped.
 Dump writers escape newlines inside values, so ``;\\n`` never occurs
-inside a value; one statement is one record and must fit in a task.
+inside a value; one record must fit in a task.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,150 +34,173 @@ from tabletrust.session import checkpoint_dir
 # MySQL string escapes inside quoted dump values.
 ESCAPES = {"0": "\0", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\x1a", "\\": "\\", "'": "'", '"': '"'}
 
-INSERT_HEAD = r"(?is)^\s*(?:(?:--[^\n]*|/\*.*?\*/)\s*)*INSERT\s+INTO\s+`?([A-Za-z0-9_]+)`?\s*(?:\([^)]*\))?\s*VALUES\s*"
+#: Rows handed on at a time.
+CHUNK = 4096
 
 TUPLES_SCHEMA = T.StructType([
     T.StructField("stmt_id", T.LongType()),
     T.StructField("tuple_idx", T.IntegerType()),
+    T.StructField("cols", T.ArrayType(T.StringType())),
     T.StructField("vals", T.ArrayType(T.StringType())),
     T.StructField("error", T.StringType()),
 ])
 
+# Pieces of the dump language; possessive, so a match costs linear time.
+_BLANK = re.compile(r"(?:\s++|--[^\n]*+|\#[^\n]*+|/\*.*?\*/)*+", re.S)
+_HEAD = re.compile(r"INSERT\s+(?:IGNORE\s+)?INTO\s+(?:`?\w+`?\s*\.\s*)?`?(\w+)`?\s*(?:\(([^()]*)\)\s*)?VALUES?\b\s*", re.I)
+_QUOTED = re.compile(r"'((?:[^'\\]++|\\.|'')*+)'|\"((?:[^\"\\]++|\\.|\"\")*+)\"", re.S)
+_BARE = re.compile(r"[^,()'\";]*+")
+_ESCAPE = re.compile(r"\\(.)|''|\"\"", re.S)
+_OTHER = re.compile(r"(?:[^;'\"`\-/\#]++|'(?:[^'\\]++|\\.|'')*+'|\"(?:[^\"\\]++|\\.|\"\")*+\"|`[^`]*+`|--[^\n]*+|/\*.*?\*/|\#[^\n]*+|[^;])*+", re.S)
+_SPACE = re.compile(r"\s*+")
+_NEXT = re.compile(r"\)\s*+,\s*+(?=\()|\)?\s*+;\s*+(?=INSERT\b|$)", re.I)
 
-def split_tuples(body: str) -> tuple[list[list[str | None]], str | None]:
-    """Tokenize the VALUES part of one statement: a list of tuples of
-    text values (``None`` for a bare NULL) and an error, if any."""
-    rows: list[list[str | None]] = []
-    i, n = 0, len(body)
+
+def _unescape(text: str, quote: str) -> str:
+    if "\\" not in text and quote * 2 not in text:
+        return text
+    return _ESCAPE.sub(lambda m: ESCAPES.get(m[1], m[1]) if m[1] else m[0][0] if m[0][0] == quote else m[0], text)
+
+
+def _value(text: str, at: int) -> tuple[str | None, int]:
+    """The value at ``at`` and where it ends."""
+    m = _QUOTED.match(text, at)
+    if m:
+        return (_unescape(m[1], "'") if m[1] is not None else _unescape(m[2], '"')), m.end()
+    if at < len(text) and text[at] in "'\"":
+        raise ValueError("unbalanced quote")
+    m = _BARE.match(text, at)
+    bare = m[0].strip()
+    if not bare:
+        raise ValueError("missing value")
+    return (None if bare.upper() == "NULL" else bare), m.end()
+
+
+def _tuple(text: str, at: int) -> tuple[list[str | None], int]:
+    """The tuple that opens at ``at`` and where it ends."""
+    row: list[str | None] = []
+    at += 1
     while True:
-        while i < n and body[i] in " \t\r\n,":
-            i += 1
-        if i >= n or body[i] == ";":
-            return rows, None
-        if body[i] != "(":
-            return rows, f"expected '(' at offset {i}"
-        i += 1
-        row: list[str | None] = []
+        v, at = _value(text, _SPACE.match(text, at).end())
+        row.append(v)
+        at = _SPACE.match(text, at).end()
+        if at >= len(text):
+            raise ValueError("unterminated tuple")
+        if text[at] == ")":
+            return row, at + 1
+        if text[at] != ",":
+            raise ValueError("expected ',' or ')'")
+        at += 1
+
+
+def read_tuples(text: str, table: str) -> Iterator[tuple[int | None, list[str] | None, list[str | None] | None, str | None]]:
+    """(tuple index in its statement, listed columns, values, error) of the
+    table's tuples in a record of statements."""
+    at = 0
+    while True:
+        at = _BLANK.match(text, at).end()
+        if at >= len(text):
+            return
+        if text[at] == ";":
+            at += 1
+            continue
+        head = _HEAD.match(text, at)
+        if not head or head[1].lower() != table.lower():
+            if not head and re.match(r"INSERT\s+(?:IGNORE\s+)?INTO\s+(?:`?\w+`?\s*\.\s*)?`?" + re.escape(table) + r"`?[\s(]", text[at: at + 4096], re.I):
+                yield None, None, None, f"unreadable INSERT at offset {at}"
+            at = max(at + 1, _OTHER.match(text, at).end())
+            continue
+        cols = [c.strip().strip("`") for c in head[2].split(",")] if head[2] is not None else None
+        at, k = head.end(), 0
         while True:
-            while i < n and body[i] in " \t\r\n":
-                i += 1
-            if i >= n:
-                return rows, f"unterminated tuple {len(rows)}"
-            ch = body[i]
-            if ch in "'\"":
-                quote, i, buf = ch, i + 1, []
-                while True:
-                    if i >= n:
-                        return rows, f"unbalanced quote in tuple {len(rows)}"
-                    c = body[i]
-                    if c == "\\" and i + 1 < n:
-                        buf.append(ESCAPES.get(body[i + 1], body[i + 1]))
-                        i += 2
-                    elif c == quote and i + 1 < n and body[i + 1] == quote:
-                        buf.append(quote)
-                        i += 2
-                    elif c == quote:
-                        i += 1
-                        break
-                    else:
-                        buf.append(c)
-                        i += 1
-                row.append("".join(buf))
-            else:
-                j = i
-                while j < n and body[j] not in ",)":
-                    j += 1
-                tok = body[i:j].strip()
-                row.append(None if tok.upper() == "NULL" else tok)
-                i = j
-            while i < n and body[i] in " \t\r\n":
-                i += 1
-            if i < n and body[i] == ",":
-                i += 1
-                continue
-            if i < n and body[i] == ")":
-                i += 1
-                rows.append(row)
+            at = _BLANK.match(text, at).end()
+            if at >= len(text) or text[at] == ";":
                 break
-            return rows, f"expected ',' or ')' in tuple {len(rows)}"
-
-
-def _explode_statements(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out_id, out_idx, out_vals, out_err = [], [], [], []
-        for sid, body in zip(pdf["stmt_id"].tolist(), pdf["body"].tolist()):
-            rows, err = split_tuples(body)
-            if err is not None:
-                out_id.append(sid)
-                out_idx.append(None)
-                out_vals.append(None)
-                out_err.append(err)
+            if text[at] == "," and k:
+                at += 1
                 continue
-            for k, r in enumerate(rows):
-                out_id.append(sid)
-                out_idx.append(k)
-                out_vals.append(r)
-                out_err.append(None)
-        yield pd.DataFrame({"stmt_id": out_id, "tuple_idx": pd.array(out_idx, dtype="Int32"),
-                            "vals": out_vals, "error": out_err})
-
-
-def read_statements(spark: SparkSession, path: str) -> DataFrame:
-    """One row per statement: ``stmt_id, table, body`` (body = the part
-    after ``VALUES``) for every INSERT statement in the files."""
-    raw = spark.read.option("lineSep", ";\n").text(path)
-    # one regex evaluation per record: the head length and the table name
-    heads = raw.select("value", F.regexp_extract("value", INSERT_HEAD, 0).alias("__head"))
-    ins = heads.where(F.length("__head") > 0)
-    return ins.select(
-        F.monotonically_increasing_id().alias("stmt_id"),
-        F.regexp_extract("__head", INSERT_HEAD, 1).alias("table"),
-        F.substring(F.col("value"), F.length("__head") + 1, 1 << 30).alias("body"),
-    )
+            start = at
+            try:
+                if text[at] != "(":
+                    raise ValueError("expected '('")
+                row, at = _tuple(text, at)
+                yield k, cols, row, None
+            except ValueError as e:
+                yield k, cols, None, f"{e} in tuple {k} at offset {start}"
+                # Go on at the next tuple of this statement, or after it.
+                nxt = _NEXT.search(text, start)
+                at = nxt.end() if nxt else len(text)
+                if nxt and ";" in nxt[0]:
+                    break
+            k += 1
+
+
+def read_records(spark: SparkSession, path: str, record_end: str = ";\n") -> DataFrame:
+    """``stmt_id, text`` for every record that may hold an INSERT."""
+    raw = spark.read.option("lineSep", record_end).text(path)
+    return raw.where(F.col("value").rlike(r"(?i)INSERT\s")).select(
+        F.monotonically_increasing_id().alias("stmt_id"), F.col("value").alias("text"))
+
+
+def _listed(name: str, i: int) -> Column:
+    """The value of contract column ``name``, the ``i``-th of the table."""
+    at = F.array_position(F.transform("cols", lambda c: F.lower(c)), name.lower())
+    return F.when(F.col("cols").isNull(), F.get("vals", F.lit(i))).when(at > 0, F.get("vals", (at - 1).cast("int")))
 
 
 def read_insert_dump(spark: SparkSession, path: str, table: str, contract: TableContract,
-                     max_statement_chars: int | None = None, stage: bool = True) -> tuple[DataFrame, DataFrame]:
+                     record_end: str = ";\n", stage: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` rows of ``table`` from dump files.
 
-    ``good`` has the contract's columns and types (plus ``notes``);
+    ``good`` has the contract's columns and types (plus ``notes``); a
+    column that a statement's column list leaves out is NULL.
     ``rejected`` has ``stmt_id, tuple_idx, vals, reasons`` for tuples that
-    failed to tokenize, had the wrong arity or failed a cast.  With
-    ``max_statement_chars`` a longer statement is not tokenized but
-    rejected whole (reported with its size), so one oversized record
-    cannot exhaust a task's memory; nothing is dropped silently.
-
-    With ``stage`` (default) the tokenized tuples are written once to the
-    shared checkpoint folder, so the good and rejected frames (and their
-    repeated use) do not tokenize the text again."""
-    stmts = read_statements(spark, path).where(F.col("table") == table).select("stmt_id", "body")
-    oversized = None
-    if max_statement_chars is not None:
-        too_long = F.length("body") > F.lit(max_statement_chars)
-        oversized = stmts.where(too_long).select(
-            "stmt_id", F.lit(None).cast("int").alias("tuple_idx"), F.lit(None).cast("array<string>").alias("vals"),
-            F.array(F.format_string("statement of %d characters exceeds %d", F.length("body"),
-                                    F.lit(max_statement_chars))).alias("reasons"))
-        stmts = stmts.where(~too_long)
-    tuples = stmts.mapInPandas(_explode_statements, TUPLES_SCHEMA)
+    could not be read, had the wrong arity, name an unknown column or
+    failed a cast.  Every tuple of the table is in one of the two.
+
+    With ``stage`` (default) the tuples are written once to the shared
+    checkpoint folder, so the good and rejected frames (and their repeated
+    use) do not read the text again."""
+
+    def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
+
+        def frame() -> pd.DataFrame:
+            out = pd.DataFrame(rows, columns=TUPLES_SCHEMA.fieldNames()).astype(object)
+            out["stmt_id"] = out["stmt_id"].astype("int64")
+            out["tuple_idx"] = out["tuple_idx"].astype("Int32")
+            rows.clear()
+            return out
+
+        for pdf in batches:
+            for sid, text in zip(pdf["stmt_id"], pdf["text"], strict=True):
+                for found in read_tuples(text, table):
+                    rows.append((sid, *found))
+                    if len(rows) >= CHUNK:
+                        yield frame()
+        if rows:
+            yield frame()
+
+    tuples = read_records(spark, path, record_end).mapInPandas(tokenize, TUPLES_SCHEMA)
     if stage:
         checkpoint_dir(spark)
         tuples = tuples.checkpoint(eager=True)
-    ncols = len(contract.columns)
-    arity_ok = F.size("vals") == ncols
-    broken = tuples.where(F.col("error").isNotNull() | ~arity_ok).select(
+    names = [c.name.lower() for c in contract.columns]
+    expected = F.when(F.col("cols").isNull(), F.lit(len(names))).otherwise(F.size("cols"))
+    unknown = F.coalesce(F.filter("cols", lambda c: ~F.lower(c).isin(names)), F.array().cast("array<string>"))
+    arity_ok = F.size("vals") == expected
+    fits = F.col("error").isNull() & arity_ok & (F.size(unknown) == 0)
+    broken = tuples.where(~fits).select(
         "stmt_id", "tuple_idx", "vals",
-        F.array(F.coalesce(F.col("error"), F.format_string("expected %d values, got %d", F.lit(ncols), F.size("vals"))))
-        .alias("reasons"))
-    fine = tuples.where(F.col("error").isNull() & arity_ok)
-    text = fine.select("stmt_id", "tuple_idx", "vals",
-                       *[F.col("vals").getItem(i).alias(c.name) for i, c in enumerate(contract.columns)])
+        F.array(F.coalesce(
+            F.col("error"),
+            F.when(~arity_ok, F.format_string("expected %d values, got %d", expected, F.size("vals"))),
+            F.concat(F.lit("unknown column "), F.array_join(unknown, ", ")))).alias("reasons"))
+    text = tuples.where(fits).select("stmt_id", "tuple_idx", "vals",
+                                     *[_listed(c.name, i).alias(c.name) for i, c in enumerate(contract.columns)])
     good, bad = safe_cast(text, contract)
     bad = bad.select("stmt_id", "tuple_idx", "vals", "reasons")
-    rejected = broken.unionByName(bad)
-    if oversized is not None:
-        rejected = rejected.unionByName(oversized)
-    return good.drop("stmt_id", "tuple_idx", "vals"), rejected
+    return good.drop("stmt_id", "tuple_idx", "vals"), broken.unionByName(bad)
 
 
 # ------------------------------------------------------------------ writer
@@ -185,7 +212,8 @@ def _sql_value(col: F.Column, dtype: T.DataType) -> F.Column:
         esc = F.regexp_replace(esc, "\r", "\\\\r")
         text = F.concat(F.lit("'"), esc, F.lit("'"))
     elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        text = F.concat(F.lit("'"), F.date_format(col, "yyyy-MM-dd HH:mm:ss"), F.lit("'"))
+        whole = F.regexp_replace(F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000$", "")
+        text = F.concat(F.lit("'"), whole, F.lit("'"))
     elif isinstance(dtype, T.DateType):
         text = F.concat(F.lit("'"), col.cast("string"), F.lit("'"))
     else:
@@ -216,15 +244,18 @@ def write_insert_dump(df: DataFrame, path: str, table: str, tuples_per_statement
 def full_refresh(df: DataFrame, target: str, contract: TableContract, staging: str,
                  parents: dict[str, DataFrame] | None = None) -> tuple[bool, DataFrame]:
     """Load into ``staging`` first, check the contract there, and replace
-    ``target`` only when no rule is broken (checks run after the load, as
-    a dump disables them while loading).  Returns ``(published, report)``
-    where the report is materialised from the staged copy."""
+    ``target`` only when every rule was checked and none is broken (checks
+    run after the load, as a dump disables them while loading).  A rule
+    that could not be checked (absent column, missing parent table) keeps
+    the table from being published.  Returns ``(published, report)``, the
+    report materialised from the staged copy.  The staged copy stays, so a
+    publish that was cut off can be repeated from it."""
     df.write.mode("overwrite").parquet(staging)
     staged = df.sparkSession.read.parquet(staging)
     report = contract_report(staged, contract, parents)
     rows = report.collect()  # one row per rule: bounded by the contract size
     report_df = df.sparkSession.createDataFrame(rows, report.schema)
-    if any(r["n_violations"] for r in rows):
+    if any(r["n_violations"] != 0 for r in rows):  # NULL: not checked
         return False, report_df
     staged.write.mode("overwrite").parquet(target)
     return True, report_df

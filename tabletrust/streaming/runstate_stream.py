@@ -1,17 +1,20 @@
 """Run state kept by Structured Streaming.
 
-T1 ``last_failed_stream``: each micro-batch is folded into the persisted
-state with the same ``max_by``-over-sequence aggregation as the batch
-operator, inside ``foreachBatch``.  Because the fold compares sequences,
-not arrival order, a replayed batch or files arriving out of order give
-the same state (the fold is idempotent).
-
-T3: the failing set is published (a new version folder) only when it
-changed; the internal state gets a new version only when a batch holds
-relevant reports.  Versions are separate folders
-``<path>/version=<epoch>``; a batch reads the newest version and writes
-a new folder, so it never overwrites what it reads, and a replay of an
-epoch rewrites that epoch's folder with the same content.
+T1: per node the newest relevant report decides, a native streaming
+aggregation (``max_by`` over the sequence): combined before the shuffle,
+so a node with a third of all reports needs no task of its own, and kept in
+the state store, so a micro-batch costs what it brings and not what is
+known.  Sequences are compared, not arrival order: files out of order give
+the same state.  ``last_failed_stateful`` appends the changes of each
+micro-batch; with a TTL, idle nodes are forgotten
+(``applyInPandasWithState``, since native aggregations have no timeout).
+
+T3: ``last_failed_stream`` publishes the failing set when it changes.  It
+is kept in two slots.  A batch reads the slot of the newest epoch before
+its own, writes the other one and then, last, that slot's pointer; readers
+follow the newest pointer.  So an empty set is seen, old versions go, a
+batch that fails half-way leaves the published set as it was, and a
+repeated batch finds its epoch published and does nothing.
 
 T2 ``first_seen_stream``: streaming ``dropDuplicates`` on the node id (the
 seen set is the state), optionally bounded by a watermark.
@@ -23,70 +26,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tabletrust.operators.keyed import same_rows
-from tabletrust.operators.runstate import last_state, merge_state
-
-
-def latest_state(spark: SparkSession, state_path: str) -> DataFrame | None:
-    """Newest published state version, or None before the first publish."""
-    try:
-        versions = spark.read.parquet(state_path)
-    except AnalysisException:
-        return None
-    top = versions.agg(F.max("version").alias("v")).first()["v"]
-    if top is None:
-        return None
-    return versions.where(F.col("version") == top).drop("version")
-
-
-def fold_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, state_path: str,
-               publish_path: str | None = None) -> bool:
-    """Fold one batch of reports into the state.
-
-    The state (node, failing, last sequence) gets a new version only when
-    the batch holds relevant reports -- an O(batch) test, so batches of
-    setup-only reports cost nothing more.  With ``publish_path`` the
-    failing set (what a consumer reads) is rewritten only when it really
-    changed (T3); sequence-only changes do not republish it.  Returns
-    whether the failing set was published."""
-    update = last_state(batch)
-    if update.isEmpty():
-        return False
-    prev = latest_state(spark, state_path)
-    new = update if prev is None else merge_state(prev, update)
-    new = new.select("node_id", "failing", "last_seq")
-    new.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/version={int(epoch_id)}")
-    if publish_path is None:
-        return False
-    current = spark.read.parquet(f"{state_path.rstrip('/')}/version={int(epoch_id)}")
-    failing_now = failing_from_state(current)
-    if prev is not None and same_rows(failing_now, failing_from_state(prev)):
-        return False
-    failing_now.write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/version={int(epoch_id)}")
-    return True
+from tabletrust.operators.runstate import relevant
 
+SLOTS = (0, 1)
 
-def last_failed_stream(spark: SparkSession, reports_stream: DataFrame, state_path: str, checkpoint_path: str,
-                       publish_path: str | None = None, available_now: bool = True):
-    """Start the T1 query; returns the ``StreamingQuery``.  With
-    ``available_now`` the query processes what is there and stops; with
-    ``publish_path`` the failing set is published whenever it changes."""
 
-    def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the batch is read more than once (emptiness test, fold): keep it
-        batch.persist()
+def _published(spark: SparkSession, path: str, before: int | None = None) -> tuple[int, int] | None:
+    """(epoch, slot) of the newest pointer, or of the newest below
+    ``before``; None if there is none."""
+    found = []
+    for slot in SLOTS:
         try:
-            fold_batch(spark, batch, epoch_id, state_path, publish_path)
-        finally:
-            batch.unpersist()
+            rows = spark.read.schema("epoch long").parquet(f"{path}/pointer_{slot}").collect()  # one row
+        except AnalysisException:
+            continue
+        found += [(r["epoch"], slot) for r in rows if before is None or r["epoch"] < before]
+    return max(found, default=None)
+
+
+def published_set(spark: SparkSession, path: str) -> DataFrame | None:
+    """The failing set published last, or None before the first one."""
+    path = path.rstrip("/")
+    now = _published(spark, path)
+    return None if now is None else spark.read.schema("node_id string").parquet(f"{path}/set_{now[1]}")
+
+
+def publish_changes(spark: SparkSession, changed: DataFrame, epoch: int, path: str) -> bool:
+    """Apply one batch of (``node_id``, ``failing``), one row per node, to
+    the failing set; publish it if that changes it, and the first time.
+    Returns whether it was published."""
+    path = path.rstrip("/")
+    now = _published(spark, path)
+    if now is not None and now[0] == epoch:
+        return False  # a repeated batch
+    prev = _published(spark, path, before=epoch)
+    # Read several times below: kept in a folder that the next batch reuses.
+    changed.select("node_id", "failing").write.mode("overwrite").parquet(f"{path}/batch")
+    changed = spark.read.schema("node_id string, failing boolean").parquet(f"{path}/batch")
+    failing = changed.where("failing").select("node_id")
+    if prev is None:
+        new, slot = failing, SLOTS[0]
+    else:
+        old, slot = spark.read.schema("node_id string").parquet(f"{path}/set_{prev[1]}"), 1 - prev[1]
+        appeared = failing.join(old, "node_id", "left_anti")
+        gone = changed.where("not failing").join(old, "node_id", "left_semi").select("node_id")
+        if appeared.union(gone).isEmpty():
+            return False
+        new = old.join(changed, "node_id", "left_anti").union(failing)
+    new.write.mode("overwrite").parquet(f"{path}/set_{slot}")
+    spark.range(1).select(F.lit(epoch).cast("bigint").alias("epoch")).coalesce(1).write.mode("overwrite").parquet(f"{path}/pointer_{slot}")
+    return True
 
-    w = reports_stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint_path)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
 
+def newest_reports(reports: DataFrame) -> DataFrame:
+    """Per node its newest relevant report: ``node_id, failing, seq_ts,
+    seq_id``; the same for a stream (in update mode) and a table."""
+    seq = F.struct("seq_ts", "seq_id")
+    newest = reports.where(relevant(F.col("phase"), F.col("outcome"))).groupBy("node_id").agg(
+        F.max_by(F.col("outcome") == "failed", seq).alias("failing"), F.max(seq).alias("seq"))
+    return newest.select("node_id", "failing", "seq.seq_ts", "seq.seq_id")
 
-def failing_from_state(state: DataFrame) -> DataFrame:
-    return state.where("failing").select("node_id")
+
+def _start(writer, checkpoint_path: str, available_now: bool):
+    w = writer.option("checkpointLocation", checkpoint_path)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
+
+
+def last_failed_stream(spark: SparkSession, reports_stream: DataFrame, publish_path: str, checkpoint_path: str,
+                       available_now: bool = True):
+    """Start the T1/T3 query; returns the ``StreamingQuery``.  With
+    ``available_now`` it processes what is there and stops.  Read the
+    published set with :func:`published_set`."""
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        publish_changes(batch.sparkSession, batch, epoch_id, publish_path)
+
+    return _start(newest_reports(reports_stream).writeStream.outputMode("update").foreachBatch(on_batch), checkpoint_path, available_now)
 
 
 def first_seen_stream(reports_stream: DataFrame, sink_path: str, checkpoint_path: str,
@@ -105,12 +120,10 @@ def first_seen_stream(reports_stream: DataFrame, sink_path: str, checkpoint_path
              .drop("__event_time"))
     else:
         s = s.dropDuplicates(["node_id"])
-    w = s.writeStream.format("parquet").option("path", sink_path).option("checkpointLocation", checkpoint_path)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.outputMode("append").start()
+    return _start(s.writeStream.format("parquet").option("path", sink_path).outputMode("append"), checkpoint_path, available_now)
 
 
-# ------------------------------------------------------------------ T1 on the state store
+# ------------------------------------------------------------------ T1, changes
 STATE_SCHEMA = "ts_us long, seq_id long, failing boolean"
 CHANGE_SCHEMA = "node_id string, failing boolean, ts_us long, seq_id long"
 
@@ -150,24 +163,28 @@ def _fold_node(ttl_ms):
 
 def last_failed_stateful(reports_stream: DataFrame, changes_path: str, checkpoint_path: str,
                          ttl_ms: int | None = None, available_now: bool = True):
-    """T1 with Spark's state store: per node the newest relevant report
-    ``(seq, failing)`` lives in keyed state (``applyInPandasWithState``),
-    so a micro-batch costs in proportion to its own size, not to the whole
-    state.  Changes are appended to ``changes_path``; the current state is
-    the newest change per node (``current_from_changes``).  With
-    ``ttl_ms`` (on a continuously running query) a node not reported for
-    that long is forgotten (state removed, recorded as not failing), which
-    bounds the state."""
+    """T1 as a table of changes: each micro-batch writes the nodes it has
+    relevant reports of, with their newest state, to a folder of its epoch
+    (a repeated batch replaces its folder).  The current state is the
+    newest change per node (``current_from_changes``).  With ``ttl_ms`` (on
+    a continuously running query) a node not reported for that long is
+    forgotten (state removed, recorded as not failing), which bounds the
+    state."""
     if ttl_ms and available_now:
         # Timeouts are driven by no-data batches, which keep an
         # available-now query from ever finishing: a TTL needs a running query.
         raise ValueError("ttl_ms needs a continuously running query (available_now=False)")
-    timeout = "ProcessingTimeTimeout" if ttl_ms else "NoTimeout"
-    changes = reports_stream.select("node_id", "seq_ts", "seq_id", "phase", "outcome").groupBy("node_id") \
-        .applyInPandasWithState(_fold_node(ttl_ms), CHANGE_SCHEMA, STATE_SCHEMA, "append", timeout)
-    w = changes.writeStream.format("parquet").option("path", changes_path).option("checkpointLocation", checkpoint_path)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.outputMode("append").start()
+    if ttl_ms:
+        changes = reports_stream.select("node_id", "seq_ts", "seq_id", "phase", "outcome").groupBy("node_id") \
+            .applyInPandasWithState(_fold_node(ttl_ms), CHANGE_SCHEMA, STATE_SCHEMA, "append", "ProcessingTimeTimeout")
+        return _start(changes.writeStream.format("parquet").option("path", changes_path).outputMode("append"), checkpoint_path, available_now)
+
+    def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{changes_path.rstrip('/')}/epoch={int(epoch_id)}")
+
+    changes = newest_reports(reports_stream).withColumn("ts_us", F.unix_micros(F.col("seq_ts").cast("timestamp"))).select(
+        "node_id", "failing", "ts_us", "seq_id")
+    return _start(changes.writeStream.outputMode("update").foreachBatch(on_batch), checkpoint_path, available_now)
 
 
 def current_from_changes(changes: DataFrame) -> DataFrame:

@@ -20,11 +20,55 @@ DUMP = (
 )
 
 
-def test_split_tuples_unit():
-    rows, err = D.split_tuples("(1,'a\\'b',NULL),( 2 , \"x\" , '')")
-    assert err is None and rows == [["1", "a'b", None], ["2", "x", ""]]
-    rows, err = D.split_tuples("(1,'open)")
-    assert err is not None
+def tuples(text, table="t"):
+    return [(vals, error) for _, _, vals, error in D.read_tuples(text, table)]
+
+
+def test_read_tuples_unit():
+    rows = tuples("INSERT INTO t VALUES (1,'a\\'b',NULL),( 2 , \"x\" , '')")
+    assert rows == [(["1", "a'b", None], None), (["2", "x", ""], None)]
+    (vals, error), = tuples("INSERT INTO t VALUES (1,'open)")
+    assert vals is None and "unbalanced quote in tuple 0 at offset 21" in error
+
+
+@pytest.mark.parametrize("text,good,bad", [
+    ("INSERT INTO `t` VALUES (1,'a');\r\nINSERT INTO `t` VALUES (2,'b');\r\n", ["1", "2"], 0),
+    ("INSERT INTO t VALUES (1,'a'); INSERT INTO t VALUES (2,'b;c');INSERT INTO u VALUES (3,'x'); INSERT INTO t VALUES (4,'d')", ["1", "2", "4"], 0),
+    ("/* INSERT INTO t VALUES (0,'z'); */ -- x;\nINSERT INTO db.t VALUES (1,'it''s'),(2,'b') ;", ["1", "2"], 0),
+    ("INSERT INTO t VALUES (1,'x'),(2,'y'),(3,'broken,1),(4,'z'),(5,'w');", ["1", "2", "4", "5"], 1),
+    ("INSERT INTO t VALUES (1,'x'),(2 'y'),(,),(4,'z') junk (5,'w');\nINSERT INTO t VALUES (6,'v');", ["1", "4", "6"], 3),
+    ("INSERT INTO t SELECT 1;INSERT INTO t VALUES (1,'a');", ["1"], 1),
+])
+def test_everything_is_read_or_rejected(text, good, bad):
+    rows = tuples(text)
+    assert [vals[0] for vals, error in rows if error is None] == good
+    assert sum(error is not None for _, error in rows) == bad
+
+
+def test_column_lists_and_lengths(spark):
+    path = scratch_path(spark, "dump-cols")
+    text = ("INSERT INTO t (name, id) VALUES ('7','8'),('x','9');\nINSERT INTO t (`ID`,`n`) VALUES (10,5);\n"
+            "INSERT INTO t (id, nope) VALUES (11,1);\nINSERT INTO t (id) VALUES (12,1);\n")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    good, bad = D.read_insert_dump(spark, path, "t", T2)
+    assert sorted((r["id"], r["name"], r["n"]) for r in good.collect()) == [(8, "7", None), (9, "x", None), (10, None, 5)]
+    assert sorted(r["reasons"][0] for r in bad.collect()) == ["expected 1 values, got 2", "unknown column nope"]
+
+
+def test_microseconds_survive_the_round_trip(spark):
+    when = TableContract("t", (Col("id", "int", False), Col("at", "timestamp_ntz")))
+    df = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-02 10:00:00.123456' AS at UNION ALL SELECT 2, timestamp_ntz'2024-01-02 10:00:00'")
+    path = scratch_path(spark, "dump-us")
+    D.write_insert_dump(df, path, "t")
+    good, bad = D.read_insert_dump(spark, path, "t", when)
+    assert bad.isEmpty() and sorted(good.select("id", "at").collect()) == sorted(df.collect())
+
+
+def test_refresh_needs_every_rule_checked(spark):
+    base = scratch_path(spark, "refresh-unchecked")
+    published, report = D.full_refresh(spark.sql("SELECT 1 AS id, 5L AS n"), f"{base}/t", TableContract(
+        "t", (Col("id", "int", False), Col("name", "string", False), Col("n", "bigint", lo=0))), f"{base}/staging")
+    assert not published and [r["n_violations"] for r in report.where("col = 'name'").collect()] == [None]
 
 
 def test_read_dump(spark):
@@ -58,13 +102,3 @@ def test_full_refresh_refuses_broken_contract(spark):
     assert report.where("rule = 'primary_key'").first()["n_violations"] == 1
     with pytest.raises(Exception):
         spark.read.parquet(f"{base}/t").count()
-
-
-def test_oversized_statement_rejected_whole(spark):
-    path = scratch_path(spark, "dump-cap")
-    text = "INSERT INTO `t` VALUES (1,'a',1);\nINSERT INTO `t` VALUES " + ",".join(f"({i},'x',{i})" for i in range(2, 60)) + ";\n"
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    good, bad = D.read_insert_dump(spark, path, "t", T2, max_statement_chars=200)
-    assert [r["id"] for r in good.collect()] == [1]
-    reasons = [r["reasons"][0] for r in bad.collect()]
-    assert len(reasons) == 1 and "exceeds 200" in reasons[0]

@@ -175,20 +175,41 @@ def test_stream_publishes_only_changed_failing_sets(spark):
     from tabletrust.session import scratch_path
     from tabletrust.streaming import runstate_stream as ST
 
-    base = scratch_path(spark, "publish-test")
-    schema = "node_id string, seq_ts timestamp, seq_id bigint, phase string, outcome string"
-    t = datetime(2024, 1, 1)
+    path = scratch_path(spark, "publish-test")
     batches = [
-        [("a", t, 1, "call", "failed")],                     # a fails: publish
-        [("a", t, 2, "setup", "passed")],                    # irrelevant: no state version, no publish
-        [("a", t, 3, "call", "failed")],                     # still failing, newer seq: state moves, no publish
-        [("a", t, 4, "call", "passed"), ("b", t, 5, "call", "failed")],  # set changes: publish
-        [("b", t, 0, "call", "passed")],                     # stale replay (older seq): no change
+        [("x", False)],                  # the first set is published, though empty
+        [("a", True), ("c", True)],      # a and c fail: publish
+        [("a", True)],                   # still failing: no publish
+        [("a", False), ("b", True)],     # the set changes: publish
+        [("z", False)],                  # nothing that was failing: no publish
+        [("b", False), ("c", False)],    # all pass: an empty set is published
     ]
-    published = [ST.fold_batch(spark, spark.createDataFrame(rows, schema), i, f"{base}/state", f"{base}/pub")
-                 for i, rows in enumerate(batches)]
-    assert published == [True, False, False, True, False]
-    assert [r[0] for r in ST.latest_state(spark, f"{base}/pub").collect()] == ["b"]
+    frames = [spark.createDataFrame(rows, "node_id string, failing boolean") for rows in batches]
+    want = [[], ["a", "c"], ["a", "c"], ["b", "c"], ["b", "c"], []]
+    assert ST.published_set(spark, path) is None
+    for i, frame in enumerate(frames):
+        assert ST.publish_changes(spark, frame, i, path) is (i not in (2, 4))
+        assert sorted(r[0] for r in ST.published_set(spark, path).collect()) == want[i]
+        # A repeated batch changes nothing.
+        assert ST.publish_changes(spark, frame, i, path) is False
+        assert sorted(r[0] for r in ST.published_set(spark, path).collect()) == want[i]
+
+
+def test_stream_in_many_batches_and_any_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tabletrust.session import scratch_path
+    from tabletrust.streaming import runstate_stream as ST
+
+    rep = reports(spark, SF)
+    src, base = str(tmp_path / "reports"), scratch_path(spark, "many-batches")
+    rep.repartition(6, F.xxhash64("seq_id")).write.parquet(src)
+    stream = spark.readStream.schema(rep.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    want = {r[0] for r in R.last_failed(rep).collect()}
+    ST.last_failed_stream(spark, stream, f"{base}/p", f"{base}/c1").awaitTermination()
+    assert {r[0] for r in ST.published_set(spark, f"{base}/p").collect()} == want
+    ST.last_failed_stateful(stream, f"{base}/x", f"{base}/c2").awaitTermination()
+    got = ST.current_from_changes(spark.read.parquet(f"{base}/x")).where("failing")
+    assert {r[0] for r in got.collect()} == want
 
 
 class _FakeState:
@@ -313,10 +334,11 @@ def test_nth_error(spark):
 
 
 def test_first_seen_stream_with_watermark(spark):
-    from tabletrust.plans.q_stream import _replayable_reports
+    from tabletrust.plans.q_stream import report_stream
+    from tabletrust.session import scratch_path
     from tabletrust.streaming import runstate_stream as ST
 
-    base, stream = _replayable_reports(spark, SF, "seen-wm")
+    base, stream = scratch_path(spark, "seen-wm"), report_stream(spark, SF)
     q = ST.first_seen_stream(stream, f"{base}/seen", f"{base}/ckpt", watermark="2 days")
     q.awaitTermination()
     seen = spark.read.parquet(f"{base}/seen").select("node_id")
@@ -325,12 +347,13 @@ def test_first_seen_stream_with_watermark(spark):
 
 
 def test_stateful_stream_with_ttl_runs(spark):
-    from tabletrust.plans.q_stream import _replayable_reports
+    from tabletrust.plans.q_stream import report_stream
+    from tabletrust.session import scratch_path
     from tabletrust.streaming import runstate_stream as ST
 
     import pytest
 
-    base, stream = _replayable_reports(spark, SF, "stateful-ttl")
+    base, stream = scratch_path(spark, "stateful-ttl"), report_stream(spark, SF)
     with pytest.raises(ValueError):
         ST.last_failed_stateful(stream, f"{base}/x", f"{base}/y", ttl_ms=1000)
     import time
