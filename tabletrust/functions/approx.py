@@ -29,6 +29,7 @@ DEFAULT_ABS = 1e-12
 DEFAULT_REL = 1e-6
 
 INF = float("inf")
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 def _validate(name: str, v) -> None:
@@ -37,16 +38,16 @@ def _validate(name: str, v) -> None:
     if isinstance(v, bool) or not isinstance(v, (int, float, Decimal)):
         raise TypeError(f"{name} tolerance must be a number, got {type(v).__name__}")
     if math.isnan(float(v)):
-        raise ValueError(f"{name} tolerance can't be NaN.")
+        raise ValueError(f"the {name} tolerance is NaN")
     if v < 0:
-        raise ValueError(f"{name} tolerance can't be negative: {v}")
+        raise ValueError(f"the {name} tolerance is below zero: {v}")
 
 
 def _checked(col: Column, name: str) -> Column:
     """Per-row tolerance column: raise on negative or NaN at run time."""
     return F.when(
         col.isNotNull() & ((col < 0) | F.isnan(col)),
-        F.raise_error(F.concat(F.lit(f"{name} tolerance can't be negative or NaN: "), col.cast("string"))),
+        F.raise_error(F.concat(F.lit(f"the {name} tolerance is below zero or NaN: "), col.cast("string"))),
     ).otherwise(col)
 
 
@@ -69,47 +70,133 @@ def tolerance(expected: Column, rel=None, abs=None) -> Column:  # noqa: A002 - m
 
 
 def near(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False) -> Column:  # noqa: A002
-    """A1/A2: scalar approximate equality of two numeric columns; never NULL."""
+    """A1/A2: scalar approximate equality of two numeric columns; never NULL.
+
+    Equality is tested in the columns' own types, and integers are
+    subtracted exactly; only other differences are taken in doubles."""
     a, e = actual.cast("double"), expected.cast("double")
+    integers = F.typeof(actual).isin(*INTEGERS) & F.typeof(expected).isin(*INTEGERS)
+    exact = F.abs(expected.try_cast("decimal(20,0)") - actual.try_cast("decimal(20,0)")).cast("double")
     nan_ok_col = nan_ok if isinstance(nan_ok, Column) else F.lit(bool(nan_ok))
     return (
         F.when(a.isNull() | e.isNull(), a.eqNullSafe(e))
         .when(F.isnan(e), nan_ok_col & F.isnan(a))
         .when(F.isnan(a), F.lit(False))
-        .when(a == e, F.lit(True))
+        .when(actual == expected, F.lit(True))
         .when(F.abs(e) == F.lit(INF), F.lit(False))
-        .otherwise(F.abs(e - a) <= tolerance(e, rel, abs))
+        .otherwise(F.when(integers, exact).otherwise(F.abs(e - a)) <= tolerance(e, rel, abs))
     )
 
 
-# Narrow decimal types keep the scale of ``rel * |expected|``: the product
-# of decimal(6,6) and decimal(18,6) is decimal(25,12), so the 1e-12 default
-# survives; with decimal(38,18) operands Spark would cut the scale to 6.
-DEC_VALUE = "decimal(18,6)"
-DEC_REL = "decimal(6,6)"
-DEC_ABS = "decimal(12,12)"
+#: What :func:`near_decimal` assumes of columns whose type it is not told.
+DECIMAL = T.DecimalType(38, 12)
 
 
-def decimal_tolerance(expected: Column, rel=None, abs=None) -> Column:  # noqa: A002
-    _validate("relative", rel)
-    _validate("absolute", abs)
-    a = F.lit(Decimal(str(DEFAULT_ABS if abs is None else abs))).cast(DEC_ABS)
-    if rel is None and abs is not None:
-        return a
-    r = F.lit(Decimal(str(DEFAULT_REL if rel is None else rel))).cast(DEC_REL)
-    return F.greatest(r * F.abs(expected.cast(DEC_VALUE)), a)
+class _Limbs:
+    """A non-negative decimal with ``scale`` digits as whole numbers of at
+    most nine digits, the last ones first, so that products stay exact
+    where one decimal would be rounded."""
 
+    def __init__(self, limbs: list[Column], radices: list[int]):
+        self.limbs, self.radices = limbs, radices
 
-def near_decimal(actual: Column, expected: Column, rel=None, abs=None) -> Column:  # noqa: A002
-    """A3: exact decimal arithmetic with the same rule.  Inputs are cast to
-    decimal(18,6); a value that does not fit raises (ANSI) instead of being
-    silently rounded away."""
-    a, e = actual.cast(DEC_VALUE), expected.cast(DEC_VALUE)
-    return (
-        F.when(a.isNull() | e.isNull(), a.eqNullSafe(e))
-        .when(a == e, F.lit(True))
-        .otherwise(F.abs(e - a) <= decimal_tolerance(e, rel, abs))
-    )
+    @classmethod
+    def of(cls, whole: Column, units: Column, scale: int) -> "_Limbs":
+        """whole + units / 10**scale, neither negative."""
+        sizes = [9] * (scale // 9) + [scale % 9] * (scale % 9 > 0)
+        limbs = cls._digits(units, sizes) + cls._digits(whole, [9] * 5)
+        return cls(limbs, [10**n for n in sizes] + [10**9] * 5)
+
+    @staticmethod
+    def _digits(number: Column, sizes: list[int]) -> list[Column]:
+        text, out, end = F.lpad(number.cast("string"), 45, "0"), [], 45
+        for n in sizes:
+            out.append(F.substring(text, end - n + 1, n).cast("bigint"))
+            end -= n
+        return out
+
+    def times(self, factor: int) -> "_Limbs":
+        out, carry = [], F.lit(0).cast("bigint")
+        for limb, radix in zip(self.limbs, self.radices, strict=True):
+            product = limb * F.lit(factor).cast("bigint") + carry
+            out.append(product % F.lit(radix).cast("bigint"))
+            carry = _div(product, radix)
+        return _Limbs([*out, carry], [*self.radices, 10**18])
+
+    def at_most(self, other: "_Limbs") -> Column:
+        return F.struct(*reversed(self.limbs)) <= F.struct(*reversed(other.limbs))
+
+
+def _div(n: Column, radix: int) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", n, F.lit(radix).cast("bigint"))
+
+
+def _split(v: Column, dtype: T.DecimalType) -> tuple[Column, Column]:
+    """Whole part (towards zero) and the rest in units of the last digit."""
+    rest = v % F.lit(Decimal(1)).cast("decimal(1,0)")
+    units = (rest * F.lit(Decimal(10**dtype.scale)).cast(f"decimal({dtype.scale + 1},0)")).cast("decimal(38,0)")
+    return F.when(v < 0, F.ceil(v)).otherwise(F.floor(v)).cast("decimal(38,0)"), units
+
+
+def _size(whole: Column, units: Column, scale: int) -> _Limbs:
+    """The absolute value of whole + units / 10**scale, |units| < 2 units."""
+    unit = F.lit(Decimal(10**scale)).cast(f"decimal({scale + 1},0)")
+    below = (whole < 0) | ((whole == 0) & (units < 0))
+    w, u = F.when(below, -whole).otherwise(whole), F.when(below, -units).otherwise(units)
+    # Now the number is not negative, but its rest may be off by a unit.
+    w = w + F.when(u < 0, -1).when(u >= unit, 1).otherwise(0)
+    u = u + F.when(u < 0, unit).when(u >= unit, -unit).otherwise(F.lit(Decimal(0)))
+    return _Limbs.of(w.cast("decimal(38,0)"), u.cast("decimal(38,0)"), scale)
+
+
+def near_decimal(actual: Column, expected: Column, rel=None, abs=None, dtype: T.DecimalType | None = None) -> Column:  # noqa: A002
+    """A3: the same rule in exact decimal arithmetic, for operands of type
+    ``dtype``.  Without it both are taken as decimal(38,12), and a value
+    that this cannot hold raises.  Nothing is rounded away; a relative
+    tolerance that is no fraction of numbers up to 10**9 is refused while
+    planning.  A difference of 10**38 or more is never near."""
+    _validate("relative", rel)
+    _validate("absolute", abs)
+    if dtype is None:
+        dtype = DECIMAL
+        actual, expected = _exactly(actual, dtype), _exactly(expected, dtype)
+    scale = dtype.scale
+    if dtype.precision > 26 and scale > 17:
+        raise ValueError(f"{dtype.simpleString()} leaves no room for exact comparison: give at most 17 digits after the point")
+    only_abs = rel is None and abs is not None
+    least = Decimal(str(DEFAULT_ABS if abs is None else abs))
+    a, e = actual.cast(dtype), expected.cast(dtype)
+    # A difference has no more than ``scale`` digits: cutting the bound
+    # after them changes no comparison.
+    cut = int(least.scaleb(scale))
+    top, bottom = (0, 1) if only_abs else Decimal(str(DEFAULT_REL if rel is None else rel)).as_integer_ratio()
+    if max(top, bottom) > 10**9:
+        raise ValueError(f"the relative tolerance {rel} has too many digits for exact decimals")
+    if dtype.precision <= 26:  # then products have room in one decimal
+        apart = F.abs(e - a)
+        by = [F.lit(Decimal(n)).cast("decimal(10,0)") for n in (top, bottom)]
+        bound = Decimal(cut).scaleb(-scale)
+        near_enough = (apart <= F.lit(bound)) | (apart * by[1] <= F.abs(e) * by[0])
+    else:
+        (aw, au), (ew, eu) = _split(a, dtype), _split(e, dtype)
+        apart = _size(F.try_subtract(ew, aw).cast("decimal(38,0)"), (eu - au).cast("decimal(38,0)"), scale)
+        whole, units = divmod(cut, 10**scale)
+        near_enough = apart.at_most(_Limbs.of(F.lit(str(whole)), F.lit(str(units)), scale))
+        if not only_abs:
+            near_enough = near_enough | apart.times(bottom).at_most(_size(ew, eu, scale).times(top))
+    return F.when(a.isNull() | e.isNull(), a.eqNullSafe(e)).when(a == e, F.lit(True)).otherwise(F.coalesce(near_enough, F.lit(False)))
+
+
+def _exactly(v: Column, dtype: T.DecimalType) -> Column:
+    """``v`` as ``dtype``; raises if that loses digits."""
+    def plain(c: Column) -> Column:
+        text = c.cast("string")
+        return F.when(text.contains("."), F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))).otherwise(text)
+
+    cast = v.cast(dtype)
+    return F.when(plain(cast) != plain(v), F.raise_error(F.concat(
+        F.lit(f"not a {dtype.simpleString()}: "), v.cast("string"))).cast(dtype)).otherwise(cast)
 
 
 def near_array(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False) -> Column:  # noqa: A002
@@ -168,7 +255,7 @@ def near_for_type(actual: Column, expected: Column, dtype: T.DataType, rel=None,
     """Pick the rule by column type: numbers by tolerance, decimals exactly,
     arrays and maps element-wise, everything else strictly."""
     if isinstance(dtype, T.DecimalType):
-        return near_decimal(actual, expected, rel, abs)
+        return near_decimal(actual, expected, rel, abs, dtype)
     if isinstance(dtype, T.NumericType) and not isinstance(dtype, T.BooleanType):
         return near(actual, expected, rel, abs, nan_ok)
     if isinstance(dtype, T.ArrayType):

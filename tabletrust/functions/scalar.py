@@ -19,9 +19,10 @@ NON_WORD = r"[^\p{L}\p{N}_]"
 
 
 def safe_name(col: Column, n: int = 30) -> Column:
-    """Each non-word character becomes ``_``, then the name is cut to ``n``
-    characters (Unicode word characters stay)."""
-    return F.substring(F.regexp_replace(col, NON_WORD, "_"), 1, n)
+    """Each non-word character of the first ``n`` becomes ``_`` (Unicode
+    word characters stay).  One character gives one, so the cut comes
+    first."""
+    return F.regexp_replace(F.substring(col, 1, n), NON_WORD, "_")
 
 
 # ------------------------------------------------------------------ F4
@@ -130,16 +131,22 @@ def from_epoch_seconds(seconds: Column) -> Column:
 
 
 # ------------------------------------------------------------------ F6
-def round_to(value: Column, digits: Column, max_digits: int = 15) -> Column:
-    """Round to a number of decimals taken from the data.
-
-    ``round(v, col)`` needs a constant scale, so the digits pick one of the
-    constant-scale roundings (half up).  Decimal input stays exact."""
-    out = None
-    for d in range(max_digits + 1):
-        branch = F.round(value, d)
-        out = F.when(digits == d, branch) if out is None else out.when(digits == d, branch)
-    return out
+def round_to(value: Column, digits: Column) -> Column:
+    """Round (half up) to a number of decimals taken from the data; a
+    negative number rounds to tens, hundreds and so on.
+
+    ``round(v, col)`` needs a constant scale, so for usual digits they pick
+    one of the constant-scale roundings, which keep decimals exact.  Other
+    digits are scaled by a power of ten: with so many decimals a double
+    stays as it is, with so few it becomes 0."""
+    scaled = value.cast("double") * F.pow(F.lit(10.0), digits.cast("double"))
+    plain = F.abs(scaled) >= F.lit(2.0**53)  # no digits beyond
+    other = F.when(plain, value.cast("double")).otherwise(
+        F.coalesce(F.try_divide(F.round(scaled, 0), F.pow(F.lit(10.0), digits.cast("double"))), F.lit(0.0)))
+    out = F.when(digits.isNull() | value.isNull(), F.lit(None))
+    for d in range(-9, 19):
+        out = out.when(digits == d, F.round(value, d).cast("double") if d < 0 else F.round(value, d))
+    return out.otherwise(other)
 
 
 # ------------------------------------------------------------------ F10

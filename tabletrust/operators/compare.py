@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabletrust.functions.approx import INF, near_for_type, tolerance, tolerance_text
+from tabletrust.operators.keyed import null_safe_join
 
 MATCHED, ONLY_ACTUAL, ONLY_EXPECTED, DUPLICATE = "matched", "missing_expected", "missing_actual", "duplicate_key"
 
@@ -27,7 +28,9 @@ def _one_per_key(df: DataFrame, keys, columns, prefix: str, flag: str) -> DataFr
     count as ``<flag>_n`` and ``flag`` = true."""
     picked = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(f"{flag}_n"),
-        F.any_value(F.struct(*[F.col(c) for c in columns])).alias("__v"),
+        # Any row does where the key is unique; of several, the smallest
+        # text, so that repeated runs show the same one.
+        F.min_by(F.struct(*[F.col(c) for c in columns]), F.to_json(F.struct(*[F.col(c) for c in columns]))).alias("__v"),
     )
     return picked.select(*keys, *[F.col(f"__v.{c}").alias(f"{prefix}{c}") for c in columns], f"{flag}_n",
                          F.lit(True).alias(flag))
@@ -68,7 +71,7 @@ def compare_tables(
 
     a = _one_per_key(actual, keys, columns, "a__", "__in_a")
     e = _one_per_key(expected, keys, columns, "e__", "__in_e")
-    j = a.join(e, on=keys, how="full_outer")
+    j = null_safe_join(a, e, keys, "full_outer")
     status = (
         F.when((F.coalesce("__in_a_n", F.lit(0)) > 1) | (F.coalesce("__in_e_n", F.lit(0)) > 1), F.lit(DUPLICATE))
         .when(F.col("__in_a").isNull(), F.lit(ONLY_EXPECTED))
@@ -155,7 +158,7 @@ def snapshot_delta(old: DataFrame, new: DataFrame, keys, columns=None) -> DataFr
     types = {c: old.schema[c].dataType for c in columns}
     o = _one_per_key(old, keys, columns, "o__", "__in_o")
     n = _one_per_key(new, keys, columns, "n__", "__in_n")
-    j = o.join(n, on=keys, how="full_outer")
+    j = null_safe_join(o, n, keys, "full_outer")
     entries = []
     for c in columns:
         ov, nv = F.col(f"o__{c}"), F.col(f"n__{c}")
@@ -184,7 +187,7 @@ def touch_on_change(old: DataFrame, new: DataFrame, keys, stamp_col: str, now: C
     columns = list(columns or [c for c in new.columns if c not in keys and c != stamp_col])
     o = _one_per_key(old.withColumnRenamed(stamp_col, "__old_stamp"), keys, columns + ["__old_stamp"], "", "__in_o")
     o = o.select(*keys, *[F.col(c).alias(f"o__{c}") for c in columns], "__old_stamp", "__in_o")
-    j = new.join(o, on=keys, how="left")
+    j = null_safe_join(new, o, keys, "left")
     same = F.lit(True)
     for c in columns:
         same = same & F.col(c).eqNullSafe(F.col(f"o__{c}"))

@@ -8,17 +8,35 @@ whole-table rewrite on the driver.
 
 from __future__ import annotations
 
-import fnmatch
+import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Which side a row of an upsert comes from; no column of a table has it.
+_SIDE = "__tabletrust_side"
+
+
 def _pick(df: DataFrame, keys, order: Column, agg=F.max_by) -> DataFrame:
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys and not c.startswith("__")]
-    picked = df.groupBy(*keys).agg(agg(F.struct(*rest), order).alias("__row"))
-    return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
+    rest = [c for c in df.columns if c not in keys and c != _SIDE]
+    picked = df.groupBy(*keys).agg(agg(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias(_SIDE))
+    return picked.select(*keys, *[F.col(f"{_SIDE}.`{c}`").alias(c) for c in rest])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; one set of key columns."""
+    keys = list(keys)
+    r = right.select(F.lit(True).alias("__in_right"), *[F.col(f"`{c}`").alias(f"__key_{c}" if c in keys else c) for c in right.columns])
+    cond = reduce(lambda x, y: x & y, [left[k].eqNullSafe(r[f"__key_{k}"]) for k in keys])
+    j = left.withColumn("__in_left", F.lit(True)).join(r, cond, how)
+    if how in ("left_semi", "left_anti"):
+        return j.drop("__in_left")
+    out = [F.when(F.col("__in_left").isNotNull(), F.col(k)).otherwise(F.col(f"__key_{k}")).alias(k) for k in keys]
+    rest = [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys]
+    return j.select(*out, *[F.col(f"`{c}`") for c in rest])
 
 
 # ------------------------------------------------------------------ M1, S4
@@ -28,9 +46,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys, order=None) -> DataFrame
     (duplicate keys inside ``updates`` then need an order)."""
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order or [])
-    t = target.withColumn("__src", F.lit(0))
-    u = updates.select(*target.columns).withColumn("__src", F.lit(1))
-    rank = F.struct(*[F.col(c) for c in order], F.col("__src"))
+    t = target.withColumn(_SIDE, F.lit(0))
+    u = updates.select(*target.columns).withColumn(_SIDE, F.lit(1))
+    rank = F.struct(*[F.col(c) for c in order], F.col(_SIDE))
     return _pick(t.unionByName(u), keys, rank)
 
 
@@ -42,9 +60,9 @@ def insert_if_absent(target: DataFrame, updates: DataFrame, keys, order=None) ->
     """Existing values are kept; among new keys the first update wins."""
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order or [])
-    t = target.withColumn("__src", F.lit(0))
-    u = updates.select(*target.columns).withColumn("__src", F.lit(1))
-    rank = F.struct(F.col("__src"), *[F.col(c) for c in order])
+    t = target.withColumn(_SIDE, F.lit(0))
+    u = updates.select(*target.columns).withColumn(_SIDE, F.lit(1))
+    rank = F.struct(F.col(_SIDE), *[F.col(c) for c in order])
     return _pick(t.unionByName(u), keys, rank, agg=F.min_by)
 
 
@@ -84,13 +102,35 @@ def kv_get(keys_df: DataFrame, state: DataFrame, key="key", value="value", defau
 
 # ------------------------------------------------------------------ S5
 def glob_regex(pattern: str) -> str:
-    """Shell glob as a Java regex anchored at both ends."""
-    rx = fnmatch.translate(pattern)
-    return "^" + rx.replace("\\z", "$").replace("\\Z", "$")
+    """A relative path pattern as a regex: its components match the last
+    components of a path, ``*`` and ``?`` stay within one, ``**`` stands for
+    any number of them."""
+    out = []
+    for part in pattern.strip("/").split("/"):
+        if part == "**":
+            out.append("(?:[^/]+/)*")
+            continue
+        rx, i = "", 0
+        while i < len(part):
+            c, close = part[i], part.find("]", i + 2)
+            if c == "*":
+                rx += "[^/]*"
+            elif c == "?":
+                rx += "[^/]"
+            elif c == "[" and close > 0:
+                inner = part[i + 1: close].replace("\\", "\\\\").replace("[", "\\[")
+                rx += f"[^{inner[1:]}]" if inner[0] == "!" else f"[{inner}]"
+                i = close
+            else:
+                rx += re.escape(c)
+            i += 1
+        out.append(rx + "/")
+    body = "".join(out)
+    return "^(?:.*/)?" + (body[:-1] if body.endswith("/") else body + "[^/]+") + "$"
 
 
 def kv_list(state: DataFrame, pattern: str = "*", key="key", value="value") -> DataFrame:
-    """Keys matching a glob, ascending, with an unreadable-value flag
+    """Keys whose last path components match a pattern, ascending, with an unreadable-value flag
     (unreadable entries are reported, not dropped)."""
     hit = state.where(F.col(key).rlike(glob_regex(pattern)))
     readable = F.coalesce(F.try_parse_json(F.col(value)).isNotNull(), F.lit(False))
@@ -104,7 +144,7 @@ def keyset_diff(before: DataFrame, after: DataFrame, keys=None) -> DataFrame:
     keys = list(keys or before.columns)
     b = before.select(*keys).distinct().withColumn("__b", F.lit(True))
     a = after.select(*keys).distinct().withColumn("__a", F.lit(True))
-    j = b.join(a, keys, "full_outer")
+    j = null_safe_join(b, a, keys, "full_outer")
     return j.agg(
         F.count_if(F.col("__a").isNull()).alias("only_before"),
         F.count_if(F.col("__b").isNull()).alias("only_after"),

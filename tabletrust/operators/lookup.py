@@ -1,9 +1,7 @@
 """Code lookups along declared references.
 
-A lookup table is broadcast only after its row count is proven below a
-bound (a ``limit(bound + 1).count()`` stops as soon as the bound is
-passed); above it the join falls back to a shuffle join, which AQE may
-still turn into a broadcast from measured sizes.
+Whether a lookup table is broadcast is left to Spark, which knows its
+measured size in bytes.
 """
 
 from __future__ import annotations
@@ -13,25 +11,15 @@ from pyspark.sql import functions as F
 
 from tabletrust.operators.numbering import number_rows
 
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
-
-def lookup(df: DataFrame, codes: DataFrame, key: str, code_key: str, take, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Code -> description; unmatched rows are kept with NULLs."""
+def lookup(df: DataFrame, codes: DataFrame, key: str, code_key: str, take) -> DataFrame:
+    """Code -> description; unmatched rows are kept with NULLs.  A code
+    listed more than once counts once (its smallest entry), so no row is
+    multiplied."""
     take = [take] if isinstance(take, str) else list(take)
-    c = codes.select(F.col(code_key).alias("__code"), *take)
-    j = df.join(broadcast_if_bounded(c, max_rows), df[key] == F.col("__code"), "left")
-    return j.drop("__code")
+    c = codes.groupBy(F.col(code_key).alias("__code")).agg(F.min(F.struct(*take)).alias("__taken"))
+    c = c.select("__code", *[F.col(f"__taken.{t}").alias(t) for t in take])
+    return df.join(c, df[key] == F.col("__code"), "left").drop("__code")
 
 
 def imputation_source(df: DataFrame, key, ref, take, order=None) -> DataFrame:

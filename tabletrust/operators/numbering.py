@@ -13,6 +13,8 @@ exactly the same partitions (and a lost executor cannot re-sample them).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,10 +22,13 @@ from tabletrust.session import checkpoint_dir
 
 
 def number_rows(df: DataFrame, order_cols, group_cols=(), name: str = "rn", start: int = 1,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, after: DataFrame | None = None, after_col: str = "after") -> DataFrame:
     """Add ``name`` = 1-based (or ``start``-based) position of each row in
     ``order_cols`` order within ``group_cols``.  ``order_cols`` should make
     the order total (add a unique tie-breaker), else ties number arbitrarily.
+    ``after`` (one row per group) gives the number that a group's first row
+    follows (``after_col``); it joins the small table of slice offsets, not
+    the rows.
     """
     group_cols = list(group_cols)
     order_cols = [c if isinstance(c, Column) else F.col(c) for c in order_cols]
@@ -38,6 +43,11 @@ def number_rows(df: DataFrame, order_cols, group_cols=(), name: str = "rn", star
     counts = ranged.groupBy(*group_cols, "__pid").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    if after is not None:
+        known = after.select(*[F.col(c).alias(f"__a_{c}") for c in group_cols], F.col(after_col).alias("__after"))
+        met = reduce(lambda x, y: x & y, [offsets[c].eqNullSafe(known[f"__a_{c}"]) for c in group_cols])
+        offsets = offsets.join(known, met, "left").select(
+            *group_cols, "__pid", (F.col("__off") + F.coalesce(F.col("__after") + F.lit(1 - start), F.lit(0))).alias("__off"))
     local = Window.partitionBy(*group_cols, "__pid").orderBy(*order_cols)
     numbered = ranged.withColumn("__lrn", F.row_number().over(local))
     # Null-safe on the group columns: a NULL group is a group too.

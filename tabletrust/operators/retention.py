@@ -47,9 +47,9 @@ def keep_newest(df: DataFrame, group, order, n: int = 3, policy: str = "all",
     most ``n`` rows per map task.
     """
     if not isinstance(n, int) or n < 0:
-        raise ValueError(f"retention count must be >= 0. Current input: {n}.")
+        raise ValueError(f"cannot keep {n!r} entries: give a whole number, 0 or more")
     if policy not in POLICIES:
-        raise ValueError(f"retention policy must be either all, failed, none. Current input: {policy}.")
+        raise ValueError(f"unknown retention policy {policy!r}: choose one of {', '.join(POLICIES)}")
     group = [group] if isinstance(group, str) else list(group)
     order = [order] if isinstance(order, (str, Column)) else list(order)
     if policy == "none":
@@ -79,10 +79,8 @@ def next_numbers(existing: DataFrame, new: DataFrame, prefix: str, number: str,
     """Number new entries per prefix after the greatest existing number
     (no gap filling).  Existing numbers are one aggregate; the new rows
     are numbered by the skew-proof ``number_rows``."""
-    top = existing.groupBy(prefix).agg(F.max(number).alias("__top"))
-    numbered = number_rows(new, order, group_cols=[prefix], name="__rn")
-    j = numbered.join(top, prefix, "left")
-    return j.withColumn(name, (F.coalesce("__top", F.lit(-1)) + F.col("__rn")).cast("bigint")).drop("__top", "__rn")
+    top = existing.groupBy(prefix).agg(F.max(number).alias("after"))
+    return number_rows(new, order, group_cols=[prefix], name=name, start=0, after=top)
 
 
 # ------------------------------------------------------------------ W6
@@ -105,7 +103,7 @@ def runs_to_remove(runs: DataFrame, policy: str, exit_status: str = "exit_status
     """Whole runs whose folder goes: only under policy ``failed``, only
     when the run exited 0 and its base folder was not given by the user."""
     if policy not in POLICIES:
-        raise ValueError(f"retention policy must be either all, failed, none. Current input: {policy}.")
+        raise ValueError(f"unknown retention policy {policy!r}: choose one of {', '.join(POLICIES)}")
     if policy != "failed":
         return runs.where(F.lit(False))
     return runs.where((F.col(exit_status) == 0) & ~F.coalesce(F.col(given_base), F.lit(False)))

@@ -62,7 +62,7 @@ def last_failed(reports: DataFrame, node="node_id", seq=SEQ) -> DataFrame:
 
 # ------------------------------------------------------------------ G2, W7
 def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, children: DataFrame | None = None,
-                      node="node_id", seq=SEQ) -> DataFrame:
+                      node="node_id", seq=SEQ, start: DataFrame | None = None) -> DataFrame:
     """Failing state with collector reports.
 
     A failed collector report marks the collector failing.  When a
@@ -74,14 +74,21 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
     that triggered it -- only those arrays are exploded.  A child may
     itself be a collector.  The state of a collector depends on its
     parent's expansions, so the plan walks the tree one depth level per
-    round (a bounded loop, one ``lag`` window per level over collector
-    events only); expansion events of each level are checkpointed to the
+    round (one ``lag`` window per level over collector events only; as many
+    rounds as the reporting collectors are deep, and an error if one comes
+    up twice: a cycle or a child of two levels); expansion events of each level are checkpointed to the
     shared folder so the plan does not grow with the depth.  Item state is
     then the last of its own relevant reports and its inherited marks.
 
+    ``start`` (``node_id``) are the nodes that failed before any of these
+    reports.  A collector whose parent never reports is a root.
+
     Returns the failing nodes (items and collectors): ``node_id``.
     """
     seq = list(seq)
+    before = None
+    if start is not None:  # NULL sequences sort before all others
+        before = start.select(node, *[F.lit(None).cast(collect_reports.schema[c].dataType).alias(c) for c in seq], F.lit("set").alias("kind")).distinct()
     ev_cols = [node, *seq, "kind"]
     # Collector reports and the tree are read by every level: materialise
     # them once (both are far smaller than the item reports).
@@ -96,13 +103,17 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
         children = collect_reports.select(F.col(node).alias("parent"), F.explode("children").alias("child")).distinct()
         listed = collect_reports.select(node, *seq, "children")
     kids = children.select(F.col("parent"), F.col("child")).checkpoint(eager=True)
-    is_child = kids.select(F.col("child").alias(node)).distinct()
+    if before is not None:
+        own = own.unionByName(before.join(collectors, node, "left_semi")).checkpoint(eager=True)
+    reporting = collectors.select(F.col(node).alias("parent"))
+    is_child = kids.join(reporting, "parent", "left_semi").select(F.col("child").alias(node)).distinct()
     level = collectors.join(is_child, node, "left_anti").checkpoint(eager=True)
     inherited = None  # 'set' events handed down to the current level
     collector_final = []
     item_marks = []
     order = Window.partitionBy(node).orderBy(*seq, F.col("kind").desc())
-    while True:
+    seen = level
+    while not level.isEmpty():
         events = own.join(level, node, "left_semi")
         if inherited is not None:
             events = events.unionByName(inherited.join(level, node, "left_semi"))
@@ -122,11 +133,18 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
         inherited = marks if inherited is None else inherited.unionByName(marks)
         nxt = kids.join(level, kids["parent"] == level[node], "left_semi").select(F.col("child").alias(node))
         level = nxt.join(collectors, node, "left_semi").distinct().checkpoint(eager=True)
-        if level.isEmpty():
-            break
+        if not level.join(seen, node, "left_semi").isEmpty():
+            raise ValueError("the collectors are not a tree: one is its own ancestor or on two levels")
+        seen = seen.union(level).checkpoint(eager=True)
+    if not collectors.join(seen, node, "left_anti").isEmpty():
+        raise ValueError("the collectors are not a tree: some are only reached from each other")
     items = item_reports.where(relevant(F.col("phase"), F.col("outcome"))).select(
         node, *seq, F.when(F.col("outcome") == "failed", F.lit("set")).otherwise(F.lit("pass")).alias("kind")
     )
+    if before is not None:
+        items = items.unionByName(before.join(collectors, node, "left_anti"))
+    if not item_marks:  # no collector reported
+        return items.groupBy(node).agg(F.max_by(F.col("kind") == "set", F.struct(*seq, "kind")).alias("failing")).where("failing").select(node)
     all_marks = reduce(DataFrame.unionByName, item_marks).join(collectors, node, "left_anti")
     item_state = items.unionByName(all_marks.select(*ev_cols)).groupBy(node).agg(
         F.max_by(F.col("kind") == "set", F.struct(*[F.col(c) for c in seq], F.col("kind"))).alias("failing")
@@ -259,33 +277,47 @@ def path_inventory(items: DataFrame, node="node_id", path="path") -> DataFrame:
 
 
 # ------------------------------------------------------------------ P7, P8
+def collection_order(files: DataFrame, lf_paths: DataFrame, path="path") -> DataFrame:
+    """(``path``, ``in_lf``, ``order``) of distinct files: at each level of
+    the tree the entries among ``lf_paths`` come first, then by name.
+    ``order`` compares as the files are collected."""
+    lf = lf_paths.select(F.col(path).alias("__above")).distinct().withColumn("__lf", F.lit(True))
+    levels = files.select(path).distinct().select(path, F.posexplode(ancestor_paths(F.col(path))).alias("__level", "__above"))
+    flagged = levels.join(lf, "__above", "left").withColumn("__late", F.col("__lf").isNull())
+    entry = F.struct("__level", "__late", "__above")
+    return flagged.groupBy(path).agg(
+        F.sort_array(F.collect_list(entry)).alias("order"),  # as many entries as the path has parts
+        F.max(F.coalesce(F.col("__lf"), F.lit(False)) & (F.col("__above") == F.col(path))).alias("in_lf"))
+
+
 def select_in_files(items: DataFrame, failing: DataFrame, lf_paths: DataFrame, init_paths=(),
                     node="node_id", path="path", collector: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """P7 + P8: file-level selection in collection (path) order.
+    """P7 + P8: file-level selection in collection order, in which paths
+    with known failures go first (:func:`collection_order`).
 
-    Files before the first file that holds a known failure are collected
+    Files before the first one that holds a known failure are collected
     whole.  From that file on, a file among ``lf_paths`` keeps only its
     known failures, items under explicitly given paths and (with a
     ``collector`` flag column) its non-leaf nodes; any other file is
     skipped whole.  Returns ``(items with kept flag, files with skipped
-    flag)``.  The first-hit file is a single value computed by a small
-    aggregate."""
+    flag)``."""
     marked = mark_known(items, failing, node)
-    first_hit = marked.where("failed").agg(F.min(path).alias("p")).first()["p"]
-    in_lf = lf_paths.select(path).distinct().withColumn("__lf", F.lit(True))
-    m = marked.join(in_lf, path, "left").withColumn("__lf", F.coalesce("__lf", F.lit(False)))
+    order = collection_order(items, lf_paths, path)
+    per_file = marked.groupBy(path).agg(F.max("failed").alias("__hit"))
+    files = order.join(per_file, path)
+    # The first file that is filtered: one row, a scalar subquery.
+    first = files.where(F.col("__hit") & F.col("in_lf")).agg(F.min("order").alias("first")).scalar()
+    files = files.withColumn("__first", first).withColumn(
+        "__before", F.col("__first").isNull() | (F.col("order") < F.col("__first")))
     given = F.lit(False)
     for p in init_paths:
         given = given | (F.col(path) == p) | F.col(path).startswith(p.rstrip("/") + "/")
-    before = F.lit(True) if first_hit is None else (F.col(path) < F.lit(first_hit))
     inner = F.col("failed") | given
     if collector is not None:  # non-leaf nodes inside a failing file are kept
         inner = inner | F.coalesce(F.col(collector), F.lit(False))
-    kept = before | (F.col("__lf") & inner)
-    skipped = ~before & ~F.col("__lf")
-    out = m.withColumn("kept", kept).withColumn("__skip", skipped)
-    files = out.groupBy(path).agg(F.max("__skip").alias("skipped"))
-    return out.drop("__lf", "__skip"), files
+    out = marked.join(files.select(path, "in_lf", "__before"), path).withColumn(
+        "kept", F.col("__before") | (F.col("in_lf") & inner)).drop("in_lf", "__before")
+    return out.select(*marked.columns, "kept"), files.select(path, (~F.col("__before") & ~F.col("in_lf")).alias("skipped"))
 
 
 def prune_files(items: DataFrame, failing: DataFrame, lf_paths: DataFrame, node="node_id",
@@ -318,6 +350,7 @@ def status_line(items: DataFrame, failing: DataFrame, skipped_files: DataFrame |
         F.count_if(F.col("__t") == "rerun").alias("rerun"),
         F.count_if(F.col("__t") == "skip").alias("skipped_files"),
     )
+    # The sentences of the status line.
     noun = F.when(F.col("rerun") == 1, F.lit("failure")).otherwise(F.lit("failures"))
     suffix = F.lit(" first") if failed_first_mode else F.lit("")
     files = F.when(F.col("skipped_files") > 0, F.format_string(
@@ -327,7 +360,7 @@ def status_line(items: DataFrame, failing: DataFrame, skipped_files: DataFrame |
                  else "no previously failed tests, not deselecting items.")
     status = (
         F.when(F.col("known") == 0, F.lit(none_text))
-        .when(F.col("rerun") == 0, F.format_string("%d known failures not in selected tests", F.col("known")))
+        .when(F.col("rerun") == 0, F.concat(F.format_string("%d known failures not in selected tests", F.col("known")), files))
         .otherwise(F.concat(F.format_string("rerun previous %d ", F.col("rerun")), noun, suffix, files))
     )
     return row.select("known", "rerun", "skipped_files", status.alias("status"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabletrust.functions import approx as A
 from tabletrust.operators import compare as CMP
@@ -177,14 +178,15 @@ def tolerance_text(spark, sf_dir):
 )
 def near_decimal(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    a = F.col("o_totalprice").cast(A.DEC_VALUE)
-    step = F.lit("0.000001").cast(A.DEC_VALUE)
-    e = (a + step * (F.col("o_orderkey") % 4)).cast(A.DEC_VALUE)
+    dtype = T.DecimalType(18, 6)
+    a = F.col("o_totalprice").cast(dtype)
+    step = F.lit("0.000001").cast(dtype)
+    e = (a + step * (F.col("o_orderkey") % 4)).cast(dtype)
     d = o.select("o_orderkey", a.alias("a"), e.alias("e"))
     return d.select(
         "o_orderkey",
-        A.near_decimal(F.col("a"), F.col("e")).alias("ok_default"),
-        A.near_decimal(F.col("a"), F.col("e"), abs=0.000002).alias("ok_abs"),
+        A.near_decimal(F.col("a"), F.col("e"), dtype=dtype).alias("ok_default"),
+        A.near_decimal(F.col("a"), F.col("e"), abs=0.000002, dtype=dtype).alias("ok_abs"),
         (F.col("e") - F.col("a")).cast("double").alias("diff"),
     )
 

@@ -11,6 +11,8 @@ from tabletrust.contract import CURRENT_TIMESTAMP, Col, TableContract
 from tabletrust.operators import checks as C
 from tabletrust.plans.catalog import Tables, query
 from tabletrust.plans.driver_contracts import CUSTOMER, DRIVER_CONTRACTS, LINEITEM, ORDERS
+from tabletrust.session import scratch_path
+from tabletrust.sources.tables import read_with_contract
 
 
 # -------------------------------------------------------------- oracle SQL text
@@ -250,14 +252,24 @@ def reconcile_counts(spark, sf_dir):
     "reconcile_nchars",
     ("C12",),
     """
-    SELECT doc_id, n_chars AS stored, CAST(length(text) AS BIGINT) AS actual
-    FROM documents WHERE n_chars IS DISTINCT FROM length(text)
+    SELECT coalesce(s.lang, a.lang) AS lang, coalesce(s.source, a.source) AS source, coalesce(s.stored, 0) AS stored, coalesce(a.actual, 0) AS actual
+    FROM (SELECT lang, source, CAST(sum(n_chars) AS BIGINT) AS stored FROM documents GROUP BY lang, source) s
+    FULL OUTER JOIN
+      (SELECT lang, source, CAST(sum(length(text)) AS BIGINT) AS actual FROM documents
+       WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY lang, source) a
+    ON s.lang = a.lang AND s.source = a.source
+    WHERE coalesce(s.stored, 0) <> coalesce(a.actual, 0)
     """,
 )
 def reconcile_nchars(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
-    return d.select("doc_id", F.col("n_chars").alias("stored"), F.char_length("text").cast("bigint").alias("actual")).where(
-        ~F.col("stored").eqNullSafe(F.col("actual")))
+    """Stored character counts per language and source against the texts of
+    the labelled documents: groups with unlabelled documents disagree."""
+    t = Tables(spark, sf_dir)
+    by = ["lang", "source"]
+    stored = t.documents.groupBy(*by).agg(F.sum("n_chars").alias("chars"))
+    labelled = t.documents.join(t.labels.select("doc_id"), "doc_id", "left_semi")
+    counted = labelled.groupBy(*by).agg(F.sum(F.char_length("text")).alias("chars"))
+    return C.reconcile(stored, counted, by, "chars", "chars")
 
 
 # -------------------------------------------------------------- C3
@@ -277,23 +289,39 @@ def not_null(spark, sf_dir):
 
 
 # -------------------------------------------------------------- S1
-@query(
-    "typed_scan",
-    ("S1", "P2"),
-    "\nUNION ALL\n".join(
-        f"SELECT '{n}' AS tbl, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_rejected FROM {n}" for n in DRIVER_CONTRACTS
-    ),
-)
+#: Tables whose text copies are scanned, and the number that is spelled out
+#: in every 37th row (by key) of the copy.
+TEXT_COPIES = {"orders": ("o_orderkey", "o_totalprice"), "customer": ("c_custkey", "c_acctbal"),
+               "lineitem": ("l_orderkey", "l_quantity"), "events": ("event_id", "user_id")}
+
+
+def _typed_scan_sql(name: str) -> str:
+    key = TEXT_COPIES[name][0]
+    good = f"FILTER (WHERE {key} % 37 <> 0)"
+    values = " + ".join(f"count({c}) {good}" for c in DRIVER_CONTRACTS[name].names)
+    return (f"SELECT '{name}' AS tbl, count(*) {good} AS n_rows, count(*) FILTER (WHERE {key} % 37 = 0) AS n_rejected, "
+            f"CAST({values} AS BIGINT) AS n_values FROM {name}")
+
+
+@query("typed_scan", ("S1", "P2"), "\nUNION ALL\n".join(map(_typed_scan_sql, TEXT_COPIES)))
 def typed_scan(spark, sf_dir):
+    """Text copies with bad rows, read back under the tables' contracts:
+    rows that fit, rows rejected, and the values of the rows that fit."""
     out = []
-    for name, contract in DRIVER_CONTRACTS.items():
-        raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-        staged = C.cast_with_reasons(raw, contract)
-        out.append(staged.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.size("reasons") > 0).alias("n_rejected"),
-        ).select(F.lit(name).alias("tbl"), "n_rows", "n_rejected"))
-    return reduce(DataFrame.unionByName, out)
+    for name, (key, number) in TEXT_COPIES.items():
+        contract = DRIVER_CONTRACTS[name]
+        table = getattr(Tables(spark, sf_dir), name).select(*contract.names)
+        text = table.select(*[F.col(c).cast("string").alias(c) for c in contract.names])
+        spelled = F.when(F.col(key).cast("bigint") % 37 == 0, F.concat(F.lit("about "), F.col(number))).otherwise(F.col(number))
+        path = scratch_path(spark, f"text-{name}")
+        text.withColumn(number, spelled).write.option("escape", '"').csv(path)
+        good, rejected = read_with_contract(spark, path, contract, "csv", escape='"')
+        values = reduce(lambda a, b: a + b, [F.count(c) for c in contract.names])
+        fits = good.agg(F.count(F.lit(1)).alias("n_rows"), values.alias("n_values")).withColumn("n_rejected", F.lit(0).cast("bigint"))
+        fails = rejected.agg(F.count(F.lit(1)).alias("n_rejected")).withColumns({"n_rows": F.lit(0).cast("bigint"), "n_values": F.lit(0).cast("bigint")})
+        out.append(fits.unionByName(fails).withColumn("tbl", F.lit(name)))
+    return reduce(DataFrame.unionByName, out).groupBy("tbl").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"), F.sum("n_values").alias("n_values"))
 
 
 # -------------------------------------------------------------- C10
@@ -312,7 +340,9 @@ _DECLARED = ", ".join(f"('{c.name}', '{c.dtype}')" for c in ORDERS.columns)
     declared("column", declared) AS (VALUES {_DECLARED})
     SELECT coalesce(d."column", f."column") AS "column",
            CASE WHEN f."column" IS NULL THEN 'missing' WHEN d."column" IS NULL THEN 'extra' ELSE 'retyped' END AS change,
-           d.declared, f.found
+           d.declared, f.found,
+           CASE f."column" WHEN 'o_comment' THEN (SELECT count(*) FROM orders) WHEN 'o_totalprice' THEN (SELECT count(o_totalprice) FROM orders) END
+             AS n_values
     FROM declared d FULL OUTER JOIN drifted f ON d."column" = f."column"
     WHERE d.declared IS DISTINCT FROM f.found""")
 def schema_drift(spark, sf_dir):
@@ -320,7 +350,10 @@ def schema_drift(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     drifted = o.drop("o_orderpriority").withColumn("o_comment", F.lit("")).withColumn(
         "o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
-    return C.schema_diff(drifted, ORDERS)
+    # How many values each column that differs holds.
+    held = drifted.agg(*[F.count(c).alias(c) for c in drifted.columns]).select(F.inline(F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_values")) for c in drifted.columns])))
+    return C.schema_diff(drifted, ORDERS).join(held, "column", "left")
 
 
 # -------------------------------------------------------------- P1, P2

@@ -144,22 +144,47 @@ def path_closure(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ P7, P8
-_FILES_SQL = REPORTS_SQL + _PATHS_SQL + """
-, marked AS (
-  SELECT i.node_id, i.path, f.node_id IS NOT NULL AS failed, i.path IN (SELECT path FROM closure) AS in_lf
-  FROM items i LEFT JOIN failing f USING (node_id)),
-first_hit AS (SELECT min(path) AS p FROM marked WHERE failed),
+_FILES_SQL = REPORTS_SQL + """
+, saved AS (
+  SELECT node_id FROM failing WHERE CAST(regexp_extract(node_id, 'case([0-9]+)', 1) AS BIGINT) % 20 IN (7, 12, 13)
+  UNION SELECT 'pkg1/mod1.py::gone'),
+inventory AS (
+  SELECT DISTINCT array_to_string(parts[1:i], '/') AS path
+  FROM (SELECT string_split(path, '/') AS parts FROM items) t, range(1, len(parts) + 1) r(i)),
+closure AS (
+  SELECT DISTINCT array_to_string(parts[1:i], '/') AS path
+  FROM (SELECT string_split(split_part(node_id, '::', 1), '/') AS parts FROM saved) t, range(1, len(parts) + 1) r(i)
+  WHERE array_to_string(parts[1:i], '/') IN (SELECT path FROM inventory)),
+marked AS (
+  SELECT i.node_id, i.path, i.node_id IN (SELECT node_id FROM saved) AS failed, i.path IN (SELECT path FROM closure) AS in_lf
+  FROM items i),
+levels AS (
+  SELECT path, i, array_to_string(parts[1:i], '/') AS above
+  FROM (SELECT DISTINCT path, string_split(path, '/') AS parts FROM items) t, range(1, len(parts) + 1) r(i)),
+collected AS (
+  SELECT l.path, list({'late': c.path IS NULL, 'above': l.above} ORDER BY l.i) AS place
+  FROM levels l LEFT JOIN closure c ON c.path = l.above GROUP BY l.path),
+first_hit AS (SELECT min(place) AS place FROM collected WHERE path IN (SELECT path FROM marked WHERE failed AND in_lf)),
 decided AS (
-  SELECT m.*, coalesce(m.path < (SELECT p FROM first_hit), true) AS before FROM marked m)
+  SELECT m.*, coalesce(c.place < (SELECT place FROM first_hit), true) AS before FROM marked m JOIN collected c USING (path))
 """
 
 
+def saved_failures(rep: DataFrame) -> DataFrame:
+    """The failures known from a run that covered the modules 7, 12 and 13
+    only, and one of a case that is gone since: other modules are clean,
+    and one file with a known failure no longer shows it."""
+    module = F.regexp_extract("node_id", "case([0-9]+)", 1).cast("bigint") % 20
+    known = R.last_failed(rep).where(module.isin(7, 12, 13))
+    return known.unionByName(rep.sparkSession.createDataFrame([("pkg1/mod1.py::gone",)], "node_id string"))
+
+
 @query("select_in_files", ("P7",), _FILES_SQL + """
     SELECT node_id, path, before OR (in_lf AND failed) AS kept FROM decided""")
 def select_in_files(spark, sf_dir):
     rep = reports(spark, sf_dir)
     it = items(rep)
-    failing = R.last_failed(rep)
+    failing = saved_failures(rep)
     lf = R.failing_paths(failing, R.path_inventory(it))
     kept, _ = R.select_in_files(it, failing, lf)
     return kept.select("node_id", "path", "kept")
@@ -170,7 +195,7 @@ def select_in_files(spark, sf_dir):
 def file_prune(spark, sf_dir):
     rep = reports(spark, sf_dir)
     it = items(rep)
-    failing = R.last_failed(rep)
+    failing = saved_failures(rep)
     lf = R.failing_paths(failing, R.path_inventory(it))
     _, files = R.select_in_files(it, failing, lf)
     return files
@@ -179,14 +204,15 @@ def file_prune(spark, sf_dir):
 # ------------------------------------------------------------------ G6
 @query("status_line", ("G6",), _FILES_SQL + """
     , counts AS (
-      SELECT (SELECT count(*) FROM failing) AS known,
-             (SELECT count(*) FROM items WHERE node_id IN (SELECT node_id FROM failing)) AS rerun,
+      SELECT (SELECT count(*) FROM saved) AS known,
+             (SELECT count(*) FROM items WHERE node_id IN (SELECT node_id FROM saved)) AS rerun,
              (SELECT count(*) FROM (SELECT path FROM decided GROUP BY path HAVING bool_or(NOT before AND NOT in_lf)))
                AS skipped_files)
     SELECT known, rerun, skipped_files,
+           -- Fixed values: the sentences of the status line.
            CASE WHEN known = 0 THEN 'no previously failed tests, not deselecting items.'
-                WHEN rerun = 0 THEN printf('%d known failures not in selected tests', known)
-                ELSE printf('rerun previous %d ', rerun) || CASE WHEN rerun = 1 THEN 'failure' ELSE 'failures' END
+                ELSE CASE WHEN rerun = 0 THEN printf('%d known failures not in selected tests', known)
+                          ELSE printf('rerun previous %d ', rerun) || CASE WHEN rerun = 1 THEN 'failure' ELSE 'failures' END END
                      || CASE WHEN skipped_files > 0 THEN printf(' (skipped %d %s)', skipped_files,
                           CASE WHEN skipped_files = 1 THEN 'file' ELSE 'files' END) ELSE '' END
            END AS status
@@ -194,7 +220,7 @@ def file_prune(spark, sf_dir):
 def status_line(spark, sf_dir):
     rep = reports(spark, sf_dir)
     it = items(rep)
-    failing = R.last_failed(rep)
+    failing = saved_failures(rep)
     lf = R.failing_paths(failing, R.path_inventory(it))
     _, files = R.select_in_files(it, failing, lf)
     return R.status_line(it, failing, files)
@@ -353,17 +379,23 @@ def inherited_flag(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ G2, W7
-_COLLECT_SQL = REPORTS_SQL + """
-, mod_reports AS (
+# The run starts from the state saved at the cut: the items that failed, and
+# the modules that did not collect on their last day.  Its rows come first.
+_COLLECT_SQL = REPORTS_SQL + f"""
+, all_mods AS (
   SELECT split_part(node_id, '::', 1) AS node_id, CAST(CAST(seq_ts AS DATE) AS TIMESTAMP) AS seq_ts,
          CAST(-1 AS BIGINT) AS seq_id,
          CASE WHEN bool_or(event_type = 'error' AND value > 150) THEN 'set' ELSE 'pass' END AS kind
   FROM reports GROUP BY 1, 2),
+mod_reports AS (
+  SELECT * FROM all_mods WHERE seq_ts >= TIMESTAMP '{CUT}'
+  UNION ALL SELECT node_id, TIMESTAMP '1900-01-01', 0, 'set'
+  FROM (SELECT node_id, arg_max(kind = 'set', seq_ts) AS bad FROM all_mods WHERE seq_ts < TIMESTAMP '{CUT}' GROUP BY 1) WHERE bad),
 pkg_reports AS (
   SELECT split_part(node_id, '/', 1) AS node_id, CAST(CAST(seq_ts AS DATE) AS TIMESTAMP) AS seq_ts,
          CAST(-2 AS BIGINT) AS seq_id,
          CASE WHEN bool_or(event_type = 'error' AND value > 250) THEN 'set' ELSE 'pass' END AS kind
-  FROM reports GROUP BY 1, 2),
+  FROM reports WHERE seq_ts >= TIMESTAMP '{CUT}' GROUP BY 1, 2),
 pkg_kids AS (SELECT DISTINCT split_part(node_id, '/', 1) AS parent, split_part(node_id, '::', 1) AS child FROM reports),
 mod_kids AS (SELECT DISTINCT split_part(node_id, '::', 1) AS parent, node_id AS child FROM reports),
 pkg_ev AS (SELECT *, lag(kind) OVER (PARTITION BY node_id ORDER BY seq_ts, seq_id, kind DESC) AS prev FROM pkg_reports),
@@ -377,7 +409,12 @@ item_marks AS (
   SELECT k.child AS node_id, e.seq_ts, e.seq_id, 'set' AS kind
   FROM mod_ev e JOIN mod_kids k ON k.parent = e.node_id WHERE e.kind = 'pass' AND e.prev = 'set'),
 item_ev AS (
-  SELECT node_id, seq_ts, seq_id, CASE WHEN outcome = 'failed' THEN 'set' ELSE 'pass' END AS kind FROM relevant
+  SELECT node_id, TIMESTAMP '1900-01-01' AS seq_ts, 0 AS seq_id, 'set' AS kind
+  FROM (SELECT node_id, arg_max(outcome = 'failed', (seq_ts, seq_id)) AS bad FROM relevant
+        WHERE seq_ts < TIMESTAMP '{CUT}' GROUP BY 1) WHERE bad
+  UNION ALL
+  SELECT node_id, seq_ts, seq_id, CASE WHEN outcome = 'failed' THEN 'set' ELSE 'pass' END AS kind
+  FROM relevant WHERE seq_ts >= TIMESTAMP '{CUT}'
   UNION ALL SELECT * FROM item_marks),
 final AS (
   SELECT node_id, arg_max(kind = 'set', (seq_ts, seq_id, kind)) AS failing FROM item_ev GROUP BY node_id
@@ -410,5 +447,14 @@ def collector_reports(rep: DataFrame) -> tuple[DataFrame, DataFrame]:
 @query("collector_expand", ("G2", "W7"), _COLLECT_SQL + "SELECT DISTINCT node_id FROM final WHERE failing")
 def collector_expand(spark, sf_dir):
     rep = reports(spark, sf_dir)
+    start, after, collect, children = from_saved_state(rep)
+    return R.expand_collectors(after, collect, children, start=start)
+
+
+def from_saved_state(rep: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(state at the cut, item reports, collect reports and tree after it)."""
+    old = F.col("seq_ts") < F.lit(CUT).cast("timestamp_ntz")
     collect, children = collector_reports(rep)
-    return R.expand_collectors(rep, collect, children)
+    modules = collect.where(old & (F.col("seq_id") == -1)).groupBy("node_id").agg(
+        F.max_by(F.col("outcome") == "failed", "seq_ts").alias("bad")).where("bad").select("node_id")
+    return R.last_failed(rep.where(old)).unionByName(modules), rep.where(~old), collect.where(~old), children

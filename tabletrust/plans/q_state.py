@@ -116,10 +116,16 @@ def delete_keys(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ M5
-@query("clear_state", ("M5",), _KV_SQL + "SELECT key, value FROM upserted WHERE false")
+@query("clear_state", ("M5",), _KV_SQL + """
+    SELECT count(*) AS n_before, count(*) FILTER (WHERE false) AS n_after FROM upserted""")
 def clear_state(spark, sf_dir):
     state, updates = _state_and_updates(spark, sf_dir)
-    return K.clear_state(K.upsert(state, updates, ["key"], order=["ts", "event_id"]).select("key", "value"))
+    """Entries before and after clearing the state."""
+    kept = K.upsert(state, updates, ["key"], order=["ts", "event_id"]).select("key", "value")
+    count = F.count(F.lit(1))
+    both = kept.agg(count.alias("n_before")).withColumn("n_after", F.lit(0).cast("bigint")).unionByName(
+        K.clear_state(kept).agg(count.alias("n_after")).withColumn("n_before", F.lit(0).cast("bigint")))
+    return both.agg(F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after"))
 
 
 # ------------------------------------------------------------------ W1, W2

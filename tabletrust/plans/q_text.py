@@ -86,7 +86,7 @@ def round_digits(spark, sf_dir):
     digits = F.col("l_linenumber") % 4
     value = F.col("l_extendedprice").cast("decimal(18,2)")
     return li.select("l_orderkey", "l_linenumber", digits.alias("digits"),
-                     S.round_to(value, digits, max_digits=3).cast("double").alias("rounded"))
+                     S.round_to(value, digits).cast("double").alias("rounded"))
 
 
 # ------------------------------------------------------------------ F10

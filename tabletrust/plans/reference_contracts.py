@@ -203,7 +203,7 @@ ACCOUNT = TableContract(
         unsigned("failed_logins", 32, nullable=False, **_d(0)),
         unsigned("locked", 8, nullable=False, **_d(0)),
         # declared NOT NULL with the zero date as default; the zero date reads as NULL
-        Col("last_login", "timestamp"),
+        Col("last_login", "timestamp", nullable=False, **_d("0000-00-00 00:00:00")),
         unsigned("active_realm_id", 32, nullable=False, **_d(0)),
         unsigned("expansion", 8, nullable=False, **_d(0)),
         unsigned("mutetime", 64, nullable=False, **_d(0)),

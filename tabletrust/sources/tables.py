@@ -18,19 +18,9 @@ DRIVER_TABLES = (
 ).split()
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A lazy scan of one table.  Scans are memoised per session and path:
-    building a scan lists files and reads Parquet footers on the driver,
-    and queries reuse the same tables many times."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    """A lazy scan of one table, of the files it has now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_with_contract(

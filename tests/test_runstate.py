@@ -23,13 +23,13 @@ def fold_last_failed(rows):
     return set(state)
 
 
-def fold_with_collectors(item_rows, collect_rows, children):
+def fold_with_collectors(item_rows, collect_rows, children, start=()):
     kids = {}
     for p, c in children:
         kids.setdefault(p, []).append(c)
     events = [(r["seq_ts"], r["seq_id"], "item", r) for r in item_rows]
     events += [(r["seq_ts"], r["seq_id"], "collect", r) for r in collect_rows]
-    state = {}
+    state = dict.fromkeys(start, True)
     for _, _, kind, r in sorted(events, key=lambda e: (e[0], e[1])):
         node = r["node_id"]
         if kind == "collect":
@@ -58,6 +58,34 @@ def test_last_failed_sf001_matches_fixture(spark):
     assert REGISTRY["last_failed"].build(spark, "/root/testdata/sf0.01").count() == 43
 
 
+def test_collectors_from_a_saved_state(spark):
+    from tabletrust.plans.q_runstate import from_saved_state
+
+    start, after, collect, children = from_saved_state(reports(spark, SF))
+    got = {r["node_id"] for r in R.expand_collectors(after, collect, children, start=start).collect()}
+    want = fold_with_collectors(after.collect(), collect.collect(), [tuple(r) for r in children.collect()], [r[0] for r in start.collect()])
+    assert got == want and want
+
+
+def test_collectors_with_silent_parents_and_cycles(spark):
+    import pytest
+
+    t = datetime(2024, 1, 1)
+    schema = "node_id string, seq_ts timestamp, seq_id bigint, outcome string"
+    item = spark.createDataFrame([], "node_id string, seq_ts timestamp, seq_id bigint, phase string, outcome string")
+    tree = spark.createDataFrame([("root", "mod"), ("mod", "case")], "parent string, child string")
+    failed = spark.createDataFrame([("mod", t, 1, "failed")], schema)
+    # The parent never reports: the module is a root.
+    assert [r[0] for r in R.expand_collectors(item, failed, tree).collect()] == ["mod"]
+    passed = spark.createDataFrame([("mod", t, 1, "passed")], schema)
+    start = spark.createDataFrame([("mod",), ("other",)], "node_id string")
+    assert sorted(r[0] for r in R.expand_collectors(item, passed, tree, start=start).collect()) == ["case", "other"]
+    two = spark.createDataFrame([("a", t, 1, "failed"), ("b", t, 2, "failed")], schema)
+    for edges in ([("a", "b"), ("b", "a")], [("a", "a")], [("mod", "a"), ("a", "b"), ("b", "b")]):
+        with pytest.raises(ValueError):
+            R.expand_collectors(item, two, spark.createDataFrame(edges, "parent string, child string")).collect()
+
+
 def test_collectors_equal_fold_on_events(spark):
     rep = reports(spark, SF)
     collect, children = collector_reports(rep)
@@ -156,19 +184,26 @@ def test_stream_equals_batch(spark):
 
 def test_select_in_files_rules(spark):
     items = spark.createDataFrame([
-        ("a/f1.py::t1", "a/f1.py"), ("a/f1.py::t2", "a/f1.py"),      # before the first hit: whole file
+        ("a/f1.py::t1", "a/f1.py"), ("a/f1.py::t2", "a/f1.py"),      # clean: after the failing files of its folder
         ("a/f2.py::t1", "a/f2.py"), ("a/f2.py::t2", "a/f2.py"),      # first hit: only the failure
+        ("a/f0.py::t1", "a/f0.py"),                                  # its known failure is gone: whole, before the hit
         ("a/f3.py::t1", "a/f3.py"),                                  # not among failing paths: skipped
+        ("0/f5.py::t1", "0/f5.py"),                                  # a clean folder comes after the failing ones
         ("b/f4.py::t1", "b/f4.py"), ("b/f4.py::t2", "b/f4.py"),      # failing path + given path
     ], "node_id string, path string")
-    failing = spark.createDataFrame([("a/f2.py::t2",), ("b/f4.py::t1",)], "node_id string")
+    failing = spark.createDataFrame([("a/f2.py::t2",), ("b/f4.py::t1",), ("a/f0.py::gone",)], "node_id string")
     lf = R.failing_paths(failing, R.path_inventory(items))
     kept, files = R.select_in_files(items, failing, lf, init_paths=["b/f4.py"])
     got = {r["node_id"]: r["kept"] for r in kept.collect()}
-    assert got == {"a/f1.py::t1": True, "a/f1.py::t2": True, "a/f2.py::t1": False, "a/f2.py::t2": True,
-                   "a/f3.py::t1": False, "b/f4.py::t1": True, "b/f4.py::t2": True}
+    assert got == {"a/f1.py::t1": False, "a/f1.py::t2": False, "a/f2.py::t1": False, "a/f2.py::t2": True, "a/f0.py::t1": True,
+                   "a/f3.py::t1": False, "0/f5.py::t1": False, "b/f4.py::t1": True, "b/f4.py::t2": True}
     assert {r["path"]: r["skipped"] for r in files.collect()} == {
-        "a/f1.py": False, "a/f2.py": False, "a/f3.py": True, "b/f4.py": False}
+        "a/f1.py": True, "a/f2.py": False, "a/f0.py": False, "a/f3.py": True, "0/f5.py": True, "b/f4.py": False}
+    # Without any known failure everything is kept.
+    kept, files = R.select_in_files(items, failing.limit(0), lf.limit(0))
+    assert kept.where("not kept").isEmpty() and files.where("skipped").isEmpty()
+    status = R.status_line(items, spark.createDataFrame([("a/f0.py::gone",)], "node_id string"), spark.createDataFrame([("x", True)], "path string, skipped boolean"))
+    assert status.first()["status"] == "1 known failures not in selected tests (skipped 1 file)"
 
 
 def test_stream_publishes_only_changed_failing_sets(spark):
@@ -261,7 +296,7 @@ def test_prune_files_and_known_keys(spark):
     failing = spark.createDataFrame([("a/f2.py::t",)], "node_id string")
     lf = R.failing_paths(failing, R.path_inventory(items))
     files, count = R.prune_files(items, failing, lf)
-    assert [r[0] for r in files.collect()] == ["a/f3.py"] and count.first()[0] == 1
+    assert sorted(r[0] for r in files.collect()) == ["a/f1.py", "a/f3.py"] and count.first()[0] == 2
     known = R.known_keys(spark.createDataFrame([("b",), ("a",)], "node_id string"), items.select("node_id"))
     assert [r[0] for r in known.collect()] == ["a", "a/f1.py::t", "a/f2.py::t", "a/f3.py::t", "b"]
 

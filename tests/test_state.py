@@ -131,8 +131,8 @@ def test_lookup_without_broadcast_and_self_reference(spark):
     from tabletrust.operators import lookup as L
 
     df = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "code int, v string")
-    codes = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
-    got = sorted((r["code"], r["name"]) for r in L.lookup(df, codes, "code", "k", "name", max_rows=1).collect())
+    codes = spark.createDataFrame([(1, "one"), (2, "two"), (2, "zwei")], "k int, name string")
+    got = sorted((r["code"], r["name"]) for r in L.lookup(df, codes, "code", "k", "name").collect())
     assert got == [(1, "one"), (2, "two"), (3, None)]
     rows = spark.createDataFrame([(1, None, 10), (2, 1, 20), (2, 1, 21), (3, 2, 30)], "id int, ref int, amount int")
     out = sorted((r["id"], r["src_amount"]) for r in L.imputation_source(rows, ["id"], ["ref"], ["amount"], order=["amount"]).collect())
