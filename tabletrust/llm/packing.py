@@ -28,12 +28,13 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabletrust.llm.common import small_batches
 
 #: Texts are tokenised in stretches of about so many characters.
 STRETCH = 1 << 16
+#: What is known of a piece, besides its document.
+PIECE = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 #: A task packs when so many tokens wait.
 POOL = 1 << 21
 
@@ -173,8 +174,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), least_cut: int =
             return zlib.crc32(ids.astype("<u4").tobytes())
 
         def frame() -> pd.DataFrame:
-            out = pd.DataFrame(rows, columns=schema.fieldNames())
-            out["doc_id"] = out["doc_id"].astype(object)
+            out = pd.DataFrame(rows, columns=["doc_id", *PIECE])
             rows.clear()
             return out
 
@@ -191,7 +191,6 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), least_cut: int =
 
         for some in frames:
             for doc, body in zip(some["doc_id"], some["text"], strict=True):
-                doc = None if doc is pd.NA or doc != doc else doc
                 rest, start, done = np.empty(0, np.uint32), 0, []
                 for stretch in stretches(body or ""):
                     rest = np.concatenate([rest, encode(stretch)])
@@ -216,10 +215,10 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), least_cut: int =
         if rows:
             yield frame()
 
-    id_type = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField("doc_id", id_type)] + [
-        T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")])
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(pack, schema)
+    # Ids travel as text: pandas would make nullable numbers floats.
+    texts = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+    packed = texts.mapInPandas(pack, "doc_id string, " + ", ".join(f"{c} long" for c in PIECE))
+    return packed.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def pack_examples(examples: DataFrame, limits: Limits = Limits(), example_id: str = "example_id", tokens: str = "tokens",
@@ -243,7 +242,7 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), example_id: st
                     out.append((p.example, task + count, offset))
                     offset += len(p.ids)
                 count += 1
-            return pd.DataFrame(out, columns=["example_id", "sequence_id", "offset"]).astype({"example_id": object})
+            return pd.DataFrame(out, columns=["example_id", "sequence_id", "offset"])
 
         for some in frames:
             fits = some["tokens"].between(0, limits.tokens) & some["loss"].between(0, limits.loss)
@@ -254,5 +253,6 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), example_id: st
                 yield packed(last=False)
         yield packed(last=True)
 
-    schema = T.StructType([T.StructField("example_id", examples.schema[example_id].dataType), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return examples.select(F.col(example_id).alias("example_id"), F.col(tokens).cast("bigint").alias("tokens"), F.col(loss).cast("bigint").alias("loss")).mapInPandas(pack, schema)
+    demands = examples.select(F.col(example_id).cast("string").alias("example_id"), F.col(tokens).cast("bigint").alias("tokens"), F.col(loss).cast("bigint").alias("loss"))
+    packed = demands.mapInPandas(pack, "example_id string, sequence_id long, offset long")
+    return packed.withColumn("example_id", F.col("example_id").cast(examples.schema[example_id].dataType))

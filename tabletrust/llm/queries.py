@@ -24,7 +24,62 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op2_sainte_lague_mix")
+def _hash_sql(*parts: str) -> str:
+    """The SQL of :func:`common.hash60`."""
+    text = " || '|' || ".join(f"coalesce(CAST({p} AS VARCHAR), 'null')" for p in parts)
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+# Seats are dealt one by one here: every quotient is listed and ranked.
+_MIX_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce('=' || source, 'null') AS s,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+         {_hash_sql("'mix'", "'shard'", "doc_id")} % 64 AS shard, {_hash_sql("'mix'", "'order'", "doc_id")} AS place
+  FROM documents),
+cells AS (
+  SELECT source, s, shard, CAST(sum(size) AS BIGINT) AS tokens,
+         CAST(CASE WHEN sum(size) > 0 THEN greatest(1, round(sum(size) / 16.0)) ELSE 0 END AS BIGINT) AS blocks
+  FROM sized GROUP BY ALL),
+sources AS (
+  SELECT s, CAST(sum(tokens) AS BIGINT) AS source_size, CAST(sum(blocks) AS BIGINT) AS blocks,
+         row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM cells GROUP BY source, s),
+weighed AS (SELECT *, 1.0::DOUBLE + (rank - 1) % 3 AS w, 3.0::DOUBLE * source_size AS cap FROM sources),
+leveled AS (
+  SELECT *, cap / w AS full_at,
+         (sum(source_size) OVER () - coalesce(sum(cap) OVER earlier, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER earlier, 0)) AS level
+  FROM weighed WINDOW earlier AS (ORDER BY cap / w, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT s, source_size, blocks, CASE WHEN full_at > f.level THEN f.level * w ELSE cap END AS target
+  FROM leveled LEFT JOIN (SELECT arg_min(level, (full_at, rank)) AS level FROM leveled WHERE level * w < cap) f ON true),
+voted AS (SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS votes FROM targets),
+won AS (
+  SELECT s, (k + 0.5::DOUBLE) / votes AS cost FROM voted, unnest(range(0, 3 * blocks)) t(k) WHERE votes > 0
+  QUALIFY row_number() OVER (ORDER BY cost, s) <= (SELECT round(sum(votes)) FROM voted)),
+quota AS (SELECT v.*, (SELECT count(*) FROM won WHERE won.s = v.s) AS seats FROM voted v),
+cell_won AS (
+  SELECT c.s, c.shard, (k + 0.5::DOUBLE) / c.blocks AS cost, q.seats
+  FROM cells c JOIN quota q USING (s), unnest(range(0, 3 * c.blocks)) t(k)
+  QUALIFY row_number() OVER (PARTITION BY c.s ORDER BY cost, c.shard) <= seats),
+dealt AS (
+  SELECT c.s, c.shard, c.tokens, greatest(c.blocks, 1) AS b, coalesce(w.n, 0) AS n,
+         {_hash_sql("'mix'", "'start'", "c.s", "c.shard")} % greatest(c.blocks, 1) AS first
+  FROM cells c LEFT JOIN (SELECT s, shard, count(*) AS n FROM cell_won GROUP BY ALL) w ON w.s = c.s AND w.shard = c.shard),
+laid AS (
+  SELECT *, CAST(sum(size) OVER (PARTITION BY s, shard ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM sized),
+runs AS (
+  SELECT *, first + n % b AS last, tokens // b AS even, tokens % b AS odd FROM dealt),
+spans AS (
+  SELECT *, first * even + least(first, odd) AS lo, least(last, b) * even + least(least(last, b), odd) AS hi,
+         greatest(last - b, 0) * even + least(greatest(last - b, 0), odd) AS wrap FROM runs)
+SELECT l.doc_id, l.size, t.source_size, t.target,
+       CAST(l.size * (r.n // r.b) + greatest(0, least(r.wrap, l.stop) - (l.stop - l.size))
+            + greatest(0, least(r.hi, l.stop) - greatest(r.lo, l.stop - l.size)) AS BIGINT) AS taken
+FROM laid l JOIN spans r USING (s, shard) JOIN targets t USING (s)
+"""
+
+
+@query("op2_sainte_lague_mix", _MIX_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -35,7 +90,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-@query("op10_ngram_jaccard_join")
+@query("op10_ngram_jaccard_join", r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+c AS (SELECT text, min(doc_id) AS id, count(*) AS n_copies FROM d GROUP BY text),
+w AS (SELECT id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM c),
+g AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i + 4], ' '))) AS gram
+      FROM w WHERE len(w) > 0),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY id),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS shared FROM g a JOIN g b ON a.gram = b.gram AND a.id <> b.id GROUP BY ALL),
+links AS (SELECT a, b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE shared >= 0.8 * (x.n + y.n - shared) - 1e-9),
+reach(a, b) AS (SELECT id, id FROM c UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, r.class_id, coalesce(l.n, 0) AS n_links, c.id AS text_id, c.n_copies
+FROM d JOIN c USING (text) JOIN (SELECT a, min(b) AS class_id FROM reach GROUP BY a) r ON r.a = c.id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = c.id
+""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_links(table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_links", "text_id", "n_copies")
@@ -73,7 +141,34 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
-@query("op4_license_digests")
+def _license_sql() -> str:
+    """Texts are made canonical line by line, as in :mod:`licenses`, but
+    every digest is taken and joined, whatever its number of words."""
+    def canonical(text: str) -> str:
+        line = "replace(regexp_replace(lower(x), '[-‐‑]', '', 'g'), '&', ' and ')"
+        words = f"trim(regexp_replace({line}, '[^\\p{{L}}\\p{{Nd}}]+', ' ', 'g'))"
+        return f"list_transform(string_split({text}, chr(10)), lambda x: CASE WHEN regexp_matches(lower(x), '{licenses.COPYRIGHT_LINE}') THEN '' ELSE {words} END)"
+
+    def spelled(text: str) -> str:
+        return f"array_to_string(list_transform(string_split({text}, ' '), lambda x: coalesce(same[x], x)), ' ')"
+
+    known = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+    same = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in licenses.SAME.items()) + "}"
+    whole = "array_to_string(list_filter(lines, lambda x: x <> ''), ' ')"
+    return f"""
+WITH same AS (SELECT {same} AS same),
+known AS (SELECT license, {canonical("text")} AS lines FROM (VALUES {known}) t(license, text)),
+digests AS (SELECT {spelled("c")} AS c, min(license) AS license FROM (SELECT license, {whole} AS c FROM known), same GROUP BY 1),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {canonical("coalesce(text, '')")} AS lines FROM documents),
+whole AS (SELECT r, license FROM (SELECT r, {spelled("c")} AS c FROM (SELECT r, {whole} AS c FROM docs), same WHERE c <> '') JOIN digests USING (c)),
+per_line AS (SELECT r, license FROM (SELECT r, {spelled("c")} AS c FROM (SELECT r, unnest(lines) AS c FROM docs), same WHERE c <> '') JOIN digests USING (c)),
+found AS (SELECT r, count(*) AS n_notices, list_sort(list_distinct(list(license))) AS notices FROM per_line GROUP BY r)
+SELECT doc_id, w.license, coalesce(n_notices, 0) AS n_notices, coalesce(notices, CAST([] AS VARCHAR[])) AS notices
+FROM docs LEFT JOIN whole w USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query("op4_license_digests", _license_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_matches(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
 
