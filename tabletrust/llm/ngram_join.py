@@ -108,7 +108,9 @@ def ngram_links(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: flo
         classes.select("id", "text_id", "n_copies").join(degrees, "id", "left").join(groups, "id", "left")
         .withColumn("root", F.coalesce("root", "id"))
     )
-    first = named.groupBy("root").agg(F.min(F.struct(F.col("text_id").isNull(), "text_id", "id")).alias("kept"))
+    # Cut off, so that the join with a large group's texts can be split.
+    named = cut_lineage(named)
+    first = cut_lineage(named.groupBy("root").agg(F.min(F.struct(F.col("text_id").isNull(), "text_id", "id")).alias("kept")))
     return (
         signed.select("doc_id", "id").join(named.join(first, "root"), "id")
         .select("doc_id", F.col("id").alias("text_key"), "text_id", "n_copies", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
