@@ -168,7 +168,7 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, per_language: int = 300, most: int = 4000, families: Mapping[str, str] = FAMILY_OF,
+def fit(docs: DataFrame, per_language: int = 500, most: int = 4000, families: Mapping[str, str] = FAMILY_OF,
         doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Learns from about ``per_language`` texts of each label, chosen by a
     hash of doc_id, and at most about ``most`` in all: the one bound here,
@@ -227,7 +227,7 @@ def identify(docs: DataFrame, model: Model | None = None, doc_id: str = "doc_id"
         "doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def recognised(docs: DataFrame, least_score: float = 0.3, **params) -> DataFrame:
+def recognised(docs: DataFrame, least_score: float = 0.25, **params) -> DataFrame:
     """``docs`` whose language is recognised: not ``und``, and a score of
     at least ``least_score``."""
     small_batches(docs.sparkSession)
