@@ -92,62 +92,60 @@ def near(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False) ->
 DECIMAL = T.DecimalType(38, 12)
 
 
-class _Limbs:
-    """A non-negative decimal with ``scale`` digits as whole numbers of at
-    most nine digits, the last ones first, so that products stay exact
-    where one decimal would be rounded."""
-
-    def __init__(self, limbs: list[Column], radices: list[int]):
-        self.limbs, self.radices = limbs, radices
-
-    @classmethod
-    def of(cls, whole: Column, units: Column, scale: int) -> "_Limbs":
-        """whole + units / 10**scale, neither negative."""
-        sizes = [9] * (scale // 9) + [scale % 9] * (scale % 9 > 0)
-        limbs = cls._digits(units, sizes) + cls._digits(whole, [9] * 5)
-        return cls(limbs, [10**n for n in sizes] + [10**9] * 5)
-
-    @staticmethod
-    def _digits(number: Column, sizes: list[int]) -> list[Column]:
-        text, out, end = F.lpad(number.cast("string"), 45, "0"), [], 45
-        for n in sizes:
-            out.append(F.substring(text, end - n + 1, n).cast("bigint"))
-            end -= n
-        return out
-
-    def times(self, factor: int) -> "_Limbs":
-        out, carry = [], F.lit(0).cast("bigint")
-        for limb, radix in zip(self.limbs, self.radices, strict=True):
-            product = limb * F.lit(factor).cast("bigint") + carry
-            out.append(product % F.lit(radix).cast("bigint"))
-            carry = _div(product, radix)
-        return _Limbs([*out, carry], [*self.radices, 10**18])
-
-    def at_most(self, other: "_Limbs") -> Column:
-        return F.struct(*reversed(self.limbs)) <= F.struct(*reversed(other.limbs))
-
-
-def _div(n: Column, radix: int) -> Column:
-    """Whole-number division."""
-    return F.call_function("div", n, F.lit(radix).cast("bigint"))
-
-
-def _split(v: Column, dtype: T.DecimalType) -> tuple[Column, Column]:
-    """Whole part (towards zero) and the rest in units of the last digit."""
+RADIX = 10**9
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body
+    names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _limbs(whole: Column, units: Column, scale: int) -> Column:
+    """The number whole * 10**scale + units, neither negative, as digits to
+    the base 10**9, first ones first: an array that compares as the numbers
+    do and whose products stay exact where one decimal would be rounded."""
+    count = -(-(39 + scale) // 9)
+    digits = F.lpad(whole.cast("string"), count * 9 - scale, "0")
+    if scale:
+        digits = F.concat(digits, F.lpad(units.cast("string"), scale, "0"))
+    return _let(digits, lambda d: F.array(*[F.substring(d, 9 * i + 1, 9).cast("bigint") for i in range(count)]))
+
+
+def _times(limbs: Column, factor: int) -> Column:
+    """The product with a factor of at most 10**9, one digit longer."""
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, limb: Column) -> Column:
+        radix = F.lit(RADIX).cast("bigint")
+        return _let(limb * F.lit(factor).cast("bigint") + acc["carry"], lambda p: F.struct(
+            F.call_function("div", p, radix).alias("carry"), F.concat(F.array(p % radix), acc["out"]).alias("out")))
+
+    return F.aggregate(F.reverse(limbs), start, step, lambda acc: F.concat(F.array(acc["carry"]), acc["out"]))
+
+
+def _split(v: Column, dtype: T.DecimalType) -> Column:
+    """struct(whole, units): the part before the point, towards zero, and
+    the rest in units of the last digit."""
     rest = v % F.lit(Decimal(1)).cast("decimal(1,0)")
     units = (rest * F.lit(Decimal(10**dtype.scale)).cast(f"decimal({dtype.scale + 1},0)")).cast("decimal(38,0)")
-    return F.when(v < 0, F.ceil(v)).otherwise(F.floor(v)).cast("decimal(38,0)"), units
+    return F.struct(F.when(v < 0, F.ceil(v)).otherwise(F.floor(v)).cast("decimal(38,0)").alias("whole"), units.alias("units"))
+
+
+def _size(number: Column, scale: int) -> Column:
+    """Limbs of the absolute value of a struct(whole, units) whose units
+    may have another sign or one unit too many."""
+    unit = F.lit(Decimal(10**scale)).cast("decimal(38,0)")
 
+    def positive(n: Column) -> Column:
+        below = (n["whole"] < 0) | ((n["whole"] == 0) & (n["units"] < 0))
+        return F.when(below, F.struct((-n["whole"]).alias("whole"), (-n["units"]).alias("units"))).otherwise(n)
 
-def _size(whole: Column, units: Column, scale: int) -> _Limbs:
-    """The absolute value of whole + units / 10**scale, |units| < 2 units."""
-    unit = F.lit(Decimal(10**scale)).cast(f"decimal({scale + 1},0)")
-    below = (whole < 0) | ((whole == 0) & (units < 0))
-    w, u = F.when(below, -whole).otherwise(whole), F.when(below, -units).otherwise(units)
-    # Now the number is not negative, but its rest may be off by a unit.
-    w = w + F.when(u < 0, -1).when(u >= unit, 1).otherwise(0)
-    u = u + F.when(u < 0, unit).when(u >= unit, -unit).otherwise(F.lit(Decimal(0)))
-    return _Limbs.of(w.cast("decimal(38,0)"), u.cast("decimal(38,0)"), scale)
+    def carried(n: Column) -> Column:
+        over = F.when(n["units"] < 0, -1).when(n["units"] >= unit, 1).otherwise(0).cast("decimal(1,0)")
+        return _let(over, lambda o: _limbs((n["whole"] + o).cast("decimal(38,0)"), (n["units"] - o * unit).cast("decimal(38,0)"), scale))
+
+    return _let(_let(number, positive), carried)
 
 
 def near_decimal(actual: Column, expected: Column, rel=None, abs=None, dtype: T.DecimalType | None = None) -> Column:  # noqa: A002
@@ -179,12 +177,18 @@ def near_decimal(actual: Column, expected: Column, rel=None, abs=None, dtype: T.
         bound = Decimal(cut).scaleb(-scale)
         near_enough = (apart <= F.lit(bound)) | (apart * by[1] <= F.abs(e) * by[0])
     else:
-        (aw, au), (ew, eu) = _split(a, dtype), _split(e, dtype)
-        apart = _size(F.try_subtract(ew, aw).cast("decimal(38,0)"), (eu - au).cast("decimal(38,0)"), scale)
         whole, units = divmod(cut, 10**scale)
-        near_enough = apart.at_most(_Limbs.of(F.lit(str(whole)), F.lit(str(units)), scale))
-        if not only_abs:
-            near_enough = near_enough | apart.times(bottom).at_most(_size(ew, eu, scale).times(top))
+        least_limbs = _limbs(F.lit(str(whole)), F.lit(str(units)), scale)
+
+        def near_parts(n: Column) -> Column:
+            x, y = n["a"], n["e"]
+            apart = F.struct(F.try_subtract(y["whole"], x["whole"]).cast("decimal(38,0)").alias("whole"),
+                             (y["units"] - x["units"]).cast("decimal(38,0)").alias("units"))
+            if only_abs:
+                return _size(apart, scale) <= least_limbs
+            return _let(_size(apart, scale), lambda d: (d <= least_limbs) | (_times(d, bottom) <= _times(_size(y, scale), top)))
+
+        near_enough = _let(F.struct(_split(a, dtype).alias("a"), _split(e, dtype).alias("e")), near_parts)
     return F.when(a.isNull() | e.isNull(), a.eqNullSafe(e)).when(a == e, F.lit(True)).otherwise(F.coalesce(near_enough, F.lit(False)))
 
 
