@@ -135,18 +135,16 @@ def round_to(value: Column, digits: Column) -> Column:
     """Round (half up) to a number of decimals taken from the data; a
     negative number rounds to tens, hundreds and so on.
 
-    ``round(v, col)`` needs a constant scale, so for usual digits they pick
-    one of the constant-scale roundings, which keep decimals exact.  Other
-    digits are scaled by a power of ten: with so many decimals a double
-    stays as it is, with so few it becomes 0."""
-    scaled = value.cast("double") * F.pow(F.lit(10.0), digits.cast("double"))
-    plain = F.abs(scaled) >= F.lit(2.0**53)  # no digits beyond
-    other = F.when(plain, value.cast("double")).otherwise(
-        F.coalesce(F.try_divide(F.round(scaled, 0), F.pow(F.lit(10.0), digits.cast("double"))), F.lit(0.0)))
-    out = F.when(digits.isNull() | value.isNull(), F.lit(None))
-    for d in range(-9, 19):
-        out = out.when(digits == d, F.round(value, d).cast("double") if d < 0 else F.round(value, d))
-    return out.otherwise(other)
+    ``round(v, col)`` needs a constant scale, so the digits pick one of the
+    constant-scale roundings, which keep decimals exact.  With more than 38
+    decimals a value stays as it is: no decimal has more.  Fewer than -9
+    are an error: such roundings would widen a decimal's type and cost it
+    its own decimals."""
+    low = F.raise_error(F.concat(F.lit("cannot round to so few decimals: "), digits.cast("string")))
+    out = F.when(digits > 38, value).when(digits < -9, low)
+    for d in range(-9, 39):
+        out = out.when(digits == d, F.round(value, d))
+    return out
 
 
 # ------------------------------------------------------------------ F10

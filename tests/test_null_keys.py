@@ -122,6 +122,8 @@ def test_decimals_that_do_not_fit_raise(spark):
 
 
 def test_round_to_any_digits(spark):
-    df = spark.createDataFrame([(2.5, 0), (1234.5678, 2), (1234.5678, -2), (1.23e-20, 22), (1.5, 20), (1.5, 400), (1234.0, -400), (None, 1), (1.5, None)], "v double, d int")
+    df = spark.createDataFrame([(2.5, 0), (1234.5678, 2), (1234.5678, -2), (1.23e-20, 22), (1.5, 20), (1.5, 400), (1234.0, -9), (None, 1), (1.5, None)], "v double, d int")
     got = [r[0] for r in df.select(S.round_to(F.col("v"), F.col("d"))).collect()]
     assert got == [3.0, 1234.57, 1200.0, 1.23e-20, 1.5, 1.5, 0.0, None, None]
+    with pytest.raises(Exception, match="so few decimals"):
+        spark.sql("SELECT 1.0D AS v, -10 AS d").select(S.round_to(F.col("v"), F.col("d"))).collect()

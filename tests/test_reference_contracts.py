@@ -93,7 +93,7 @@ def test_imputed_and_rounding(spark):
     from tabletrust.functions.scalar import imputed, round_to
 
     df = spark.createDataFrame([(Decimal("0.855"), 2, 0), (Decimal("12.5"), 0, 3)], "v decimal(10,3), d int, n int")
-    got = [(r[0], r[1]) for r in df.select(round_to(F.col("v"), F.col("d"), 3), imputed(F.col("n"))).collect()]
+    got = [(r[0], r[1]) for r in df.select(round_to(F.col("v"), F.col("d")), imputed(F.col("n"))).collect()]
     assert got == [(Decimal("0.860"), True), (Decimal("13.000"), False)]
 
 
