@@ -68,6 +68,12 @@ def trigrams(text: str) -> np.ndarray:
     return x / max(float(np.sqrt(x @ x)), 1e-9)
 
 
+def sparse(x: np.ndarray) -> bytes:
+    """The places of what is not zero, and its values, 16 bits each."""
+    at = np.flatnonzero(x)
+    return at.astype(np.uint16).tobytes() + x[at].astype(np.float16).tobytes()
+
+
 def train_svm(dots: np.ndarray, y: np.ndarray, cost: float = 10.0, epochs: int = 30, seed: int = 3) -> np.ndarray:
     """Factors of the training rows in the weights of a linear support
     vector machine with squared hinge loss: dual coordinate descent on the
@@ -168,7 +174,7 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, per_language: int = 500, most: int = 4000, families: Mapping[str, str] = FAMILY_OF,
+def fit(docs: DataFrame, per_language: int = 300, most: int = 4000, families: Mapping[str, str] = FAMILY_OF,
         doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Learns from about ``per_language`` texts of each label, chosen by a
     hash of doc_id, and at most about ``most`` in all: the one bound here,
@@ -183,7 +189,7 @@ def fit(docs: DataFrame, per_language: int = 500, most: int = 4000, families: Ma
 
     @F.pandas_udf("binary")
     def counted(texts: pd.Series) -> pd.Series:
-        return pd.Series([trigrams(t).astype(np.float16).tobytes() if t and LETTER.search(t) else None for t in texts], dtype=object)
+        return pd.Series([sparse(trigrams(t)) if t and LETTER.search(t) else None for t in texts], dtype=object)
 
     learned = []
     if counts:
@@ -192,7 +198,11 @@ def fit(docs: DataFrame, per_language: int = 500, most: int = 4000, families: Ma
     # In an order that mixes the labels and does not depend on the tasks.
     order = np.random.default_rng(5).permutation(len(learned))
     labels = np.array([learned[i][0] for i in order], object)
-    x = np.array([np.frombuffer(learned[i][1], np.float16) for i in order], np.float32).reshape(len(labels), DIMENSIONS)
+    x = np.zeros((len(labels), DIMENSIONS), np.float32)
+    for row, i in enumerate(order):
+        at, values = np.split(np.frombuffer(learned[i][1], np.uint16), 2)
+        x[row, at] = values.view(np.float16)
+    del learned
     family_of = np.array([families.get(str(c).split("-")[0].split("_")[0].lower(), f"={c}") for c in labels], object)
     names = sorted(set(family_of))
     return Model(
