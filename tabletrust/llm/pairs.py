@@ -64,7 +64,8 @@ def all_pairs(starts: np.ndarray) -> Iterator[np.ndarray]:
 
 def candidates(frame: pd.DataFrame, starts: np.ndarray, buckets: Callable, near: Callable | None) -> np.ndarray:
     """The pairs of rows of each block whose first shared bucket it is."""
-    sigs = np.frombuffer(b"".join(frame["sig"]), np.uint64).reshape(len(frame), -1)
+    width = max(map(len, frame["sig"]))
+    sigs = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in frame["sig"]]), np.uint64).reshape(len(frame), -1)
     keys, own, part = buckets(sigs), frame["bucket"].to_numpy(), frame["part"].to_numpy()
     cross = (frame["left"] != frame["right"]).to_numpy()
     out = [np.empty((0, 2), np.int64)]
@@ -87,7 +88,8 @@ def links(members: DataFrame, sigs: DataFrame, payloads: Callable[[DataFrame], D
     that the block connects it with (NULL for the block's root).
 
     ``members``: (``bucket`` long, ``id``), without repeats; ``sigs``:
-    (``id``, ``sig`` binary of unsigned 64-bit words), one row per id;
+    (``id``, ``sig`` binary of unsigned 64-bit words; shorter ones are filled
+    with zeros), one row per id;
     ``buckets(sigs)``: a signature's buckets, one column for each band.
     ``near(a, b)``, if given, says which pairs of signatures are candidates
     at all.  ``payloads(ids)`` gives (``id``, ``payload``), one row for each

@@ -270,6 +270,36 @@ def test_line_dedup_matches_brute_force(spark):
     assert links and got == {i: sorted(gone[i]) for i, _ in docs}
 
 
+def test_lines_of_edit_similarity_are_found(spark):
+    """Recall against edit similarity alone, with one word changed."""
+    import random
+
+    from llm_helpers import prose
+    rng = random.Random(12)
+    docs = []
+    for words in (8, 12, 15, 20, 30, 60):
+        for _ in range(50):
+            one = prose(rng, words).split()
+            two = list(one)
+            two[rng.randrange(words)] = prose(rng, 1)
+            docs += [" ".join(one), " ".join(two)]
+    near = [i for i in range(0, len(docs), 2) if distance(docs[i], docs[i + 1]) <= 0.2 * max(len(docs[i]), len(docs[i + 1]))]
+    got = {r.doc_id: r.removed for r in line_dedup.line_report(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")).collect()}
+    assert len(near) > 250 and not any(got[i] for i in range(0, len(docs), 2))
+    assert sum(got[i + 1] == [0] for i in near) >= 0.97 * len(near)
+    assert all(i in near for i in range(0, len(docs), 2) if got[i + 1])
+
+
+def test_bounds_never_drop_a_near_pair():
+    import random
+    rng = random.Random(3)
+    lines = ["".join(rng.choice("ab 漢é") for _ in range(rng.randint(1, 24))) for _ in range(120)]
+    pairs = np.array(list(itertools.combinations(range(len(lines)), 2)))
+    kept = set(map(tuple, line_dedup.may_be_near(lines, pairs, 0.8).tolist()))
+    near = {(i, j) for i, j in pairs.tolist() if distance(lines[i], lines[j]) <= int(0.2 * max(len(lines[i]), len(lines[j])) + 1e-9)}
+    assert near and near <= kept and len(kept) < len(pairs)
+
+
 # licences
 
 def test_licences_in_other_clothes(spark):
