@@ -290,6 +290,14 @@ def test_lines_of_edit_similarity_are_found(spark):
     assert all(i in near for i in range(0, len(docs), 2) if got[i + 1])
 
 
+def test_lines_without_spaces_count(spark):
+    lines = ["他们在城市的中心建造了一座很大的图书馆并且邀请了许多作家来参加开幕典礼", "東京の図書館は来月から新しい利用者カードを導入することになりました", "ห้องสมุดแห่งใหม่เปิดให้บริการประชาชนทุกวันตั้งแต่เช้าจนถึงเย็น"]
+    changed = [line[:9] + "x" + line[10:] for line in lines]
+    docs = [(0, "\n".join(lines)), (1, "\n".join(["first", *lines])), (2, "\n".join(changed)), (3, "你好\nคำ"), (4, "你好\nคำ")]
+    got = {r.doc_id: r.removed for r in line_dedup.line_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {0: [], 1: [1, 2, 3], 2: [0, 1, 2], 3: [], 4: []}
+
+
 def test_bounds_never_drop_a_near_pair():
     import random
     rng = random.Random(3)
