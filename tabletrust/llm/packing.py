@@ -33,6 +33,11 @@ from tabletrust.llm.common import small_batches
 
 #: Texts are tokenised in stretches of about so many characters.
 STRETCH = 1 << 16
+#: Runs of white space (as Unicode has it) so long that the look-ahead of the
+#: pattern may run out of stack; most stretches are shorter.
+LONG = 1 << 17
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_RUN = re.compile(f"(?<!{_SPACE}){_SPACE}{{{LONG},}}")
 #: What is known of a piece, besides its document.
 PIECE = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 #: A task packs when so many tokens wait.
@@ -141,7 +146,20 @@ def encoder(path: str | None):
             known[path] = tiktoken.Encoding(
                 path, pat_str=public_tokenizers.PATTERN, special_tokens={},
                 mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks)})
-    return known[path].encode_to_numpy
+    whole = known[path]
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) < LONG:
+            return whole.encode_to_numpy(text)
+        out, at = [], 0
+        for run in _LONG_RUN.finditer(text):
+            # The pattern takes a run as one, but for the last character before other text.
+            end = run.end() - (run.end() < len(text))
+            out += [whole.encode_to_numpy(text[at: run.start()]), np.array(whole._encode_single_piece(text[run.start(): end]), np.uint32)]
+            at = end
+        return np.concatenate([*out, whole.encode_to_numpy(text[at:])])
+
+    return encode
 
 
 def pack_documents(docs: DataFrame, limits: Limits = Limits(), least_cut: int = 16, end_id: int = 0,

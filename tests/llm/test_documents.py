@@ -414,6 +414,15 @@ def test_pieces_are_the_documents(spark, odd, odd_rows):
         assert at <= 1024 and len(s) <= 64 and sum(p.loss_tokens for p in s) <= 1024
 
 
+def test_long_white_space_is_tokenised():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    json = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.encoder(None)
+    for text in (" " * 1_100_000 + "word", "a b\n" + "\n" * 1_100_000 + "c", "end" + " \t" * 600_000, "a" + "\u2003" * 200_000 + "b " + " " * 200_000 + "\x1c c"):
+        assert np.concatenate([encode(s) for s in packing.stretches(text)]).tolist() == json.encode(text, add_special_tokens=False).ids
+
+
 def test_all_limits_hold_and_little_is_wasted(spark):
     rng = np.random.default_rng(3)
     tokens = rng.integers(1, 700, 4000)
