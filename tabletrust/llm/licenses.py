@@ -67,6 +67,48 @@ SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSE
 WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
 THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
 
+_BSD_3 = _BSD_2.replace("\n\nTHIS SOFTWARE", """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+
+THIS SOFTWARE""")
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as
+a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law.
+
+""" + _MIT[_MIT.index("THE SOFTWARE IS"):].replace("AUTHORS OR\nCOPYRIGHT HOLDERS", "AUTHORS") + """
+
+For more information, please refer to <https://unlicense.org>"""
+
+#: Identifiers, and the names that sentences use.
+NAMES = {
+    "MIT": ["MIT License"], "ISC": ["ISC License"], "BSD-2-Clause": ["BSD 2-Clause License"], "BSD-3-Clause": ["BSD 3-Clause License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"], "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0"],
+    "GPL-2.0": ["GNU General Public License, version 2"], "GPL-3.0": ["GNU General Public License, version 3"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1"], "LGPL-3.0": ["GNU Lesser General Public License, version 3"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3"], "Zlib": ["zlib License"], "Unlicense": ["Unlicense"],
+    "CC0-1.0": ["CC0 1.0"], "CC-BY-4.0": ["CC BY 4.0"], "CC-BY-SA-4.0": ["CC BY-SA 4.0"], "CC-BY-NC-4.0": ["CC BY-NC 4.0"],
+}
+
 #: Known texts (fixed values): short licences whole, and usual one-line
 #: notices.  A larger table comes as the ``known`` argument.
 KNOWN = [
@@ -84,7 +126,16 @@ KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("BSD-3-Clause", _BSD_3), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_3),
+    ("Zlib", _ZLIB), ("Zlib", "zlib License\n\n" + _ZLIB), ("Unlicense", _UNLICENSE),
 ]
+for _id, _names in NAMES.items():
+    for _spdx in [f"{_id}-only", f"{_id}-or-later"] if "GPL" in _id else [_id]:
+        KNOWN.append((_spdx, f"SPDX-License-Identifier: {_spdx}"))
+    for _name in _names:
+        for _start in ("Licensed", "Released", "This project is licensed", "This work is licensed"):
+            KNOWN += [(_id, f"{_start} under {_the}{_name}.") for _the in (["the "] if not _id.startswith("CC") else ["", "the "])]
+KNOWN = list(dict.fromkeys(KNOWN))
 
 #: A line that names a holder: "Copyright (c) ...", "Copyright 2020 ...",
 #: "(c) 2020 ..." or a line that starts with the sign itself.

@@ -322,6 +322,16 @@ def test_licences_in_other_clothes(spark):
     assert got[6][1:] == (2, ["Apache-2.0", "MIT"]) and got[7][1:] == (0, [])
 
 
+def test_usual_licences_are_known(spark):
+    bsd = next(t for n, t in licenses.KNOWN if n == "BSD-3-Clause" and len(t) > 500)
+    notices = ["SPDX-License-Identifier: AGPL-3.0-or-later", "SPDX-License-Identifier: ISC", "SPDX-License-Identifier: BSD-2-Clause", "SPDX-License-Identifier: LGPL-2.1-only",
+               "Licensed under the GNU General Public License, version 2.", "Released under the Unlicense."]
+    docs = spark.createDataFrame([(0, "Copyright (c) 2020 A\n" + bsd), (1, "\n".join(notices)), (2, bsd.replace("3. Neither", "3. Either"))], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.notices) for r in licenses.license_matches(docs, licenses.known_licenses(spark)).collect()}
+    assert "Neither the name of" in bsd
+    assert got == {0: ("BSD-3-Clause", []), 1: (None, sorted(["AGPL-3.0-or-later", "ISC", "BSD-2-Clause", "LGPL-2.1-only", "GPL-2.0", "Unlicense"])), 2: (None, [])}
+
+
 # secrets
 
 KINDS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), 2, 6),
