@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabletrust.llm import ann, language, licenses, line_dedup, mixing, ngram_join, packing, secrets, sharding, topk
+from tabletrust.llm import (
+    ann, collocations, language, licenses, line_dedup, mixing, ngram_join, packing, secrets, sharding, topk, weighted_sampling, whitening)
 from tabletrust.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +183,35 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"))
+
+
+@query("op11_jacobi_davidson_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+@query("op12_weighted_fingerprints")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op13_toivonen_collocations", r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM t),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM p, (VALUES (1), (2), (3)) x(m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.lang = c.lang AND x.m > c.m AND 100 * x.a >= 50 * c.a
+  AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM kept),
+scored AS (SELECT c.*, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:c.m], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest JOIN totals USING (lang) QUALIFY rank <= 2000
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
