@@ -1,128 +1,205 @@
 """Phrase collocation mining after Toivonen.
 
 A sample proposes: words, then phrases one word longer at a time, that are
-frequent in the sample at a lowered threshold.  A full pass counts, exactly
-and over all documents, every proposed phrase and the negative border: the
-phrases that were not proposed although both of their parts that are one
-word shorter were.  A border phrase that turns out frequent has longer
-phrases nobody counted, so what was found is added to the proposals and a
-further pass counts what that opens; the mining is closed when all frequent
-phrases were proposed.  The counts are exact whatever the sample was.
-
-Proposals travel as bitmaps of a fixed number of bits (a phrase is proposed
-if its bit is set), so tasks hold sets of a known size however many phrases
-there are.  A phrase whose bit is set by another is counted for nothing;
-nothing is lost.  Tasks count in dictionaries of bounded size and hand them
-on when full; the sums are Spark's.
+frequent in the sample at a lowered threshold.  A full pass over all
+documents counts what was proposed and its negative border: the phrases that
+were not proposed although both of their parts that are one word shorter
+were.  Border phrases that turn out frequent were missed, and so were the
+longer ones that they open: they join the proposals, and a further pass
+counts those.  The mining is closed when no border phrase is frequent.
+
+Proposed phrases are counted by their words.  The border, which is most of
+the work and hardly ever frequent, is counted by 64-bit keys; phrases that
+share a key only make it look more frequent, and a key that reaches the
+threshold is counted by its words in the next pass.  So the numbers of the
+result are exact whatever the sample was.  Proposals travel as bitmaps of a
+fixed size, set by their keys: a phrase whose bit is set by another is
+counted for nothing, and nothing is lost.
+
+Tasks work on stretches of text in numpy and hand on the counts of each;
+the sums are Spark's.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import compress
-from operator import and_
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabletrust.llm.common import cut_lineage, small_batches
-
-#: Lower-cases A-Z and makes every end of a piece a line feed.
-_PLAIN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else c for c in range(256))
-#: Phrases that a task holds before it hands their counts on.
-HELD = 300_000
-
-
-def pieces(text: bytes | None) -> Iterator[list[bytes]]:
-    """The words of each piece of a text."""
-    for piece in (text or b"").translate(_PLAIN).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
-
-
-class Proposed(dict):
-    """Whether a phrase is proposed: 1 by the bitmap ``now``, 2 by the bitmap
-    ``before`` (whose bits ``now`` has too), looked up once."""
-
-    def __init__(self, now: np.ndarray | None, before: np.ndarray | None):
-        self.now, self.before = now, before
-        self.shift = 32 - (len(now).bit_length() + 2) if now is not None else 0
-
-    def __missing__(self, words: tuple[bytes, ...] | bytes) -> int:
-        if len(self) > HELD:
-            self.clear()
-        phrase = words if isinstance(words, bytes) else b" ".join(words)
-        at = zlib.crc32(phrase) >> self.shift
-        bit = at >> 3, 1 << (at & 7)
-        self[words] = out = bool(self.now[bit[0]] & bit[1]) + 2 * (self.before is not None and bool(self.before[bit[0]] & bit[1]))
-        return out
-
-
-def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before: dict[int, np.ndarray]) -> DataFrame:
-    """(``lang``, ``words``, ``phrase``, ``n``): counts of the phrases of
-    ``levels`` words that ``now`` lets through and ``before`` did not, and
-    with ``words`` 0 the number of words of each language.  ``docs`` has
-    ``lang`` and ``text`` (binary)."""
+from tabletrust.llm.shingles import mixed, span_hashes
+
+#: Lower-cases A-Z, makes every end of a piece a line feed and a tab a space.
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else 32 if c == 9 else c for c in range(256))
+#: Bytes of text that a task looks at together.
+STRETCH = 1 << 22
+#: Border phrases of a task whose keys are counted together.
+HELD = 1 << 21
+#: Phrases with a longer word are compared as text: hashes of sums of powers are weak there.
+LONG_WORD = 64
+#: Another order of the bytes, for a second hash.
+_OTHER = np.random.default_rng(13).permutation(256).astype(np.uint8)
+_TIMES = np.uint64(0x9E3779B97F4A7C15)
+
+
+def stretches(text: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
+    """(part of the text, where in it the phrases of the next part start):
+    parts end at ends of pieces or, inside a long piece, between words, and
+    then have so many more words that every phrase is whole in one part."""
+    at = 0
+    more = re.compile(rb" *+(?:[^ \n]++ *+){0,%d}" % (longest - 1))
+    while len(text) - at > STRETCH:
+        cut = text.rfind(b"\n", at, at + STRETCH)
+        if cut < at:
+            cut = text.rfind(b" ", at, at + STRETCH)
+        if cut < at:
+            found = re.compile(rb"[ \n]").search(text, at + STRETCH)
+            cut = found.start() if found else len(text)
+        end = more.match(text, cut).end() if text[cut: cut + 1] == b" " else cut
+        yield text[at:end], cut - at
+        at = cut
+    yield text[at:], len(text) - at
+
+
+def _bits(bitmap: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    if bitmap is None:
+        return np.zeros(len(keys), bool)
+    at = keys >> np.uint64(64 - (len(bitmap).bit_length() + 2))
+    return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def _chained(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Keys of phrases one word longer."""
+    return mixed(keys[:-1] * _TIMES + words[len(words) - len(keys) + 1:])
+
+
+class Words:
+    """The words of a stretch of text and the keys of its phrases."""
+
+    def __init__(self, text: bytes, own: int, salt: np.uint64):
+        data = np.frombuffer(text, np.uint8)
+        inside = (data != 32) & (data != 10)
+        edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
+        self.text, self.starts, self.ends = text, np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        self.own = int(np.searchsorted(self.starts, own))
+        piece = np.cumsum(data == 10, dtype=np.int32)[self.starts]
+        self.joined = piece[1:] == piece[:-1]
+        self.keys = mixed(span_hashes(data, self.starts, self.ends) + salt)
+        self.checks = mixed(span_hashes(_OTHER[data], self.starts, self.ends))
+        self.long = self.ends - self.starts > LONG_WORD
+
+    def phrase(self, i: int, m: int) -> bytes:
+        return b" ".join(self.text[self.starts[i]: self.ends[i + m - 1]].split())
+
+    def named(self, at: np.ndarray, m: int, keys: np.ndarray, checks: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """(phrases, keys, counts) of the phrases of ``m`` words at ``at``."""
+        key, first, which, n = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
+        check = checks[at]
+        long = np.r_[0, np.cumsum(self.long)]
+        if (check != check[first][which]).any() or (long[at + m] > long[at]).any():
+            counts = Counter((self.phrase(i, m), k) for i, k in zip(at.tolist(), keys[at].tolist(), strict=True))
+            return [p for p, _ in counts], np.array([k for _, k in counts], np.uint64), np.array(list(counts.values()), np.int64)
+        where = at[first]
+        lo, hi = self.starts[where], self.ends[where + m - 1]
+        text = self.text
+        if m == 1:
+            return [text[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], key, n
+        return [b" ".join(text[a:b].split()) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], key, n
+
+
+def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before: dict[int, np.ndarray], named: bool) -> DataFrame:
+    """(``name``, ``words``, ``key``, ``n``): the phrases of ``levels`` words
+    that ``now`` proposes, with ``name`` the phrase, a line feed and the
+    language, and those of the border with a NULL name, but for those that
+    ``before`` had so already; with ``words`` 0 the number of words of each
+    language.  All words count as proposed.  Without ``named`` no phrase
+    gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
     top = levels[-1]
 
+    def rows(names: list[bytes | None], m: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()).cast(pa.string()), pa.array(np.full(len(keys), m, np.int32)),
+                                           pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["name", "words", "key", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        proposed = {m: Proposed(now[m], before.get(m)) for m in range(1, top) if m in now}
-        held: dict[str, dict[int, Counter]] = {}
-        totals: Counter = Counter()
-
-        def handed() -> Iterator[pa.RecordBatch]:
-            for lang, by_words in held.items():
-                for m, counts in by_words.items():
-                    if counts:
-                        names = list(counts) if m == 1 else list(map(b" ".join, counts))
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([lang] * len(names), pa.string()), pa.array([m] * len(names), pa.int32()),
-                            pa.array(names, pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "words", "phrase", "n"])
+        border: dict[int, list[np.ndarray]] = {m: [] for m in levels}
+
+        def border_rows(m: int) -> Iterator[pa.RecordBatch]:
+            keys, n = np.unique(np.concatenate(border[m]), return_counts=True)
+            border[m].clear()
+            for at in range(0, len(keys), 1 << 17):
+                some = keys[at: at + (1 << 17)]
+                yield rows([None] * len(some), m, some, n[at: at + (1 << 17)])
+
+        def looked_at(lang: str, text: bytes, own: int) -> Iterator[pa.RecordBatch]:
+            suffix = b"\n" + lang.encode()
+            w = Words(text, own, mixed(np.array([zlib.crc32(suffix)], np.uint64))[0])
+            if not w.own:
+                return
+            keys, checks = w.keys, w.checks
+            for m in range(1, top + 1):
+                if m == 1:
+                    open_now = np.ones(len(keys), bool)
+                    open_before = np.zeros(len(keys), bool)
+                else:
+                    open_now, open_before = (e[:-1] & e[1:] & (w.joined if m == 2 else True) for e in (in_now, in_before))
+                    if not open_now.any():
+                        return
+                    keys, checks = _chained(keys, w.keys), _chained(checks, w.checks)
+                in_now, in_before = open_now & _bits(now.get(m), keys), open_before & _bits(before.get(m), keys)
+                if m in levels:
+                    name_now, name_before = (open_now, open_before) if m == 1 else (in_now, in_before)
+                    if not named:
+                        name_now = name_before = np.zeros(len(keys), bool)
+                    fresh = np.flatnonzero((open_now & ~name_now & ~open_before)[: w.own])
+                    if len(fresh):
+                        border[m].append(keys[fresh])
+                        if sum(map(len, border[m])) > HELD:
+                            yield from border_rows(m)
+                    at = np.flatnonzero((name_now & ~name_before)[: w.own])
+                    if len(at):
+                        phrases, key, n = w.named(at, m, keys, checks)
+                        yield rows([p + suffix for p in phrases], m, key, n)
+            if named and 1 in levels:
+                yield rows([suffix], 0, np.zeros(1, np.uint64), np.array([w.own]))
+
+        held: dict[str, list[bytes]] = {}
+        size = 0
+
+        def all_held() -> Iterator[pa.RecordBatch]:
+            for lang, texts in held.items():
+                for text, own in stretches(b"\n".join(texts).translate(_PLAIN), top):
+                    yield from looked_at(lang, text, own)
             held.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                by_words = held.setdefault(lang, {m: Counter() for m in levels})
-                for words in pieces(text):
-                    totals[lang] += len(words)
-                    if 1 in by_words:
-                        by_words[1].update(words)
-                    if top == 1:
-                        continue
-                    known = list(map(proposed[1].__getitem__, words))
-                    for m in range(2, top + 1):
-                        # Bit 1: both shorter parts are proposed now; bit 2: they were.
-                        open_ = list(map(and_, known, known[1:]))
-                        if not any(open_):
-                            break
-                        grams = list(zip(*(words[i:] for i in range(m))))
-                        if m in by_words:
-                            by_words[m].update(compress(grams, map((1).__eq__, open_)))
-                        if m < top:
-                            look = proposed[m]
-                            known = [look[g] & o if o else 0 for g, o in zip(grams, open_)]
-            if sum(len(c) for by_words in held.values() for c in by_words.values()) > HELD:
-                yield from handed()
-        yield from handed()
-        if 1 in levels and totals:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(totals), pa.string()), pa.array([0] * len(totals), pa.int32()), pa.array([""] * len(totals), pa.string()),
-                pa.array(list(totals.values()), pa.int64())], names=["lang", "words", "phrase", "n"])
-
-    parts = docs.mapInArrow(count, "lang string, words int, phrase string, n long")
-    return parts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                text = text.as_py()
+                if text:
+                    held.setdefault(lang.as_py(), []).append(text)
+                    size += len(text)
+                if size > STRETCH:
+                    yield from all_held()
+                    size = 0
+        yield from all_held()
+        for m in levels:
+            if border[m]:
+                yield from border_rows(m)
+
+    parts = docs.mapInArrow(count, "name string, words int, key long, n long")
+    return parts.groupBy("name", "words", "key").agg(F.sum("n").alias("n"))
 
 
 def _bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
-    """The bitmap of 2**bits bits of some phrases: gathered as its words of
-    64 bits, so it never exceeds its size on the way."""
-    at = F.shiftrightunsigned(F.crc32(F.col("phrase").cast("binary")), 32 - bits)
+    """The bitmap of 2**bits bits of the keys of some phrases: gathered as
+    its words of 64 bits, so it never exceeds its size on the way."""
+    at = F.shiftrightunsigned("key", 64 - bits)
     words = phrases.select(F.shiftright(at, 6).alias("at"), F.expr("1L").alias("one"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
     rows = words.groupBy("at").agg(F.bit_or(F.call_function("shiftleft", "one", "bit")).alias("bits")).toPandas()
     out = np.zeros(1 << (bits - 6), np.int64)
@@ -142,7 +219,8 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rat
     do not depend on either.  ``bits``: proposals are bitmaps of 2**bits bits.
 
     A NULL language is ``und``, a NULL text has no words, as an empty one.
-    Repeated rows count each.  No rows, or no words, give no rows.
+    Repeated rows count each.  No rows, or no words, give no rows.  A task
+    holds STRETCH bytes of text, or one word.
     """
     small_batches(docs.sparkSession)
     if longest < 2 or min_count < 1 or not 0 < rate <= 1 or not 6 <= bits <= 32:
@@ -151,20 +229,22 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rat
     few = rows.where(F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 20)) < int(rate * (1 << 20)))
     least = max(1, int(lowered * rate * min_count))
     now: dict[int, np.ndarray] = {}
-    for m in range(1, longest):
-        now[m] = _bitmap(_counted(few, range(m, m + 1), now, {}).where((F.col("words") == m) & (F.col("n") >= least)), bits)
+    for m in range(1, longest + 1):
+        now[m] = _bitmap(_counted(few, range(m, m + 1), now, {}, named=False).where(F.col("n") >= least), bits)
     before: dict[int, np.ndarray] = {}
     found: list[DataFrame] = []
     levels = range(1, longest + 1)
     while True:
-        counted = _counted(rows, levels, now, before)
+        counted = _counted(rows, levels, now, before, named=True)
         found.append(cut_lineage(counted.where((F.col("words") == 0) | (F.col("n") >= min_count))))
-        seen = reduce(DataFrame.union, found)
-        more = {m: now[m] | _bitmap(seen.where(F.col("words") == m), bits) for m in now}
+        more = {m: now[m] | _bitmap(found[-1].where(F.col("words") == m), bits) for m in now}
         if all((more[m] == now[m]).all() for m in now):
-            return seen
-        # Phrases of the border are frequent: what they open is counted too.
+            break
+        # Phrases of the border are frequent: they and what they open are counted too.
         before, now, levels = now, more, range(2, longest + 1)
+    name = F.split("name", "\n", 2)
+    seen = reduce(DataFrame.union, found).where(F.col("name").isNotNull())
+    return seen.select(name[1].alias("lang"), "words", name[0].alias("phrase"), "n")
 
 
 #: floor(1000000 * a * a / (l * r)) on decimals, whose products are exact.
