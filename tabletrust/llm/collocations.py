@@ -16,8 +16,9 @@ result are exact whatever the sample was.  Proposals travel as bitmaps of a
 fixed size, set by their keys: a phrase whose bit is set by another is
 counted for nothing, and nothing is lost.
 
-Tasks work on stretches of text in numpy and hand on the counts of each;
-the sums are Spark's.
+Tasks work on stretches of text in numpy.  What they count goes to buckets
+by key, as arrays, and the buckets are summed one by one: no task holds more
+than its dictionaries of bounded size and one bucket.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,17 @@ from tabletrust.llm.shingles import mixed, span_hashes
 #: Lower-cases A-Z, makes every end of a piece a line feed and a tab a space.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else 32 if c == 9 else c for c in range(256))
 #: Bytes of text that a task looks at together.
-STRETCH = 1 << 22
-#: Border phrases of a task whose keys are counted together.
-HELD = 1 << 21
+STRETCH = 1 << 20
+#: Keys of border phrases, and named phrases, that a task holds.
+HELD, HELD_NAMES = 1 << 21, 300_000
 #: Phrases with a longer word are compared as text: hashes of sums of powers are weak there.
 LONG_WORD = 64
-#: Another order of the bytes, for a second hash.
-_OTHER = np.random.default_rng(13).permutation(256).astype(np.uint8)
+#: What a byte adds to the sum that phrases of one key must share.
+_ADDS = np.random.default_rng(13).integers(0, 1 << 63, 256, dtype=np.uint64)
+_ADDS[32] = 0
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
+_SENT = "words int, bucket int, lang string, names binary, keys binary, counts binary"
+_SUMS = "lang string, words int, phrase string, key long, n long"
 
 
 def stretches(text: bytes, longest: int) -> Iterator[tuple[bytes, int]]:
@@ -84,90 +88,111 @@ class Words:
     """The words of a stretch of text and the keys of its phrases."""
 
     def __init__(self, text: bytes, own: int, salt: np.uint64):
-        data = np.frombuffer(text, np.uint8)
-        inside = (data != 32) & (data != 10)
-        edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
-        self.text, self.starts, self.ends = text, np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        self.text, self.data = text, np.frombuffer(text, np.uint8)
+        apart = (self.data == 32) | (self.data == 10)
+        ends = np.flatnonzero(apart)
+        starts, ends = np.r_[0, ends + 1], np.r_[ends, len(text)]
+        real = ends > starts
+        # Between two words of a piece there are blanks alone.
+        line_ends = np.flatnonzero(self.data == 10)
+        self.starts, self.ends = starts[real], ends[real]
         self.own = int(np.searchsorted(self.starts, own))
-        piece = np.cumsum(data == 10, dtype=np.int32)[self.starts]
+        piece = np.searchsorted(line_ends, self.starts)
         self.joined = piece[1:] == piece[:-1]
-        self.keys = mixed(span_hashes(data, self.starts, self.ends) + salt)
-        self.checks = mixed(span_hashes(_OTHER[data], self.starts, self.ends))
-        self.long = self.ends - self.starts > LONG_WORD
+        self.keys = mixed(span_hashes(self.data, self.starts, self.ends) + salt)
 
-    def phrase(self, i: int, m: int) -> bytes:
-        return b" ".join(self.text[self.starts[i]: self.ends[i + m - 1]].split())
+    @cached_property
+    def sums(self) -> np.ndarray:
+        out = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(_ADDS[self.data], out=out[1:])
+        return out
 
-    def named(self, at: np.ndarray, m: int, keys: np.ndarray, checks: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """(phrases, keys, counts) of the phrases of ``m`` words at ``at``."""
+    @cached_property
+    def long(self) -> np.ndarray:
+        return np.r_[0, np.cumsum(self.ends - self.starts > LONG_WORD)]
+
+    def named(self, at: np.ndarray, m: int, keys: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
+        """(phrase, key, count) of the phrases of ``m`` words at ``at``."""
+        lo, hi, text = self.starts[at], self.ends[at + m - 1], self.text
         key, first, which, n = np.unique(keys[at], return_index=True, return_inverse=True, return_counts=True)
-        check = checks[at]
-        long = np.r_[0, np.cumsum(self.long)]
-        if (check != check[first][which]).any() or (long[at + m] > long[at]).any():
-            counts = Counter((self.phrase(i, m), k) for i, k in zip(at.tolist(), keys[at].tolist(), strict=True))
-            return [p for p, _ in counts], np.array([k for _, k in counts], np.uint64), np.array(list(counts.values()), np.int64)
-        where = at[first]
-        lo, hi = self.starts[where], self.ends[where + m - 1]
-        text = self.text
-        if m == 1:
-            return [text[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], key, n
-        return [b" ".join(text[a:b].split()) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], key, n
-
-
-def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before: dict[int, np.ndarray], named: bool) -> DataFrame:
-    """(``name``, ``words``, ``key``, ``n``): the phrases of ``levels`` words
-    that ``now`` proposes, with ``name`` the phrase, a line feed and the
-    language, and those of the border with a NULL name, but for those that
+        check = self.sums[hi] - self.sums[lo]
+        if (check != check[first][which]).any() or (self.long[at + m] > self.long[at]).any():
+            counts = Counter((b" ".join(text[a:b].split()), k) for a, b, k in zip(lo.tolist(), hi.tolist(), keys[at].tolist(), strict=True))
+            return ((p, k, c) for (p, k), c in counts.items())
+        spans = zip(lo[first].tolist(), hi[first].tolist(), strict=True)
+        names = (text[a:b] for a, b in spans) if m == 1 else (b" ".join(text[a:b].split()) for a, b in spans)
+        return zip(names, key.tolist(), n.tolist(), strict=True)
+
+
+def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before: dict[int, np.ndarray], named: bool, least: int) -> DataFrame:
+    """(``lang``, ``words``, ``phrase``, ``key``, ``n``): the phrases of
+    ``levels`` words that ``now`` proposes, and those of the border with a
+    NULL phrase, if they occur ``least`` times or more, but for those that
     ``before`` had so already; with ``words`` 0 the number of words of each
     language.  All words count as proposed.  Without ``named`` no phrase
     gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
     top = levels[-1]
-
-    def rows(names: list[bytes | None], m: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()).cast(pa.string()), pa.array(np.full(len(keys), m, np.int32)),
-                                           pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], names=["name", "words", "key", "n"])
+    spark = docs.sparkSession
+    bits = max(10, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2)
+
+    def rows(m: int, keys: np.ndarray, n: np.ndarray, lang: str | None = None, names: list[bytes] | None = None) -> pa.RecordBatch:
+        """A row per bucket of some ascending keys."""
+        cuts = np.flatnonzero(np.diff(keys >> np.uint64(64 - bits), prepend=np.uint64(1 << bits))).tolist() + [len(keys)]
+        spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        return pa.RecordBatch.from_arrays([
+            pa.array([m] * len(spans), pa.int32()), pa.array([int(keys[a]) >> (64 - bits) for a, _ in spans], pa.int32()), pa.array([lang] * len(spans), pa.string()),
+            pa.array([b"\n".join(names[a:b]) if names is not None else None for a, b in spans], pa.binary()), pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
+            pa.array([n[a:b].astype(np.int64).tobytes() if (n[a:b] > 1).any() else None for a, b in spans], pa.binary())], names=["words", "bucket", "lang", "names", "keys", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         border: dict[int, list[np.ndarray]] = {m: [] for m in levels}
+        names: dict[tuple[str, int], dict[tuple[bytes, int], int]] = {}
+        totals: Counter = Counter()
 
-        def border_rows(m: int) -> Iterator[pa.RecordBatch]:
+        def border_rows(m: int) -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate(border[m]), return_counts=True)
             border[m].clear()
-            for at in range(0, len(keys), 1 << 17):
-                some = keys[at: at + (1 << 17)]
-                yield rows([None] * len(some), m, some, n[at: at + (1 << 17)])
+            return rows(m, keys, n)
+
+        def named_rows() -> Iterator[pa.RecordBatch]:
+            for (lang, m), counts in names.items():
+                keys = np.array([k for _, k in counts], np.uint64)
+                order = np.argsort(keys, kind="stable")
+                phrases = [p for p, _ in counts]
+                yield rows(m, keys[order], np.array(list(counts.values()), np.int64)[order], lang, [phrases[i] for i in order.tolist()])
+            names.clear()
 
         def looked_at(lang: str, text: bytes, own: int) -> Iterator[pa.RecordBatch]:
-            suffix = b"\n" + lang.encode()
-            w = Words(text, own, mixed(np.array([zlib.crc32(suffix)], np.uint64))[0])
-            if not w.own:
-                return
-            keys, checks = w.keys, w.checks
+            w = Words(text, own, mixed(np.array([zlib.crc32(lang.encode())], np.uint64))[0])
+            totals[lang] += w.own
+            keys = w.keys
             for m in range(1, top + 1):
                 if m == 1:
-                    open_now = np.ones(len(keys), bool)
-                    open_before = np.zeros(len(keys), bool)
+                    open_now, open_before = np.ones(len(keys), bool), np.full(len(keys), bool(before))
                 else:
                     open_now, open_before = (e[:-1] & e[1:] & (w.joined if m == 2 else True) for e in (in_now, in_before))
                     if not open_now.any():
                         return
-                    keys, checks = _chained(keys, w.keys), _chained(checks, w.checks)
+                    keys = _chained(keys, w.keys)
                 in_now, in_before = open_now & _bits(now.get(m), keys), open_before & _bits(before.get(m), keys)
-                if m in levels:
-                    name_now, name_before = (open_now, open_before) if m == 1 else (in_now, in_before)
-                    if not named:
-                        name_now = name_before = np.zeros(len(keys), bool)
-                    fresh = np.flatnonzero((open_now & ~name_now & ~open_before)[: w.own])
-                    if len(fresh):
-                        border[m].append(keys[fresh])
-                        if sum(map(len, border[m])) > HELD:
-                            yield from border_rows(m)
-                    at = np.flatnonzero((name_now & ~name_before)[: w.own])
-                    if len(at):
-                        phrases, key, n = w.named(at, m, keys, checks)
-                        yield rows([p + suffix for p in phrases], m, key, n)
-            if named and 1 in levels:
-                yield rows([suffix], 0, np.zeros(1, np.uint64), np.array([w.own]))
+                if m not in levels:
+                    continue
+                if m == 1 and named:
+                    name_now, name_before = open_now, open_before
+                else:
+                    name_now, name_before = (in_now, in_before) if named else (open_before & False, open_before & False)
+                fresh = np.flatnonzero((open_now & ~name_now & ~open_before)[: w.own])
+                if len(fresh):
+                    border[m].append(keys[fresh])
+                    if sum(map(len, border[m])) > HELD:
+                        yield border_rows(m)
+                at = np.flatnonzero((name_now & ~name_before)[: w.own])
+                if len(at):
+                    counts = names.setdefault((lang, m), {})
+                    for phrase, key, n in w.named(at, m, keys):
+                        counts[phrase, key] = counts.get((phrase, key), 0) + n
+            if sum(map(len, names.values())) > HELD_NAMES:
+                yield from named_rows()
 
         held: dict[str, list[bytes]] = {}
         size = 0
@@ -188,12 +213,52 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                     yield from all_held()
                     size = 0
         yield from all_held()
+        yield from named_rows()
         for m in levels:
             if border[m]:
-                yield from border_rows(m)
+                yield border_rows(m)
+        if named and 1 in levels:
+            for lang, n in totals.items():
+                yield rows(0, np.zeros(1, np.uint64), np.array([n]), lang, [b""])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sums(m: int, keys: list[np.ndarray], counts: list[np.ndarray], names: dict[tuple[str, bytes, int], int]) -> pa.RecordBatch:
+            out = [(lang, m, p.decode(), k, n) for (lang, p, k), n in names.items() if n >= least or m == 0]
+            if keys:
+                all_, n = np.concatenate(keys), np.concatenate(counts)
+                order = np.argsort(all_)
+                all_, n = all_[order], n[order]
+                starts = np.flatnonzero(np.r_[True, all_[1:] != all_[:-1]])
+                n = np.add.reduceat(n, starts)
+                often = n >= least
+                out += [(None, m, None, k, c) for k, c in zip(all_[starts][often].tolist(), n[often].tolist(), strict=True)]
+            cols = list(zip(*out, strict=True)) if out else [[]] * 5
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()),
+                                               pa.array(np.array(cols[3], np.uint64).view(np.int64)), pa.array(cols[4], pa.int64())], names=["lang", "words", "phrase", "key", "n"])
+
+        last, keys, counts, names = None, [], [], {}
+        for batch in batches:
+            columns = [batch.column(c) for c in ("words", "bucket", "lang", "names", "keys", "counts")]
+            for words, bucket, lang, text, key, n in zip(*columns, strict=True):
+                here = words.as_py(), bucket.as_py()
+                if here != last:
+                    if last is not None:
+                        yield sums(last[0], keys, counts, names)
+                    last, keys, counts, names = here, [], [], {}
+                own = np.frombuffer(key.as_buffer(), np.uint64)
+                times = np.frombuffer(n.as_buffer(), np.int64) if n.is_valid else np.ones(len(own), np.int64)
+                if text.is_valid:
+                    lang = lang.as_py()
+                    for p, k, c in zip(text.as_py().split(b"\n"), own.tolist(), times.tolist(), strict=True):
+                        names[lang, p, k] = names.get((lang, p, k), 0) + c
+                else:
+                    keys.append(own.copy())
+                    counts.append(times.copy())
+        if last is not None:
+            yield sums(last[0], keys, counts, names)
 
-    parts = docs.mapInArrow(count, "name string, words int, key long, n long")
-    return parts.groupBy("name", "words", "key").agg(F.sum("n").alias("n"))
+    sent = docs.mapInArrow(count, _SENT)
+    return sent.repartition("words", "bucket").sortWithinPartitions("words", "bucket").mapInArrow(added, _SUMS)
 
 
 def _bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -220,7 +285,8 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rat
 
     A NULL language is ``und``, a NULL text has no words, as an empty one.
     Repeated rows count each.  No rows, or no words, give no rows.  A task
-    holds STRETCH bytes of text, or one word.
+    holds STRETCH bytes of text, or one word, and one bucket of keys: their
+    number grows with ``spark.sql.shuffle.partitions``.
     """
     small_batches(docs.sparkSession)
     if longest < 2 or min_count < 1 or not 0 < rate <= 1 or not 6 <= bits <= 32:
@@ -230,21 +296,18 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rat
     least = max(1, int(lowered * rate * min_count))
     now: dict[int, np.ndarray] = {}
     for m in range(1, longest + 1):
-        now[m] = _bitmap(_counted(few, range(m, m + 1), now, {}, named=False).where(F.col("n") >= least), bits)
+        now[m] = _bitmap(_counted(few, range(m, m + 1), now, {}, False, least), bits)
     before: dict[int, np.ndarray] = {}
     found: list[DataFrame] = []
     levels = range(1, longest + 1)
     while True:
-        counted = _counted(rows, levels, now, before, named=True)
-        found.append(cut_lineage(counted.where((F.col("words") == 0) | (F.col("n") >= min_count))))
+        found.append(cut_lineage(_counted(rows, levels, now, before, True, min_count)))
         more = {m: now[m] | _bitmap(found[-1].where(F.col("words") == m), bits) for m in now}
         if all((more[m] == now[m]).all() for m in now):
             break
         # Phrases of the border are frequent: they and what they open are counted too.
         before, now, levels = now, more, range(2, longest + 1)
-    name = F.split("name", "\n", 2)
-    seen = reduce(DataFrame.union, found).where(F.col("name").isNotNull())
-    return seen.select(name[1].alias("lang"), "words", name[0].alias("phrase"), "n")
+    return reduce(DataFrame.union, found).where(F.col("phrase").isNotNull()).select("lang", "words", "phrase", "n")
 
 
 #: floor(1000000 * a * a / (l * r)) on decimals, whose products are exact.
