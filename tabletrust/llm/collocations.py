@@ -129,8 +129,7 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
     ``levels`` words that ``now`` proposes, and those of the border with a
     NULL phrase, if they occur ``least`` times or more, but for those that
     ``before`` had so already; with ``words`` 0 the number of words of each
-    language.  All words count as proposed.  Without ``named`` no phrase
-    gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
+    language.  Without ``named`` no phrase gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
     top = levels[-1]
     spark = docs.sparkSession
     bits = max(10, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2)
@@ -146,7 +145,7 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         border: dict[int, list[np.ndarray]] = {m: [] for m in levels}
-        names: dict[tuple[str, int], dict[tuple[bytes, int], int]] = {}
+        names: dict[tuple[str, int], tuple[dict[bytes, int], dict[bytes, int]]] = {}
         totals: Counter = Counter()
 
         def border_rows(m: int) -> pa.RecordBatch:
@@ -155,11 +154,11 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
             return rows(m, keys, n)
 
         def named_rows() -> Iterator[pa.RecordBatch]:
-            for (lang, m), counts in names.items():
-                keys = np.array([k for _, k in counts], np.uint64)
+            for (lang, m), (counts, key_of) in names.items():
+                phrases = list(counts)
+                keys = np.fromiter(key_of.values(), np.uint64, len(phrases))
                 order = np.argsort(keys, kind="stable")
-                phrases = [p for p, _ in counts]
-                yield rows(m, keys[order], np.array(list(counts.values()), np.int64)[order], lang, [phrases[i] for i in order.tolist()])
+                yield rows(m, keys[order], np.fromiter(counts.values(), np.int64, len(phrases))[order], lang, [phrases[i] for i in order.tolist()])
             names.clear()
 
         def looked_at(lang: str, text: bytes, own: int) -> Iterator[pa.RecordBatch]:
@@ -177,10 +176,7 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                 in_now, in_before = open_now & _bits(now.get(m), keys), open_before & _bits(before.get(m), keys)
                 if m not in levels:
                     continue
-                if m == 1 and named:
-                    name_now, name_before = open_now, open_before
-                else:
-                    name_now, name_before = (in_now, in_before) if named else (open_before & False, open_before & False)
+                name_now, name_before = (in_now, in_before) if named else (open_now & False, open_now & False)
                 fresh = np.flatnonzero((open_now & ~name_now & ~open_before)[: w.own])
                 if len(fresh):
                     border[m].append(keys[fresh])
@@ -188,10 +184,11 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                         yield border_rows(m)
                 at = np.flatnonzero((name_now & ~name_before)[: w.own])
                 if len(at):
-                    counts = names.setdefault((lang, m), {})
+                    counts, key_of = names.setdefault((lang, m), ({}, {}))
                     for phrase, key, n in w.named(at, m, keys):
-                        counts[phrase, key] = counts.get((phrase, key), 0) + n
-            if sum(map(len, names.values())) > HELD_NAMES:
+                        counts[phrase] = counts.get(phrase, 0) + n
+                        key_of[phrase] = key
+            if sum(len(counts) for counts, _ in names.values()) > HELD_NAMES:
                 yield from named_rows()
 
         held: dict[str, list[bytes]] = {}
@@ -217,13 +214,13 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
         for m in levels:
             if border[m]:
                 yield border_rows(m)
-        if named and 1 in levels:
+        if named and not before:
             for lang, n in totals.items():
                 yield rows(0, np.zeros(1, np.uint64), np.array([n]), lang, [b""])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def sums(m: int, keys: list[np.ndarray], counts: list[np.ndarray], names: dict[tuple[str, bytes, int], int]) -> pa.RecordBatch:
-            out = [(lang, m, p.decode(), k, n) for (lang, p, k), n in names.items() if n >= least or m == 0]
+        def sums(m: int, keys: list[np.ndarray], counts: list[np.ndarray], names: dict[str, tuple[dict[bytes, int], dict[bytes, int]]]) -> pa.RecordBatch:
+            out = [(lang, m, p.decode(), key_of[p], n) for lang, (own, key_of) in names.items() for p, n in own.items() if n >= least or m == 0]
             if keys:
                 all_, n = np.concatenate(keys), np.concatenate(counts)
                 order = np.argsort(all_)
@@ -248,9 +245,10 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                 own = np.frombuffer(key.as_buffer(), np.uint64)
                 times = np.frombuffer(n.as_buffer(), np.int64) if n.is_valid else np.ones(len(own), np.int64)
                 if text.is_valid:
-                    lang = lang.as_py()
+                    seen, key_of = names.setdefault(lang.as_py(), ({}, {}))
                     for p, k, c in zip(text.as_py().split(b"\n"), own.tolist(), times.tolist(), strict=True):
-                        names[lang, p, k] = names.get((lang, p, k), 0) + c
+                        seen[p] = seen.get(p, 0) + c
+                        key_of[p] = k
                 else:
                     keys.append(own.copy())
                     counts.append(times.copy())
@@ -299,14 +297,13 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rat
         now[m] = _bitmap(_counted(few, range(m, m + 1), now, {}, False, least), bits)
     before: dict[int, np.ndarray] = {}
     found: list[DataFrame] = []
-    levels = range(1, longest + 1)
     while True:
-        found.append(cut_lineage(_counted(rows, levels, now, before, True, min_count)))
+        found.append(cut_lineage(_counted(rows, range(1, longest + 1), now, before, True, min_count)))
         more = {m: now[m] | _bitmap(found[-1].where(F.col("words") == m), bits) for m in now}
         if all((more[m] == now[m]).all() for m in now):
             break
         # Phrases of the border are frequent: they and what they open are counted too.
-        before, now, levels = now, more, range(2, longest + 1)
+        before, now = now, more
     return reduce(DataFrame.union, found).where(F.col("phrase").isNotNull()).select("lang", "words", "phrase", "n")
 
 
