@@ -35,7 +35,11 @@ from tabletrust.operators.numbering import number_rows
 
 #: Scripts written without spaces: each of their characters is a word.
 UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
-WORD = rf"[{UNSPACED}]|[^\x20\x09-\x0D{UNSPACED}]+"
+_BLANK = "[\\x20\\x09-\\x0D]+"
+#: Terms of weight 1 that compete together.
+CHUNK = 8
+#: What a row holds: a chunk, one term for a position each, or no term.
+ALL, EACH, NONE = -1, 0, -2
 #: A sample is a long: 36 bits of how it competes, 27 bits of what it is.
 TIE_BITS = 27
 _SAME = (1 << TIE_BITS) - 1
@@ -56,20 +60,32 @@ def weighted_ngrams(text: Column, n: int = 5) -> Column:
     hashes of its word n-grams and how often each occurs.  Lower case; a
     text of fewer than ``n`` words has one n-gram of all its words, one
     without words, or NULL, has none."""
-    def grams(words: Column) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - F.lit(n - 1)))
-        return F.when(F.size(words) > 0, F.transform(at, lambda i: F.xxhash64(F.slice(words, i, F.lit(n))))).otherwise(F.array().cast("array<bigint>"))
+    none = F.array().cast("array<struct<term:bigint,weight:double>>")
+
+    def words(plain: Column) -> Column:
+        apart = F.when(plain.rlike(f"[{UNSPACED}]"), F.regexp_replace(plain, f"([{UNSPACED}])", " $1 ")).otherwise(plain)
+        return F.split(F.regexp_replace(apart, f"^{_BLANK}|{_BLANK}$", ""), _BLANK)
+
+    def grams(w: Column) -> Column:
+        # A NULL beyond the end leaves the hash as it is.
+        at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - F.lit(n)))
+        return F.transform(at, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(n)]))
 
     def counted(sorted_: Column) -> Column:
         def runs(starts: Column) -> Column:
             return F.transform(starts, lambda at, i: F.struct(
                 F.get(sorted_, at).alias("term"), (F.coalesce(F.get(starts, i + 1), F.size(sorted_)) - at).cast("double").alias("weight")))
 
-        places = F.filter(F.sequence(F.lit(0), F.size(sorted_) - 1), lambda i: (i == 0) | (F.get(sorted_, i) != F.get(sorted_, i - 1)))
-        return F.when(F.size(sorted_) > 0, let(places, runs)).otherwise(F.array().cast("array<struct<term:bigint,weight:double>>"))
+        return let(F.filter(F.sequence(F.lit(0), F.size(sorted_) - 1), lambda i: (i == 0) | (F.get(sorted_, i) != F.get(sorted_, i - 1))), runs)
+
+    def bag(g: Column) -> Column:
+        once = F.transform(g, lambda t: F.struct(t.alias("term"), F.lit(1.0).alias("weight")))
+        return F.when(F.size(F.array_distinct(g)) == F.size(g), once).otherwise(let(F.sort_array(g), counted))
+
+    def of(w: Column) -> Column:
+        return F.when((F.size(w) == 1) & (F.get(w, F.lit(0)) == ""), none).otherwise(let(grams(w), bag))
 
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-    return let(F.sort_array(let(words, grams)), counted)
+    return let(let(F.lower(F.coalesce(text, F.lit(""))), words), of)
 
 
 def _hash(term: Column, salt: Column) -> Column:
@@ -80,47 +96,62 @@ def _uniform(h: Column) -> Column:
     return (F.shiftrightunsigned(h, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
-def draw(term: Column, weight: Column, salt: Column) -> Column:
-    """The sample of a term of any positive weight, as a long that is smaller
-    the better it competes."""
-    h = _hash(term, salt)
+def with_draws(rows: DataFrame, name: str, term: Column, weight: Column, salt: Column) -> DataFrame:
+    """``rows`` with ``name``: the sample of a term of any positive weight, a
+    long that is smaller the better it competes.  NULL terms have none."""
+    out = rows.withColumn("_h", F.when(term.isNotNull(), _hash(term, salt)))
+    out = out.withColumn("_a", -F.log1p(-(F.shiftrightunsigned("_h", 1 + TIE_BITS) + F.lit(0.5)) / F.lit(_UNIT)))
+    out = out.withColumn("_y", F.log(_uniform(F.xxhash64("_h", F.lit(1))))).withColumn("_z", F.log(F.lit(1.0) - F.log(_uniform(F.xxhash64("_h", F.lit(2)))) / F.col("_a")))
+    out = out.withColumn("_r", F.col("_z") - F.col("_y")).withColumn("_b", -F.col("_y") / F.col("_r"))
+    out = out.withColumn("_k", F.floor(F.log(weight) / F.col("_r") + F.col("_b")))
+    # a = c * exp(-r * (t - beta + 1)), with c = a * z.
+    least = F.col("_a") * F.exp(F.col("_z") - F.col("_r") * (F.col("_k") - F.col("_b") + F.lit(1.0)))
+    place = F.least(F.floor(-F.expm1(-least) * F.lit(_UNIT)), F.lit((1 << (63 - TIE_BITS)) - 1))
+    which = F.when(F.col("_k") == 0, F.col("_h")).otherwise(F.xxhash64("_h", F.col("_k") + F.lit(16)))
+    sample = F.shiftleft(place.cast("bigint"), TIE_BITS).bitwiseOR(F.shiftrightunsigned(which, 1).bitwiseAND(F.lit(_SAME)))
+    return out.withColumn(name, F.when(F.col("_h").isNotNull(), sample)).drop("_h", "_a", "_y", "_z", "_r", "_b", "_k")
 
-    def of(h: Column) -> dict[str, Column]:
-        a = -F.log1p(-(F.shiftrightunsigned(h, 1 + TIE_BITS) + F.lit(0.5)) / F.lit(_UNIT))
-        y, u = _uniform(F.xxhash64(h, F.lit(1))), _uniform(F.xxhash64(h, F.lit(2)))
-        return {"a": a, "y": y, "z": F.lit(1.0) - F.log(u) / a}
 
-    x = of(h)
-    r = F.log(x["z"]) - F.log(x["y"])
-    beta = -F.log(x["y"]) / r
-    t = F.floor(F.log(weight) / r + beta)
-    # c * exp(-r * (t - beta + 1)), with c = a * z.
-    a = x["a"] * x["z"] * F.exp(-r * (t - beta + F.lit(1.0)))
-    place = F.least(F.floor(-F.expm1(-a) * F.lit(_UNIT)), F.lit((1 << (63 - TIE_BITS)) - 1))
-    which = F.when(t == 0, h).otherwise(F.xxhash64(h, t + F.lit(16)))
-    return F.shiftleft(place.cast("bigint"), TIE_BITS).bitwiseOR(F.shiftrightunsigned(which, 1).bitwiseAND(F.lit(_SAME)))
-
-
-def weighted_samples(bags: DataFrame, keys: list[str], samples: int = 64, seed: int = 1, term: str = "term", weight: str = "weight") -> DataFrame:
+def weighted_samples(bags: DataFrame, keys: list[str], samples: int = 64, seed: int = 1, bag: str = "bag") -> DataFrame:
     """One row per ``keys``: the samples of its bag as ``sig``, an array of
     ``samples`` longs that equal each other where (term, t) do, empty for a
     bag without terms.
 
-    ``bags`` has a row per term, each term of a bag once; rows with a NULL
-    term, or a weight that is NULL or not above 0, only make the bag known.
+    ``bags`` has one row per ``keys`` with ``bag``, an array of (``term``
+    long, ``weight`` double), each term once.  Terms that are NULL or have a
+    weight that is NULL or not above 0 do not count; a NULL bag is empty.
     """
-    real = F.col(term).isNotNull() & (F.coalesce(F.col(weight), F.lit(0.0)) > 0)
-    salts = [F.xxhash64(F.lit(seed), F.lit(j)) for j in range(samples)]
-    rows = bags.select(*keys, F.when(real, F.col(term)).alias("_t"), F.col(weight).cast("double").alias("_w"))
-    # A weight of 1 competes at all positions at once, another at each by itself.
-    each = F.when(F.col("_w") != 1, F.sequence(F.lit(0), F.lit(samples - 1))).otherwise(F.array(F.lit(-1)))
-    rows = rows.withColumn("_j", F.explode(F.when(F.col("_t").isNull(), F.array(F.lit(-1))).otherwise(each)))
-    one = draw(F.col("_t"), F.col("_w"), F.xxhash64(F.lit(seed), F.col("_j")))
-    rows = rows.withColumn("_s", F.when(F.col("_j") >= 0, one))
-    least = [F.min(F.when(F.col("_j") == j, F.col("_s")).when((F.col("_j") < 0) & F.col("_t").isNotNull(), F.shiftrightunsigned(_hash(F.col("_t"), salt), 1))).alias(f"_m{j}")
-             for j, salt in enumerate(salts)]
+    real = F.filter(F.coalesce(F.col(bag), F.array().cast("array<struct<term:bigint,weight:double>>")),
+                    lambda x: x["term"].isNotNull() & (F.coalesce(x["weight"], F.lit(0.0)) > 0))
+
+    def entry(kind: int, weight: Column, terms: list[Column]) -> Column:
+        return F.struct(F.lit(kind).alias("_kind"), F.coalesce(weight, F.lit(0.0)).alias("_w"),
+                        *[F.coalesce(t, F.lit(0).cast("bigint")).alias(f"_t{k}") for k, t in enumerate(terms)])
+
+    def competing(x: Column) -> Column:
+        # Terms of weight 1 compete at all positions at once, by the chunk; others one by one.
+        ones = F.transform(F.filter(x, lambda t: t["weight"] == 1), lambda t: t["term"])
+        others = F.transform(F.filter(x, lambda t: t["weight"] != 1), lambda t: entry(EACH, t["weight"], [t["term"]] * CHUNK))
+
+        def chunks(one: Column) -> Column:
+            at = F.when(F.size(one) > 0, F.sequence(F.lit(0), F.size(one) - 1, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+            return F.transform(at, lambda i: entry(ALL, F.lit(1.0), [F.coalesce(F.get(one, i + k), F.get(one, i)) for k in range(CHUNK)]))
+
+        none = F.array(entry(NONE, F.lit(0.0), [F.lit(0).cast("bigint")] * CHUNK))
+        return F.when(F.size(x) > 0, F.concat(let(ones, chunks), others)).otherwise(none)
+
+    rows = bags.select(*keys, F.inline(let(real, competing)))
+    rows = rows.withColumn("_j", F.explode(F.when(F.col("_kind") == EACH, F.sequence(F.lit(0), F.lit(samples - 1))).otherwise(F.array("_kind"))))
+    rows = with_draws(rows, "_s", F.when(F.col("_j") >= 0, F.col("_t0")), F.col("_w"), F.xxhash64(F.lit(seed), "_j"))
+
+    def least(j: int) -> Column:
+        salt = F.xxhash64(F.lit(seed), F.lit(j))
+        chunk = F.least(*[F.shiftrightunsigned(_hash(F.col(f"_t{k}"), salt), 1) for k in range(CHUNK)])
+        return F.min(F.when(F.col("_j") == j, F.col("_s")).when(F.col("_j") == ALL, chunk)).alias(f"_m{j}")
+
     all_ = F.array(*[f"_m{j}" for j in range(samples)])
-    return rows.groupBy(*keys).agg(*least).select(*keys, F.when(F.col("_m0").isNull(), F.array().cast("array<bigint>")).otherwise(all_).alias("sig"))
+    return rows.groupBy(*keys).agg(*map(least, range(samples))).select(
+        *keys, F.when(F.col("_m0").isNull(), F.array().cast("array<bigint>")).otherwise(all_).alias("sig"))
 
 
 def fingerprint_text(sig: Column) -> Column:
@@ -139,7 +170,7 @@ def fingerprints(docs: DataFrame, n: int = 5, samples: int = 64, seed: int = 1,
     """One row per row of ``docs``: ``doc_id``, ``sig`` (the signature of its
     bag of word ``n``-grams) and ``fingerprint`` (the signature as text).
     NULL counts as the empty text, whose signature is empty."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("_at"), F.inline_outer(weighted_ngrams(F.col(text), n)))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("_at"), weighted_ngrams(F.col(text), n).alias("bag"))
     return weighted_samples(rows, ["doc_id", "_at"], samples, seed).select("doc_id", "sig", fingerprint_text(F.col("sig")).alias("fingerprint"))
 
 
@@ -185,7 +216,7 @@ def edited_fingerprints(docs: DataFrame, n: int = 5, samples: int = 64, seed: in
     each = texts.select("slab", "at", "guest", "times", "doc_id", chars.cast("bigint").alias("n_chars"), F.sha2(F.col("_edited").cast("binary"), 256).alias("edited_sha256"),
                         F.explode(F.when(F.col("guest"), F.slice(both, 1, 1)).otherwise(both)).alias("b"))
     keys = ["slab", "at", "b.kind", "guest", "times", "doc_id", "n_chars", "edited_sha256"]
-    bags = each.select(*keys, F.inline_outer(weighted_ngrams(F.col("b.body"), n)))
+    bags = each.select(*keys, weighted_ngrams(F.col("b.body"), n).alias("bag"))
     keys[2] = "kind"
     sigs = weighted_samples(bags, keys, samples, seed)
     turn = Window.partitionBy("slab").orderBy("at", "kind")

@@ -14,7 +14,7 @@ from tabletrust.llm.components import components
 
 def test_all_operators_are_registered():
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
