@@ -6,7 +6,7 @@ files split across tasks like any text input.  A record usually is one
 statement, but may be several, or a whole file whose lines end otherwise
 (give ``;\\r\\n`` for such dumps, so that they split too): every record is
 read to its end.  Statements that are ``INSERT INTO <t> [(columns)] VALUES``
-for the wanted table give one row per ``(v, v, ...)`` tuple, in batches of
+(or REPLACE, with any of the usual modifiers) for the wanted table give one row per ``(v, v, ...)`` tuple, in batches of
 bounded size; other statements and comments are skipped.  Values are kept
 as text and cast by the table contract afterwards (``safe_cast``), so a
 quoted integer ``'1'`` becomes 1, the zero date becomes NULL with a note,
@@ -14,7 +14,8 @@ and anything unconvertible is rejected with its statement and tuple
 position.  A broken tuple is rejected with its offset in the record, and
 reading goes on at the next tuple or statement; nothing is dropped.
 Dump writers escape newlines inside values, so ``;\\n`` never occurs
-inside a value; one record must fit in a task.
+inside a value; one record must fit in a task.  For dumps where either does
+not hold there is ``record_end=None``: see :mod:`dump_splits`.
 """
 
 from __future__ import annotations
@@ -47,13 +48,14 @@ TUPLES_SCHEMA = T.StructType([
 
 # Pieces of the dump language; possessive, so a match costs linear time.
 _BLANK = re.compile(r"(?:\s++|--[^\n]*+|\#[^\n]*+|/\*.*?\*/)*+", re.S)
-_HEAD = re.compile(r"INSERT\s+(?:IGNORE\s+)?INTO\s+(?:`?\w+`?\s*\.\s*)?`?(\w+)`?\s*(?:\(([^()]*)\)\s*)?VALUES?\b\s*", re.I)
+_INTO = r"(?:INSERT|REPLACE)\s+(?:(?:LOW_PRIORITY|DELAYED|HIGH_PRIORITY|IGNORE)\s+)*(?:INTO\s+)?(?:`?\w+`?\s*\.\s*)?"
+_HEAD = re.compile(_INTO + r"`?(\w+)`?\s*(?:\(([^()]*)\)\s*)?VALUES?\b\s*", re.I)
 _QUOTED = re.compile(r"'((?:[^'\\]++|\\.|'')*+)'|\"((?:[^\"\\]++|\\.|\"\")*+)\"", re.S)
 _BARE = re.compile(r"[^,()'\";]*+")
 _ESCAPE = re.compile(r"\\(.)|''|\"\"", re.S)
 _OTHER = re.compile(r"(?:[^;'\"`\-/\#]++|'(?:[^'\\]++|\\.|'')*+'|\"(?:[^\"\\]++|\\.|\"\")*+\"|`[^`]*+`|--[^\n]*+|/\*.*?\*/|\#[^\n]*+|[^;])*+", re.S)
 _SPACE = re.compile(r"\s*+")
-_NEXT = re.compile(r"\)\s*+,\s*+(?=\()|\)?\s*+;\s*+(?=INSERT\b|$)", re.I)
+_NEXT = re.compile(r"\)\s*+,\s*+(?=\()|\)?\s*+;\s*+(?=INSERT\b|REPLACE\b|$)", re.I)
 
 
 def _unescape(text: str, quote: str) -> str:
@@ -106,7 +108,7 @@ def read_tuples(text: str, table: str) -> Iterator[tuple[int | None, list[str] |
             continue
         head = _HEAD.match(text, at)
         if not head or head[1].lower() != table.lower():
-            if not head and re.match(r"INSERT\s+(?:IGNORE\s+)?INTO\s+(?:`?\w+`?\s*\.\s*)?`?" + re.escape(table) + r"`?[\s(]", text[at: at + 4096], re.I):
+            if not head and re.match(_INTO + "`?" + re.escape(table) + r"`?[\s(]", text[at: at + 4096], re.I):
                 yield None, None, None, f"unreadable INSERT at offset {at}"
             at = max(at + 1, _OTHER.match(text, at).end())
             continue
@@ -138,7 +140,7 @@ def read_tuples(text: str, table: str) -> Iterator[tuple[int | None, list[str] |
 def read_records(spark: SparkSession, path: str, record_end: str = ";\n") -> DataFrame:
     """``stmt_id, text`` for every record that may hold an INSERT."""
     raw = spark.read.option("lineSep", record_end).text(path)
-    return raw.where(F.col("value").rlike(r"(?i)INSERT\s")).select(
+    return raw.where(F.col("value").rlike(r"(?i)(INSERT|REPLACE)\s")).select(
         F.monotonically_increasing_id().alias("stmt_id"), F.col("value").alias("text"))
 
 
@@ -149,7 +151,7 @@ def _listed(name: str, i: int) -> Column:
 
 
 def read_insert_dump(spark: SparkSession, path: str, table: str, contract: TableContract,
-                     record_end: str = ";\n", stage: bool = True) -> tuple[DataFrame, DataFrame]:
+                     record_end: str | None = ";\n", stage: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` rows of ``table`` from dump files.
 
     ``good`` has the contract's columns and types (plus ``notes``); a
@@ -160,7 +162,13 @@ def read_insert_dump(spark: SparkSession, path: str, table: str, contract: Table
 
     With ``stage`` (default) the tuples are written once to the shared
     checkpoint folder, so the good and rejected frames (and their repeated
-    use) do not read the text again."""
+    use) do not read the text again.
+
+    With ``record_end=None`` the files are read in the splits Spark gives
+    them, wherever statements end: one statement of any size is read by many
+    tasks, and ``;\\n`` inside a quoted value is data.  ``stmt_id`` then is
+    the place in its file of the stretch that a tuple was read with, and
+    ``tuple_idx`` counts in it."""
 
     def tokenize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
@@ -181,7 +189,12 @@ def read_insert_dump(spark: SparkSession, path: str, table: str, contract: Table
         if rows:
             yield frame()
 
-    tuples = read_records(spark, path, record_end).mapInPandas(tokenize, TUPLES_SCHEMA)
+    if record_end is None:
+        from tabletrust.sources.dump_splits import split_tuples
+
+        tuples, stage = split_tuples(spark, path, table), False
+    else:
+        tuples = read_records(spark, path, record_end).mapInPandas(tokenize, TUPLES_SCHEMA)
     if stage:
         checkpoint_dir(spark)
         tuples = tuples.checkpoint(eager=True)
@@ -240,6 +253,28 @@ def write_insert_dump(df: DataFrame, path: str, table: str, tuples_per_statement
         .write.mode("overwrite").text(path)
 
 
+def write_statement_files(df: DataFrame, path: str, table: str) -> None:
+    """Write a DataFrame as one extended-INSERT statement per file, a line
+    per row, however many rows a file has: rows stream to text, nothing is
+    grouped.  Newlines inside values are written as they are."""
+    raw = [F.replace(_sql_value(F.col(f"`{f.name}`"), f.dataType), F.lit("\\n"), F.lit("\n")) if isinstance(f.dataType, T.StringType)
+           else _sql_value(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    head = f"INSERT INTO `{table}` VALUES"
+
+    def lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            tuples = frame["value"].tolist()
+            if not tuples:
+                continue
+            yield pd.DataFrame({"value": ([head] if held is None else [held + ","]) + [t + "," for t in tuples[:-1]]})
+            held = tuples[-1]
+        if held is not None:
+            yield pd.DataFrame({"value": [held + ";"]})
+
+    df.select(F.concat(F.lit("("), F.concat_ws(",", *raw), F.lit(")")).alias("value")).mapInPandas(lines, "value string").write.mode("overwrite").text(path)
+
+
 # ------------------------------------------------------------------ S3
 def full_refresh(df: DataFrame, target: str, contract: TableContract, staging: str,
                  parents: dict[str, DataFrame] | None = None) -> tuple[bool, DataFrame]:
