@@ -30,6 +30,8 @@ DEFAULT_REL = 1e-6
 
 INF = float("inf")
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
+#: Types that compare as numbers; NULL compares with anything.
+NUMBER = "^(tinyint|smallint|int|bigint|float|double|boolean|void|decimal.*)$"
 
 
 def _validate(name: str, v) -> None:
@@ -70,16 +72,22 @@ def tolerance(expected: Column, rel=None, abs=None) -> Column:  # noqa: A002 - m
 
 
 def near(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False) -> Column:  # noqa: A002
-    """A1/A2: scalar approximate equality of two numeric columns; never NULL.
-
-    Equality is tested in the columns' own types, and integers are
-    subtracted exactly; only other differences are taken in doubles."""
-    a, e = actual.cast("double"), expected.cast("double")
+    """A1/A2: scalar approximate equality; never NULL.
+
+    Columns that are not numbers compare strictly, and never equal a number.
+    Of numbers, equality is tested in the columns' own types, and integers
+    are subtracted exactly; only other differences are taken in doubles.
+    (Types that no cast to double exists for, such as dates, go through
+    :func:`near_for_type`.)"""
+    numbers = F.typeof(actual).rlike(NUMBER) & F.typeof(expected).rlike(NUMBER)
+    strict = F.when(F.typeof(actual) == F.typeof(expected), actual.eqNullSafe(expected)).otherwise(actual.isNull() & expected.isNull())
+    a, e = actual.try_cast("double"), expected.try_cast("double")
     integers = F.typeof(actual).isin(*INTEGERS) & F.typeof(expected).isin(*INTEGERS)
     exact = F.abs(expected.try_cast("decimal(20,0)") - actual.try_cast("decimal(20,0)")).cast("double")
     nan_ok_col = nan_ok if isinstance(nan_ok, Column) else F.lit(bool(nan_ok))
     return (
-        F.when(a.isNull() | e.isNull(), a.eqNullSafe(e))
+        F.when(~numbers, strict)
+        .when(a.isNull() | e.isNull(), a.eqNullSafe(e))
         .when(F.isnan(e), nan_ok_col & F.isnan(a))
         .when(F.isnan(a), F.lit(False))
         .when(actual == expected, F.lit(True))
@@ -203,10 +211,18 @@ def _exactly(v: Column, dtype: T.DecimalType) -> Column:
         F.lit(f"not a {dtype.simpleString()}: "), v.cast("string"))).cast(dtype)).otherwise(cast)
 
 
-def near_array(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False) -> Column:  # noqa: A002
-    """A4: ordered arrays, equal length, every pair near."""
-    pairs = F.zip_with(actual, expected, lambda x, y: near(x, y, rel, abs, nan_ok))
-    return F.when(actual.isNull() | expected.isNull(), actual.eqNullSafe(expected)).otherwise(
+def _rule(element: T.DataType | None, rel, abs, nan_ok):  # noqa: A002
+    """The comparison of two elements of a type."""
+    if element is None:
+        return lambda x, y: near(x, y, rel, abs, nan_ok)
+    return lambda x, y: near_for_type(x, y, element, rel, abs, nan_ok)
+
+
+def near_array(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False, element: T.DataType | None = None) -> Column:  # noqa: A002
+    """A4: ordered arrays, equal length, every pair near, by the rule of the
+    type ``element`` if it is given (exact decimals, dates)."""
+    pairs = F.zip_with(actual, expected, _rule(element, rel, abs, nan_ok))
+    return F.when(actual.isNull() | expected.isNull(), actual.isNull() & expected.isNull()).otherwise(
         (F.size(actual) == F.size(expected)) & F.forall(pairs, lambda b: b)
     )
 
@@ -231,12 +247,14 @@ def near_ndarray(actual: Column, actual_shape: Column, expected: Column, expecte
     return actual_shape.eqNullSafe(expected_shape) & near_array(actual, expected, rel, abs, nan_ok)
 
 
-def near_map(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False) -> Column:  # noqa: A002
-    """Equal key sets, values compared by key."""
+def near_map(actual: Column, expected: Column, rel=None, abs=None, nan_ok=False, element: T.DataType | None = None) -> Column:  # noqa: A002
+    """Equal key sets, values compared by key, by the rule of their type
+    ``element`` if it is given."""
+    rule = _rule(element, rel, abs, nan_ok)
     same_keys = F.array_sort(F.map_keys(actual)) == F.array_sort(F.map_keys(expected))
     values = F.forall(
         F.map_keys(expected),
-        lambda k: near(F.try_element_at(actual, k), F.try_element_at(expected, k), rel, abs, nan_ok),
+        lambda k: rule(F.try_element_at(actual, k), F.try_element_at(expected, k)),
     )
     # ``<=>`` is not defined on maps: test the NULL branch by hand.
     return F.when(actual.isNull() | expected.isNull(), actual.isNull() & expected.isNull()).otherwise(
@@ -264,10 +282,10 @@ def near_for_type(actual: Column, expected: Column, dtype: T.DataType, rel=None,
         return near(actual, expected, rel, abs, nan_ok)
     if isinstance(dtype, T.ArrayType):
         check_not_nested(dtype, "array")
-        return near_array(actual, expected, rel, abs, nan_ok)
+        return near_array(actual, expected, rel, abs, nan_ok, dtype.elementType)
     if isinstance(dtype, T.MapType):
         check_not_nested(dtype, "map")
-        return near_map(actual, expected, rel, abs, nan_ok)
+        return near_map(actual, expected, rel, abs, nan_ok, dtype.valueType)
     return actual.eqNullSafe(expected)
 
 

@@ -131,15 +131,24 @@ def from_epoch_seconds(seconds: Column) -> Column:
 
 
 # ------------------------------------------------------------------ F6
-def round_to(value: Column, digits: Column) -> Column:
+def round_to(value: Column, digits: Column, dtype: T.DataType | None = None) -> Column:
     """Round (half up) to a number of decimals taken from the data; a
     negative number rounds to tens, hundreds and so on.
 
     ``round(v, col)`` needs a constant scale, so the digits pick one of the
-    constant-scale roundings, which keep decimals exact.  With more than 38
-    decimals a value stays as it is: no decimal has more.  Fewer than -9
-    are an error: such roundings would widen a decimal's type and cost it
-    its own decimals."""
+    constant-scale roundings, which keep decimals exact.  Give a decimal's
+    type as ``dtype``: the result then has that type and all its digits
+    (a number that rounds beyond it raises), whatever the digits are, and
+    there are only the roundings that the type can have.  Without it more
+    than 38 decimals leave a value as it is, and fewer than -9 are an error:
+    such roundings would widen a decimal's type and cost it its own
+    decimals."""
+    if isinstance(dtype, T.DecimalType):
+        whole = dtype.precision - dtype.scale
+        out = F.when(digits >= dtype.scale, value.cast(dtype)).when(digits < -whole, F.lit(0).cast(dtype))
+        for d in range(dtype.scale - 1, -whole - 1, -1):
+            out = out.when(digits == d, F.round(value, d).cast(dtype))
+        return out
     low = F.raise_error(F.concat(F.lit("cannot round to so few decimals: "), digits.cast("string")))
     out = F.when(digits > 38, value).when(digits < -9, low)
     for d in range(-9, 39):

@@ -399,6 +399,12 @@ def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
                 # 1.7 as an integer, or more decimals than the column keeps.
                 back = typed.try_cast(src)
                 reasons.append(F.when(typed.isNotNull() & ~F.coalesce(back == raw, F.lit(False)), F.lit(f"{c.name}:lossy")))
+            if isinstance(src, T.StringType) and isinstance(dst, T.DecimalType):
+                # Digits after the point that the column does not keep; other spellings (1e-3) by value.
+                plain = raw.rlike(r"^\s*[+-]?\d*\.?\d*\s*$")
+                digits = F.length(F.rtrim(F.regexp_extract(raw, r"\.(\d*)", 1), F.lit("0")))
+                other = ~F.coalesce(raw.try_cast("double") == typed.cast("double"), F.lit(False))
+                reasons.append(F.when(typed.isNotNull() & F.when(plain, digits > dst.scale).otherwise(other), F.lit(f"{c.name}:lossy")))
             if timestamp_from_text:
                 notes.append(F.when(is_zero, F.lit(f"{c.name}:zero_date")))
         if c.max_length is not None and isinstance(dst, T.StringType):
@@ -409,6 +415,8 @@ def cast_with_reasons(df: DataFrame, contract: TableContract) -> DataFrame:
                 out_of = out_of | (typed < bound(c.lo))
             if c.hi is not None:
                 out_of = out_of | (typed > bound(c.hi))
+            if isinstance(dst, (T.FloatType, T.DoubleType)):
+                out_of = out_of | F.isnan(typed)
             reasons.append(F.when(F.coalesce(out_of, F.lit(False)), F.lit(f"{c.name}:out_of_range")))
         casted.append(typed.alias(c.name))
     extra = [F.col(c) for c in df.columns if c not in contract.names]

@@ -357,3 +357,22 @@ def touch_on_change(spark, sf_dir):
     touched = CMP.touch_on_change(o, edited_orders(o), ["o_orderkey"], "o_orderdate",
                                   now=F.lit("2013-02-17 00:00:00").cast("timestamp_ntz"))
     return touched.select("o_orderkey", "touched", F.col("o_orderdate").cast("date").alias("stamped_on"))
+
+
+# ------------------------------------------------------------------ A4, A7 of text
+@query("near_text", ("A1", "A4", "A7"), """
+    SELECT p_partkey, p_size <= 25 OR upper(p_type) = p_type AS ok_array, p_size % 7 <> 0 OR p_brand = 'x' AS ok_map, p_size % 3 <> 0 AS ok_scalar, false AS ok_mixed
+    FROM part""")
+def near_text(spark, sf_dir):
+    """Arrays, maps and columns of text compare strictly, element by element."""
+    p = Tables(spark, sf_dir).part
+    brand, kind, size = F.col("p_brand"), F.col("p_type"), F.col("p_size")
+    text, texts, names = T.StringType(), T.ArrayType(T.StringType()), T.MapType(T.StringType(), T.StringType())
+    typed = F.when(size > 25, F.upper(kind)).otherwise(kind)
+    return p.select(
+        "p_partkey",
+        A.near_for_type(F.array(brand, kind, F.lit(None)), F.array(brand, typed, F.lit(None)), texts).alias("ok_array"),
+        A.near_for_type(F.create_map(F.lit("b"), brand, F.lit("t"), kind),
+                        F.create_map(F.lit("t"), kind, F.lit("b"), F.when(size % 7 == 0, F.lit("x")).otherwise(brand)), names).alias("ok_map"),
+        A.near_for_type(kind, F.when(size % 3 == 0, F.concat(kind, F.lit(" "))).otherwise(kind), text).alias("ok_scalar"),
+        A.near(kind, size).alias("ok_mixed"))

@@ -37,3 +37,18 @@ def dump_rejects(spark, sf_dir):
     D.write_insert_dump(spelled, f"{base}/dump", "part", tuples_per_statement=200)
     _, rejected = D.read_insert_dump(spark, f"{base}/dump", "part", PART)
     return rejected.select(F.get("vals", F.lit(0)).alias("p_partkey"), F.explode("reasons").alias("reason"))
+
+
+@query("dump_in_splits", ("S2",), """
+    SELECT p_partkey, p_name || ';' || chr(10) || '),(' || p_brand AS p_name, p_size FROM part""")
+def dump_in_splits(spark, sf_dir):
+    """A file is one statement, with ends of lines and of tuples inside its
+    values; it is read in whatever splits the files have."""
+    base = scratch_path(spark, "dump-splits")
+    p = Tables(spark, sf_dir).part
+    named = p.withColumn("p_name", F.concat("p_name", F.lit(";\n),("), "p_brand"))
+    D.write_statement_files(named.select(*PART.names), base, "part")
+    good, rejected = D.read_insert_dump(spark, base, "part", PART, record_end=None)
+    if not rejected.isEmpty():
+        raise RuntimeError(f"{rejected.count()} dump tuples rejected")
+    return good.select("p_partkey", "p_name", "p_size")

@@ -7,6 +7,8 @@ with a value above 300 are delivered truncated (unreadable JSON).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,3 +207,42 @@ def assign_keys(spark, sf_dir):
     keyed = d.select(F.col("doc_id").alias("old_id"),
                      F.when(F.col("lang") == "de", F.lit(None)).otherwise(F.col("doc_id")).alias("doc_key"))
     return RT.assign_keys(keyed, "doc_key", ["old_id"], start=1)
+
+
+# ------------------------------------------------------------------ S6, U3
+@query("table_fingerprints", ("S6", "U3"), """
+    WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders),
+    copies AS (
+      SELECT 'same' AS copy, * FROM o
+      UNION ALL SELECT 'one value' AS copy, o_orderkey, CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM o) THEN o_custkey + 1 ELSE o_custkey END, o_orderstatus FROM o
+      UNION ALL SELECT 'one null' AS copy, o_orderkey, o_custkey, CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM o) THEN NULL ELSE o_orderstatus END FROM o
+      UNION ALL SELECT 'one twice' AS copy, * FROM o
+      UNION ALL SELECT 'one twice' AS copy, * FROM o WHERE o_orderkey = (SELECT min(o_orderkey) FROM o)),
+    names AS (SELECT DISTINCT copy FROM copies)
+    SELECT n.copy, (SELECT count(*) FROM copies c WHERE c.copy = n.copy) AS n_rows,
+           (SELECT count(*) FROM (SELECT o_orderkey, o_custkey, o_orderstatus FROM copies c WHERE c.copy = n.copy EXCEPT ALL SELECT * FROM o))
+           + (SELECT count(*) FROM (SELECT * FROM o EXCEPT ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM copies c WHERE c.copy = n.copy)) = 0 AS same
+    FROM names n""")
+def table_fingerprints(spark, sf_dir):
+    """Copies of ``orders``, with a map and a nested column, against the
+    table itself: one aggregate a copy tells whether the rows are the same."""
+    o = Tables(spark, sf_dir).orders
+    lowest = F.broadcast(o.agg(F.min("o_orderkey").alias("lowest")))  # one row
+
+    def shaped(df):
+        return df.select(F.create_map(F.lit("key"), "o_orderkey", F.lit("customer"), "o_custkey").alias("m"),
+                         F.struct(F.array("o_orderstatus").alias("s"), "o_orderkey").alias("n"))
+
+    own = shaped(o)
+    first = F.col("o_orderkey") == F.col("lowest")
+    marked = o.crossJoin(lowest)  # with one row
+    copies = {
+        "same": shaped(o.repartition(3, "o_custkey")),
+        "one value": shaped(marked.withColumn("o_custkey", F.when(first, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))),
+        "one null": shaped(marked.withColumn("o_orderstatus", F.when(~first, F.col("o_orderstatus")))),
+        "one twice": own.unionByName(shaped(marked.where(first))),
+    }
+    of = K.table_fingerprint(own).select(F.struct("n_rows", "sum_a", "sum_b").alias("own"))
+    each = [K.table_fingerprint(df).select(F.lit(name).alias("copy"), "n_rows", F.struct("n_rows", "sum_a", "sum_b").alias("it")) for name, df in copies.items()]
+    rows = reduce(DataFrame.unionByName, each)
+    return rows.crossJoin(F.broadcast(of)).select("copy", "n_rows", (F.col("it") == F.col("own")).alias("same"))

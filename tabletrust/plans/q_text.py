@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabletrust.functions import scalar as S
 from tabletrust.operators import lookup as L
@@ -86,7 +89,7 @@ def round_digits(spark, sf_dir):
     digits = F.col("l_linenumber") % 4
     value = F.col("l_extendedprice").cast("decimal(18,2)")
     return li.select("l_orderkey", "l_linenumber", digits.alias("digits"),
-                     S.round_to(value, digits).cast("double").alias("rounded"))
+                     S.round_to(value, digits, T.DecimalType(18, 2)).cast("double").alias("rounded"))
 
 
 # ------------------------------------------------------------------ F10
@@ -159,3 +162,18 @@ def report_order(spark, sf_dir):
 def conversation_hygiene(spark, sf_dir):
     """The same profile over conversation turns, per speaker role."""
     return S.hygiene_profile(Tables(spark, sf_dir).conversations, "text", "role")
+
+
+@query("round_wide", ("F6",), """
+    SELECT o_orderkey, o_orderkey % 16 AS digits,
+           CAST(CASE o_orderkey % 16 """ + " ".join(f"WHEN {d} THEN CAST(round(v, {d}) AS DECIMAL(38,12))" for d in range(12)) + """ ELSE v END AS VARCHAR) AS rounded
+    FROM (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,12)) + CAST(o_orderkey % 997 AS DECIMAL(38,12)) * CAST(0.001002003004 AS DECIMAL(13,12)) AS v
+          FROM orders)""")
+def round_wide(spark, sf_dir):
+    """Decimals of 12 digits after the point keep them, whatever the number
+    to round to is."""
+    wide = T.DecimalType(38, 12)
+    part = (F.col("o_orderkey") % 997).cast("decimal(10,0)") * F.lit(Decimal("0.001002003004"))
+    value = (F.col("o_totalprice").cast("decimal(18,2)") + part).cast(wide)
+    digits = F.col("o_orderkey") % 16
+    return Tables(spark, sf_dir).orders.select("o_orderkey", digits.alias("digits"), S.round_to(value, digits, wide).cast("string").alias("rounded"))
