@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabletrust.operators.transitions import previous_value
+
 SEQ = ("seq_ts", "seq_id")
 
 
@@ -74,7 +76,8 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
     that triggered it -- only those arrays are exploded.  A child may
     itself be a collector.  The state of a collector depends on its
     parent's expansions, so the plan walks the tree one depth level per
-    round (one ``lag`` window per level over collector events only; as many
+    round (each collector event looks back at the one before, by slices, so
+    that a collector of any size spreads over tasks; as many
     rounds as the reporting collectors are deep, and an error if one comes
     up twice: a cycle or a child of two levels); expansion events of each level are checkpointed to the
     shared folder so the plan does not grow with the depth.  Item state is
@@ -111,13 +114,12 @@ def expand_collectors(item_reports: DataFrame, collect_reports: DataFrame, child
     inherited = None  # 'set' events handed down to the current level
     collector_final = []
     item_marks = []
-    order = Window.partitionBy(node).orderBy(*seq, F.col("kind").desc())
     seen = level
     while not level.isEmpty():
         events = own.join(level, node, "left_semi")
         if inherited is not None:
             events = events.unionByName(inherited.join(level, node, "left_semi"))
-        events = events.withColumn("prev", F.lag("kind").over(order))
+        events = previous_value(events, "kind", [*seq, F.col("kind").desc()], [node])
         collector_final.append(
             events.groupBy(node).agg(F.max_by(F.col("kind") == "set", seq_struct(seq)).alias("failing"))
         )

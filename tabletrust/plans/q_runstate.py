@@ -458,3 +458,19 @@ def from_saved_state(rep: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     modules = collect.where(old & (F.col("seq_id") == -1)).groupBy("node_id").agg(
         F.max_by(F.col("outcome") == "failed", "seq_ts").alias("bad")).where("bad").select("node_id")
     return R.last_failed(rep.where(old)).unionByName(modules), rep.where(~old), collect.where(~old), children
+
+
+# ------------------------------------------------------------------ W7
+@query("state_transitions", ("W7",), """
+    WITH e AS (SELECT event_id, event_type, user_id % 3 = 0 AS busy, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS who, ts FROM events),
+    p AS (SELECT *, lag(event_type) OVER (PARTITION BY who ORDER BY ts, event_id) AS was FROM e)
+    SELECT event_id, was, event_type AS now FROM p WHERE was IS NULL OR was <> event_type""")
+def state_transitions(spark, sf_dir):
+    """Where the kind of a user's events changes; a third of all users are
+    one, whose events spread over many tasks."""
+    from tabletrust.operators.transitions import transitions
+
+    ev = Tables(spark, sf_dir).events
+    who = F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    rows = ev.select("event_id", "event_type", "ts", who.alias("who"))
+    return transitions(rows, "event_type", ["ts", "event_id"], ["who"]).select("event_id", "was", "now")
