@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabletrust.llm.common import cut_lineage
-from tabletrust.llm.vectors import distinct_vectors, ranked_answers, usable
+from tabletrust.llm.vectors import distinct_vectors, of_one_length, ranked_answers, usable
 
 
 class Tree:
@@ -117,8 +117,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = 8, le
     all distinct vectors, but at least ``least``.
 
     Vectors that are NULL, empty, zero or hold a NULL or non-finite
-    component take no part, nor do rows with a NULL vec_id.  All vectors
-    must be of one length.  Equal vectors are indexed once; rows that repeat
+    component take no part, nor do rows with a NULL vec_id or, where lengths
+    differ, of another than the most frequent one (ties: the longer).  Equal vectors are indexed once; rows that repeat
     a vec_id count once each, never for a query of that vec_id.  An empty
     table gives no rows.
     """
@@ -126,6 +126,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = 8, le
     rows = cut_lineage(
         vectors.where(F.col(vec_id).isNotNull() & usable(F.col(vector)) & F.exists(F.col(vector), lambda c: c != 0))
         .select(F.col(vec_id).cast("bigint").alias("id"), F.transform(F.col(vector), lambda c: c.cast("double")).alias("v")))
+    rows = of_one_length(rows)
     queries = rows.where(is_query).distinct()
     classes = cut_lineage(distinct_vectors(rows, k + 1))
     asked = cut_lineage(queries.select("v").distinct())
@@ -179,7 +180,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, trees: int = 8, le
         for at in range(0, len(q), 512):
             near = q[at: at + 512] @ x.T
             for row, cosines in enumerate(near, at):
-                best = np.arange(len(x)) if len(x) <= k + 9 else np.argpartition(-cosines, k + 8)[: k + 9]
+                # All that may be among the best k + 1: rounding differs, and ties go to the smaller id.
+                best = np.arange(len(x)) if len(x) <= k + 1 else np.flatnonzero(cosines >= np.partition(cosines, -(k + 1))[-(k + 1)] - 1e-12)
                 # The sum of one pair alone does not depend on its block.
                 exact = (q[row] * x[best]).sum(axis=1)
                 best = best[np.lexsort((first[best], -exact))[: k + 1]]

@@ -17,6 +17,7 @@ piece fits is filled by cutting one.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import defaultdict
@@ -132,12 +133,18 @@ def stretches(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+#: The JSON tokenizers of this Python worker.
+_WHOLE: dict = {}
+
+
 def encoder(path: str | None):
     """Encodes as the byte-level BPE ``byte_bpe_50k.json`` does, whose
     vocabulary the ranks file holds; the reader of ranks is several times
-    faster.  Strings of special tokens are ordinary text."""
+    faster.  A stretch that holds the string of a special token is left to
+    the JSON file, which lies beside the ranks."""
     import public_tokenizers
     import tiktoken
+    from tokenizers import Tokenizer
 
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     known = tiktoken.registry.ENCODINGS  # one per Python worker
@@ -147,8 +154,15 @@ def encoder(path: str | None):
                 path, pat_str=public_tokenizers.PATTERN, special_tokens={},
                 mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks)})
     whole = known[path]
+    beside = re.sub(r"\.\w+$", ".json", path)
+    with open(beside, encoding="utf-8") as file:
+        special = re.compile("|".join(re.escape(t["content"]) for t in json.load(file).get("added_tokens", [])) or r"(?!)")
 
     def encode(text: str) -> np.ndarray:
+        if special.search(text):
+            if beside not in _WHOLE:
+                _WHOLE[beside] = Tokenizer.from_file(beside)
+            return np.array(_WHOLE[beside].encode(text, add_special_tokens=False).ids, np.uint32)
         if len(text) < LONG:
             return whole.encode_to_numpy(text)
         out, at = [], 0

@@ -16,6 +16,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(F.forall(vector, finite), F.lit(False)) & (F.size(vector) > 0)
 
 
+def of_one_length(rows: DataFrame) -> DataFrame:
+    """The rows whose vector ``v`` has the most frequent length (ties: the
+    longer one)."""
+    lengths = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).limit(1).collect()
+    return rows.where(F.size("v") == (lengths[0]["dims"] if lengths else 0))
+
+
 def distinct_vectors(rows: DataFrame, most: int) -> DataFrame:
     """(``v``, ``ids``): the distinct vectors of ``rows`` (``id``, ``v``)
     with their ``most`` smallest ids, ascending.

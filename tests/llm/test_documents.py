@@ -399,8 +399,8 @@ def test_pieces_are_the_documents(spark, odd, odd_rows):
     import public_tokenizers
     from tokenizers import Tokenizer
     json = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    json.encode_special_tokens = True
-    extra = [(100, "<|endoftext|> don't  we'll \n\n x y 12345 ...", "a", "s", 1), (101, "ab cd " * 40_000, "a", "s", 1)]
+    extra = [(100, "<|endoftext|> don't  we'll \n\n x y 12345 ...", "a", "s", 1), (101, "ab cd " * 40_000, "a", "s", 1),
+             (102, "a <|endoftext|> b", "a", "s", 1), (103, "x y " * 30_000 + "<|endoftext|><|endoftext|> end<|endoftext|>", "a", "s", 1)]
     docs = spark.createDataFrame(odd_rows + extra, odd.schema).repartition(3)
     rows = packing.pack_documents(docs).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
