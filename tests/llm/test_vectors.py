@@ -97,7 +97,7 @@ def test_empty_tables(spark, run):
 def test_ties_go_to_the_smaller_id(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=16).astype(np.float32)
-    rows = [(801 + i, (base * 2.0 ** (i - 100)).tolist()) for i in range(200)] + [(1000, base.tolist())]
+    rows = [(801 + i, (base * 2.0 ** (i - 100)).tolist()) for i in range(200)] + [(5000, base.tolist())]
     rows += [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(1, 400)] + [(2000 + i, [1.0] * 5) for i in range(20)]
-    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") == 1000, share=1.0).collect()
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") == 5000, share=1.0).collect()
     assert [(r.rank, r.vec_id) for r in sorted(out, key=lambda r: r["rank"])] == [(i + 1, 801 + i) for i in range(5)]
