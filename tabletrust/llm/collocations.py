@@ -129,7 +129,8 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
     ``levels`` words that ``now`` proposes, and those of the border with a
     NULL phrase, if they occur ``least`` times or more, but for those that
     ``before`` had so already; with ``words`` 0 the number of words of each
-    language.  Without ``named`` no phrase gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
+    language.  All words count as proposed.  Without ``named`` no phrase
+    gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
     top = levels[-1]
     spark = docs.sparkSession
     bits = max(10, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2)
@@ -176,7 +177,10 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                 in_now, in_before = open_now & _bits(now.get(m), keys), open_before & _bits(before.get(m), keys)
                 if m not in levels:
                     continue
-                name_now, name_before = (in_now, in_before) if named else (open_now & False, open_now & False)
+                # Words are all counted by name: few are rare, and their later naming would be a pass of its own.
+                name_now, name_before = (open_now, open_before) if m == 1 else (in_now, in_before)
+                if not named:
+                    name_now = name_before = np.zeros(len(keys), bool)
                 fresh = np.flatnonzero((open_now & ~name_now & ~open_before)[: w.own])
                 if len(fresh):
                     border[m].append(keys[fresh])
