@@ -10,11 +10,13 @@ micro-batch; with a TTL, idle nodes are forgotten
 (``applyInPandasWithState``, since native aggregations have no timeout).
 
 T3: ``last_failed_stream`` publishes the failing set when it changes.  It
-is kept in two slots.  A batch reads the slot of the newest epoch before
-its own, writes the other one and then, last, that slot's pointer; readers
-follow the newest pointer.  So an empty set is seen, old versions go, a
-batch that fails half-way leaves the published set as it was, and a
-repeated batch finds its epoch published and does nothing.
+is kept in two slots.  A batch reads the newest slot, writes the other one
+and then, last, that slot's pointer; readers follow the newest pointer.
+Publications have numbers of their own, so a query that starts again with a
+new checkpoint, whose epochs start from 0, goes on from the published set.
+An empty set is seen, old versions go, a batch that fails half-way leaves
+the published set as it was, and a repeated batch (of the same query and
+epoch) finds itself published and does nothing.
 
 T2 ``first_seen_stream``: streaming ``dropDuplicates`` on the node id (the
 seen set is the state), optionally bounded by a watermark.
@@ -31,35 +33,38 @@ from tabletrust.operators.runstate import relevant
 SLOTS = (0, 1)
 
 
-def _published(spark: SparkSession, path: str, before: int | None = None) -> tuple[int, int] | None:
-    """(epoch, slot) of the newest pointer, or of the newest below
-    ``before``; None if there is none."""
+POINTER = "version long, run string, epoch long"
+
+
+def _published(spark: SparkSession, path: str) -> tuple[int, str | None, int, int] | None:
+    """(version, run, epoch, slot) of the newest pointer; None if there is
+    none.  (A pointer of an epoch alone counts that as its version.)"""
     found = []
     for slot in SLOTS:
         try:
-            rows = spark.read.schema("epoch long").parquet(f"{path}/pointer_{slot}").collect()  # one row
+            rows = spark.read.schema(POINTER).parquet(f"{path}/pointer_{slot}").collect()  # one row
         except AnalysisException:
             continue
-        found += [(r["epoch"], slot) for r in rows if before is None or r["epoch"] < before]
-    return max(found, default=None)
+        found += [(r["epoch"] if r["version"] is None else r["version"], r["run"], r["epoch"], slot) for r in rows]
+    return max(found, key=lambda p: p[0], default=None)
 
 
 def published_set(spark: SparkSession, path: str) -> DataFrame | None:
     """The failing set published last, or None before the first one."""
     path = path.rstrip("/")
     now = _published(spark, path)
-    return None if now is None else spark.read.schema("node_id string").parquet(f"{path}/set_{now[1]}")
+    return None if now is None else spark.read.schema("node_id string").parquet(f"{path}/set_{now[3]}")
 
 
-def publish_changes(spark: SparkSession, changed: DataFrame, epoch: int, path: str) -> bool:
+def publish_changes(spark: SparkSession, changed: DataFrame, epoch: int, path: str, run: str | None = None) -> bool:
     """Apply one batch of (``node_id``, ``failing``), one row per node, to
     the failing set; publish it if that changes it, and the first time.
-    Returns whether it was published."""
+    ``run`` names the query that counts the epochs.  Returns whether it was
+    published."""
     path = path.rstrip("/")
-    now = _published(spark, path)
-    if now is not None and now[0] == epoch:
+    prev = _published(spark, path)
+    if prev is not None and prev[1:3] == (run, epoch):
         return False  # a repeated batch
-    prev = _published(spark, path, before=epoch)
     # Read several times below: kept in a folder that the next batch reuses.
     changed.select("node_id", "failing").write.mode("overwrite").parquet(f"{path}/batch")
     changed = spark.read.schema("node_id string, failing boolean").parquet(f"{path}/batch")
@@ -67,14 +72,16 @@ def publish_changes(spark: SparkSession, changed: DataFrame, epoch: int, path: s
     if prev is None:
         new, slot = failing, SLOTS[0]
     else:
-        old, slot = spark.read.schema("node_id string").parquet(f"{path}/set_{prev[1]}"), 1 - prev[1]
+        old, slot = spark.read.schema("node_id string").parquet(f"{path}/set_{prev[3]}"), 1 - prev[3]
         appeared = failing.join(old, "node_id", "left_anti")
         gone = changed.where("not failing").join(old, "node_id", "left_semi").select("node_id")
         if appeared.union(gone).isEmpty():
             return False
         new = old.join(changed, "node_id", "left_anti").union(failing)
     new.write.mode("overwrite").parquet(f"{path}/set_{slot}")
-    spark.range(1).select(F.lit(epoch).cast("bigint").alias("epoch")).coalesce(1).write.mode("overwrite").parquet(f"{path}/pointer_{slot}")
+    version = 0 if prev is None else prev[0] + 1
+    pointer = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(run).cast("string").alias("run"), F.lit(epoch).cast("bigint").alias("epoch"))
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{path}/pointer_{slot}")
     return True
 
 
@@ -99,7 +106,10 @@ def last_failed_stream(spark: SparkSession, reports_stream: DataFrame, publish_p
     published set with :func:`published_set`."""
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        publish_changes(batch.sparkSession, batch, epoch_id, publish_path)
+        spark = batch.sparkSession
+        # The query's id, which it keeps in its checkpoint.
+        run = spark.read.text(f"{checkpoint_path.rstrip('/')}/metadata").first()[0]
+        publish_changes(spark, batch, epoch_id, publish_path, run)
 
     return _start(newest_reports(reports_stream).writeStream.outputMode("update").foreachBatch(on_batch), checkpoint_path, available_now)
 

@@ -416,3 +416,18 @@ def test_paths_first_function_and_status_variants(spark):
     assert R.status_line(it, two, failed_first_mode=True).first()["status"] == "rerun previous 2 failures first"
     assert R.status_line(it, none, no_failures="none").first()["status"] == \
         "no previously failed tests, deselecting all items."
+
+
+def test_a_new_checkpoint_goes_on_from_the_published_set(spark):
+    from tabletrust.session import scratch_path
+    from tabletrust.streaming import runstate_stream as ST
+
+    path = scratch_path(spark, "publish-again")
+    frame = lambda *rows: spark.createDataFrame(list(rows), "node_id string, failing boolean")
+    nodes = lambda: sorted(r[0] for r in ST.published_set(spark, path).collect())
+    assert ST.publish_changes(spark, frame(("n1", True)), 0, path, "first") and ST.publish_changes(spark, frame(("n2", True)), 5, path, "first")
+    assert not ST.publish_changes(spark, frame(("n2", True)), 5, path, "first")
+    assert ST.publish_changes(spark, frame(("n3", True)), 0, path, "second") and nodes() == ["n1", "n2", "n3"]
+    assert not ST.publish_changes(spark, frame(("n3", False)), 0, path, "second")  # repeated
+    assert ST.publish_changes(spark, frame(("n1", False), ("n4", True)), 1, path, "second") and nodes() == ["n2", "n3", "n4"]
+    assert not ST.publish_changes(spark, frame(("n1", False)), 2, path, "second") and nodes() == ["n2", "n3", "n4"]
