@@ -62,11 +62,24 @@ def all_pairs(starts: np.ndarray) -> Iterator[np.ndarray]:
             yield (at[lo: lo + step, None, None] + inside[None]).reshape(-1, 2)
 
 
-def candidates(frame: pd.DataFrame, starts: np.ndarray, buckets: Callable, near: Callable | None) -> np.ndarray:
+def keys_by_band(shared: list[np.ndarray]) -> np.ndarray:
+    """A column for each band with the rows' buckets; where a row has none,
+    a number that no other row has."""
+    flat = np.concatenate(shared)
+    keys = np.repeat(-1 - np.arange(len(shared))[:, None], 1 + int(flat.max() >> 32), axis=1)
+    keys[np.repeat(np.arange(len(shared)), list(map(len, shared))), flat >> 32] = flat
+    return keys
+
+
+def candidates(frame: pd.DataFrame, starts: np.ndarray, buckets: Callable | None, near: Callable | None) -> np.ndarray:
     """The pairs of rows of each block whose first shared bucket it is."""
-    width = max(map(len, frame["sig"]))
-    sigs = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in frame["sig"]]), np.uint64).reshape(len(frame), -1)
-    keys, own, part = buckets(sigs), frame["bucket"].to_numpy(), frame["part"].to_numpy()
+    if buckets is None:
+        keys = keys_by_band(frame["sig"].tolist())
+    else:
+        width = max(map(len, frame["sig"]))
+        sigs = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in frame["sig"]]), np.uint64).reshape(len(frame), -1)
+        keys = buckets(sigs)
+    own, part = frame["bucket"].to_numpy(), frame["part"].to_numpy()
     cross = (frame["left"] != frame["right"]).to_numpy()
     out = [np.empty((0, 2), np.int64)]
     for pairs in all_pairs(starts):
@@ -81,7 +94,7 @@ def candidates(frame: pd.DataFrame, starts: np.ndarray, buckets: Callable, near:
     return np.concatenate(out)
 
 
-def links(members: DataFrame, sigs: DataFrame, payloads: Callable[[DataFrame], DataFrame], buckets: Callable, verify: Callable,
+def links(members: DataFrame, sigs: DataFrame | None, payloads: Callable[[DataFrame], DataFrame], buckets: Callable | None, verify: Callable,
           near: Callable | None = None, chunk: int = 192) -> DataFrame:
     """Verified links: (``id``, ``links``, ``other``), one row per block and
     linked member: how many of its links were found there, and a member
@@ -91,6 +104,8 @@ def links(members: DataFrame, sigs: DataFrame, payloads: Callable[[DataFrame], D
     (``id``, ``sig`` binary of unsigned 64-bit words; shorter ones are filled
     with zeros), one row per id;
     ``buckets(sigs)``: a signature's buckets, one column for each band.
+    Both may be None if a bucket is ``band << 32`` plus a 32-bit key: then
+    members carry the buckets that they share, and nothing else.
     ``near(a, b)``, if given, says which pairs of signatures are candidates
     at all.  ``payloads(ids)`` gives (``id``, ``payload``), one row for each
     row of ``ids``.  ``verify(payloads, pairs)`` yields the index pairs that
@@ -99,7 +114,13 @@ def links(members: DataFrame, sigs: DataFrame, payloads: Callable[[DataFrame], D
     """
     id_type = members.schema["id"].dataType
     counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = members.join(counts, "bucket").join(sigs, "id")
+    shared = members.join(counts, "bucket")
+    if sigs is not None:
+        shared = shared.join(sigs, "id")
+    else:
+        # As many as there are bands at most.
+        own = shared.groupBy("id").agg(F.collect_list(F.struct("bucket", "n")).alias("own"))
+        shared = own.select("id", F.col("own.bucket").alias("sig"), F.explode("own").alias("at")).select("id", "sig", "at.bucket", "at.n")
     chunks = F.ceil(F.col("n") / F.lit(chunk)).cast("int")
     blocks = (
         shared.withColumn("part", F.pmod(F.xxhash64("id"), chunks).cast("int"))
