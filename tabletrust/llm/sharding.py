@@ -7,10 +7,11 @@ child, key), and the smallest draw wins, so a child gets keys in
 proportion to its weight.  The draw of a child whose weight stays does not
 change: raising one weight pulls keys only into that child, and every
 movement stays inside the subtrees whose weights change.  A shard added as
-a region of its own (``grow``) therefore takes keys only into itself.
+a region of its own (``grow``) therefore takes keys only into itself, and
+:func:`uniform_tree` adds all shards beyond its first ones so.
 
 Everything is a DataFrame expression: no join and no shuffle for the
-assignment; only the gapless slots need one exchange of narrow rows.
+assignment; only the gapless slots need exchanges of narrow rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabletrust.llm.common import hash60
+from tabletrust.llm.common import cut_lineage, hash60
 
 #: region name -> rack name -> shard number -> weight
 Tree = dict[str, dict[str, dict[int, float]]]
@@ -26,14 +27,21 @@ Tree = dict[str, dict[str, dict[int, float]]]
 #: Slots are numbered in this many hash slices per shard, so that no shard
 #: is numbered by one task.  Fixed: slots depend on the rows alone.
 SLICES = 1024
+#: Rows that are equal in all that counts are numbered in this many parts.
+PARTS = 64
 
 
-def uniform_tree(shards: int, per_rack: int = 4, racks_per_region: int = 2) -> Tree:
-    """``shards`` shards of weight 1, filled rack by rack."""
+def uniform_tree(shards: int, per_rack: int = 4, racks_per_region: int = 2, first: int = 24) -> Tree:
+    """The tree of ``shards`` shards of weight 1: the ``first`` ones, with
+    which the cluster starts, are filled rack by rack, and each later one is
+    a region of its own.  The number of shards alone decides the tree, and
+    from ``first`` on one more shard takes keys only into itself."""
     tree: Tree = {}
-    for s in range(shards):
+    for s in range(min(shards, first)):
         rack = s // per_rack
         tree.setdefault(f"region{rack // racks_per_region}", {}).setdefault(f"rack{rack}", {})[s] = 1.0
+    for _ in range(first, shards):
+        tree = grow(tree)
     return tree
 
 
@@ -91,26 +99,36 @@ def assign_shards(docs: DataFrame, tree: Tree, key: str = "doc_id", text: str =
 
     NULL text counts as empty.  A NULL key is placed like any other; rows
     with equal keys share a shard, and repeated rows get slots of their
-    own.  An empty table gives no rows; other columns are ignored.
+    own (which of them gets which does not show).  An empty table gives no
+    rows; other columns are ignored.
     """
     bytes_ = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     rows = docs.select(F.col(key).alias("_key"), (F.length(bytes_).cast("bigint") + 8).alias("_size"), F.crc32(bytes_).alias("_crc"))
-
-    def sliced(df: DataFrame) -> DataFrame:
-        return place(df, "_key", tree, "_shard", seed).withColumn("_slice", (hash60(seed, "slice", F.col("_key")) % SLICES).cast("int"))
-
-    placed = place(sliced(rows), "_key", grow(tree), "_grown", seed)
-    # The counts of all slices: at most shards x SLICES rows.
-    counts = sliced(docs.select(F.col(key).alias("_key"))).groupBy("_shard", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_shard").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_shard", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_shard", "_slice").orderBy("_key", "_crc", "_size")
+    rows = place(place(rows, "_key", tree, "_shard", seed), "_key", grow(tree), "_grown", seed)
+    # A hot key spreads over slices by its texts, a hot row over its parts.
+    # The parts are as the rows lie, so they are drawn once.
+    placed = cut_lineage(
+        rows.withColumn("_hash", hash60(seed, "slot", F.col("_key"), F.col("_size"), F.col("_crc")))
+        .withColumn("_slice", (F.col("_hash") % SLICES).cast("int"))
+        .withColumn("_part", F.monotonically_increasing_id() % PARTS))
+    run = ["_shard", "_slice", "_hash", "_part"]
+    counts = placed.groupBy(*run).agg(F.count(F.lit(1)).alias("_n"))
+
+    def before(by: list[str], order: list[str]) -> Column:
+        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(window), F.lit(0))
+
+    # At most shards x SLICES rows.
+    slices = counts.groupBy("_shard", "_slice").agg(F.sum("_n").alias("_n"))
+    slices = slices.select("_shard", "_slice", before(["_shard"], ["_slice"]).alias("_first"))
+    starts = counts.select(*run, before(["_shard", "_slice"], ["_hash", "_part"]).alias("_before")).join(slices, ["_shard", "_slice"])
+    inside = Window.partitionBy(*run).orderBy("_key", "_crc", "_size")
     return (
         placed.withColumn("_at", F.row_number().over(inside))
-        .join(offsets, ["_shard", "_slice"])
+        .join(starts, run)
         .select(
             F.col("_key").alias(key), F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"),
-            F.col("_shard").alias("shard"), (F.col("_before") + F.col("_at") - 1).cast("bigint").alias("slot"),
+            F.col("_shard").alias("shard"), (F.col("_first") + F.col("_before") + F.col("_at") - 1).cast("bigint").alias("slot"),
             F.col("_grown").alias("grown_shard"),
         )
     )

@@ -67,6 +67,31 @@ def test_shards_grow_into_the_new_one_only(spark):
     assert max(map(len, by.values())) < 1.2 * 20_000 / 24
 
 
+def test_the_number_of_shards_decides(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    placed = []
+    for n in (24, 25, 26, 27):
+        rows = sharding.assign_shards(docs, sharding.uniform_tree(n)).collect()
+        placed.append({r.doc_id: r.shard for r in rows})
+        grown = {r.doc_id: r.grown_shard for r in rows}
+        if n > 24:
+            assert placed[-1] == last and all(placed[-2][k] == s or s == n - 1 for k, s in placed[-1].items())
+        last = grown
+    assert set(placed[-1].values()) == set(range(27))
+
+
+def test_hot_keys_and_rows_are_numbered_without_gaps(spark):
+    docs = spark.range(3000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("doc_id"), F.when(F.col("id") % 2 > 0, F.concat(F.lit("t"), F.col("id"))).alias("text"))
+    rows = sharding.assign_shards(docs, sharding.uniform_tree(24)).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.shard].append(r.slot)
+    assert len(rows) == 3000 and 1 <= len(by) <= 3 and all(sorted(s) == list(range(len(s))) for s in by.values())
+    again = sharding.assign_shards(docs.repartition(7), sharding.uniform_tree(24)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
 def test_shards_follow_weights_and_move_inside_changed_subtrees(spark):
     tree = {"r0": {"k0": {0: 1.0, 1: 3.0}, "k1": {2: 2.0}}, "r1": {"k2": {3: 2.0, 4: 0.0}}}
     more = {"r0": {"k0": {0: 1.0, 1: 3.0}, "k1": {2: 3.0}}, "r1": {"k2": {3: 2.0, 4: 0.0}}}
