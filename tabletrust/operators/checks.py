@@ -210,17 +210,9 @@ def schema_diff(df: DataFrame, contract: TableContract, nullability: bool = Fals
 
 
 # ---------------------------------------------------------------- C11
-def contract_report(
-    df: DataFrame, contract: TableContract, parents: dict[str, DataFrame] | None = None
-) -> DataFrame:
-    """One row per rule (``tbl, rule, col, n_violations``), zero rows included.
-
-    All row-local rules (NOT NULL, range, length, domain, implication,
-    ordering) share a single aggregate pass; the key rules add one
-    aggregate each; references add one anti join each over distinct keys.
-    Column pruning keeps each pass to the columns it needs.
-    """
-    parents = parents or {}
+def row_rules(df: DataFrame, contract: TableContract) -> tuple[list[tuple[str, str, Column]], list[tuple[str, str]]]:
+    """The rules that look at one row, as (rule, column, violated), and
+    those that cannot be checked since ``df`` lacks their columns."""
     have = set(df.columns)
     single: list[tuple[str, str, Column]] = []
     # Rules over columns the frame lacks cannot be checked: they are
@@ -263,6 +255,22 @@ def contract_report(
         add_rule("implies", rule.name, implies_violation(rule.if_, rule.then_))
     for rule in contract.ordered:
         add_rule("ordered", rule.name, ordered_violation(rule.lo, rule.mid, rule.hi))
+    return single, unchecked
+
+
+def contract_report(
+    df: DataFrame, contract: TableContract, parents: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """One row per rule (``tbl, rule, col, n_violations``), zero rows included.
+
+    All row-local rules (NOT NULL, range, length, domain, implication,
+    ordering) share a single aggregate pass; the key rules add one
+    aggregate each; references add one anti join each over distinct keys.
+    Column pruning keeps each pass to the columns it needs.
+    """
+    parents = parents or {}
+    have = set(df.columns)
+    single, unchecked = row_rules(df, contract)
 
     keys = [("primary_key", tuple(contract.primary_key))] if contract.primary_key else []
     keys += [("unique", tuple(u)) for u in contract.unique]

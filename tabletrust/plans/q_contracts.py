@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabletrust.contract import CURRENT_TIMESTAMP, Col, TableContract
 from tabletrust.operators import checks as C
+from tabletrust.operators.incremental import incremental_report
 from tabletrust.plans.catalog import Tables, query
 from tabletrust.plans.driver_contracts import CUSTOMER, DRIVER_CONTRACTS, LINEITEM, ORDERS
 from tabletrust.session import scratch_path
@@ -89,6 +90,20 @@ def contract_summary(spark, sf_dir):
     return reduce(DataFrame.unionByName, reports)
 
 
+@query("contract_incremental", ("C11", "C1", "C4"), contract_report_sql(LINEITEM))
+def contract_incremental(spark, sf_dir):
+    """``lineitem`` in files: some that stay, one that is replaced after the
+    first report and one that comes later."""
+    t = Tables(spark, sf_dir)
+    base, state = scratch_path(spark, "lineitem-files"), scratch_path(spark, "lineitem-state")
+    t.lineitem.withColumn("part", F.pmod("l_orderkey", F.lit(3))).write.partitionBy("part").parquet(base)
+    stale = t.lineitem.withColumn("l_quantity", -F.col("l_quantity")).withColumn("l_partkey", F.lit(-1).cast("bigint"))
+    stale.write.parquet(f"{base}/part=9")
+    stay, old, new = [f"{base}/part=0", f"{base}/part=1"], f"{base}/part=9", f"{base}/part=2"
+    incremental_report(spark, [*stay, old], LINEITEM, state, _parents(t, LINEITEM))
+    return incremental_report(spark, [*stay, new], LINEITEM, state, _parents(t, LINEITEM))
+
+
 # -------------------------------------------------------------- C1, G7
 @query(
     "pk_violations",
