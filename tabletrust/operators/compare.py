@@ -17,9 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabletrust.functions.approx import INF, near_for_type, tolerance, tolerance_text
+from tabletrust.functions.approx import INF, near, near_for_type, tolerance, tolerance_text
 from tabletrust.operators.keyed import null_safe_join
 
+# Fixed value: the report of arrays of different shapes (expected, obtained).
+SHAPES_DIFFER = "Impossible to compare arrays with different shapes. Shapes: %s and %s"
+ONE_IS_NULL = "one of the arrays is NULL"
+NOT_FILLED = "the values do not fill the shape"
 MATCHED, ONLY_ACTUAL, ONLY_EXPECTED, DUPLICATE = "matched", "missing_expected", "missing_actual", "duplicate_key"
 
 
@@ -136,6 +140,62 @@ def array_mismatch_summary(actual: Column, expected: Column, ok_elem) -> Column:
     )
 
 
+def shape_text(shape: Column) -> Column:
+    """A shape as ``(2, 3)``, of one dimension as ``(2,)``."""
+    inner = F.concat_ws(", ", shape.cast("array<string>"))
+    text = F.concat(F.lit("("), inner, F.when(F.size(shape) == 1, F.lit(",)")).otherwise(F.lit(")")))
+    return F.when(shape.isNotNull(), text)
+
+
+def ndarray_index(position: Column, shape: Column) -> Column:
+    """The index, one number for each dimension, of a position (from 0) in
+    values that are stored flat, the last dimension running fastest."""
+    start = F.struct(F.array().cast("array<bigint>").alias("index"), position.cast("bigint").alias("rest"))
+
+    def outer(acc: Column, n: Column) -> Column:
+        inside = acc["rest"] % n.cast("bigint")
+        return F.struct(F.concat(F.array(inside), acc["index"]).alias("index"), ((acc["rest"] - inside) / n).cast("bigint").alias("rest"))
+
+    return F.aggregate(F.reverse(shape), start, outer, lambda acc: acc["index"])
+
+
+def ndarray_mismatches(df: DataFrame, keys, actual: Column, actual_shape: Column, expected: Column, expected_shape: Column,
+                       rel=None, abs=None, nan_ok: bool = False, element: T.DataType | None = None) -> DataFrame:  # noqa: A002
+    """The mismatches of n-d arrays that are stored flat with a shape.
+
+    ``keys``, ``message``, ``index``, ``obtained``, ``expected``: one row per
+    differing element with its index; arrays that cannot be compared element
+    by element (other shapes, one of them NULL, a shape that its values do
+    not fill) give one row with the ``message`` alone.  Arrays that are near
+    give none, as do two that are NULL; arrays without shapes are of one
+    dimension.  ``element``, if given, is the elements' type, by whose rule
+    they are compared.
+    """
+
+    def differ(a: Column, x: Column) -> Column:
+        return ~(near(a, x, rel, abs, nan_ok) if element is None else near_for_type(a, x, element, rel, abs, nan_ok))
+
+    shape = F.coalesce(expected_shape, F.array(F.size(expected)))
+    room = F.aggregate(shape, F.lit(1).cast("bigint"), lambda n, d: n * d)
+    message = (
+        F.when(actual.isNull() != expected.isNull(), F.lit(ONE_IS_NULL))
+        .when(actual.isNull(), F.lit(None).cast("string"))
+        .when(~actual_shape.eqNullSafe(expected_shape), F.format_string(
+            SHAPES_DIFFER, *[F.coalesce(shape_text(s), F.lit("NULL")) for s in (expected_shape, actual_shape)]))
+        .when((F.size(actual) != F.size(expected)) | (F.size(expected) != room), F.lit(NOT_FILLED))
+    )
+    pairs = F.zip_with(actual, expected, lambda a, x: F.struct(a.alias("obtained"), x.alias("expected")))
+    placed = F.transform(pairs, lambda p, i: F.struct(i.alias("at"), p["obtained"].alias("obtained"), p["expected"].alias("expected")))
+    cells = F.transform(
+        F.filter(placed, lambda p: differ(p["obtained"], p["expected"])),
+        lambda p: F.struct(F.lit(None).cast("string").alias("message"), ndarray_index(p["at"], shape).alias("index"),
+                           p["obtained"].alias("obtained"), p["expected"].alias("expected")))
+    whole = F.transform(F.array(message), lambda m: F.struct(
+        m.alias("message"), F.lit(None).cast("array<bigint>").alias("index"),
+        F.get(actual, F.lit(-1)).alias("obtained"), F.get(expected, F.lit(-1)).alias("expected")))
+    return df.select(*keys, F.inline(F.when(message.isNotNull(), whole).otherwise(cells)))
+
+
 def mismatch_rows(cells: DataFrame, keys, rel=None, abs=None) -> DataFrame:  # noqa: A002
     """A10: mismatched cells only, with ``expected ± tolerance`` text."""
     keys = list(keys)

@@ -235,6 +235,32 @@ def near_vectors(spark, sf_dir):
     )
 
 
+@query(
+    "ndarray_mismatches",
+    ("A6", "A9"),
+    f"""
+    WITH elems AS (
+      SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS a, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings),
+    pairs AS (SELECT vec_id, label, pos, a, a + 0.001::DOUBLE * label * (pos % 7) AS e FROM elems)
+    SELECT vec_id, CAST(NULL AS VARCHAR) AS message, concat_ws(',', pos // 16, pos // 4 % 4, pos % 4) AS index, a AS obtained, e AS expected
+    FROM pairs WHERE label % 3 <> 0 AND NOT {_near_sql('a', 'e', '0.0145')}
+    UNION ALL
+    SELECT vec_id, 'Impossible to compare arrays with different shapes. Shapes: (64,) and (4, 4, 4)', NULL, NULL, NULL
+    FROM embeddings WHERE label % 3 = 0
+    """,
+)
+def ndarray_mismatches(spark, sf_dir):
+    """Vectors as 4x4x4 arrays; the expected side is flat for every third label."""
+    emb = Tables(spark, sf_dir).embeddings
+    a = F.transform("embedding", lambda x: x.cast("double"))
+    e = F.transform("embedding", lambda x, i: x.cast("double") + F.lit(0.001) * F.col("label") * (i % 7))
+    cube = F.array(F.lit(4), F.lit(4), F.lit(4))
+    e_shape = F.when(F.col("label") % 3 != 0, cube).otherwise(F.array(F.lit(64)))
+    rows = emb.select("vec_id", a.alias("a"), e.alias("e"), cube.alias("a_shape"), e_shape.alias("e_shape"))
+    out = CMP.ndarray_mismatches(rows, ["vec_id"], F.col("a"), F.col("a_shape"), F.col("e"), F.col("e_shape"), abs=0.0145)
+    return out.withColumn("index", F.when(F.col("index").isNotNull(), F.concat_ws(",", F.col("index").cast("array<string>"))))
+
+
 # --------------------------------------------------------------- A7
 _HALF_SQL = """
 WITH sums AS (
