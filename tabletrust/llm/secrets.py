@@ -105,8 +105,9 @@ def tested(tokens: DataFrame) -> DataFrame:
     text_rate = F.greatest(F.lit(0.066), 1.6 / F.col("a"))
     agree = F.col("same") / (F.col("n") * (F.col("n") - 1))
     spread = F.sqrt(2 * text_rate * (1 - text_rate)) / F.col("n")
-    # Runs of character classes.
-    classes = "transform(split(core, ''), c -> case when c between 'a' and 'z' then 1 when c between 'A' and 'Z' then 2 when c between '0' and '9' then 3 else 4 end)"
+    # Runs of character classes; letters of one case are vowels or others,
+    # which words alternate and random letters, with few vowels, do not.
+    classes = "transform(split(core, ''), c -> case when encoding = 'letters' then if(instr('aeiou', lower(c)) > 0, 1, 2) when c between 'a' and 'z' then 1 when c between 'A' and 'Z' then 2 when c between '0' and '9' then 3 else 4 end)"
     rows = rows.withColumn("classes", F.expr(classes)).withColumn("changes", F.expr(
         "aggregate(zip_with(slice(classes, 2, size(classes) - 1), slice(classes, 1, size(classes) - 1), (p, q) -> cast(p <> q as int)), 0, (s, d) -> s + d)"))
     rows = rows.withColumn("mean", F.expr("aggregate(x, 0D, (s, v) -> s + v) / n")).withColumn(
@@ -115,7 +116,8 @@ def tested(tokens: DataFrame) -> DataFrame:
     serial = F.when(F.col("var") > 0, F.abs(F.col("cov") / F.col("var"))).otherwise(F.lit(1.0))
     steps = F.col("n") - 1
     even = (text_rate - agree) / spread
-    mixed = (F.col("changes") - 0.3 * steps) / F.sqrt(steps * 0.3 * 0.7)
+    mixed = F.when(F.col("encoding") == "letters", (0.5 * steps - F.col("changes")) / F.sqrt(steps * 0.25)).otherwise(
+        (F.col("changes") - 0.3 * steps) / F.sqrt(steps * 0.3 * 0.7))
     free = (0.5 - serial) * F.sqrt("n")
     rows = with_log_tail(rows, (even + mixed + free) / F.sqrt(F.lit(3.0)), "log_p")
     log10_p = -F.col("log_p") / F.log(F.lit(10.0))

@@ -405,6 +405,32 @@ def test_random_tokens_are_told_from_text(spark):
 
 # language
 
+def test_random_letters_and_digits_are_found(spark):
+    """Of 60 random tokens of each length and alphabet most are found; of
+    long words and names none is."""
+    import random
+    import string
+    rng = random.Random(31)
+    words = ["donaudampfschifffahrtsgesellschaft", "antidisestablishmentarianism", "counterrevolutionaries", "Internationalization",
+             "electroencephalographically", "rechtsschutzversicherungsgesellschaften", "hexakosioihexekontahexaphobia", "a" * 40,
+             "pneumonoultramicroscopicsilicovolcanoconiosis", "incomprehensibilities", "uncharacteristically", "INTERNATIONALIZATIONS"]
+    docs, kinds = [], []
+    for alphabet in (string.ascii_lowercase, string.ascii_uppercase, string.digits):
+        for n in (24, 32, 40, 64):
+            for _ in range(60):
+                docs.append((len(docs), "the value is " + "".join(rng.choice(alphabet) for _ in range(n)) + " here"))
+                kinds.append((alphabet[0], n))
+    plain = len(docs)
+    docs += [(plain + i, f"such as {w} is") for i, w in enumerate(words * 20)]
+    found = Counter()
+    for r in secrets.secret_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        if r.spans:  # digits are base spans of kind hex already
+            found[kinds[r.doc_id] if r.doc_id < plain else "plain"] += 1
+    assert found.pop("plain", 0) == 0
+    assert all(found[a, n] >= least for a in "aA" for n, least in ((24, 20), (32, 35), (40, 45), (64, 55)))
+    assert all(found["0", n] == 60 for n in (24, 32, 40, 64))
+
+
 def test_language_is_learned_and_held_out(spark):
     from llm_helpers import SF
     docs = spark.read.parquet(f"{SF}/documents.parquet")
