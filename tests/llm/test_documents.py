@@ -388,6 +388,17 @@ def test_base_spans_match_the_patterns(spark):
         assert all(e <= b.start or b.end <= s for s, e in ends for b in r.base)
 
 
+def test_letters_of_assignments_in_either_case(spark):
+    """Case is Unicode's, in the names and in the values."""
+    import random
+    rng = random.Random(8)
+    assign = re.compile(KINDS[0][1].pattern, re.I)
+    bits = ["paſſword=", "toKen: '", "apı_KEY=", "APİkey=", "secret=", "ſ", "K", "İ", "ı", "abc", "K9", " ", "ß", "="]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 20))) for _ in range(300)] + ["paſſword=hunter22", "token=abKſcd"]
+    for r in secrets.secret_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert [(s.start, s.end) for s in r.base] == [m.span(2) for m in assign.finditer(texts[r.doc_id]) if len(m[2]) >= 6]
+
+
 def test_random_tokens_are_told_from_text(spark):
     import base64
     import random
