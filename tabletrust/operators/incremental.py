@@ -6,6 +6,9 @@ of the file's keys with their numbers of rows.  Both merge by addition, so
 a report is an aggregate of the state of the files that are there now:
 files that came since are read and added, and what a removed or rewritten
 file had brought no longer counts.
+
+Keys that should be unique are stored row by row, without a shuffle; a
+report shuffles them once, by the key alone.
 """
 
 from __future__ import annotations
@@ -19,14 +22,15 @@ from pyspark.sql.utils import AnalysisException
 from tabletrust.contract import TableContract
 from tabletrust.operators.checks import row_rules
 
-STATE = "file string, rule string, col string, key binary, null_part boolean, n bigint"
+STATE = "file binary, rule string, col string, key binary, null_part boolean, n bigint"
 KEY_RULES = ("primary_key", "unique", "foreign_key")
 
 
 def key_fingerprint(contract: TableContract, cols, names=None, ci=()) -> Column:
-    """MD5 of a composite key in the contract's types; NULL parts, and where
-    one part ends, are told apart.  ``names`` are the columns that hold it,
-    if they are called otherwise (a referenced table's)."""
+    """A composite key in the contract's types as bytes: its text below 16
+    bytes, else the text's MD5; NULL parts, and where one part ends, are told
+    apart.  ``names`` are the columns that hold it, if they are called
+    otherwise (a referenced table's)."""
     parts = []
     for col, name in zip(cols, names or cols, strict=True):
         dtype = contract.column(col).spark_type()
@@ -38,7 +42,8 @@ def key_fingerprint(contract: TableContract, cols, names=None, ci=()) -> Column:
         text = value.cast("string")
         text = F.lower(text) if col in ci else text
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n")))
-    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+    whole = F.concat(*parts).cast("binary")
+    return F.when(F.octet_length(whole) < 16, whole).otherwise(F.unhex(F.md5(whole)))
 
 
 def _keys(contract: TableContract) -> list[tuple[str, str, tuple[str, ...], list[str]]]:
@@ -69,10 +74,12 @@ def file_state(df: DataFrame, contract: TableContract, file: Column) -> DataFram
             continue
         null_part = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in cols])
         rows = df if rule == "primary_key" else df.where(~null_part)
-        parts.append(
-            rows.groupBy(F.col("__file").alias("file"), key_fingerprint(contract, cols, ci=ci).alias("key"), null_part.alias("null_part"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("file", F.lit(rule).alias("rule"), F.lit(name).alias("col"), "key", "null_part", "n"))
+        rows = rows.select(F.col("__file").alias("file"), key_fingerprint(contract, cols, ci=ci).alias("key"), null_part.alias("null_part"))
+        if rule == "foreign_key":  # few keys, many rows
+            rows = rows.groupBy("file", "key").agg(F.count(F.lit(1)).alias("n")).withColumn("null_part", F.lit(False))
+        else:
+            rows = rows.withColumn("n", F.lit(1).cast("bigint"))
+        parts.append(rows.select("file", F.lit(rule).alias("rule"), F.lit(name).alias("col"), "key", "null_part", "n"))
     if not parts:
         return df.sparkSession.createDataFrame([], STATE)
     return reduce(DataFrame.unionByName, parts)
@@ -92,17 +99,18 @@ def merged_report(state: DataFrame, contract: TableContract, parents: dict[str,
     fks = {fk.name: fk for fk in contract.foreign_keys}
     rows = state.where(~F.col("rule").isin(*KEY_RULES) | F.col("n").isNull())
     found = [rows.groupBy("rule", "col").agg(F.sum("n").alias("n"), F.count_if(F.col("n").isNull()).alias("unknown"))]
-    keyed = state.where(F.col("n").isNotNull()).groupBy("rule", "col", "key").agg(F.sum("n").alias("n"), F.max("null_part").alias("null_part"))
-    broken = keyed.where(F.col("rule").isin("primary_key", "unique")).groupBy("rule", "col").agg(F.count_if((F.col("n") > 1) | F.col("null_part")).alias("n"))
-    found.append(broken.withColumn("unknown", F.lit(0).cast("bigint")))
-    missing = []
-    for name, fk in fks.items():
-        if fk.parent not in parents:
-            missing.append(name)
-            continue
-        known = parents[fk.parent].select(key_fingerprint(contract, fk.cols, fk.parent_cols).alias("key"))
-        orphans = keyed.where((F.col("rule") == "foreign_key") & (F.col("col") == name)).join(known, "key", "left_anti")
-        found.append(orphans.groupBy("rule", "col").agg(F.sum("n").alias("n"), F.lit(0).cast("bigint").alias("unknown")))
+    missing = [name for name, fk in fks.items() if fk.parent not in parents]
+    for rule, name in dict.fromkeys((rule, name) for rule, name, _, _ in _keys(contract) if name not in missing):
+        # Grouped by the key alone: the join with a parent needs no other shuffle.
+        own = (F.col("rule") == rule) & (F.col("col") == name) & F.col("n").isNotNull()
+        keyed = state.where(own).groupBy("key").agg(F.sum("n").alias("n"), F.max("null_part").alias("null_part"))
+        if rule == "foreign_key":
+            fk = fks[name]
+            known = parents[fk.parent].select(key_fingerprint(contract, fk.cols, fk.parent_cols).alias("key"))
+            broken = keyed.join(known, "key", "left_anti").agg(F.sum("n").alias("n"))
+        else:
+            broken = keyed.agg(F.count_if((F.col("n") > 1) | F.col("null_part")).alias("n"))
+        found.append(broken.select(F.lit(rule).alias("rule"), F.lit(name).alias("col"), "n", F.lit(0).cast("bigint").alias("unknown")))
     counts = reduce(DataFrame.unionByName, found).groupBy("rule", "col").agg(F.sum("n").alias("n"), F.sum("unknown").alias("unknown"))
     lacks = [(rule, name) in unchecked or name in missing for rule, name in rules]
     all_ = spark.createDataFrame([(rule, name, lack) for (rule, name), lack in zip(rules, lacks, strict=True)], "rule string, col string, lacks boolean")
@@ -111,9 +119,11 @@ def merged_report(state: DataFrame, contract: TableContract, parents: dict[str,
 
 
 def _file() -> Column:
-    """A file by its path, time and size: a rewritten one is another."""
+    """A file by its path, time and size, as their MD5: a rewritten one is
+    another, and rows that name their file stay narrow."""
     m = F.col("_metadata")
-    return F.concat_ws("|", m["file_path"], F.unix_micros(m["file_modification_time"]).cast("string"), m["file_size"].cast("string"))
+    name = F.concat_ws("|", m["file_path"], F.unix_micros(m["file_modification_time"]).cast("string"), m["file_size"].cast("string"))
+    return F.unhex(F.md5(name.cast("binary")))
 
 
 def _state(spark: SparkSession, path: str) -> DataFrame:
@@ -142,5 +152,6 @@ def incremental_report(spark: SparkSession, paths: list[str], contract: TableCon
     if new:
         rows = spark.read.parquet(*new)
         file_state(rows, contract, _file()).write.mode("append").parquet(state_path)
-    state = _state(spark, state_path).join(here.select("file"), "file", "left_semi")
+    # The state stays where it is: the list of files goes to all tasks.
+    state = _state(spark, state_path).join(F.broadcast(here.select("file")), "file", "left_semi")
     return merged_report(state, contract, parents)

@@ -70,3 +70,15 @@ def test_no_rows_and_known_files_stay_unread(spark, tmp_path):
     pair = TableContract("t", (Col("x", "string"), Col("y", "string")), primary_key=("x", "y"))
     df = spark.createDataFrame([("a1:", "b"), ("a", "1:b")], "x string, y string")
     assert df.select(incremental.key_fingerprint(pair, ("x", "y"))).distinct().count() == 2
+
+
+def test_state_is_narrow_and_not_shuffled_by_file(spark, tmp_path):
+    a, state = write(spark, tmp_path, "a"), str(tmp_path / "s")
+    got = incremental.incremental_report(spark, [a], ORDERS, state, {"customer": spark.createDataFrame([(1,)], "c_id int")})
+    assert "hashpartitioning(file" not in got._jdf.queryExecution().toString()
+    rows = spark.read.parquet(state).collect()
+    assert {len(r.file) for r in rows} == {16}
+    assert {bytes(r.key) for r in rows if r.rule == "primary_key"} == {b"1:1", b"1:2"}
+    wide = TableContract("t", (Col("x", "string"),), primary_key=("x",))
+    keys = spark.createDataFrame([("y" * 40,), ("y" * 41,), (None,)], "x string").select(incremental.key_fingerprint(wide, ("x",)).alias("k")).collect()
+    assert sorted(len(r.k) for r in keys) == [1, 16, 16] and len({bytes(r.k) for r in keys}) == 3
