@@ -9,7 +9,7 @@ longer ones that they open: they join the proposals, and a further pass
 counts those.  The mining is closed when no border phrase is frequent.
 
 Proposed phrases are counted by their words.  The border, which is most of
-the work and hardly ever frequent, is counted by 64-bit keys; phrases that
+the work and hardly ever frequent, is counted by keys of 42 bits or more; phrases that
 share a key only make it look more frequent, and a key that reaches the
 threshold is counted by its words in the next pass.  So the numbers of the
 result are exact whatever the sample was.  Proposals travel as bitmaps of a
@@ -84,6 +84,29 @@ def _chained(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mixed(keys[:-1] * _TIMES + words[len(words) - len(keys) + 1:])
 
 
+def _steps(keys: np.ndarray, bits: int) -> bytes:
+    """Ascending keys that share their first ``bits`` bits: the steps
+    between the 32 bits that follow those, 4 bytes a key."""
+    low = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+    return _planes(np.diff(low, prepend=np.uint32(0)))
+
+
+def _from_steps(data: np.ndarray, bucket: int, bits: int) -> np.ndarray:
+    """The keys of a bucket, without the bits that were not sent."""
+    low = np.cumsum(_from_planes(data, np.uint32), dtype=np.uint64)
+    return (np.uint64(bucket) << np.uint64(64 - bits)) | (low << np.uint64(32 - bits))
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second ones and so on: shuffle
+    files are compressed, and the high bytes of small numbers are equal."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+
+
+def _from_planes(data: np.ndarray, dtype: type) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(dtype).itemsize, -1).T).reshape(-1).view(dtype)
+
+
 class Words:
     """The words of a stretch of text and the keys of its phrases."""
 
@@ -133,7 +156,7 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
     gets a name.  ``docs`` has ``lang`` and ``text`` (binary)."""
     top = levels[-1]
     spark = docs.sparkSession
-    bits = max(10, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2)
+    bits = min(30, max(10, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2))
 
     def rows(m: int, keys: np.ndarray, n: np.ndarray, lang: str | None = None, names: list[bytes] | None = None) -> pa.RecordBatch:
         """A row per bucket of some ascending keys."""
@@ -141,8 +164,8 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
         spans = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.RecordBatch.from_arrays([
             pa.array([m] * len(spans), pa.int32()), pa.array([int(keys[a]) >> (64 - bits) for a, _ in spans], pa.int32()), pa.array([lang] * len(spans), pa.string()),
-            pa.array([b"\n".join(names[a:b]) if names is not None else None for a, b in spans], pa.binary()), pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
-            pa.array([n[a:b].astype(np.int64).tobytes() if (n[a:b] > 1).any() else None for a, b in spans], pa.binary())], names=["words", "bucket", "lang", "names", "keys", "counts"])
+            pa.array([b"\n".join(names[a:b]) if names is not None else None for a, b in spans], pa.binary()), pa.array([_steps(keys[a:b], bits) for a, b in spans], pa.binary()),
+            pa.array([_planes(n[a:b].astype(np.int64)) if (n[a:b] > 1).any() else None for a, b in spans], pa.binary())], names=["words", "bucket", "lang", "names", "keys", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         border: dict[int, list[np.ndarray]] = {m: [] for m in levels}
@@ -246,16 +269,16 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                     if last is not None:
                         yield sums(last[0], keys, counts, names)
                     last, keys, counts, names = here, [], [], {}
-                own = np.frombuffer(key.as_buffer(), np.uint64)
-                times = np.frombuffer(n.as_buffer(), np.int64) if n.is_valid else np.ones(len(own), np.int64)
+                own = _from_steps(np.frombuffer(key.as_buffer(), np.uint8), here[1], bits)
+                times = _from_planes(np.frombuffer(n.as_buffer(), np.uint8), np.int64) if n.is_valid else np.ones(len(own), np.int64)
                 if text.is_valid:
                     seen, key_of = names.setdefault(lang.as_py(), ({}, {}))
                     for p, k, c in zip(text.as_py().split(b"\n"), own.tolist(), times.tolist(), strict=True):
                         seen[p] = seen.get(p, 0) + c
                         key_of[p] = k
                 else:
-                    keys.append(own.copy())
-                    counts.append(times.copy())
+                    keys.append(own)
+                    counts.append(times)
         if last is not None:
             yield sums(last[0], keys, counts, names)
 

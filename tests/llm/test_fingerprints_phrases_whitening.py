@@ -205,6 +205,19 @@ def test_collocations_of_long_texts_and_odd_rows(spark, odd, odd_rows, clashing,
     assert sorted(map(tuple, out.collect())) == brute_collocations([(r[2], r[1]) for r in odd_rows], min_count=2)
 
 
+def test_keys_of_a_bucket_travel_in_four_bytes():
+    rng = np.random.default_rng(3)
+    for bits in (10, 17, 30):
+        keys = np.sort(rng.integers(0, 1 << (64 - bits), 3000, np.uint64)) | (np.uint64(5) << np.uint64(64 - bits))
+        sent = collocations._steps(keys, bits)
+        assert len(sent) <= 4 * len(keys)
+        got = collocations._from_steps(np.frombuffer(sent, np.uint8), 5, bits)
+        cut = np.uint64(32 - bits)
+        assert (got >> cut == keys >> cut).all()
+    counts = rng.integers(1, 1 << 40, 100, np.int64)
+    assert (collocations._from_planes(np.frombuffer(collocations._planes(counts), np.uint8), np.int64) == counts).all()
+
+
 def test_phrases_are_whole_at_cuts():
     rng = random.Random(2)
     text = wordy(rng, 3000).encode().translate(collocations._PLAIN)
