@@ -388,6 +388,20 @@ def test_base_spans_match_the_patterns(spark):
         assert all(e <= b.start or b.end <= s for s, e in ends for b in r.base)
 
 
+def test_edges_of_a_large_group_grow_with_its_members(spark):
+    """One group of 300 in blocks of at most 20: an edge or so a member."""
+    from tabletrust.llm import components, pairs
+    for n in (100, 300):
+        ids = list(range(0, 7 * n, 7))
+        members = spark.createDataFrame([(b << 32 | 9, i) for i in ids for b in range(2)], "bucket long, id long")
+        payloads = lambda d: d.withColumn("payload", F.lit("x"))
+        found = pairs.links(members, None, payloads, None, lambda lines, some: map(tuple, some.tolist()), chunk=10)
+        edges = pairs.spanning(found).collect()
+        assert len(edges) <= 1.5 * n < found.count()
+        roots = components.components(spark.createDataFrame(edges), "id", "other").collect()
+        assert sorted(r.id for r in roots) == ids and {r.root for r in roots} == {0}
+
+
 def test_letters_of_assignments_in_either_case(spark):
     """Case is Unicode's, in the names and in the values."""
     import random
