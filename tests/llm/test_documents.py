@@ -402,6 +402,23 @@ def test_edges_of_a_large_group_grow_with_its_members(spark):
         assert sorted(r.id for r in roots) == ids and {r.root for r in roots} == {0}
 
 
+def test_pairs_are_verified_once(spark, tmp_path):
+    import uuid
+
+    from tabletrust.llm import components, pairs
+    made = str(tmp_path)
+
+    def verify(lines, some):
+        open(f"{made}/{uuid.uuid4().hex}", "w").close()
+        return map(tuple, some.tolist())
+
+    members = spark.createDataFrame([(9, i) for i in range(5)], "bucket long, id long")
+    found = pairs.links(members, None, lambda d: d.withColumn("payload", F.lit("x")), None, verify)
+    roots = components.components(pairs.spanning(found), "id", "other").collect()
+    assert len(roots) == 5 and {r.root for r in roots} == {0}
+    assert len(list(tmp_path.iterdir())) == 1
+
+
 def test_letters_of_assignments_in_either_case(spark):
     """Case is Unicode's, in the names and in the values."""
     import random
