@@ -9,7 +9,7 @@ longer ones that they open: they join the proposals, and a further pass
 counts those.  The mining is closed when no border phrase is frequent.
 
 Proposed phrases are counted by their words.  The border, which is most of
-the work and hardly ever frequent, is counted by keys of 42 bits or more; phrases that
+the work and hardly ever frequent, is counted by keys of 34 bits or more; phrases that
 share a key only make it look more frequent, and a key that reaches the
 threshold is counted by its words in the next pass.  So the numbers of the
 result are exact whatever the sample was.  Proposals travel as bitmaps of a
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabletrust.llm.common import cut_lineage, small_batches
+from tabletrust.llm.common import bitmap, cut_lineage, small_batches
 from tabletrust.llm.shingles import mixed, span_hashes
 
 #: Lower-cases A-Z, makes every end of a piece a line feed and a tab a space.
@@ -43,6 +43,11 @@ _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\v\f\r" else 32
 STRETCH = 1 << 20
 #: Keys of border phrases, and named phrases, that a task holds.
 HELD, HELD_NAMES = 1 << 21, 300_000
+#: Bits of a border key that follow its bucket's: with 10 or more of those
+#: they tell 2**34 keys apart, and steps between them take two bytes.
+BORDER = 24
+#: Named phrases have 2**WIDER times fewer buckets.
+WIDER = 3
 #: Phrases with a longer word are compared as text: hashes of sums of powers are weak there.
 LONG_WORD = 64
 #: What a byte adds to the sum that phrases of one key must share.
@@ -84,17 +89,17 @@ def _chained(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mixed(keys[:-1] * _TIMES + words[len(words) - len(keys) + 1:])
 
 
-def _steps(keys: np.ndarray, bits: int) -> bytes:
+def _steps(keys: np.ndarray, bits: int, more: int = 32) -> bytes:
     """Ascending keys that share their first ``bits`` bits: the steps
-    between the 32 bits that follow those, 4 bytes a key."""
-    low = ((keys << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+    between the ``more`` bits that follow those, 4 bytes a key."""
+    low = ((keys << np.uint64(bits)) >> np.uint64(64 - more)).astype(np.uint32)
     return _planes(np.diff(low, prepend=np.uint32(0)))
 
 
-def _from_steps(data: np.ndarray, bucket: int, bits: int) -> np.ndarray:
+def _from_steps(data: np.ndarray, bucket: int, bits: int, more: int = 32) -> np.ndarray:
     """The keys of a bucket, without the bits that were not sent."""
     low = np.cumsum(_from_planes(data, np.uint32), dtype=np.uint64)
-    return (np.uint64(bucket) << np.uint64(64 - bits)) | (low << np.uint64(32 - bits))
+    return (np.uint64(bucket) << np.uint64(64 - bits)) | (low << np.uint64(64 - more - bits))
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -159,12 +164,15 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
     bits = min(30, max(10, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 2))
 
     def rows(m: int, keys: np.ndarray, n: np.ndarray, lang: str | None = None, names: list[bytes] | None = None) -> pa.RecordBatch:
-        """A row per bucket of some ascending keys."""
-        cuts = np.flatnonzero(np.diff(keys >> np.uint64(64 - bits), prepend=np.uint64(1 << bits))).tolist() + [len(keys)]
+        """A row per bucket of some ascending keys.  Names are few: they go
+        to every 2**WIDER-th bucket, so that rows are not shorter than what
+        each of them costs."""
+        own, more = (bits, BORDER) if names is None else (bits - WIDER, 32)
+        cuts = np.flatnonzero(np.diff(keys >> np.uint64(64 - own), prepend=np.uint64(1 << own))).tolist() + [len(keys)]
         spans = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.RecordBatch.from_arrays([
-            pa.array([m] * len(spans), pa.int32()), pa.array([int(keys[a]) >> (64 - bits) for a, _ in spans], pa.int32()), pa.array([lang] * len(spans), pa.string()),
-            pa.array([b"\n".join(names[a:b]) if names is not None else None for a, b in spans], pa.binary()), pa.array([_steps(keys[a:b], bits) for a, b in spans], pa.binary()),
+            pa.array([m] * len(spans), pa.int32()), pa.array([int(keys[a]) >> (64 - own) << (bits - own) for a, _ in spans], pa.int32()), pa.array([lang] * len(spans), pa.string()),
+            pa.array([b"\n".join(names[a:b]) if names is not None else None for a, b in spans], pa.binary()), pa.array([_steps(keys[a:b], own, more) for a, b in spans], pa.binary()),
             pa.array([_planes(n[a:b].astype(np.int64)) if (n[a:b] > 1).any() else None for a, b in spans], pa.binary())], names=["words", "bucket", "lang", "names", "keys", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +277,7 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
                     if last is not None:
                         yield sums(last[0], keys, counts, names)
                     last, keys, counts, names = here, [], [], {}
-                own = _from_steps(np.frombuffer(key.as_buffer(), np.uint8), here[1], bits)
+                own = _from_steps(np.frombuffer(key.as_buffer(), np.uint8), *((here[1] >> WIDER, bits - WIDER) if text.is_valid else (here[1], bits, BORDER)))
                 times = _from_planes(np.frombuffer(n.as_buffer(), np.uint8), np.int64) if n.is_valid else np.ones(len(own), np.int64)
                 if text.is_valid:
                     seen, key_of = names.setdefault(lang.as_py(), ({}, {}))
@@ -286,17 +294,6 @@ def _counted(docs: DataFrame, levels: range, now: dict[int, np.ndarray], before:
     return sent.repartition("words", "bucket").sortWithinPartitions("words", "bucket").mapInArrow(added, _SUMS)
 
 
-def _bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
-    """The bitmap of 2**bits bits of the keys of some phrases: gathered as
-    its words of 64 bits, so it never exceeds its size on the way."""
-    at = F.shiftrightunsigned("key", 64 - bits)
-    words = phrases.select(F.shiftright(at, 6).alias("at"), F.expr("1L").alias("one"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-    rows = words.groupBy("at").agg(F.bit_or(F.call_function("shiftleft", "one", "bit")).alias("bits")).toPandas()
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
-    return out.view(np.uint8)
-
-
 def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rate: float = 0.25, lowered: float = 0.8, bits: int = 24,
                      lang: str = "lang", text: str = "text") -> DataFrame:
     """(``lang``, ``words``, ``phrase``, ``n``): all phrases of up to
@@ -321,12 +318,12 @@ def frequent_phrases(docs: DataFrame, longest: int = 3, min_count: int = 10, rat
     least = max(1, int(lowered * rate * min_count))
     now: dict[int, np.ndarray] = {}
     for m in range(1, longest + 1):
-        now[m] = _bitmap(_counted(few, range(m, m + 1), now, {}, False, least), bits)
+        now[m] = bitmap(_counted(few, range(m, m + 1), now, {}, False, least), bits)
     before: dict[int, np.ndarray] = {}
     found: list[DataFrame] = []
     while True:
         found.append(cut_lineage(_counted(rows, range(1, longest + 1), now, before, True, min_count)))
-        more = {m: now[m] | _bitmap(found[-1].where(F.col("words") == m), bits) for m in now}
+        more = {m: now[m] | bitmap(found[-1].where(F.col("words") == m), bits) for m in now}
         if all((more[m] == now[m]).all() for m in now):
             break
         # Phrases of the border are frequent: they and what they open are counted too.

@@ -218,6 +218,25 @@ def test_keys_of_a_bucket_travel_in_four_bytes():
     assert (collocations._from_planes(np.frombuffer(collocations._planes(counts), np.uint8), np.int64) == counts).all()
 
 
+def test_border_keys_take_two_bytes_and_names_few_rows(spark):
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 1 << 64, 1 << 21, np.uint64))
+    keys = keys[keys >> np.uint64(54) == np.uint64(5)]
+    sent = np.frombuffer(collocations._steps(keys, 10, collocations.BORDER), np.uint8)
+    assert not sent.reshape(4, -1)[3].any() and np.mean(sent.reshape(4, -1)[2] > 0) < 0.05
+    got = collocations._from_steps(sent, 5, 10, collocations.BORDER)
+    assert (got >> np.uint64(30) == keys >> np.uint64(30)).all()
+    docs = spark.createDataFrame([("a", bytearray(" ".join(f"w{i}" for i in range(3000)), "utf-8"))], "lang string, text binary").coalesce(1)
+    real, rows = type(docs).repartition, []
+    try:
+        type(docs).repartition = lambda self, *a: (rows.extend(self.collect()), real(self, *a))[1]
+        counted = collocations._counted(docs, range(1, 2), {}, {}, True, 1).collect()
+    finally:
+        type(docs).repartition = real
+    assert sum(r.n for r in counted if r.words == 1) == 3000
+    assert len([r for r in rows if r.words == 1]) <= 1024 >> collocations.WIDER
+
+
 def test_phrases_are_whole_at_cuts():
     rng = random.Random(2)
     text = wordy(rng, 3000).encode().translate(collocations._PLAIN)
