@@ -419,6 +419,52 @@ def test_pairs_are_verified_once(spark, tmp_path):
     assert len(list(tmp_path.iterdir())) == 1
 
 
+def test_members_of_shared_buckets_travel_packed(spark, monkeypatch):
+    from tabletrust.llm import pairs
+    rng = np.random.default_rng(5)
+    for n in (1, 200, 1 << 40):
+        some = rng.integers(0, n + 1, 1000, np.uint64)
+        assert (pairs.widened(pairs.narrow(some), 1000) == some).all()
+    assert len(pairs.narrow(np.arange(1000, dtype=np.uint64))) == 2000
+    # A bucket of all but one, few shared ones, in rows of a task of few members.
+    monkeypatch.setattr(pairs, "PACKED", 7)
+    monkeypatch.setattr(pairs, "HELD", 500)
+    rows = [((i % 3 << 33) + i, [5, (1 << 32) + int(rng.integers(0, 900)), (2 << 32) + (1 << 32) - 1 - i]) for i in range(1, 700)] + [(9 << 40, [4, (1 << 32) + 1000, 2 << 32])]
+    n = Counter(b for _, own in rows for b in own)
+    got = pairs.shared_buckets(spark.createDataFrame(rows, "id long, buckets array<long>").repartition(3)).collect()
+    assert sorted((r.id, r.bucket, r.n) for r in got) == sorted((i, b, n[b]) for i, own in rows for b in own if n[b] > 1)
+
+
+def test_aligned_words_prove_a_distance():
+    import random
+    rng = random.Random(6)
+    words, proved = "".join(rng.choice("ab ") for _ in range(400)).split(), 0
+    for _ in range(600):
+        a = [rng.choice(words) for _ in range(rng.randint(1, 25))]
+        b = [w for w in a if rng.random() > 0.1]
+        for _ in range(rng.randint(0, 2)):
+            b.insert(rng.randint(0, len(b)), rng.choice(words))
+        a, b = " ".join(a), " ".join(b)
+        for most in (0, 2, 5, 9):
+            if line_dedup.surely_within(a, b, most):
+                proved += 1
+                assert line_dedup.within(a, b, most)
+    assert proved > 300
+    assert not line_dedup.surely_within("a b", "", 2) and line_dedup.surely_within("a b c", "a c", 2)
+
+
+def test_lines_are_found_again_by_their_places(spark):
+    """Repeated rows, NULL doc_ids, equal texts of several documents, many lines."""
+    import random
+    rng = random.Random(12)
+    line = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 8))) for _ in range(12))
+    own = [line() for _ in range(300)]
+    rows = [(None, "\n".join(own[:100])), (None, "\n".join(own[:100])), (2, "\n".join(own[100:200])), (3, "\n".join(own[100:200])),
+            (4, "\n".join(s + " more" for s in own)), (5, "Σας\n\n" + own[250].upper() + "\n" + line())]
+    got = {r.doc_id: r.removed for r in line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id}
+    assert got == {2: [], 3: list(range(100)), 4: list(range(200)), 5: [2]}
+
+
 def test_letters_of_assignments_in_either_case(spark):
     """Case is Unicode's, in the names and in the values."""
     import random
