@@ -339,6 +339,52 @@ def test_bounds_never_drop_a_near_pair():
     assert near and near <= kept and len(kept) < len(pairs)
 
 
+def test_distances_of_many_pairs_at_once(monkeypatch):
+    import random
+    rng = random.Random(4)
+    monkeypatch.setattr(line_dedup, "PAIRS", 40)
+    monkeypatch.setattr(line_dedup, "LONGEST", 120)
+    for letters in ("abc", "ab 漢é", "x豈\U00020000"):
+        pairs = []
+        for _ in range(400):
+            a = "".join(rng.choice(letters) for _ in range(rng.randint(0, 140)))
+            b = list(a) if rng.random() < 0.8 else [rng.choice(letters) for _ in a]
+            for _ in range(rng.randint(0, 12)):
+                b[rng.randint(0, len(b)):rng.randint(0, len(b))] = rng.choice(["", letters[0], letters[::-1]])
+            pairs.append((a, "".join(b), rng.randint(0, 28)))
+        got = line_dedup.all_within(pairs).tolist()
+        assert got == [distance(a, b) <= most for a, b, most in pairs] and 0 < sum(got) < len(got)
+
+
+def test_lengths_of_links_are_alike():
+    lengths = np.arange(1, 6000)
+    classes = np.array([line_dedup.length_class(b"x" * n) for n in lengths.tolist()])
+    number = (np.arange(len(lengths)) << 8) + classes
+    for threshold in (0.8, 0.95):
+        like = line_dedup.like_lengths(threshold)
+        for n in range(1, 4000, 7):
+            near = n - lengths <= int((1 - threshold) * n + 1e-9)
+            assert like(number[n - 1], number[: n][near[: n]]).all()
+        assert not like(number[99], number[199])
+    assert line_dedup.length_class("漢".encode() * 30) == line_dedup.length_class(b"x" * 30)
+
+
+def test_lines_of_unlike_lengths_stay_where_they_are(spark):
+    """Members of one bucket whose lengths rule out a link get no payload."""
+    from tabletrust.llm import pairs
+
+    ids = [(i << 8) + line_dedup.length_class(b"x" * n) for i, n in enumerate((10, 20, 40, 80, 82))]
+    asked = []
+
+    def payloads(wanted):
+        asked.extend(sorted(r.id for r in wanted.collect()))
+        return wanted.withColumn("payload", F.lit(b""))
+
+    members = spark.createDataFrame([(i, [7]) for i in ids], "id long, buckets array<long>")
+    pairs.links(members, None, payloads, None, None, near=line_dedup.like_lengths(0.8)).schema
+    assert asked == ids[3:]
+
+
 # licences
 
 def test_licences_in_other_clothes(spark):
