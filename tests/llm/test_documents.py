@@ -385,6 +385,27 @@ def test_lines_of_unlike_lengths_stay_where_they_are(spark):
     assert asked == ids[3:]
 
 
+def test_bitmap_comes_in_pieces(spark, monkeypatch):
+    """The driver gets a row for each piece, not for each word of 64 bits."""
+    from tabletrust.llm import common
+
+    rng = np.random.default_rng(4)
+    keys = np.r_[rng.integers(-(1 << 63), 1 << 63, 5000, np.int64), 0, -1, -1, (1 << 63) - 1, -(1 << 63)]
+    df = spark.createDataFrame([(k,) for k in keys.tolist()], "key long").repartition(3)
+    came = []
+    for name in ("collect", "toPandas"):
+        real = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, real=real: (came.append(len(got := real(self))), got)[1])
+    for bits in (6, 10, 16, 18):
+        at = keys.view(np.uint64) >> np.uint64(64 - bits)
+        want = np.zeros(1 << bits, np.uint8)
+        want[at.astype(np.int64)] = 1
+        assert (common.bitmap(df, bits) == np.packbits(want, bitorder="little")).all()
+        assert sum(came) <= max(1, (1 << bits) >> 16)
+        came.clear()
+    assert not common.bitmap(df.where("false"), 18).any()
+
+
 # licences
 
 def test_licences_in_other_clothes(spark):
