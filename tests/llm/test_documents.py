@@ -406,6 +406,22 @@ def test_bitmap_comes_in_pieces(spark, monkeypatch):
     assert not common.bitmap(df.where("false"), 18).any()
 
 
+def test_bitmap_of_wanted_lines_is_a_broadcast(spark, monkeypatch):
+    """No function that goes to the tasks carries the bitmap itself."""
+    import inspect
+
+    sent = []
+    frame = type(spark.range(1))
+    real = frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda self, f, *a, **b: (sent.append(f), real(self, f, *a, **b))[1])
+    line = "a line of more than five words that comes again"
+    docs = spark.createDataFrame([(0, line), (1, line + "s")], "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in line_dedup.line_report(docs).collect()}
+    assert got == {0: [], 1: [0]}
+    held = [v for f in sent for v in inspect.getclosurevars(f).nonlocals.values()]
+    assert sent and not any(isinstance(v, np.ndarray) for v in held)
+
+
 # licences
 
 def test_licences_in_other_clothes(spark):
